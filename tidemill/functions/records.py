@@ -50,14 +50,20 @@ def flatten_key(df: DataFrame, key: str) -> DataFrame:
 def weather_rows(log: DataFrame) -> DataFrame:
     """Parallel daily arrays to one row per city and day; short arrays give NULL."""
     daily = decode(log, schemas.WEATHER_PAYLOAD)
-    zipped = F.arrays_zip(
-        F.col("daily.time").alias("date"),
-        F.col("daily.temperature_2m_max").alias("temp_max_c"),
-        F.col("daily.temperature_2m_min").alias("temp_min_c"),
-        F.col("daily.temperature_2m_mean").alias("temp_mean_c"),
-        F.col("daily.precipitation_sum").alias("precipitation_mm"),
-        F.col("daily.wind_speed_10m_max").alias("wind_speed_max_kmh"),
-    )
+    names = {
+        "date": "time",
+        "temp_max_c": "temperature_2m_max",
+        "temp_min_c": "temperature_2m_min",
+        "temp_mean_c": "temperature_2m_mean",
+        "precipitation_mm": "precipitation_sum",
+        "wind_speed_max_kmh": "wind_speed_10m_max",
+    }
+    # A variable that the response lacks is an empty array, so its values are NULL.
+    arrays = [
+        F.coalesce(f"daily.{field}", F.array().cast(daily.schema["daily"].dataType[field].dataType)).alias(name)
+        for name, field in names.items()
+    ]
+    zipped = F.arrays_zip(*arrays)
     return daily.select("city", F.inline(zipped)).where(F.col("date").isNotNull())
 
 

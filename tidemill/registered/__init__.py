@@ -1,5 +1,9 @@
 """All registered queries with their SQL twins."""
 
-from tidemill.registered import readings
+from tidemill.registered import batch, indicators, posts, prices, readings, streams
 
-QUERIES = {**readings.QUERIES}
+QUERIES = {
+    name: query
+    for module in (readings, batch, posts, indicators, prices, streams)
+    for name, query in module.QUERIES.items()
+}

@@ -38,7 +38,10 @@ class View:
     def df(self, spark: SparkSession, sf: str) -> DataFrame:
         inputs = {name: table(spark, sf, name) for name in self.tables}
         inputs |= {name: view.df(spark, sf) for name, view in self.views}
-        return spark.sql(self.text, **inputs)
+        out = spark.sql(self.text, **inputs)
+        # The tables hold zone-free times; literals in the text should not differ.
+        zoned = {c: out[c].cast("timestamp_ntz") for c, kind in out.dtypes if kind == "timestamp"}
+        return out.withColumns(zoned) if zoned else out
 
     @property
     def sql(self) -> str:
@@ -105,16 +108,17 @@ DAILY = View(
 
 # Every day is ingested twice; the first copy is wrong.
 DAILY_WEATHER = View(
-    """
-    SELECT city, CAST(day AS STRING) AS date,
-           hi + c.bad AS temp_max_c, lo AS temp_min_c, CAST(cents AS DOUBLE) / 100 / n AS temp_mean_c,
-           CASE WHEN n % 9 = 0 THEN NULL ELSE CAST(n % 21 AS DOUBLE) / 10 END AS precipitation_mm,
-           CAST(n % 17 AS DOUBLE) AS wind_speed_max_kmh, CAST(n % 23 AS DOUBLE) / 2 AS solar_radiation_sum,
-           c.ingested_at AS ingested_at
-    FROM {daily} CROSS JOIN (
-        SELECT CAST(5.0 AS DOUBLE) AS bad, TIMESTAMP '2024-01-30 01:00:00' AS ingested_at UNION ALL
-        SELECT CAST(0.0 AS DOUBLE) AS bad, TIMESTAMP '2024-01-30 02:00:00' AS ingested_at) c
-    """,
+    " UNION ALL ".join(
+        f"""
+        SELECT city, CAST(day AS STRING) AS date,
+               hi + {bad} AS temp_max_c, lo AS temp_min_c, CAST(cents AS DOUBLE) / 100 / n AS temp_mean_c,
+               CASE WHEN n % 9 = 0 THEN NULL ELSE CAST(n % 21 AS DOUBLE) / 10 END AS precipitation_mm,
+               CAST(n % 17 AS DOUBLE) AS wind_speed_max_kmh, CAST(n % 23 AS DOUBLE) / 2 AS solar_radiation_sum,
+               TIMESTAMP '2024-01-30 0{hour}:00:00' AS ingested_at
+        FROM {{daily}}
+        """
+        for bad, hour in ((5, 1), (0, 2))
+    ),
     views=(("daily", DAILY),),
 )
 
