@@ -1,45 +1,69 @@
-"""Upserts, inserts of absent keys and sync marks, on immutable files."""
+"""Upserts, inserts of absent keys and sync marks, on immutable files.
+
+An upsert is a union of the stored and the new rows and one aggregate per key.
+Against a full outer join it needs one exchange instead of two, reduces every
+task's rows before the exchange, and applies several updates of one key in
+their order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.dedup import latest_per_key
 from tidemill.sinks.tables import replace_slice
 
 BUCKET = "key_bucket"
+SIDE = "is_update"
 
 # Up to this many touched slices are listed in the scan's filter.
 LISTED_SLICES = 10_000
 
 
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], null_overwrites: bool = False) -> DataFrame:
-    """Field-wise last write wins; both sides hold each key once.
+def last_written(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], whole: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key, field by field: the last value that is not NULL.
+
+    The fields in ``whole`` come from the last row as it is, NULL included.
+    Rows without a key are left out.
+    """
+    rank = F.struct(*order)
+    aggregates = []
+    if whole:
+        aggregates.append(F.max_by(F.struct(*whole), rank).alias("last_row"))
+    single = [c for c in rows.columns if c not in keys and c not in whole]
+    aggregates += [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in single]
+    if not aggregates:
+        return rows.where(_has_key(keys)).select(*keys).distinct()
+    out = rows.where(_has_key(keys)).groupBy(*keys).agg(*aggregates)
+    return out.select(*[F.col(f"last_row.{c}").alias(c) if c in whole else F.col(c) for c in rows.columns])
+
+
+def upsert(
+    base: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    null_overwrites: bool = False,
+    newest_wins: bool = False,
+) -> DataFrame:
+    """Field-wise last write wins; updates of one key apply in ``order``.
 
-    By default a NULL in the update leaves the stored value alone, as when NULL
+    By default a NULL in an update leaves the stored value alone, as when NULL
     fields are not sent.  With ``null_overwrites`` every field that the update
     frame has replaces the stored one.  Fields only one side has are kept.
+    An update beats the stored row, unless ``newest_wins``: then ``order``
+    decides between them too, so a late update does not undo a newer row.
     """
-    fresh = updates.where(_has_key(keys)).withColumn("in_update", F.lit(True)).alias("u")
-    stored = base.where(_has_key(keys)).alias("b")
-    joined = stored.join(fresh, list(keys), "full_outer")
-    names = base.columns + [c for c in updates.columns if c not in base.columns]
-    out = []
-    for name in names:
-        if name in keys:
-            out.append(F.col(name))
-        elif name not in updates.columns:
-            out.append(F.col(f"b.{name}").alias(name))
-        elif name not in base.columns:
-            out.append(F.col(f"u.{name}").alias(name))
-        elif null_overwrites:
-            out.append(F.when(F.col("in_update"), F.col(f"u.{name}")).otherwise(F.col(f"b.{name}")).alias(name))
-        else:
-            out.append(F.coalesce(F.col(f"u.{name}"), F.col(f"b.{name}")).alias(name))
-    return joined.select(*out)
+    both = base.withColumn(SIDE, F.lit(0)).unionByName(
+        updates.withColumn(SIDE, F.lit(1)), allowMissingColumns=True
+    )
+    rank = [*order, SIDE] if newest_wins else [SIDE, *order]
+    whole = [c for c in updates.columns if c not in keys] if null_overwrites else []
+    return last_written(both, keys, rank, whole).drop(SIDE)
 
 
 def insert_absent(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,7 +81,7 @@ def mark(base: DataFrame, done: DataFrame, keys: Sequence[str], flag: str = "syn
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """The folder column of a keyed table; keys are unique, so buckets are even."""
+    """The folder column of a keyed table without a natural slice."""
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
@@ -67,46 +91,45 @@ def merge_into(
     updates: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    slice_by: Sequence[str] = (),
+    slice_by: str | None = None,
     buckets: int = 64,
     null_overwrites: bool = False,
+    newest_wins: bool = False,
 ) -> None:
     """Upsert into a keyed Parquet folder; only touched slices are rewritten.
 
-    ``slice_by`` names folder columns that a key never changes (such as the
-    creation date); without them the table is split by a hash of the key.
-    Updates are reduced to one row per key first.  Writing the same updates
-    again gives the same table, so a replayed micro-batch does no harm.
+    ``slice_by`` names a folder column that every update carries and that a key
+    never changes (such as the creation date): a batch then rewrites the few
+    slices it touches.  Without it the table is split by a hash of the key,
+    which suits small serving tables.  Writing the same updates again gives the
+    same table, so a replayed micro-batch does no harm.
     """
-    updates = latest_per_key(updates.where(_has_key(keys)), keys, order)
-    if not slice_by:
-        updates, slice_by = with_bucket(updates, keys, buckets), [BUCKET]
-    if not folder_exists(spark, path):
-        replace_slice(updates, path, slice_by)
-        return
-    stored = spark.read.parquet(path)
-    for name in slice_by:  # folder values are read back with a guessed type
-        stored = stored.withColumn(name, F.col(name).cast(updates.schema[name].dataType))
-    touched = _touched(stored, updates, slice_by)
-    replace_slice(upsert(touched, updates, keys, null_overwrites), path, slice_by)
-
-
-def _touched(stored: DataFrame, updates: DataFrame, slice_by: Sequence[str]) -> DataFrame:
+    if slice_by is None:
+        updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
+    if folder_exists(spark, path):
+        stored = spark.read.parquet(path)
+        # Folder values are read back with a guessed type.
+        stored = stored.withColumn(slice_by, F.col(slice_by).cast(updates.schema[slice_by].dataType))
+        stored = _touched(stored, updates, slice_by)
+    else:
+        stored = updates.limit(0)
+    merged = upsert(stored, updates, keys, order, null_overwrites, newest_wins)
+    replace_slice(merged, path, [slice_by], keys)
+
+
+def _touched(stored: DataFrame, updates: DataFrame, slice_by: str) -> DataFrame:
     """The stored slices that the updates write to."""
-    slices = updates.select(*slice_by).distinct()
-    if len(slice_by) > 1:
-        return stored.join(slices, list(slice_by), "left_semi")
-    name = slice_by[0]
+    slices = updates.select(slice_by).distinct()
     few = [row[0] for row in slices.limit(LISTED_SLICES + 1).collect()]
     if len(few) > LISTED_SLICES:
-        return stored.join(slices, name, "left_semi")
-    condition = F.col(name).isin([v for v in few if v is not None])
+        return stored.join(slices, stored[slice_by].eqNullSafe(slices[slice_by]), "left_semi")
+    condition = F.col(slice_by).isin([v for v in few if v is not None])
     if None in few:
-        condition = condition | F.col(name).isNull()
+        condition = condition | F.col(slice_by).isNull()
     return stored.where(condition)
 
 
-def _has_key(keys: Sequence[str]):
+def _has_key(keys: Sequence[str]) -> Column:
     condition = F.col(keys[0]).isNotNull()
     for key in keys[1:]:
         condition = condition & F.col(key).isNotNull()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import percent, share_pct
+from tidemill.functions.numeric import mean, percent, share_pct
 from tidemill.functions.time import clock, minutes_between, on_day, since
 from tidemill.operators.rollups import metric_rows, union_all
 
@@ -52,7 +52,7 @@ def label_quality(posts: DataFrame, as_of) -> DataFrame:
     measured = posts.where(on_day("ingested_at", as_of)).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(label.isNull()).alias("null_labels"),
-        F.round(F.avg("sentiment_score"), 4).alias("avg_score"),
+        F.round(mean("sentiment_score", 4), 4).alias("avg_score"),
         F.count_if(label == "positive").alias("positive_count"),
         F.count_if(label == "negative").alias("negative_count"),
         F.count_if(label == "neutral").alias("neutral_count"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill import schemas
 from tidemill.functions import records
+from tidemill.functions import time as time_fn
 from tidemill.operators import quality
 from tidemill.operators.dedup import any_per_key, latest_per_key
 from tidemill.plans import loads
@@ -408,3 +409,43 @@ _add(
     FROM part
     """,
 )
+
+_add(
+    "latest_time_from_epochs",
+    lambda spark, sf: table(spark, sf, "events").select(
+        "event_id",
+        time_fn.from_epoch(seconds=F.col("event_id") + 1700000000).cast("timestamp_ntz").alias("from_seconds"),
+        time_fn.from_epoch(millis=F.col("event_id") * 1000 + 1700000000123).cast("date").alias("from_millis"),
+        time_fn.minutes_between(F.col("ts"), time_fn.clock(AS_OF)).alias("minutes_ago"),
+        time_fn.iso_hour("ts").alias("iso_hour"),
+    ),
+    f"""
+    SELECT event_id, epoch_ms((event_id + 1700000000) * 1000)::TIMESTAMP AS from_seconds,
+           CAST(epoch_ms(event_id * 1000 + 1700000000123) AS DATE) AS from_millis,
+           date_sub('minute', ts, {NOW}) AS minutes_ago, strftime(ts, '%Y-%m-%dT%H:00:00Z') AS iso_hour
+    FROM events
+    """,
+)
+
+
+def _by_position(spark, sf):
+    """Plain SQL: grouping by ordinal and by alias, mixed sort directions."""
+    return spark.sql(
+        """
+        SELECT date_trunc('HOUR', ts)::TIMESTAMP_NTZ AS hour_bucket, event_type, count(*) AS n,
+               count(CASE WHEN value > 50 THEN 1 END) AS large
+        FROM {events} GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY event_type, hour_bucket DESC
+        """,
+        events=table(spark, sf, "events"),
+    )
+
+
+_add(
+    "hourly_counts_by_position",
+    _by_position,
+    """
+    SELECT date_trunc('hour', ts) AS hour_bucket, event_type, count(*) AS n,
+           count(CASE WHEN value > 50 THEN 1 END) AS large
+    FROM events GROUP BY 1, 2 HAVING count(*) >= 3
+    """,
+)

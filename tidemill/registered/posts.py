@@ -160,14 +160,12 @@ _add(
 )
 _add(
     "label_quality_gate",
-    lambda spark, sf: quality.label_quality(_scored(spark, sf), POST_DAY).withColumn(
-        "avg_score", F.round("avg_score", 3)
-    ),
+    lambda spark, sf: quality.label_quality(_scored(spark, sf), POST_DAY),
     f"""
     SELECT *, CASE WHEN null_labels / nullif(total, 0) > 0.05 THEN 'unlabelled' ELSE 'ok' END AS verdict
     FROM (
         SELECT count(*) AS total, count(*) FILTER (WHERE sentiment_label IS NULL) AS null_labels,
-               {rounded(rounded('avg(sentiment_score)', 4), 3)} AS avg_score, {_labels('_count')}
+               {rounded(mean('sentiment_score', 4), 4)} AS avg_score, {_labels('_count')}
         FROM {BASE} WHERE ingested_at >= {DAY} AND ingested_at < {DAY} + INTERVAL 1 DAY)
     """,
 )
@@ -185,6 +183,29 @@ _add(
     """,
 )
 
+
+
+def _vowel_share(texts):
+    """A vectorised scorer as a caller would bring it: share of vowels minus one half."""
+    return texts.str.count("[aeiou]") / texts.str.len() - 0.5
+
+
+_VOWELS = (
+    "CAST(length(regexp_replace(t, '[^aeiou]', '', 'g')) AS DOUBLE) / CAST(length(t) AS DOUBLE) - CAST(0.5 AS DOUBLE)"
+)
+_add(
+    "post_sentiment_from_external_scorer",
+    lambda spark, sf: text_fn.with_external_sentiment(POSTS.df(spark, sf), _vowel_share).select(
+        "post_id", "sentiment_score", "sentiment_label"
+    ),
+    f"""
+    SELECT post_id, {rounded('x', 4)} AS sentiment_score,
+           CASE WHEN x >= CAST(0.05 AS DOUBLE) THEN 'positive' WHEN x <= CAST(-0.05 AS DOUBLE) THEN 'negative'
+                ELSE 'neutral' END AS sentiment_label
+    FROM (SELECT post_id, {_VOWELS} AS x FROM (SELECT post_id, trim(title || ' ' || body) AS t FROM ({POSTS.sql})))
+    """,
+)
+
 # -- text ------------------------------------------------------------------------------
 
 

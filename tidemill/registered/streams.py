@@ -20,7 +20,7 @@ from tidemill.registered.base import LEXICON, POSTS, READINGS, SCORED, Registere
 from tidemill.registered.prices import _PRICE_FIELDS, EVENTS_SQL, LATEST_SQL, price_log
 from tidemill.session import new_folder
 from tidemill.sources.logs import Log, open_stream
-from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, run, windowed_readings
+from tidemill.streaming.jobs import CREATED_DAY, PostBatches, PriceBatches, ReadingBatches, run, windowed_readings
 
 QUERIES: dict[str, Registered] = {}
 
@@ -133,7 +133,7 @@ _add(
 def _posts(spark, sf):
     """All posts, then a second delivery of every third one: new votes, some fields missing."""
     path, checkpoint = new_folder(spark, "post-log"), new_folder(spark, "checkpoint")
-    sinks = PostBatches(LEXICON, new_folder(spark, "posts"), new_folder(spark, "sentiment"), buckets=8)
+    sinks = PostBatches(LEXICON, new_folder(spark, "posts"), new_folder(spark, "sentiment"))
     rows = POSTS.df(spark, sf)
     again = rows.where("doc_id % 3 = 0").withColumns(
         {
@@ -148,9 +148,7 @@ def _posts(spark, sf):
         stream = posts_plan.decode_posts(open_stream(spark, Log(path, "text")))
         run(stream.withWatermark("created_utc", "5 minutes"), checkpoint, body=sinks)
     stored = spark.read.parquet(sinks.posts).select("post_id", "flair", "num_comments", "upvote_ratio", "ingested_at")
-    return _zone_free(spark.read.parquet(sinks.sentiment).drop(BUCKET, "title", "body", "ingested_at").join(
-        stored, "post_id"
-    ))
+    return _zone_free(spark.read.parquet(sinks.sentiment).drop(CREATED_DAY, "ingested_at").join(stored, "post_id"))
 
 
 _add(

@@ -24,6 +24,8 @@ from tidemill.sinks.tables import replace_slice
 # Fixed value: share of readings with a temperature that a batch needs.
 MIN_COMPLETENESS = 0.95
 
+CREATED_DAY = "created_date"
+
 
 def windowed_readings(
     readings: DataFrame,
@@ -103,25 +105,31 @@ class ReadingBatches:
 
 @dataclass(frozen=True)
 class PostBatches:
-    """Scores posts and upserts the raw and the sentiment documents by post id."""
+    """Scores posts and upserts the raw and the sentiment documents by post id.
+
+    Both tables are split by creation day, which a post never changes, so a
+    batch rewrites only the days its posts were created on.
+    """
 
     lexicon: Mapping[str, tuple[float, float]]
     posts: str
     sentiment: str
-    buckets: int = 64
     null_overwrites: bool = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        scored = score_posts(batch, self.lexicon).withColumn("batch_id", F.lit(batch_id)).persist()
+        scored = score_posts(batch, self.lexicon).withColumns(
+            {"batch_id": F.lit(batch_id), CREATED_DAY: F.col("created_utc").cast("date")}
+        )
+        scored = scored.persist()
         try:
             if scored.isEmpty():
                 return
-            spark, order = scored.sparkSession, ["ingested_at", "created_utc", "title", "body"]
-            merge_into(spark, self.posts, scored, ["post_id"], order,
-                       buckets=self.buckets, null_overwrites=self.null_overwrites)
-            documents = scored.select(*SENTIMENT_FIELDS, "ingested_at", "title", "body")
-            merge_into(spark, self.sentiment, documents, ["post_id"], order,
-                       buckets=self.buckets, null_overwrites=self.null_overwrites)
+            documents = scored.select(*SENTIMENT_FIELDS, "ingested_at", CREATED_DAY)
+            for path, rows in ((self.posts, scored), (self.sentiment, documents)):
+                merge_into(
+                    scored.sparkSession, path, rows, ["post_id"], ["ingested_at", "score", "sentiment_score"],
+                    slice_by=CREATED_DAY, null_overwrites=self.null_overwrites,
+                )
         finally:
             scored.unpersist()
 
@@ -141,19 +149,9 @@ class PriceBatches:
                 return
             dated = batch.withColumn("event_date", F.col("event_time").cast("date"))
             replace_slice(dated, self.series, ["event_date", "batch_id"], ["coin_id", "event_time"])
-            newest = batch.select(*LATEST_FIELDS)
-            merge_newer(newest, self.latest, ["coin_id"], "event_time", self.buckets)
+            merge_into(
+                batch.sparkSession, self.latest, batch.select(*LATEST_FIELDS), ["coin_id"],
+                ["event_time", "current_price_usd"], buckets=self.buckets, null_overwrites=True, newest_wins=True,
+            )
         finally:
             batch.unpersist()
-
-
-def merge_newer(updates: DataFrame, path: str, keys: Sequence[str], time_col: str, buckets: int) -> None:
-    """Keep per key the row with the newest time, also when an update is late."""
-    from tidemill.operators.merge import folder_exists
-
-    spark = updates.sparkSession
-    if folder_exists(spark, path):
-        stored = spark.read.parquet(path).select(*updates.columns)
-        known = stored.join(updates.select(*keys).distinct(), list(keys), "left_semi")
-        updates = updates.unionByName(known)
-    merge_into(spark, path, updates, keys, [time_col, "current_price_usd"], buckets=buckets, null_overwrites=True)
