@@ -42,7 +42,8 @@ def global_rank(
         cuts = values.where(F.col(by).isNotNull()).agg(
             F.percentile_approx(F.col(by).cast("double"), [i / SPLITS for i in range(1, SPLITS)], 10000).alias("cuts")
         )
-        part = F.size(F.filter(F.lit(cuts.first()["cuts"]), lambda cut: cut > F.col(by).cast("double")))
+        bounds = F.lit(cuts.first()["cuts"] or [float("inf")])
+        part = F.size(F.filter(bounds, lambda cut: cut > F.col(by).cast("double")))
         part = F.when(F.col(by).isNull(), F.lit(SPLITS + 1)).otherwise(part)
         values = _running(values.withColumn("part", part), largest_first)
         sums = values.groupBy("part").agg(
