@@ -307,7 +307,7 @@ def test_conform_casts_orders_and_fills(spark):
 
 
 def test_counted_returns_what_was_written(spark, tmp_path):
-    out = counted(spark.range(7), lambda df: write_files(df, str(tmp_path / "t")), most=F.max("id"))
+    out = counted(lambda seen: write_files(spark.range(7), str(tmp_path / "t"), seen=seen), most=F.max("id"))
     assert out == {"rows": 7, "most": 6}
 
 

@@ -157,6 +157,7 @@ def test_window_post_and_price_jobs(spark, tmp_path):
     send(tmp_path / "q", "1.txt", [{"coin_id": "x", "price_change_24h_pct": -10.0, "last_updated": created}])
     jobs.watch_prices(spark, Log(str(tmp_path / "q"), "text"), str(tmp_path / "prices"), every=None).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "prices/latest")).first()["volatility_class"] == "extreme"
+    assert jobs.settle_prices(spark, str(tmp_path / "prices"), START.date()) == 1
 
 
 def test_batch_jobs(spark, tmp_path):

@@ -71,10 +71,11 @@ def candle_rows(log: DataFrame) -> DataFrame:
     """Positional ``[ms, open, high, low, close]`` arrays to candle rows."""
     raw = decode(log, schemas.CANDLE_PAYLOAD).select("coin_id", F.explode("candles").alias("c"))
     part = {name: F.get("c", F.lit(i)) for i, name in enumerate(["ms", "open", "high", "low", "close"])}
-    moment = F.timestamp_millis(part["ms"].cast("bigint"))
+    # The UTC day, whatever the session's time zone.
+    utc_day = F.date_from_unix_date(F.floor(part["ms"] / F.lit(86_400_000.0)).cast("int"))
     return raw.select(
         "coin_id",
-        moment.cast("date").alias("candle_date"),
+        utc_day.alias("candle_date"),
         part["ms"].alias("timestamp_ms"),
         *[part[name].alias(name) for name in ("open", "high", "low", "close")],
         F.round(part["high"] - part["low"], 6).alias("price_range"),

@@ -25,6 +25,7 @@ from tidemill import schemas
 from tidemill.functions.records import decode
 from tidemill.functions.time import clock
 from tidemill.operators import quality
+from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.rollups import merge_partials
 from tidemill.plans import indicators, posts, prices, readings, repositories, weather
 from tidemill.plans.loads import log_run
@@ -68,6 +69,19 @@ def watch_prices(spark: SparkSession, log: Log, folder: str, every: str | None =
     return start(stream, f"{folder}/checkpoint", body=sinks, every=every)
 
 
+def settle_prices(spark: SparkSession, folder: str, day: dt.date) -> int:
+    """One day of the series without redelivered events, in few files sorted by key.
+
+    The stream leaves small files per batch; run this once a day has passed.
+    """
+    series = spark.read.parquet(f"{folder}/series").where(F.col("event_date") == F.lit(day))
+    settled = latest_per_key(series, ["coin_id", "event_time"], ["batch_id"]).drop("batch_id")
+    path = f"{folder}/settled"
+    return counted(
+        lambda seen: replace_slice(settled, path, ["event_date"], ["coin_id", "event_time"], seen=seen)
+    )["rows"]
+
+
 # -- batches ------------------------------------------------------------------
 
 
@@ -79,7 +93,7 @@ def final_windows(spark: SparkSession, folder: str) -> DataFrame:
 def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:
     """Replace the day's slice and log the run; returns the rows written."""
     df = df.withColumn("batch_date", F.lit(day))
-    rows = counted(df, lambda d: replace_slice(d, f"{folder}/{table}", ["batch_date"]))["rows"]
+    rows = counted(lambda seen: replace_slice(df, f"{folder}/{table}", ["batch_date"], seen=seen))["rows"]
     log_run(df.sparkSession, f"{folder}/audit", table, day, rows, rows, rows,
             dt.datetime.combine(day, dt.time()))
     return rows
@@ -111,7 +125,7 @@ def load_candles(spark: SparkSession, log: Log, target: Target, day: dt.date) ->
     """Candle history with indicators into a warehouse table, replaced as a whole."""
     history = prices.technical_indicators(prices.candle_days(read_log(spark, log)), day)
     history = history.withColumn("batch_date", clock(day).cast("date"))
-    return counted(history, lambda df: overwrite(df, target))["rows"]
+    return counted(lambda seen: overwrite(seen(history), target))["rows"]
 
 
 def check_readings(stored: DataFrame, as_of) -> dict:

@@ -59,7 +59,7 @@ def high_water_mark(exported: DataFrame, time_col: str, key: str) -> tuple | Non
 def load_slice(spark: SparkSession, staged: DataFrame, path: str, batch_date, ddl: str) -> int:
     """Replace one batch_date slice of the warehouse folder; returns its row count."""
     rows = conform(slice_of(staged, "batch_date", batch_date), ddl)
-    return counted(rows, lambda df: replace_slice(df, path, ["batch_date"]))["rows"]
+    return counted(lambda seen: replace_slice(rows, path, ["batch_date"], seen=seen))["rows"]
 
 
 def log_run(

@@ -129,13 +129,13 @@ def crossover_signals(history: DataFrame, as_of, days: int = 90) -> DataFrame:
 def correlation_to(history: DataFrame, reference: str, as_of, days: int = 90, min_points: int = 50) -> DataFrame:
     """Correlation of every key's daily returns with those of one key.
 
-    The reference side holds one row per day of the window (``days`` + 1 at
-    most), which is what allows the broadcast.
+    The reference side is aggregated to one row per day of the window, so it
+    has at most ``days`` + 1 rows, which is what allows the broadcast.
     """
     day = F.col("candle_date")
     window = history.where(from_date("candle_date", as_of, days) & (day <= clock(as_of).cast("date")))
-    anchor = window.where(F.col("coin_id") == reference).select(
-        "candle_date", F.col("daily_return_pct").alias("reference_return")
+    anchor = window.where(F.col("coin_id") == reference).groupBy("candle_date").agg(
+        F.max("daily_return_pct").alias("reference_return")
     )
     others = window.where(F.col("coin_id") != reference).select("coin_id", "candle_date", "daily_return_pct")
     return (

@@ -213,7 +213,8 @@ _add(
     """
     SELECT 'n' || n_nationkey AS country_code, n_name AS country_name, 'BAL' AS indicator_code,
            'balance' AS indicator_name, CAST(c_custkey % 30 + 1990 AS INT) AS year, c_acctbal AS value
-    FROM customer JOIN nation ON c_nationkey = n_nationkey, range(2) WHERE c_acctbal >= 0
+    FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer) JOIN nation ON c_nationkey = n_nationkey
+    WHERE c_acctbal >= 0
     """,
 )
 
@@ -301,9 +302,12 @@ def _audit(spark, sf):
     repos = REPOS.df(spark, sf)
     audit, day = new_folder(spark, "audit"), dt.date(2024, 1, 31)
     for attempt in (1, 2):
-        extracted = counted(repos, lambda df: write_files(df, new_folder(spark, "extracted")))["rows"]
+        extracted = counted(lambda seen: write_files(repos, new_folder(spark, "extracted"), seen=seen))["rows"]
         kept = repos.where(F.col("stars") > 10 * (attempt - 1))
-        staged = counted(kept, lambda df: write_files(df, new_folder(spark, "staged")), most=F.max("stars"))["rows"]
+        staged = counted(
+            lambda seen: write_files(kept, new_folder(spark, "staged"), ["batch_date"], seen=seen),  # noqa: B023
+            most=F.max("stars"),
+        )["rows"]
         loads.log_run(
             spark, audit, "repositories", day, extracted, staged, staged, dt.datetime(2024, 1, 31, attempt)
         )

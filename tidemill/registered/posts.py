@@ -8,7 +8,7 @@ from tidemill.functions import text as text_fn
 from tidemill.operators import merge, quality
 from tidemill.plans import posts as plan
 from tidemill.registered.base import (
-    AS_OF, LEXICON, POSTS, SCORED, Registered, mean, pct, rounded, table,
+    AS_OF, LEXICON, POSTS, SCORED, Registered, View, mean, pct, rounded, table,
 )
 from tidemill.session import new_folder
 from tidemill.sinks.tables import write_files
@@ -254,61 +254,67 @@ _add(
 # -- upserts -----------------------------------------------------------------------------
 
 _STORED = ["post_id", "subreddit", "score", "flair", "num_comments"]
+_STORED_SQL = f"SELECT {', '.join(_STORED)} FROM ({POSTS.sql})"
 
-
-def _base_rows(spark, sf):
-    return POSTS.df(spark, sf).where("doc_id % 5 <> 1").select(*_STORED)
+# Updates as the labels table gives them: a new score, a flair for some, other fields missing.
+LABEL_UPDATES = View(
+    """
+    SELECT CAST(doc_id AS STRING) AS post_id, CAST(quality + 1000 AS INT) AS score,
+           CASE WHEN toxic = 1 THEN 'toxic' END AS flair, CAST(doc_id AS BIGINT) AS version
+    FROM {labels}
+    """,
+    ("labels",),
+)
 
 
-def _update_rows(spark, sf):
-    """Updates to every third document: a new score, some fields missing."""
-    posts = POSTS.df(spark, sf).where("doc_id % 3 = 0")
-    return posts.select(
-        "post_id",
-        (F.col("score") + 1000).alias("score"),
-        F.when(F.col("doc_id") % 2 == 0, F.lit("updated")).alias("flair"),
-        F.col("created_utc").alias("synced_at"),
-    )
+def _stored(spark, sf):
+    return POSTS.df(spark, sf).select(*_STORED)
 
 
-def _upsert_sql(flair: str) -> str:
-    stored = f"SELECT * FROM ({POSTS.sql}) WHERE doc_id % 5 <> 1"
-    update = f"""SELECT post_id, score + 1000 AS score, created_utc AS synced_at,
-                 CASE WHEN doc_id % 2 = 0 THEN 'updated' END AS flair FROM ({POSTS.sql}) WHERE doc_id % 3 = 0"""
+def _upsert_sql(base: str, new: str, flair: str) -> str:
     return f"""
-    SELECT coalesce(b.post_id, u.post_id) AS post_id, b.subreddit, coalesce(u.score, b.score) AS score,
-           {flair} AS flair, b.num_comments, u.synced_at
-    FROM ({stored}) b FULL JOIN ({update}) u ON b.post_id = u.post_id
+    SELECT coalesce(b.post_id, u.post_id) AS post_id, {'b' if 'subreddit' in base else 'u'}.subreddit,
+           coalesce(u.score, b.score) AS score, {flair} AS flair,
+           {'b' if 'subreddit' in base else 'u'}.num_comments, {'u' if 'subreddit' in base else 'b'}.version
+    FROM ({base}) b FULL JOIN ({new}) u ON b.post_id = u.post_id
     """
 
 
 _add(
     "posts_upserted_by_field",
-    lambda spark, sf: merge.upsert(_base_rows(spark, sf), _update_rows(spark, sf), ["post_id"]),
-    _upsert_sql("coalesce(u.flair, b.flair)"),
+    lambda spark, sf: merge.upsert(_stored(spark, sf), LABEL_UPDATES.df(spark, sf), ["post_id"]),
+    _upsert_sql(_STORED_SQL, LABEL_UPDATES.sql, "coalesce(u.flair, b.flair)"),
 )
 _add(
     "posts_upserted_with_nulls",
-    lambda spark, sf: merge.upsert(_base_rows(spark, sf), _update_rows(spark, sf), ["post_id"], null_overwrites=True),
-    _upsert_sql("CASE WHEN u.post_id IS NOT NULL THEN u.flair ELSE b.flair END"),
+    lambda spark, sf: merge.upsert(
+        _stored(spark, sf), LABEL_UPDATES.df(spark, sf), ["post_id"], null_overwrites=True
+    ),
+    _upsert_sql(
+        _STORED_SQL, LABEL_UPDATES.sql, "CASE WHEN u.post_id IS NOT NULL THEN u.flair ELSE b.flair END"
+    ),
 )
 
 
 def _merged_folder(spark, sf):
-    """The same upsert into a bucketed folder, the updates sent twice (a replay)."""
+    """The labelled posts stored in a bucketed folder, then all posts merged in, twice (a replay)."""
     path = new_folder(spark, "posts")
-    base = _base_rows(spark, sf).withColumn("synced_at", F.lit(None).cast("timestamp_ntz"))
-    merge.merge_into(spark, path, base, ["post_id"], ["score"], buckets=8)
+    empty = {"subreddit": F.lit(None).cast("string"), "num_comments": F.lit(None).cast("int")}
+    merge.merge_into(
+        spark, path, LABEL_UPDATES.df(spark, sf).withColumns(empty), ["post_id"], ["version"], buckets=8
+    )
     for _ in range(2):
-        merge.merge_into(spark, path, _update_rows(spark, sf), ["post_id"], ["score"], buckets=8)
+        merge.merge_into(spark, path, _stored(spark, sf), ["post_id"], ["score"], buckets=8)
     return spark.read.parquet(path).drop(merge.BUCKET)
 
 
-_add("posts_merged_into_folder", _merged_folder, _upsert_sql("coalesce(u.flair, b.flair)"))
+_add(
+    "posts_merged_into_folder",
+    _merged_folder,
+    _upsert_sql(LABEL_UPDATES.sql, _STORED_SQL, "coalesce(u.flair, b.flair)"),
+)
 _add(
     "posts_inserted_if_absent",
-    lambda spark, sf: merge.insert_absent(
-        _base_rows(spark, sf), POSTS.df(spark, sf).select(*_STORED), ["post_id"]
-    ),
-    f"SELECT post_id, subreddit, score, flair, num_comments FROM ({POSTS.sql}) WHERE doc_id % 5 = 1",
+    lambda spark, sf: merge.insert_absent(LABEL_UPDATES.df(spark, sf), _stored(spark, sf), ["post_id"]),
+    f"{_STORED_SQL} WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )

@@ -16,7 +16,7 @@ from tidemill.operators.rollups import merge_partials
 from tidemill.plans import posts as posts_plan
 from tidemill.plans import prices as prices_plan
 from tidemill.plans import readings as readings_plan
-from tidemill.registered.base import LEXICON, POSTS, READINGS, SCORED, Registered, mean, total
+from tidemill.registered.base import LEXICON, POSTS, READINGS, SCORED, Registered, mean, table, total
 from tidemill.registered.prices import _PRICE_FIELDS, EVENTS_SQL, LATEST_SQL, price_log
 from tidemill.session import new_folder
 from tidemill.sources.logs import Log, open_stream
@@ -131,17 +131,17 @@ _add(
 
 
 def _posts(spark, sf):
-    """All posts, then a second delivery of every third one: new votes, some fields missing."""
+    """All posts, then a second delivery of the labelled ones: new votes, some fields missing."""
     path, checkpoint = new_folder(spark, "post-log"), new_folder(spark, "checkpoint")
     sinks = PostBatches(LEXICON, new_folder(spark, "posts"), new_folder(spark, "sentiment"))
     rows = POSTS.df(spark, sf)
-    again = rows.where("doc_id % 3 = 0").withColumns(
+    again = rows.join(table(spark, sf, "labels"), "doc_id").withColumns(
         {
             "score": F.col("score") + 1000,
-            "flair": F.when(F.col("doc_id") % 2 == 0, F.lit("updated")),
+            "flair": F.when(F.col("toxic") == 1, F.lit("toxic")),
             "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"),
         }
-    )
+    ).select(rows.columns)
     for delivery in (rows, again):
         times = {c: F.col(c).cast("string") for c in ("created_utc", "ingested_at")}
         encode(delivery.withColumns(times).drop("doc_id")).write.mode("append").text(path)
@@ -156,10 +156,10 @@ _add(
     _posts,
     f"""
     SELECT post_id, subreddit, compound_score, polarity_score, sentiment_score, sentiment_label,
-           CASE WHEN doc_id % 3 = 0 THEN score + 1000 ELSE score END AS score, created_utc,
-           CASE WHEN doc_id % 6 = 0 THEN 'updated' ELSE flair END AS flair, num_comments, upvote_ratio,
-           CASE WHEN doc_id % 3 = 0 THEN ingested_at + INTERVAL 1 HOUR ELSE ingested_at END AS ingested_at
-    FROM ({SCORED})
+           CASE WHEN toxic IS NOT NULL THEN score + 1000 ELSE score END AS score, created_utc,
+           CASE WHEN toxic = 1 THEN 'toxic' ELSE flair END AS flair, num_comments, upvote_ratio,
+           CASE WHEN toxic IS NOT NULL THEN ingested_at + INTERVAL 1 HOUR ELSE ingested_at END AS ingested_at
+    FROM ({SCORED}) LEFT JOIN labels USING (doc_id)
     """,
 )
 

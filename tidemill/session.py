@@ -8,14 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a cluster deployment starts from.  Partition counts are left to AQE:
-# a high initial number that is coalesced at run time suits both a 10 MB test
-# and a 100 TB scan.
+# Settings a cluster deployment starts from.  Batch partition counts are left to
+# AQE: a high initial number, coalesced to the advisory size at run time.  The
+# plain shuffle setting serves stateful streams, whose number of state stores is
+# fixed when a query first starts.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

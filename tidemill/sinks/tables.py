@@ -51,20 +51,36 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
 
 
+def _unseen(df: DataFrame) -> DataFrame:
+    return df
+
+
 def write_files(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    seen: Callable[[DataFrame], DataFrame] = _unseen,
 ) -> None:
     """Parquet folder, optionally partitioned, sorted within files for min/max skipping."""
     if partition_by:
         df = spread(df, *partition_by)
+    df = seen(df)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, slice_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+def replace_slice(
+    df: DataFrame,
+    path: str,
+    slice_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+    seen: Callable[[DataFrame], DataFrame] = _unseen,
+) -> None:
     """Overwrite only the slices present in ``df``; running it again changes nothing."""
-    df = spread(df, *slice_by)
+    df = seen(spread(df, *slice_by))
     if sort_by:
         df = df.sortWithinPartitions(*slice_by, *sort_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -100,11 +116,17 @@ def load_staged(spark: SparkSession, staged: str, path: str, ddl: str, slice_by:
     replace_slice(conform(spark.read.parquet(staged), ddl), path, slice_by)
 
 
-def counted(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict:
-    """Run a write and return metrics of the rows it wrote, in the same pass."""
+def counted(write: Callable[[Callable[[DataFrame], DataFrame]], None], **metrics: Column) -> dict:
+    """Run a write and return metrics of the rows it wrote, without a second pass.
+
+    ``write`` is given the observer and passes it on as ``seen`` (or applies it
+    to the frame it writes).  It belongs behind the last exchange: there a task
+    counts once, while a stage in front of an exchange may run again when an
+    executor is lost, and would be counted again.
+    """
     watch = Observation()
     extra = [column.alias(name) for name, column in metrics.items()]
-    write(df.observe(watch, F.count(F.lit(1)).alias("rows"), *extra))
+    write(lambda df: df.observe(watch, F.count(F.lit(1)).alias("rows"), *extra))
     return watch.get
 
 
