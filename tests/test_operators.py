@@ -9,7 +9,7 @@ from tidemill.operators import quality
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.merge import insert_absent, last_written, mark, merge_into, upsert
 from tidemill.operators.ranking import global_rank
-from tidemill.operators.rollups import merge_partials, metric_rows, union_all, window_partials
+from tidemill.operators.rollups import metric_rows, union_all
 from tidemill.operators.series import with_prior_period
 from tidemill.plans import indicators, loads, prices, readings
 from tidemill.plans.repositories import repository_features
@@ -110,6 +110,13 @@ def test_upsert_twice_is_upsert_once(spark, rows, updates, null_overwrites):
     assert rows(once) == sorted(((k, *v) for k, v in want.items()), key=repr)
 
 
+def test_merge_after_an_empty_first_batch(spark, rows, tmp_path):
+    new = spark.createDataFrame([(1, "d", "a")], "k INT, d STRING, v STRING")
+    for updates in (new.limit(0), new, new.limit(0)):
+        merge_into(spark, str(tmp_path / "t"), updates, ["k"], ["v"], slice_by="d")
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "k", "v") == [(1, "a")]
+
+
 def test_insert_absent_and_mark(spark, rows):
     base = spark.createDataFrame([(1, None), (2, False), (3, True)], "k INT, synced BOOLEAN")
     new = spark.createDataFrame([(2, True), (7, None)], "k INT, synced BOOLEAN")
@@ -136,13 +143,13 @@ def test_merge_rewrites_only_touched_slices(spark, rows, tmp_path):
 
 @FEW
 @given(st.lists(st.tuples(st.integers(0, 1200), st.integers(0, 2), st.one_of(st.none(), st.integers(-500, 500))), min_size=1, max_size=30))
-def test_partials_merge_to_one_pass(spark, rows, data):
+def test_states_merge_to_one_pass(spark, rows, data):
     start = dt.datetime(2024, 1, 1)
     records = [(start + dt.timedelta(seconds=s), b, None if v is None else v / 100) for s, b, v in data]
-    df = spark.createDataFrame(records, "t TIMESTAMP_NTZ, b INT, v DOUBLE").withColumn("city", F.lit("c"))
-    split = union_all(*[window_partials(df.where(f"b = {b}"), "t", ["city"], "v", "5 minutes", 2) for b in range(3)])
-    direct = window_partials(df, "t", ["city"], "v", "5 minutes", 2)
-    assert rows(merge_partials(split, ["city"], 2)) == rows(merge_partials(direct, ["city"], 2))
+    df = spark.createDataFrame(records, "event_time TIMESTAMP_NTZ, b INT, temperature_c DOUBLE")
+    df = df.withColumns({"city": F.lit("c"), "humidity_pct": F.col("temperature_c") / 2, "precipitation_mm": F.lit(0.1)})
+    states = union_all(*[readings.window_state(df.where(f"b = {b}")) for b in range(3)])
+    assert rows(readings.windows_of_states(states)) == rows(readings.five_minute_windows(df, scale=2))
 
 
 def test_reading_on_a_window_boundary(spark):

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from tidemill import jobs
 from tidemill.operators.dedup import stream_dedup
-from tidemill.operators.rollups import merge_partials
-from tidemill.plans.readings import decode_readings, five_minute_windows
-from tidemill.sinks.tables import Target
+from tidemill.plans.readings import decode_readings, five_minute_windows, windows_of_states
+from tidemill.sinks.tables import Target, replace_slice
 from tidemill.sources.logs import Log, open_stream
-from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, run, windowed_readings
+from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, run, start, windowed_readings
 
 START = dt.datetime(2024, 1, 1)
 
@@ -55,7 +54,8 @@ def gate(tmp_path):
 
 def frame(spark, temperatures):
     data = [("s", "c", START + dt.timedelta(minutes=i), t) for i, t in enumerate(temperatures)]
-    return spark.createDataFrame(data, "sensor_id STRING, city STRING, event_time TIMESTAMP, temperature_c DOUBLE")
+    df = spark.createDataFrame(data, "sensor_id STRING, city STRING, event_time TIMESTAMP, temperature_c DOUBLE")
+    return df.withColumns({"humidity_pct": F.lit(50.0), "precipitation_mm": F.lit(0.5)})
 
 
 def test_gate_at_its_threshold(spark, tmp_path):
@@ -85,13 +85,31 @@ def test_one_row_and_constant_batches_have_no_anomaly(spark, tmp_path):
     assert spark.read.parquet(body.raw).where("is_anomaly").count() == 0
 
 
-def test_partials_over_batches_equal_one_pass(spark, tmp_path):
+def test_states_over_batches_equal_one_pass(spark, tmp_path):
     body = gate(tmp_path)
     body(frame(spark, [1.25, 2.5, 3.0]), 0)
     body(frame(spark, [4.0, 5.5, 6.0, 7.0]), 1)
-    row = merge_partials(spark.read.parquet(body.windows), ["city"], 2).first()
-    assert (row["reading_count"], row["min_value"], row["max_value"]) == (7, 1.25, 7.0)
-    assert row["avg_value"] == 29.25 / 7
+    row = windows_of_states(spark.read.parquet(body.windows)).first()
+    assert (row["reading_count"], row["min_temp_c"], row["max_temp_c"]) == (7, 1.25, 7.0)
+    assert row["avg_temp_c"] == 29.25 / 7 and row["avg_humidity_pct"] == 50.0 and row["total_precip_mm"] == 3.5
+
+
+def test_processing_time_trigger_and_update_mode(spark, rows, tmp_path):
+    log, out = tmp_path / "log", str(tmp_path / "out")
+    send(log, "1.txt", [reading(0, temperature=1.0), reading(1, temperature=3.0)])
+    stream = windowed_readings(decode_readings(open_stream(spark, Log(str(log), "text"))))
+
+    def keep(batch, batch_id):
+        replace_slice(batch.withColumn("batch_id", F.lit(batch_id)), out, ["batch_id"])
+
+    query = start(stream, str(tmp_path / "cp"), body=keep, every="1 second", mode="update")
+    try:
+        query.processAllAvailable()
+        send(log, "2.txt", [reading(2, temperature=5.0)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(out), "reading_count", "avg_temp_c") == [(2, 2.0), (3, 3.0)]
 
 
 def test_stream_dedup_over_batches(spark, tmp_path):

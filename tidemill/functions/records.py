@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +13,15 @@ from tidemill import schemas
 REJECT = "_corrupt_record"
 
 
-def decode(log: DataFrame, ddl: str, carry: list[str] | None = None) -> DataFrame:
+def decode(log: DataFrame, ddl: str, carry: Sequence[str] = ()) -> DataFrame:
     """One column per declared field of the JSON text in ``value``.
 
-    Unlisted fields are dropped; malformed text gives a row of NULLs.
-    ``from_json`` reads only the fields that a later step uses.
+    Unlisted fields are dropped; malformed text gives a row of NULLs.  The
+    record is unfolded by a generator, past which Catalyst pushes no filter on
+    its fields: the text is parsed once, not once more for every such filter.
     """
-    parsed = log.select(*(carry or []), F.from_json(F.col("value").cast("string"), ddl).alias("record"))
-    return parsed.select(*(carry or []), "record.*")
+    record = F.from_json(F.col("value").cast("string"), ddl)
+    return log.select(*carry, F.inline(F.array(record)))
 
 
 def decode_with_rejects(log: DataFrame, ddl: str) -> DataFrame:
@@ -28,8 +31,8 @@ def decode_with_rejects(log: DataFrame, ddl: str) -> DataFrame:
     """
     schema = T.StructType.fromDDL(ddl).add(REJECT, T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT}
-    parsed = log.select(F.from_json(F.col("value").cast("string"), schema, options).alias("record"))
-    return parsed.select("record.*")
+    record = F.from_json(F.col("value").cast("string"), schema, options)
+    return log.select(F.inline(F.array(record)))
 
 
 def encode(df: DataFrame) -> DataFrame:

@@ -85,21 +85,28 @@ def with_sentiment(
     ``lexicon`` maps a word to (valence, polarity).  Row-local: no shuffle, and
     usable on a stream.  Known words are picked out of the token array first,
     so the per-weight lookups touch matches only.  Sums are whole thousandths.
+
+    All scores come from one pass over the words, and are unfolded by a
+    generator: a later filter on score or label does not score the text again.
     """
     if len(lexicon) > INLINE_WORDS:
         raise ValueError("use with_sentiment_table for a lexicon of this size")
-    known = F.filter(tokens(joined_text(title, body)), lambda t: t.isin(sorted(lexicon)))
+    words = F.split(F.lower(joined_text(title, body)), _NOT_A_TOKEN)
+    known = F.filter(words, lambda t: t.isin(sorted(lexicon)))
     valence = {w: v for w, (v, _) in lexicon.items()}
     polarity = {w: p for w, (_, p) in lexicon.items()}
     zero = F.lit(0).cast("bigint")
-    scored = df.withColumn("known_words", known).withColumns(
-        {
-            "valence_units": F.aggregate("known_words", zero, lambda a, t: a + _weight_of(t, valence)),
-            "polarity_units": F.aggregate("known_words", zero, lambda a, t: a + _weight_of(t, polarity)),
-            "known_count": F.size("known_words"),
-        }
+    scores = F.aggregate(
+        known,
+        F.struct(zero.alias("v"), zero.alias("p"), zero.alias("n")),
+        lambda sums, t: F.struct(
+            (sums["v"] + _weight_of(t, valence)).alias("v"),
+            (sums["p"] + _weight_of(t, polarity)).alias("p"),
+            (sums["n"] + F.lit(1)).alias("n"),
+        ),
+        lambda sums: _scores(sums["v"], sums["p"], sums["n"]),
     )
-    return _with_scores(scored).drop("known_words", "valence_units", "polarity_units", "known_count")
+    return df.select("*", F.inline(F.array(scores)))
 
 
 def with_sentiment_table(
@@ -107,24 +114,22 @@ def with_sentiment_table(
 ) -> DataFrame:
     """The same scores from a lexicon table (word, valence, polarity).
 
-    ``key`` must be unique.  Tokens are counted per row and word before any
-    exchange.  A lexicon of checked size is broadcast; a larger one is joined
-    on (word, salt), so a frequent word is spread over ``salts`` tasks.
+    ``key`` must be unique.  A lexicon of checked size is broadcast, so tokens
+    are matched and summed where they are and only sums are exchanged.  A larger
+    one is joined on (word, salt) after tokens are counted per row: a frequent
+    word is then spread over ``salts`` tasks.
     """
-    counts = (
-        df.select(key, F.explode(tokens(joined_text(title, body))).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words = df.select(key, F.explode(tokens(joined_text(title, body))).alias("word"))
     units = lexicon.select(
         "word",
         F.round(F.col("valence") * 1000).cast("bigint").alias("v"),
         F.round(F.col("polarity") * 1000).cast("bigint").alias("p"),
     )
     if lexicon.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        matched = counts.join(F.broadcast(units), "word")
+        matched = words.join(F.broadcast(units), "word").withColumn("n", F.lit(1))
     else:
         salted = units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
         spread = counts.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
         matched = spread.join(salted, ["word", "salt"])
     sums = matched.groupBy(key).agg(
@@ -133,22 +138,20 @@ def with_sentiment_table(
         F.sum("n").alias("known_count"),
     )
     scored = df.join(sums, key, "left").fillna(0, ["valence_units", "polarity_units", "known_count"])
-    return _with_scores(scored).drop("valence_units", "polarity_units", "known_count")
+    scores = _scores(F.col("valence_units"), F.col("polarity_units"), F.col("known_count"))
+    return scored.select(*df.columns, F.inline(F.array(scores)))
 
 
-def _with_scores(df: DataFrame) -> DataFrame:
-    first = compound(F.col("valence_units") / F.lit(1000.0))
-    second = F.coalesce(
-        F.try_divide(F.col("polarity_units") / F.lit(1000.0), F.col("known_count").cast("double")), F.lit(0.0)
-    )
+def _scores(valence_units: Column, polarity_units: Column, known: Column) -> Column:
+    """Struct of the four sentiment fields from sums in thousandths."""
+    first = compound(valence_units / F.lit(1000.0))
+    second = F.coalesce(F.try_divide(polarity_units / F.lit(1000.0), known.cast("double")), F.lit(0.0))
     both = (first + second) / F.lit(2.0)
-    return df.withColumns(
-        {
-            "compound_score": F.round(first, 4),
-            "polarity_score": F.round(second, 4),
-            "sentiment_score": F.round(both, 4),
-            "sentiment_label": label(both),
-        }
+    return F.struct(
+        F.round(first, 4).alias("compound_score"),
+        F.round(second, 4).alias("polarity_score"),
+        F.round(both, 4).alias("sentiment_score"),
+        label(both).alias("sentiment_label"),
     )
 
 
@@ -156,10 +159,10 @@ def with_external_sentiment(
     df: DataFrame, scorer: Callable[[pd.Series], pd.Series], title: str = "title", body: str = "body"
 ) -> DataFrame:
     """Scores from a caller's vectorised scorer (text series to score series),
-    shipped to the executors as Arrow batches."""
-    score = F.pandas_udf(scorer, "double")
+    shipped to the executors as Arrow batches.  Blank text is neutral."""
     text = joined_text(title, body)
-    scored = df.withColumn("sentiment_raw", F.when(text == "", F.lit(0.0)).otherwise(score(text)))
+    raw = F.when(text == "", F.lit(0.0)).otherwise(F.pandas_udf(scorer, "double")(text))
+    scored = df.select("*", F.explode(F.array(raw)).alias("raw_score"))
     return scored.withColumns(
-        {"sentiment_score": F.round("sentiment_raw", 4), "sentiment_label": label(F.col("sentiment_raw"))}
-    ).drop("sentiment_raw")
+        {"sentiment_score": F.round("raw_score", 4), "sentiment_label": label(F.col("raw_score"))}
+    ).drop("raw_score")

@@ -26,7 +26,6 @@ from tidemill.functions.records import decode
 from tidemill.functions.time import clock
 from tidemill.operators import quality
 from tidemill.operators.dedup import latest_per_key
-from tidemill.operators.rollups import merge_partials
 from tidemill.plans import indicators, posts, prices, readings, repositories, weather
 from tidemill.plans.loads import log_run
 from tidemill.sinks.tables import Target, counted, overwrite, replace_slice
@@ -37,7 +36,7 @@ from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, s
 
 
 def watch_readings(spark: SparkSession, log: Log, folder: str, every: str | None = "60 seconds") -> StreamingQuery:
-    """Gate, flag and store readings; keep window partials per batch."""
+    """Gate, flag and store readings; keep window states per batch."""
     stream = readings.decode_readings(open_stream(spark, log)).withWatermark("event_time", "2 minutes")
     sinks = ReadingBatches(f"{folder}/raw", f"{folder}/windows", f"{folder}/quarantine")
     return start(stream, f"{folder}/checkpoint", body=sinks, every=every)
@@ -64,7 +63,7 @@ def watch_posts(
 
 def watch_prices(spark: SparkSession, log: Log, folder: str, every: str | None = "60 seconds") -> StreamingQuery:
     """Enrich price events, append the series, keep the latest price per key."""
-    stream = prices.enrich_prices(prices.decode_prices(open_stream(spark, log)))
+    stream = prices.enrich_prices(prices.decode_prices(open_stream(spark, log)), F.current_timestamp())
     sinks = PriceBatches(f"{folder}/series", f"{folder}/latest")
     return start(stream, f"{folder}/checkpoint", body=sinks, every=every)
 
@@ -86,8 +85,8 @@ def settle_prices(spark: SparkSession, folder: str, day: dt.date) -> int:
 
 
 def final_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """The windows of all stored batches, partials merged."""
-    return merge_partials(spark.read.parquet(f"{folder}/windows"), ["city"], ReadingBatches.scale)
+    """The windows of all stored batches, their states merged."""
+    return readings.windows_of_states(spark.read.parquet(f"{folder}/windows"), scale=ReadingBatches.scale)
 
 
 def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:

@@ -106,7 +106,7 @@ def merge_into(
     """
     if slice_by is None:
         updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
-    if folder_exists(spark, path):
+    if _has_slices(spark, path, slice_by):
         stored = spark.read.parquet(path)
         # Folder values are read back with a guessed type.
         stored = stored.withColumn(slice_by, F.col(slice_by).cast(updates.schema[slice_by].dataType))
@@ -136,6 +136,7 @@ def _has_key(keys: Sequence[str]) -> Column:
     return condition
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+def _has_slices(spark: SparkSession, path: str, slice_by: str) -> bool:
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{slice_by}=*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.globStatus(pattern))

@@ -13,42 +13,41 @@ def rollup(df: DataFrame, keys: Sequence[Column | str], **measures: Column) -> D
     return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
 
 
-def window_partials(df: DataFrame, time_col: str, keys: Sequence[str], value: str, width: str, scale: int) -> DataFrame:
-    """Mergeable state of tumbling windows: count, non-NULL count, sum, min, max.
+def partial_state(
+    df: DataFrame,
+    keys: Sequence[Column | str],
+    scale: int,
+    means: Sequence[str] = (),
+    totals: Sequence[str] = (),
+    extremes: Sequence[str] = (),
+) -> DataFrame:
+    """Mergeable state per key: row count and, per column, count, sum, min, max.
 
-    The sum is an integer of 10^-scale, so merging partials in any order gives
-    exactly the result of one pass.
+    Sums are integers of 10^-scale, so merging the states of any batches in any
+    order gives exactly the result of one pass.
     """
     unit = F.lit(float(10**scale))
-    return (
-        df.groupBy(F.window(time_col, width).alias("w"), *keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(value).alias("n_value"),
-            F.sum(F.floor(F.col(value) * unit + F.lit(0.5))).alias("sum_units"),
-            F.min(value).alias("lo"),
-            F.max(value).alias("hi"),
-        )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys,
-                "n", "n_value", "sum_units", "lo", "hi")
-    )
-
-
-def merge_partials(partials: DataFrame, keys: Sequence[str], scale: int) -> DataFrame:
-    """Final aggregate over the partials of any number of batches."""
-    unit = F.lit(float(10**scale))
-    merged = partials.groupBy("window_start", "window_end", *keys).agg(
-        F.sum("n").alias("reading_count"),
-        F.sum("n_value").alias("n_value"),
-        F.sum("sum_units").alias("sum_units"),
-        F.min("lo").alias("min_value"),
-        F.max("hi").alias("max_value"),
-    )
-    average = F.try_divide(F.col("sum_units").cast("double") / unit, F.col("n_value"))
-    return merged.select(
-        "window_start", "window_end", *keys, "reading_count",
-        average.alias("avg_value"), "min_value", "max_value",
-    )
+    state = [F.count(F.lit(1)).alias("n_rows")]
+    state += [F.count(c).alias(f"n_{c}") for c in means]
+    state += [F.sum(F.floor(F.col(c) * unit + F.lit(0.5))).alias(f"sum_{c}") for c in dict.fromkeys([*means, *totals])]
+    state += [agg(c).alias(f"{name}_{c}") for c in extremes for name, agg in (("lo", F.min), ("hi", F.max))]
+    return df.groupBy(*keys).agg(*state)
+
+
+def merge_state(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state per key from the states of any number of batches."""
+    merge = {"lo": F.min, "hi": F.max}
+    columns = [c for c in state.columns if c.split("_")[0] in ("n", "sum", "lo", "hi") and c not in keys]
+    return state.groupBy(*keys).agg(*[merge.get(c.split("_")[0], F.sum)(c).alias(c) for c in columns])
+
+
+def state_mean(column: str, scale: int) -> Column:
+    """The average of a column from its merged state."""
+    return F.try_divide(state_total(column, scale), F.col(f"n_{column}"))
+
+
+def state_total(column: str, scale: int) -> Column:
+    return F.col(f"sum_{column}").cast("double") / F.lit(float(10**scale))
 
 
 def metric_rows(one_row: DataFrame, metrics: dict[str, str], names: tuple[str, str] = ("metric", "value")) -> DataFrame:

@@ -29,14 +29,15 @@ def decode_prices(log: DataFrame) -> DataFrame:
     return decode(log, schemas.PRICE_EVENT).withColumn("event_time", parse_time("last_updated"))
 
 
-def enrich_prices(events: DataFrame) -> DataFrame:
+def enrich_prices(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Volatility class and top-list flag; stateless, for batch and stream."""
-    return events.withColumns(
-        {
-            "volatility_class": volatility_class("price_change_24h_pct"),
-            "is_top10": flag(F.col("market_cap_rank") <= TOP_RANK),
-        }
-    )
+    added = {
+        "volatility_class": volatility_class("price_change_24h_pct"),
+        "is_top10": flag(F.col("market_cap_rank") <= TOP_RANK),
+    }
+    if processed_at is not None:
+        added["processed_at"] = processed_at
+    return events.withColumns(added)
 
 
 def price_events(log: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from tidemill.functions.numeric import mean, outlier, ratio, total
 from tidemill.functions.records import decode
 from tidemill.functions.time import before, hour_of, since
 from tidemill.operators.dedup import latest_per_key
-from tidemill.operators.rollups import rollup
+from tidemill.operators.rollups import merge_state, partial_state, rollup, state_mean, state_total
 
 # Fixed value: how many standard deviations make an anomaly.
 ANOMALY_LIMIT = 2.0
@@ -53,6 +53,31 @@ def five_minute_windows(
     )
 
 
+def window_state(
+    readings: DataFrame, keys: Sequence[str] = ("city",), width: str = "5 minutes", scale: int = 2
+) -> DataFrame:
+    """What one batch adds to its tumbling windows, in mergeable form."""
+    state = partial_state(
+        readings, [F.window("event_time", width).alias("w"), *keys], scale,
+        means=["temperature_c", "humidity_pct"], totals=["precipitation_mm"], extremes=["temperature_c"],
+    )
+    return state.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+
+
+def windows_of_states(states: DataFrame, keys: Sequence[str] = ("city",), scale: int = 2) -> DataFrame:
+    """The windows of ``five_minute_windows`` from the states of all batches."""
+    merged = merge_state(states, ["window_start", "window_end", *keys])
+    return merged.select(
+        "window_start", "window_end", *keys,
+        state_mean("temperature_c", scale).alias("avg_temp_c"),
+        F.col("lo_temperature_c").alias("min_temp_c"),
+        F.col("hi_temperature_c").alias("max_temp_c"),
+        state_mean("humidity_pct", scale).alias("avg_humidity_pct"),
+        state_total("precipitation_mm", scale).alias("total_precip_mm"),
+        F.col("n_rows").alias("reading_count"),
+    )
+
+
 def hourly_trend(readings: DataFrame, as_of, hours: int = 48, scale: int | None = None) -> DataFrame:
     """Temperature, humidity and precipitation per city and hour."""
     recent = readings.where(since("event_time", as_of, f"{hours} HOUR"))

@@ -9,7 +9,6 @@ from tidemill.functions.records import REJECT, decode_with_rejects, encode
 from tidemill.functions.time import before
 from tidemill.operators import quality
 from tidemill.operators.merge import mark
-from tidemill.operators.rollups import merge_partials, window_partials
 from tidemill.plans import readings as plan
 from tidemill.plans.loads import export_increment
 from tidemill.registered.base import AS_OF, READINGS, Registered, mean, pct, ratio, rounded, total
@@ -141,24 +140,13 @@ _add(
 )
 
 
-def _merged_partials(spark, sf):
-    """Window partials of each batch, merged afterwards."""
-    rows = READINGS.df(spark, sf)
-    partials = window_partials(rows, "event_time", ["city", "batch_id"], "temperature_c", "5 minutes", 2)
-    return merge_partials(partials, ["city"], 2)
+def _merged_states(spark, sf):
+    """Window states of each batch, merged afterwards."""
+    states = plan.window_state(READINGS.df(spark, sf), ["city", "batch_id"])
+    return plan.windows_of_states(states, ["city"])
 
 
-_add(
-    "window_partials_merged",
-    _merged_partials,
-    f"""
-    SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
-           time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, city,
-           count(*) AS reading_count, {mean('temperature_c', 2)} AS avg_value,
-           min(temperature_c) AS min_value, max(temperature_c) AS max_value
-    FROM {BASE} GROUP BY ALL
-    """,
-)
+_add("window_states_merged", _merged_states, _windows_sql("city"))
 
 _add(
     "reading_quality_gate",

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tidemill.functions.records import encode
 from tidemill.operators.dedup import latest_per_key, stream_dedup
 from tidemill.operators.merge import BUCKET
-from tidemill.operators.rollups import merge_partials
 from tidemill.plans import posts as posts_plan
 from tidemill.plans import prices as prices_plan
 from tidemill.plans import readings as readings_plan
@@ -61,18 +60,20 @@ def _windows(spark, sf):
 
 
 BASE = f"({READINGS.sql}) r"
-_add(
-    "windowed_readings_stream",
-    _windows,
-    f"""
+
+
+def _windows_sql(where: str) -> str:
+    return f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
            time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, city,
            {mean('temperature_c', 2)} AS avg_temp_c, min(temperature_c) AS min_temp_c,
            max(temperature_c) AS max_temp_c, {mean('humidity_pct', 2)} AS avg_humidity_pct,
            {total('precipitation_mm', 2)} AS total_precip_mm, count(*) AS reading_count
-    FROM {BASE} GROUP BY ALL
-    """,
-)
+    FROM {BASE} WHERE {where} GROUP BY ALL
+    """
+
+
+_add("windowed_readings_stream", _windows, _windows_sql("TRUE"))
 
 # -- gated micro-batches ---------------------------------------------------------------------
 
@@ -114,17 +115,11 @@ _add(
     """,
 )
 _add(
-    "gated_window_partials",
+    "gated_window_states",
     lambda spark, sf: _zone_free(
-        merge_partials(spark.read.parquet(_gated(spark, sf)["windows"]), ["city"], 2)
+        readings_plan.windows_of_states(spark.read.parquet(_gated(spark, sf)["windows"]))
     ),
-    f"""
-    SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
-           time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, city,
-           count(*) AS reading_count, {mean('temperature_c', 2)} AS avg_value,
-           min(temperature_c) AS min_value, max(temperature_c) AS max_value
-    FROM {BASE} WHERE {_GOOD} GROUP BY ALL
-    """,
+    _windows_sql(_GOOD),
 )
 
 # -- scored and upserted posts ------------------------------------------------------------------

@@ -15,10 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.numeric import mean, outlier
 from tidemill.operators.merge import merge_into
-from tidemill.operators.rollups import window_partials
 from tidemill.plans.posts import SENTIMENT_FIELDS, score_posts
 from tidemill.plans.prices import LATEST_FIELDS
-from tidemill.plans.readings import ANOMALY_LIMIT, five_minute_windows
+from tidemill.plans.readings import ANOMALY_LIMIT, five_minute_windows, window_state
 from tidemill.sinks.tables import replace_slice
 
 # Fixed value: share of readings with a temperature that a batch needs.
@@ -66,7 +65,7 @@ def run(stream: DataFrame, checkpoint: str, **sink) -> None:
 
 @dataclass(frozen=True)
 class ReadingBatches:
-    """Quality gate, anomaly flag, raw rows and window partials of each batch.
+    """Quality gate, anomaly flag, raw rows and window states of each batch.
 
     One aggregate pass answers the emptiness test, the gate and the statistics;
     the batch is kept in memory or on local disk between the passes.  A batch
@@ -97,8 +96,8 @@ class ReadingBatches:
                 "temperature_c", F.lit(stats["mean"]), F.lit(stats["std"]).cast("double"), ANOMALY_LIMIT
             )
             replace_slice(batch.withColumn("is_anomaly", anomaly), self.raw, ["batch_id"], ["event_time"])
-            partials = window_partials(batch, "event_time", ["city"], "temperature_c", "5 minutes", self.scale)
-            replace_slice(partials.withColumn("batch_id", F.lit(batch_id)), self.windows, ["batch_id"])
+            state = window_state(batch, scale=self.scale).withColumn("batch_id", F.lit(batch_id))
+            replace_slice(state, self.windows, ["batch_id"])
         finally:
             batch.unpersist()
 
