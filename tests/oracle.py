@@ -27,6 +27,7 @@ def session():
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("tidemill-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

@@ -8,7 +8,9 @@ from tidemill.operators.dedup import stream_dedup
 from tidemill.plans.readings import decode_readings, five_minute_windows, windows_of_states
 from tidemill.sinks.tables import Target, replace_slice
 from tidemill.sources.logs import Log, open_stream
-from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, run, start, windowed_readings
+from tidemill.streaming.jobs import (
+    PostBatches, PriceBatches, ReadingBatches, held, run, start, windowed_readings,
+)
 
 START = dt.datetime(2024, 1, 1)
 
@@ -112,6 +114,26 @@ def test_processing_time_trigger_and_update_mode(spark, rows, tmp_path):
     assert rows(spark.read.parquet(out), "reading_count", "avg_temp_c") == [(2, 2.0), (3, 3.0)]
 
 
+def test_bodies_run_adaptively_behind_a_stateful_stream(spark, rows, tmp_path):
+    """Redelivered prices are dropped in the stream, then stored by the batch body."""
+    from tidemill.plans import prices
+
+    log, seen = tmp_path / "log", []
+    event = {"coin_id": "x", "current_price_usd": 1.0, "last_updated": START.isoformat() + "Z"}
+    send(log, "1.txt", [event, event, {**event, "coin_id": "y"}])
+    stream = prices.enrich_prices(prices.decode_prices(open_stream(spark, Log(str(log), "text"))))
+    body = PriceBatches(str(tmp_path / "series"), str(tmp_path / "latest"))
+
+    def watched(batch, batch_id):
+        with held(batch) as kept:
+            seen.append("AdaptiveSparkPlan" in kept.groupBy("coin_id").count()._jdf.queryExecution().executedPlan().toString())
+        body(batch, batch_id)
+
+    run(stream_dedup(stream, ["coin_id", "last_updated"], "event_time", "1 hour"), str(tmp_path / "cp"), body=watched)
+    assert set(seen) == {True}
+    assert rows(spark.read.parquet(body.series), "coin_id") == [("x",), ("y",)]
+
+
 def test_stream_dedup_over_batches(spark, tmp_path):
     log = tmp_path / "log"
     for i in range(3):

@@ -77,7 +77,9 @@ def settle_prices(spark: SparkSession, folder: str, day: dt.date) -> int:
     settled = latest_per_key(series, ["coin_id", "event_time"], ["batch_id"]).drop("batch_id")
     path = f"{folder}/settled"
     return counted(
-        lambda seen: replace_slice(settled, path, ["event_date"], ["coin_id", "event_time"], seen=seen)
+        lambda seen: replace_slice(
+            settled, path, ["event_date"], ["coin_id", "event_time"], one_slice=True, seen=seen
+        )
     )["rows"]
 
 
@@ -92,7 +94,7 @@ def final_windows(spark: SparkSession, folder: str) -> DataFrame:
 def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:
     """Replace the day's slice and log the run; returns the rows written."""
     df = df.withColumn("batch_date", F.lit(day))
-    rows = counted(lambda seen: replace_slice(df, f"{folder}/{table}", ["batch_date"], seen=seen))["rows"]
+    rows = counted(lambda seen: replace_slice(df, f"{folder}/{table}", ["batch_date"], one_slice=True, seen=seen))["rows"]
     log_run(df.sparkSession, f"{folder}/audit", table, day, rows, rows, rows,
             dt.datetime.combine(day, dt.time()))
     return rows

@@ -4,26 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple.
 
-    An aggregate rather than ``row_number``: every task first reduces its rows
-    to one per key, so a key with a large share of all rows is shuffled as one
-    row per task.  NULL orders lowest.  End ``order`` with a column that is
-    unique within a key to make the survivor reproducible.
+    Catalyst turns ``row_number() = 1`` into a group limit on both sides of the
+    exchange: every task first reduces its rows to one per key, so a key with a
+    large share of all rows is shuffled as one row per task.  NULL orders
+    lowest.  End ``order`` with a column that is unique within a key to make
+    the survivor reproducible.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    if not rest:
-        return df.select(*keys).distinct()
-    winner = F.max_by(F.struct(*rest), F.struct(*order)).alias("winner")
-    return df.groupBy(*keys).agg(winner).select(
-        *[F.col(c) if c in keys else F.col(f"winner.{c}").alias(c) for c in df.columns]
-    )
+    newest_first = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    return df.withColumn("place_in_key", place).where(F.col("place_in_key") == 1).drop("place_in_key")
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

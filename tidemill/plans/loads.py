@@ -45,7 +45,7 @@ def export_increment(
     if not has_rows(new):
         return None
     export = coerce_numbers(new.drop(synced), whole, real).withColumn("run_id", F.lit(run_id))
-    replace_slice(export, path, ["run_id"], [time_col])
+    replace_slice(export, path, ["run_id"], [time_col], one_slice=True)
     exported = stored.sparkSession.read.parquet(path).where(F.col("run_id") == run_id)
     return mark(stored, exported, keys, synced)
 
@@ -59,7 +59,7 @@ def high_water_mark(exported: DataFrame, time_col: str, key: str) -> tuple | Non
 def load_slice(spark: SparkSession, staged: DataFrame, path: str, batch_date, ddl: str) -> int:
     """Replace one batch_date slice of the warehouse folder; returns its row count."""
     rows = conform(slice_of(staged, "batch_date", batch_date), ddl)
-    return counted(lambda seen: replace_slice(rows, path, ["batch_date"], seen=seen))["rows"]
+    return counted(lambda seen: replace_slice(rows, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
 
 
 def log_run(

@@ -77,10 +77,15 @@ def replace_slice(
     path: str,
     slice_by: Sequence[str],
     sort_by: Sequence[str] = (),
+    one_slice: bool = False,
     seen: Callable[[DataFrame], DataFrame] = _unseen,
 ) -> None:
-    """Overwrite only the slices present in ``df``; running it again changes nothing."""
-    df = seen(spread(df, *slice_by))
+    """Overwrite only the slices present in ``df``; running it again changes nothing.
+
+    ``one_slice`` says that all rows belong to the same slice: they are spread
+    evenly instead of being brought together by a constant.
+    """
+    df = seen(spread(df) if one_slice else spread(df, *slice_by))
     if sort_by:
         df = df.sortWithinPartitions(*slice_by, *sort_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

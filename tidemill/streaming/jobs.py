@@ -7,6 +7,7 @@ is replayed after a failure replaces its own earlier output.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,6 +64,25 @@ def run(stream: DataFrame, checkpoint: str, **sink) -> None:
     start(stream, checkpoint, **sink).awaitTermination()
 
 
+@contextmanager
+def held(batch: DataFrame):
+    """The batch kept for several passes, with adaptive execution for its writes.
+
+    Spark turns adaptive execution off in the session of a stateful query.  The
+    stateful part of a batch is planned before the body runs, so what the body
+    adds can be adaptive: hot slices are split, small ones are put together.
+    """
+    conf = batch.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "true")
+    batch = batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 @dataclass(frozen=True)
 class ReadingBatches:
     """Quality gate, anomaly flag, raw rows and window states of each batch.
@@ -79,9 +99,8 @@ class ReadingBatches:
     scale: int = 2
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            stats = batch.agg(
+        with held(batch.withColumn("batch_id", F.lit(batch_id))) as rows:
+            stats = rows.agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.count("temperature_c").alias("measured"),
                 mean("temperature_c", self.scale).alias("mean"),
@@ -90,16 +109,15 @@ class ReadingBatches:
             if stats["rows"] == 0:
                 return
             if stats["measured"] / stats["rows"] < self.min_completeness:
-                replace_slice(batch, self.quarantine, ["batch_id"])
+                replace_slice(rows, self.quarantine, ["batch_id"], one_slice=True)
                 return
             anomaly = outlier(
                 "temperature_c", F.lit(stats["mean"]), F.lit(stats["std"]).cast("double"), ANOMALY_LIMIT
             )
-            replace_slice(batch.withColumn("is_anomaly", anomaly), self.raw, ["batch_id"], ["event_time"])
-            state = window_state(batch, scale=self.scale).withColumn("batch_id", F.lit(batch_id))
-            replace_slice(state, self.windows, ["batch_id"])
-        finally:
-            batch.unpersist()
+            flagged = rows.withColumn("is_anomaly", anomaly)
+            replace_slice(flagged, self.raw, ["batch_id"], ["event_time"], one_slice=True)
+            state = window_state(rows, scale=self.scale).withColumn("batch_id", F.lit(batch_id))
+            replace_slice(state, self.windows, ["batch_id"], one_slice=True)
 
 
 @dataclass(frozen=True)
@@ -119,18 +137,15 @@ class PostBatches:
         scored = score_posts(batch, self.lexicon).withColumns(
             {"batch_id": F.lit(batch_id), CREATED_DAY: F.col("created_utc").cast("date")}
         )
-        scored = scored.persist()
-        try:
-            if scored.isEmpty():
+        with held(scored) as rows:
+            if rows.isEmpty():
                 return
-            documents = scored.select(*SENTIMENT_FIELDS, "ingested_at", CREATED_DAY)
-            for path, rows in ((self.posts, scored), (self.sentiment, documents)):
+            documents = rows.select(*SENTIMENT_FIELDS, "ingested_at", CREATED_DAY)
+            for path, updates in ((self.posts, rows), (self.sentiment, documents)):
                 merge_into(
-                    scored.sparkSession, path, rows, ["post_id"], ["ingested_at", "score", "sentiment_score"],
+                    rows.sparkSession, path, updates, ["post_id"], ["ingested_at", "score", "sentiment_score"],
                     slice_by=CREATED_DAY, null_overwrites=self.null_overwrites,
                 )
-        finally:
-            scored.unpersist()
 
 
 @dataclass(frozen=True)
@@ -142,15 +157,12 @@ class PriceBatches:
     buckets: int = 16
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            if batch.isEmpty():
+        with held(batch.withColumn("batch_id", F.lit(batch_id))) as rows:
+            if rows.isEmpty():
                 return
-            dated = batch.withColumn("event_date", F.col("event_time").cast("date"))
+            dated = rows.withColumn("event_date", F.col("event_time").cast("date"))
             replace_slice(dated, self.series, ["event_date", "batch_id"], ["coin_id", "event_time"])
             merge_into(
-                batch.sparkSession, self.latest, batch.select(*LATEST_FIELDS), ["coin_id"],
+                rows.sparkSession, self.latest, rows.select(*LATEST_FIELDS), ["coin_id"],
                 ["event_time", "current_price_usd"], buckets=self.buckets, null_overwrites=True, newest_wins=True,
             )
-        finally:
-            batch.unpersist()
