@@ -29,7 +29,7 @@ def session():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_ZONE", "UTC"))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", "/tmp/tidemill-warehouse")
         .getOrCreate()

@@ -171,7 +171,7 @@ _add(
 def _candle_payloads(spark, sf):
     """One response per key with [ms, open, high, low, close] per day (bounded by the calendar)."""
     days = DAILY.df(spark, sf)
-    ms = F.unix_millis(F.col("day").cast("timestamp")).cast("double")
+    ms = F.unix_date("day") * F.lit(86_400_000.0)
     return (
         days.groupBy(F.col("city").alias("coin_id"))
         .agg(F.collect_list(F.array(ms, "lo", "hi", "lo", "hi")).alias("candles"))
@@ -414,12 +414,19 @@ _add(
     """,
 )
 
+
+
+def _utc(moment):
+    """The wall clock in UTC, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+
+
 _add(
-    "latest_time_from_epochs",
+    "times_from_epochs",
     lambda spark, sf: table(spark, sf, "events").select(
         "event_id",
-        time_fn.from_epoch(seconds=F.col("event_id") + 1700000000).cast("timestamp_ntz").alias("from_seconds"),
-        time_fn.from_epoch(millis=F.col("event_id") * 1000 + 1700000000123).cast("date").alias("from_millis"),
+        _utc(time_fn.from_epoch(seconds=F.col("event_id") + 1700000000)).alias("from_seconds"),
+        _utc(time_fn.from_epoch(millis=F.col("event_id") * 1000 + 1700000000123)).cast("date").alias("from_millis"),
         time_fn.minutes_between(F.col("ts"), time_fn.clock(AS_OF)).alias("minutes_ago"),
         time_fn.iso_hour("ts").alias("iso_hour"),
     ),

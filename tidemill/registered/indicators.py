@@ -111,7 +111,8 @@ _add("economy_mart_all_years", lambda spark, sf: _mart(spark, sf, all_years=True
 
 def _layered(spark, sf):
     """Staging as a view and the mart as a table that reads the view by name."""
-    suffix = new_folder(spark, "x").rsplit("-", 1)[1]
+    folder = new_folder(spark, "layers")
+    suffix = folder.rsplit("-", 1)[1]
     stg, mart = f"stg_indicators_{suffix}", f"mart_economy_{suffix}"
     publish_layers(
         spark,
@@ -119,6 +120,7 @@ def _layered(spark, sf):
             (stg, lambda s: _staging(s, sf), "view"),
             (mart, lambda s: plan.economy_mart(s.table(stg), PANEL_AS_OF), "table"),
         ],
+        folder,
     )
     return spark.table(mart)
 

@@ -48,10 +48,11 @@ def _local_root() -> str:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
+    Without that setting it is the session's checkpoint folder, if one is set.
     A machine-local folder is used only in local mode, where it is shared by
     definition; on a cluster a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -154,15 +154,20 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def publish_layers(
-    spark: SparkSession, models: Sequence[tuple[str, Callable[[SparkSession], DataFrame], str]]
+    spark: SparkSession,
+    models: Sequence[tuple[str, Callable[[SparkSession], DataFrame], str]],
+    folder: str | None = None,
 ) -> None:
     """Build models in dependency order: (name, function of the session, kind).
 
-    A ``view`` stays a plan, a ``table`` is stored; later models read earlier
-    ones by name.
+    A ``view`` stays a plan, a ``table`` is stored (under ``folder`` if given);
+    later models read earlier ones by name.
     """
     for name, build, kind in models:
         if kind == "view":
             build(spark).createOrReplaceTempView(name)
-        else:
-            build(spark).write.mode("overwrite").saveAsTable(name)
+            continue
+        writer = build(spark).write.mode("overwrite").format("parquet")
+        if folder:
+            writer = writer.option("path", f"{folder}/{name}")
+        writer.saveAsTable(name)
