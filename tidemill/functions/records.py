@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +11,7 @@ from tidemill import schemas
 REJECT = "_corrupt_record"
 
 
-def decode(log: DataFrame, ddl: str, carry: Sequence[str] = ()) -> DataFrame:
+def decode(log: DataFrame, ddl: str) -> DataFrame:
     """One column per declared field of the JSON text in ``value``.
 
     Unlisted fields are dropped; malformed text gives a row of NULLs.  The
@@ -21,7 +19,7 @@ def decode(log: DataFrame, ddl: str, carry: Sequence[str] = ()) -> DataFrame:
     its fields: the text is parsed once, not once more for every such filter.
     """
     record = F.from_json(F.col("value").cast("string"), ddl)
-    return log.select(*carry, F.inline(F.array(record)))
+    return log.select(F.inline(F.array(record)))
 
 
 def decode_with_rejects(log: DataFrame, ddl: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import mean, percent, share_pct
+from tidemill.functions.numeric import mean, share_pct
 from tidemill.functions.time import clock, minutes_between, on_day, since
 from tidemill.operators.rollups import metric_rows, union_all
 
@@ -149,7 +149,3 @@ def reconcile(extracted: DataFrame, staged: DataFrame, loaded: DataFrame, by: st
     counts = stages.groupBy(by).agg(*[F.count_if(F.col("stage") == n).alias(n) for n in names])
     complete = (F.col(names[0]) == F.col(names[1])) & (F.col(names[1]) == F.col(names[2]))
     return counts.withColumn("status", F.when(complete, "SUCCESS").otherwise("MISMATCH"))
-
-
-def completeness_pct(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(percent(F.count(column), F.count(F.lit(1))).alias("completeness_pct"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.numeric import change_pct, flag
 from tidemill.operators.dedup import latest_per_key
+from tidemill.sinks.tables import renamed
 
 
 def per_period(df: DataFrame, key: str, period: str, order: Sequence[str | Column]) -> DataFrame:
@@ -52,7 +53,7 @@ def crosses_above(fast: str, slow: str, key: str, period: str) -> Column:
 
 def with_prior_period(df: DataFrame, key: str, period: str, value: str, name: str) -> DataFrame:
     """The value of exactly the previous period (NULL across a gap), by left join."""
-    prior = df.select(key, (F.col(period) + 1).alias(period), F.col(value).alias(name))
+    prior = renamed(df.select(key, period, value), {value: name}).withColumn(period, F.col(period) + 1)
     return df.join(prior, [key, period], "left")
 
 

@@ -176,6 +176,7 @@ def phillips(stg: DataFrame, first_year: int = 2000, min_years: int = 10, scale:
 
 def development_profile(mart: DataFrame) -> DataFrame:
     online, co2 = F.col("internet_users_pct"), F.col("co2_per_capita")
+    # Profile bounds and names.
     profile = (
         F.when((online >= 80) & (co2 <= 5), "Green Digital")
         .when((online >= 80) & (co2 > 5), "High Carbon Digital")

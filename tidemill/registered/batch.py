@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemill import schemas
 from tidemill.functions import records
 from tidemill.functions import time as time_fn
 from tidemill.operators import quality

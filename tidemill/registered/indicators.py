@@ -11,7 +11,7 @@ from tidemill.operators.ranking import global_rank
 from tidemill.operators.series import with_prior_period
 from tidemill.plans import indicators as plan
 from tidemill.registered.base import (
-    AS_OF, PANEL_AS_OF, PANEL_TRUTH, Registered, change, mean, rounded, table,
+    PANEL_AS_OF, PANEL_TRUTH, Registered, change, mean, rounded, table,
 )
 from tidemill.schemas import INDICATORS
 from tidemill.session import new_folder

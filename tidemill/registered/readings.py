@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill import schemas
-from tidemill.functions.records import REJECT, decode_with_rejects, encode
+from tidemill.functions.records import REJECT, decode_with_rejects, encode, nested_or
 from tidemill.functions.time import before
 from tidemill.operators import quality
 from tidemill.operators.merge import mark
@@ -215,7 +215,7 @@ _add(
     lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet").select(
         "event_id",
         F.from_json("props", "k INT")["k"].alias("k"),
-        F.coalesce(F.get_json_object("props", "$.missing"), F.lit("NONE")).alias("missing"),
+        nested_or("props", "$.missing", "NONE").alias("missing"),
         F.to_json(F.struct("event_type", F.nullif(F.col("user_id") % 2, F.lit(0)).alias("odd"))).alias("as_json"),
     ),
     """
