@@ -89,6 +89,8 @@ def test_rain_bounds_and_bad_dates(spark):
 
 def test_decode_keeps_wide_ids_and_separates_rejects(spark):
     log = spark.createDataFrame([('{"repo_id": 3000000000, "stars": 5, "extra": 1}',), ("{broken",)], "value STRING")
+    empty = spark.createDataFrame([(None,)], "value STRING")
+    assert records.decode(empty, schemas.REPOSITORY).where("repo_id IS NULL").count() == 1
     good, bad = records.decode(log, schemas.REPOSITORY).select("repo_id", "stars").collect()
     assert tuple(good) == (3000000000, 5) and tuple(bad) == (None, None)
     rejected = records.decode_with_rejects(log, schemas.REPOSITORY).where(f"{records.REJECT} IS NOT NULL")

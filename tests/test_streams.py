@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill import jobs
@@ -134,14 +135,15 @@ def test_bodies_run_adaptively_behind_a_stateful_stream(spark, rows, tmp_path):
     assert rows(spark.read.parquet(body.series), "coin_id") == [("x",), ("y",)]
 
 
-def test_stream_dedup_over_batches(spark, tmp_path):
+@pytest.mark.parametrize("spread", [0, 4])
+def test_stream_dedup_over_batches(spark, tmp_path, spread):
     log = tmp_path / "log"
     for i in range(3):
-        send(log, f"{i}.txt", [reading(m, sensor=f"s{m}") for m in (1, 2, 3 + i)])
+        send(log, f"{i}.txt", [reading(m, sensor=f"s{m}") for m in (1, 2, 3 + i)] + [reading(7, sensor="hot")] * 40)
     stream = decode_readings(open_stream(spark, Log(str(log), "text", intake=1)))
     out = str(tmp_path / "out")
-    run(stream_dedup(stream, ["sensor_id"], "event_time", "1 hour"), str(tmp_path / "cp"), path=out)
-    assert sorted(r["sensor_id"] for r in spark.read.parquet(out).collect()) == ["s1", "s2", "s3", "s4", "s5"]
+    run(stream_dedup(stream, ["sensor_id"], "event_time", "1 hour", spread), str(tmp_path / "cp"), path=out)
+    assert sorted(r["sensor_id"] for r in spark.read.parquet(out).collect()) == ["hot", "s1", "s2", "s3", "s4", "s5"]
 
 
 POST = "post_id STRING, subreddit STRING, title STRING, body STRING, score INT, flair STRING, created_utc TIMESTAMP, ingested_at TIMESTAMP"

@@ -94,7 +94,8 @@ def final_windows(spark: SparkSession, folder: str) -> DataFrame:
 def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:
     """Replace the day's slice and log the run; returns the rows written."""
     df = df.withColumn("batch_date", F.lit(day))
-    rows = counted(lambda seen: replace_slice(df, f"{folder}/{table}", ["batch_date"], one_slice=True, seen=seen))["rows"]
+    path = f"{folder}/{table}"
+    rows = counted(lambda seen: replace_slice(df, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
     log_run(df.sparkSession, f"{folder}/audit", table, day, rows, rows, rows,
             dt.datetime.combine(day, dt.time()))
     return rows

@@ -27,10 +27,18 @@ def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], time_col: str, delay: str) -> DataFrame:
+def stream_dedup(
+    stream: DataFrame, keys: Sequence[str], time_col: str, delay: str, spread: int = 0
+) -> DataFrame:
     """Each key once while its first copy is within ``delay`` of the watermark.
 
-    State holds the keys seen within the delay only.  A batch holds at most
-    the intake limit of the source, which bounds the copies of a hot key too.
+    State holds the keys seen within the delay only, and a batch holds at most
+    the intake limit of the source.  For keys that are redelivered very often,
+    ``spread`` removes copies within that many random shares of a key first, so
+    no task receives all copies; then each key's few survivors are compared.
     """
-    return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    marked = stream.withWatermark(time_col, delay)
+    if spread:
+        shares = marked.withColumn("share", F.floor(F.rand() * spread).cast("int"))
+        marked = shares.dropDuplicatesWithinWatermark([*keys, "share"]).drop("share")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
