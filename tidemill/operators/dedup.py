@@ -8,15 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def orderable(df: DataFrame) -> list[str]:
+    """The columns that can be compared."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple.
 
     Catalyst turns ``row_number() = 1`` into a group limit on both sides of the
     exchange: every task first reduces its rows to one per key, so a key with a
     large share of all rows is shuffled as one row per task.  NULL orders
-    lowest.  End ``order`` with a column that is unique within a key to make
-    the survivor reproducible.
+    lowest.  Ties are broken by the remaining columns, so the survivor is the
+    same when a lost task runs again.
     """
+    named = [c for c in order if isinstance(c, str)]
+    order = [*order, *[c for c in orderable(df) if c not in keys and c not in named]]
     newest_first = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
     return df.withColumn("place_in_key", place).where(F.col("place_in_key") == 1).drop("place_in_key")

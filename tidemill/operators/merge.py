@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.dedup import orderable
 from tidemill.sinks.tables import replace_slice
 
 BUCKET = "key_bucket"
@@ -30,12 +32,17 @@ def last_written(
     The fields in ``whole`` come from the last row as it is, NULL included.
     Rows without a key are left out.
     """
-    rank = F.struct(*order)
+    comparable = set(orderable(rows))
+
+    def rank(*ties: str) -> Column:
+        """The order, ties broken by the values themselves."""
+        return F.struct(*order, *[F.col(c).alias(f"tie_{c}") for c in ties if c in comparable])
+
     aggregates = []
     if whole:
-        aggregates.append(F.max_by(F.struct(*whole), rank).alias("last_row"))
+        aggregates.append(F.max_by(F.struct(*whole), rank(*whole)).alias("last_row"))
     single = [c for c in rows.columns if c not in keys and c not in whole]
-    aggregates += [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in single]
+    aggregates += [F.max_by(c, F.when(F.col(c).isNotNull(), rank(c))).alias(c) for c in single]
     if not aggregates:
         return rows.where(_has_key(keys)).select(*keys).distinct()
     out = rows.where(_has_key(keys)).groupBy(*keys).agg(*aggregates)
@@ -106,8 +113,8 @@ def merge_into(
     """
     if slice_by is None:
         updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
-    if _has_slices(spark, path, slice_by):
-        stored = spark.read.parquet(path)
+    stored = _stored(spark, path)
+    if stored is not None:
         # Folder values are read back with a guessed type.
         stored = stored.withColumn(slice_by, F.col(slice_by).cast(updates.schema[slice_by].dataType))
         stored = _touched(stored, updates, slice_by)
@@ -136,7 +143,11 @@ def _has_key(keys: Sequence[str]) -> Column:
     return condition
 
 
-def _has_slices(spark: SparkSession, path: str, slice_by: str) -> bool:
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{slice_by}=*")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(files.globStatus(pattern))
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a Parquet folder, or None while nothing is stored in it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

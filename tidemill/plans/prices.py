@@ -42,15 +42,13 @@ def enrich_prices(events: DataFrame, processed_at: Column | None = None) -> Data
 
 def price_events(log: DataFrame) -> DataFrame:
     """Bounded log to enriched events, one per key and update time."""
-    decoded = decode_prices(log)
-    tie_break = [c for c in decoded.columns if c not in ("coin_id", "last_updated", "ingested_at")]
-    return enrich_prices(latest_per_key(decoded, ["coin_id", "last_updated"], ["ingested_at", *tie_break]))
+    return enrich_prices(latest_per_key(decode_prices(log), ["coin_id", "last_updated"], ["ingested_at"]))
 
 
 def candle_days(log: DataFrame) -> DataFrame:
     """Candles of a log: one per key and day, the latest batch, positive closes."""
     raw = decode(log, schemas.DAILY_CANDLE).withColumn("candle_date", parse_date("candle_date"))
-    days = per_period(raw, "coin_id", "candle_date", ["ingested_at", "batch_date", "timestamp_ms", "close"])
+    days = per_period(raw, "coin_id", "candle_date", ["ingested_at", "batch_date"])
     return days.where(F.col("close") > 0)
 
 

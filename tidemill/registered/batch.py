@@ -41,7 +41,7 @@ def _features_sql(rate: str) -> str:
     return f"""
     SELECT repo_id, repo_name, lower(trim(language)) AS language, stars, forks, watchers,
            coalesce(license, 'UNLICENSED') AS license, TRY_CAST(created_at AS TIMESTAMP) AS created_at,
-           date_diff('day', TRY_CAST(created_at AS DATE), DATE '2024-01-31') AS repo_age_days,
+           CAST(coalesce(date_diff('day', TRY_CAST(created_at AS DATE), DATE '2024-01-31'), -1) AS INT) AS repo_age_days,
            {rounded('CAST(stars AS DOUBLE) * CAST(0.5 AS DOUBLE) + CAST(forks AS DOUBLE) * CAST(0.3 AS DOUBLE)'
                     ' + CAST(watchers AS DOUBLE) * CAST(0.2 AS DOUBLE)', 2)} AS activity_score,
            {rate} AS stars_per_day, DATE '2024-01-31' AS batch_date
@@ -56,7 +56,13 @@ _SHIFT = rounded(ratio("stars", f"{_AGE} + 1"), 2)
 
 
 def _feature_columns(df):
-    return df.withColumn("created_at", F.col("created_at").cast("timestamp_ntz")).drop("ingested_at")
+    """Unknown ages as -1, so that the column is a plain integer in both engines."""
+    return df.withColumns(
+        {
+            "created_at": F.col("created_at").cast("timestamp_ntz"),
+            "repo_age_days": F.coalesce("repo_age_days", F.lit(-1)),
+        }
+    ).drop("ingested_at")
 
 
 _add("repository_features", lambda spark, sf: _feature_columns(_repos(spark, sf)), _features_sql(_FLOOR))
@@ -226,6 +232,8 @@ def _repository_payloads(spark, sf):
         F.col("p_name").alias("full_name"),
         F.when(key % 3 == 0, F.repeat("p_name", 100)).alias("description"),
         F.col("p_size").alias("stargazers_count"),
+        F.lit(3).alias("forks_count"),
+        F.lit(2).alias("watchers_count"),
         F.when(key % 5 != 0, F.struct(F.col("p_type").alias("spdx_id"))).alias("license"),
         F.when(key % 2 == 0, F.split("p_name", " ")).alias("topics"),
     )
@@ -238,7 +246,7 @@ _add(
     """
     SELECT p_partkey AS repo_id, p_name AS repo_name,
            CASE WHEN p_partkey % 3 = 0 THEN substr(repeat(p_name, 100), 1, 500) ELSE '' END AS description,
-           p_size AS stars, CAST(NULL AS INT) AS forks, CAST(NULL AS INT) AS watchers,
+           p_size AS stars, 3 AS forks, 2 AS watchers,
            CASE WHEN p_partkey % 5 <> 0 THEN p_type ELSE 'NONE' END AS license,
            CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, ' ', ',') ELSE '' END AS topics,
            CAST(NULL AS VARCHAR) AS created_at

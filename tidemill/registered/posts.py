@@ -239,7 +239,9 @@ _add(
     lambda spark, sf: table(spark, sf, "documents").select(
         "doc_id",
         text_fn.excerpt(text_fn.joined_text("source", "text"), 500).alias("excerpt"),
-        F.length(text_fn.joined_text("source", F.when(F.col("doc_id") % 2 == 0, F.col("text")))).alias("whole_length"),
+        F.length(text_fn.joined_text("source", F.when(F.col("doc_id") % 2 == 0, F.col("text")))).cast("bigint").alias(
+            "whole_length"
+        ),
         F.upper("source").alias("label"),
         F.concat_ws(",", "lang", "source", F.lit(None)).alias("topics"),
     ),
@@ -260,7 +262,7 @@ _STORED_SQL = f"SELECT {', '.join(_STORED)} FROM ({POSTS.sql})"
 LABEL_UPDATES = View(
     """
     SELECT CAST(doc_id AS STRING) AS post_id, CAST(quality + 1000 AS INT) AS score,
-           CASE WHEN toxic = 1 THEN 'toxic' END AS flair, CAST(doc_id AS BIGINT) AS version
+           CASE WHEN toxic = 1 THEN 'toxic' END AS flair, CAST(doc_id AS STRING) AS version
     FROM {labels}
     """,
     ("labels",),

@@ -128,7 +128,8 @@ _add(
 # -- speed layer ------------------------------------------------------------------------
 
 _VOLATILITY = """CASE WHEN price_change_24h_pct IS NULL THEN 'unknown'
-    WHEN abs(price_change_24h_pct) >= 10 THEN 'extreme' WHEN abs(price_change_24h_pct) >= 5 THEN 'high' WHEN abs(price_change_24h_pct) >= 2 THEN 'medium' ELSE 'low' END"""
+    WHEN abs(price_change_24h_pct) >= 10 THEN 'extreme' WHEN abs(price_change_24h_pct) >= 5 THEN 'high'
+    WHEN abs(price_change_24h_pct) >= 2 THEN 'medium' ELSE 'low' END"""
 EVENTS_SQL = f"""
     SELECT *, {_VOLATILITY} AS volatility_class, coalesce(market_cap_rank <= 10, FALSE) AS is_top10
     FROM ({PRICES.sql})

@@ -228,6 +228,13 @@ _add(
 
 # -- increments and marks ---------------------------------------------------------
 
+
+
+def _text(flag):
+    """A three-valued flag as text."""
+    return F.col(flag).cast("string").alias(flag)
+
+
 _TWO_DAYS = f"event_time >= {NOW} - INTERVAL 48 HOUR"
 
 _add(
@@ -235,9 +242,9 @@ _add(
     lambda spark, sf: increment(
         READINGS.df(spark, sf), "event_time", "event_id", synced="synced",
         not_before=before(AS_OF, "20 DAY"), cap=1000,
-    ).select("event_id", "sensor_id", "event_time", "synced"),
+    ).select("event_id", "sensor_id", "event_time", _text("synced")),
     f"""
-    SELECT event_id, sensor_id, event_time, synced FROM {BASE}
+    SELECT event_id, sensor_id, event_time, CAST(synced AS VARCHAR) AS synced FROM {BASE}
     WHERE NOT coalesce(synced, FALSE) AND event_time >= {NOW} - INTERVAL 20 DAY
     ORDER BY event_time, event_id LIMIT 1000
     """,
@@ -274,14 +281,15 @@ def _synced(spark, sf):
         stored, new_folder(spark, "export"), "run-1", ["event_id"], "event_time",
         real=["temperature_c"], not_before=before(AS_OF, "48 HOUR"),
     )
-    return after.select("event_id", "synced")
+    return after.select("event_id", _text("synced"))
 
 
 _add(
     "synced_after_export",
     _synced,
     f"""
-    SELECT event_id, CASE WHEN NOT coalesce(synced, FALSE) AND {_TWO_DAYS} THEN TRUE ELSE synced END AS synced
+    SELECT event_id, CAST(CASE WHEN NOT coalesce(synced, FALSE) AND {_TWO_DAYS} THEN TRUE ELSE synced END
+           AS VARCHAR) AS synced
     FROM {BASE}
     """,
 )
@@ -292,8 +300,11 @@ _add(
         READINGS.df(spark, sf).select("event_id", "synced"),
         READINGS.df(spark, sf).where(F.col("temperature_c") > 100).select("event_id"),
         ["event_id"],
-    ),
-    f"SELECT event_id, CASE WHEN temperature_c > 100 THEN TRUE ELSE synced END AS synced FROM {BASE}",
+    ).select("event_id", _text("synced")),
+    f"""
+    SELECT event_id, CAST(CASE WHEN temperature_c > 100 THEN TRUE ELSE synced END AS VARCHAR) AS synced
+    FROM {BASE}
+    """,
 )
 
 _add(

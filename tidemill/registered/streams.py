@@ -98,7 +98,8 @@ def _gated_rows(spark, sf):
     raw = spark.read.parquet(folders["raw"]).withColumn("quarantined", F.lit(False))
     held = spark.read.parquet(folders["quarantine"]).withColumn("quarantined", F.lit(True))
     names = ["sensor_id", "city", "event_time", "temperature_c", "is_anomaly", "batch_id", "quarantined"]
-    return _zone_free(raw.unionByName(held, allowMissingColumns=True).select(*names))
+    rows = raw.unionByName(held, allowMissingColumns=True).select(*names)
+    return _zone_free(rows.withColumn("is_anomaly", F.col("is_anomaly").cast("string")))
 
 
 _add(
@@ -108,8 +109,8 @@ _add(
     WITH s AS (
         SELECT {mean('temperature_c', 2)} AS m, stddev_samp(temperature_c) AS sd FROM {BASE} WHERE {_GOOD})
     SELECT sensor_id, city, event_time, temperature_c,
-           CASE WHEN {_GOOD} THEN coalesce(
-               abs(temperature_c - (SELECT m FROM s)) > 2 * (SELECT sd FROM s), FALSE) END AS is_anomaly,
+           CAST(CASE WHEN {_GOOD} THEN coalesce(
+               abs(temperature_c - (SELECT m FROM s)) > 2 * (SELECT sd FROM s), FALSE) END AS VARCHAR) AS is_anomaly,
            CASE WHEN {_GOOD} THEN 0 ELSE 1 END AS batch_id, NOT ({_GOOD}) AS quarantined
     FROM {BASE}
     """,
