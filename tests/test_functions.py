@@ -97,6 +97,12 @@ def test_decode_keeps_wide_ids_and_separates_rejects(spark):
     assert [r[records.REJECT] for r in rejected.collect()] == ["{broken"]
 
 
+def test_fields_of_a_wrong_type_are_null(spark):
+    text = '{"sensor_id": "s", "temperature_c": "warm", "humidity_pct": 7, "event_time": "soon"}'
+    row = records.decode(spark.createDataFrame([(text,)], "value STRING"), schemas.SENSOR_READING).first()
+    assert (row["sensor_id"], row["temperature_c"], row["humidity_pct"], row["event_time"]) == ("s", None, 7.0, None)
+
+
 def test_encode_leaves_null_fields_out(spark):
     df = spark.createDataFrame([(1, None)], "a INT, b STRING")
     assert one(records.encode(df)) == '{"a":1}'

@@ -17,7 +17,7 @@ from tidemill.sinks.tables import (
     Target, conform, counted, duplicate_keys, publish_layers, replace_slice, upper_names, write_files,
 )
 from tidemill.sources.logs import Log, bounded_options, stream_options
-from tidemill.sources.tables import increment, key_history, oldest
+from tidemill.sources.tables import among, increment, key_history, oldest
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 DAY = dt.date(2024, 1, 1)
@@ -83,7 +83,9 @@ def test_upsert_keeps_fields_of_either_side(spark, rows):
 def test_updates_of_one_key_apply_in_order(spark, rows):
     new = spark.createDataFrame([(1, 1, "a", None), (1, 2, None, 5), (1, 3, None, 6)], "k INT, t INT, s STRING, n INT")
     assert rows(last_written(new, ["k"], ["t"])) == [(1, 3, "a", 6)]
-    assert rows(last_written(new, ["k"], ["t"], whole=["t", "s", "n"])) == [(1, 3, None, 6)]
+    base = spark.createDataFrame([(1, 0, "z", 1)], new.schema)
+    assert rows(upsert(base, new, ["k"], ["t"])) == [(1, 3, "a", 6)]
+    assert rows(upsert(base, new, ["k"], ["t"], null_overwrites=True)) == [(1, 3, None, 6)]
 
 
 def test_late_update_does_not_undo_a_newer_row(spark, rows):
@@ -279,6 +281,12 @@ def test_increment_null_flag_counts_as_unsynced(spark, rows):
     assert rows(increment(df, "t", "id", synced="synced"), "id") == [(1,), (2,)]
 
 
+def test_among_a_list_or_a_table(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k STRING, n INT")
+    keys = spark.createDataFrame([("b",), ("b",), ("z",)], "k STRING")
+    assert rows(among(df, "k", ["b", "z"])) == rows(among(df, "k", keys)) == [("b", 2)]
+
+
 def test_key_history_is_newest_first(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "k STRING, t INT")
     assert [r["t"] for r in key_history(df, "k", "a", "t", F.lit(1), 2).collect()] == [4, 3]

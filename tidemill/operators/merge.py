@@ -1,9 +1,8 @@
 """Upserts, inserts of absent keys and sync marks, on immutable files.
 
-An upsert is a union of the stored and the new rows and one aggregate per key.
-Against a full outer join it needs one exchange instead of two, reduces every
-task's rows before the exchange, and applies several updates of one key in
-their order.
+Updates are reduced to one row per key before they are joined, map-side, so a
+key that is updated very often costs one row per task.  Stored tables hold each
+key once; the joins are therefore one to one.
 """
 
 from __future__ import annotations
@@ -14,39 +13,31 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.dedup import orderable
+from tidemill.operators.dedup import latest_per_key, orderable
 from tidemill.sinks.tables import replace_slice
 
 BUCKET = "key_bucket"
-SIDE = "is_update"
 
 # Up to this many touched slices are listed in the scan's filter.
 LISTED_SLICES = 10_000
 
 
-def last_written(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], whole: Sequence[str] = ()
-) -> DataFrame:
+def last_written(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, field by field: the last value that is not NULL.
 
-    The fields in ``whole`` come from the last row as it is, NULL included.
-    Rows without a key are left out.
+    Ties are broken by the values themselves.  Rows without a key are left out.
     """
     comparable = set(orderable(rows))
 
-    def rank(*ties: str) -> Column:
-        """The order, ties broken by the values themselves."""
-        return F.struct(*order, *[F.col(c).alias(f"tie_{c}") for c in ties if c in comparable])
+    def last(name: str) -> Column:
+        tie = [F.col(name).alias("tie")] if name in comparable else []
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order, *tie))).alias(name)
 
-    aggregates = []
-    if whole:
-        aggregates.append(F.max_by(F.struct(*whole), rank(*whole)).alias("last_row"))
-    single = [c for c in rows.columns if c not in keys and c not in whole]
-    aggregates += [F.max_by(c, F.when(F.col(c).isNotNull(), rank(c))).alias(c) for c in single]
-    if not aggregates:
-        return rows.where(_has_key(keys)).select(*keys).distinct()
-    out = rows.where(_has_key(keys)).groupBy(*keys).agg(*aggregates)
-    return out.select(*[F.col(f"last_row.{c}").alias(c) if c in whole else F.col(c) for c in rows.columns])
+    fields = [c for c in rows.columns if c not in keys]
+    keyed = rows.where(_has_key(keys))
+    if not fields:
+        return keyed.select(*keys).distinct()
+    return keyed.groupBy(*keys).agg(*[last(c) for c in fields]).select(*rows.columns)
 
 
 def upsert(
@@ -59,18 +50,39 @@ def upsert(
 ) -> DataFrame:
     """Field-wise last write wins; updates of one key apply in ``order``.
 
+    Without ``order`` the updates hold each key once, as ``base`` does.
+
     By default a NULL in an update leaves the stored value alone, as when NULL
     fields are not sent.  With ``null_overwrites`` every field that the update
     frame has replaces the stored one.  Fields only one side has are kept.
     An update beats the stored row, unless ``newest_wins``: then ``order``
     decides between them too, so a late update does not undo a newer row.
     """
-    both = base.withColumn(SIDE, F.lit(0)).unionByName(
-        updates.withColumn(SIDE, F.lit(1)), allowMissingColumns=True
-    )
-    rank = [*order, SIDE] if newest_wins else [SIDE, *order]
-    whole = [c for c in updates.columns if c not in keys] if null_overwrites else []
-    return last_written(both, keys, rank, whole).drop(SIDE)
+    fields = [c for c in updates.columns if c not in keys]
+    fresh = updates.where(_has_key(keys))
+    if order:
+        reduce = latest_per_key if null_overwrites else last_written
+        fresh = reduce(fresh, keys, order)
+    fresh = fresh.withColumn("is_update", F.lit(True)).alias("u")
+    joined = base.where(_has_key(keys)).alias("b").join(fresh, list(keys), "full_outer")
+
+    first = F.col("is_update")  # whether the update's value goes before the stored one
+    if newest_wins:
+        sides = [F.struct(*[F.col(f"{side}.{c}") for c in order]) for side in "ub"]
+        first = first & (sides[0] >= sides[1])
+
+    def field(name: str) -> Column:
+        if name not in updates.columns:
+            return F.col(f"b.{name}")
+        if name not in base.columns:
+            return F.col(f"u.{name}")
+        new, old = F.col(f"u.{name}"), F.col(f"b.{name}")
+        if null_overwrites:
+            return F.when(first, new).otherwise(old)
+        return F.when(first, F.coalesce(new, old)).otherwise(F.coalesce(old, new))
+
+    names = [*base.columns, *[c for c in fields if c not in base.columns]]
+    return joined.select(*[F.col(c) if c in keys else field(c).alias(c) for c in names])
 
 
 def insert_absent(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

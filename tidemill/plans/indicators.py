@@ -13,6 +13,7 @@ from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.ranking import global_rank, top
 from tidemill.operators.series import return_pct
 from tidemill.schemas import INDICATORS
+from tidemill.sources.tables import among
 
 # Income floors (per-capita USD), digital readiness, score weights, panel start.
 INCOME_FLOORS = [(12696, "High income"), (4096, "Upper-middle income"), (1046, "Lower-middle income")]
@@ -144,8 +145,8 @@ def scorecard(mart: DataFrame) -> DataFrame:
     ).orderBy(F.col("health_score").desc_nulls_last(), "country_name")
 
 
-def gdp_trend(stg: DataFrame, countries: Sequence[str], first_year: int = 2000) -> DataFrame:
-    chosen = stg.where(F.col("country_code").isin(list(countries)) & (F.col("year") >= first_year))
+def gdp_trend(stg: DataFrame, countries: Sequence[str] | DataFrame, first_year: int = 2000) -> DataFrame:
+    chosen = among(stg.where(F.col("year") >= first_year), "country_code", countries)
     return chosen.select(
         "country_name", "year",
         F.round(F.col("gdp_usd") / F.lit(1e9), 2).alias("gdp_billion_usd"),

@@ -97,6 +97,13 @@ def find(
     return df.select(*names)
 
 
+def among(df: DataFrame, column: str, keys: Sequence | DataFrame) -> DataFrame:
+    """IN: a short list becomes a pushed filter, a frame of keys a semi join."""
+    if isinstance(keys, DataFrame):
+        return df.join(keys.select(column), column, "left_semi")
+    return df.where(F.col(column).isin(list(keys)))
+
+
 def key_history(
     df: DataFrame, key_col: str, key, time_col: str, start: Column, limit: int | None = None
 ) -> DataFrame:
