@@ -120,8 +120,9 @@ def merge_into(
     ``slice_by`` names a folder column that every update carries and that a key
     never changes (such as the creation date): a batch then rewrites the few
     slices it touches.  Without it the table is split by a hash of the key,
-    which suits small serving tables.  Writing the same updates again gives the
-    same table, so a replayed micro-batch does no harm.
+    which suits small serving tables.  Every write carries the columns of the
+    table (``conform`` adds missing ones).  Writing the same updates again gives
+    the same table, so a replayed micro-batch does no harm.
     """
     if slice_by is None:
         updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
