@@ -12,6 +12,8 @@ def test_same_rows_as_sql(spark, db, sf, name):
     sql = oracle_sql()[name]
     problems = oracle.differences(oracle.spark_rows(df), oracle.sql_rows(db, sql))
     assert problems + oracle.type_differences(df, db, sql) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_entry_has_rows(spark):
