@@ -185,6 +185,9 @@ def test_reading_job_runs_and_restarts(spark, tmp_path):
     raw = spark.read.parquet(f"{folder}/raw")
     assert raw.count() == 15 and raw.select("batch_id").distinct().count() == 2
     assert jobs.final_windows(spark, folder).count() == 3
+    assert jobs.settle_windows(spark, folder, START.date()) == 3
+    settled = spark.read.parquet(f"{folder}/settled_windows").drop("window_date")
+    assert settled.exceptAll(jobs.final_windows(spark, folder)).isEmpty()
     assert jobs.check_readings(raw.withColumn("humidity_pct", F.lit(1.0)), "2024-01-01 00:30:00")["verdict"] == "ok"
 
 
@@ -202,6 +205,26 @@ def test_window_post_and_price_jobs(spark, tmp_path):
     assert jobs.settle_prices(spark, str(tmp_path / "prices"), START.date()) == 1
 
 
+def test_daily_refresh_equals_the_whole_table(spark, sf, tmp_path):
+    from tidemill.plans import posts as posts_plan
+    from tidemill.plans import readings as readings_plan
+    from tidemill.registered.base import AS_OF, LEXICON, POSTS, READINGS
+
+    stored, path = READINGS.df(spark, sf), str(tmp_path / "hours")
+    scored, days = posts_plan.score_posts(POSTS.df(spark, sf), LEXICON).cache(), str(tmp_path / "days")
+    for n in (3, 4, 4):  # a day may be refreshed again
+        jobs.refresh_sensor_hours(stored, path, dt.date(2024, 1, n))
+        jobs.refresh_forum_day(scored, days, dt.date(2024, 1, n))
+    whole = readings_plan.hourly_aggregates(stored, AS_OF, days=31).where(
+        "to_date(hour_bucket) IN (DATE '2024-01-03', DATE '2024-01-04')"
+    )
+    hours = spark.read.parquet(path).drop("event_date")
+    assert hours.count() == whole.count() and hours.exceptAll(whole).isEmpty()
+    whole = posts_plan.daily_aggregates(scored, AS_OF).where("post_date IN (DATE '2024-01-03', DATE '2024-01-04')")
+    kept = spark.read.parquet(days).select(whole.columns)
+    assert kept.count() == whole.count() and kept.exceptAll(whole).isEmpty()
+
+
 def test_batch_jobs(spark, tmp_path):
     day, lake = dt.date(2024, 1, 31), str(tmp_path / "lake")
     send(tmp_path / "repos", "1.txt", [{"repo_id": 1, "stars": 3, "forks": 1, "watchers": 1, "created_at": "2024-01-01"}])

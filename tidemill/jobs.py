@@ -86,9 +86,40 @@ def settle_prices(spark: SparkSession, folder: str, day: dt.date) -> int:
 # -- batches ------------------------------------------------------------------
 
 
-def final_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """The windows of all stored batches, their states merged."""
-    return readings.windows_of_states(spark.read.parquet(f"{folder}/windows"), scale=ReadingBatches.scale)
+def final_windows(spark: SparkSession, folder: str, day: dt.date | None = None) -> DataFrame:
+    """The windows of all stored batches (of one day), their states merged."""
+    states = spark.read.parquet(f"{folder}/windows")
+    if day is not None:
+        states = states.where(F.col("window_date") == F.lit(day))
+    return readings.windows_of_states(states, scale=ReadingBatches.scale)
+
+
+def settle_windows(spark: SparkSession, folder: str, day: dt.date) -> int:
+    """A day's merged windows as one slice, so that reports need not merge states."""
+    windows = final_windows(spark, folder, day).withColumn("window_date", F.lit(day))
+    path = f"{folder}/settled_windows"
+    return counted(
+        lambda seen: replace_slice(windows, path, ["window_date"], ["city", "window_start"], one_slice=True, seen=seen)
+    )["rows"]
+
+
+def refresh_sensor_hours(stored: DataFrame, path: str, day: dt.date) -> int:
+    """The day's slice of the hourly dashboard table, instead of rebuilding all of it."""
+    end = dt.datetime.combine(day + dt.timedelta(days=1), dt.time())
+    hours = readings.hourly_aggregates(stored.where(F.col("event_time") < clock(end)), end, days=1)
+    hours = hours.withColumn("event_date", F.lit(day))
+    return counted(
+        lambda seen: replace_slice(hours, path, ["event_date"], ["city", "hour_bucket"], one_slice=True, seen=seen)
+    )["rows"]
+
+
+def refresh_forum_day(stored: DataFrame, path: str, day: dt.date) -> int:
+    """The day's slice of the forum dashboard table."""
+    end = dt.datetime.combine(day + dt.timedelta(days=1), dt.time())
+    rows = posts.daily_aggregates(stored.where(F.col("created_utc") < clock(end)), day, days=0)
+    return counted(
+        lambda seen: replace_slice(rows, path, ["post_date"], ["subreddit"], one_slice=True, seen=seen)
+    )["rows"]
 
 
 def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:

@@ -89,7 +89,8 @@ class ReadingBatches:
 
     One aggregate pass answers the emptiness test, the gate and the statistics;
     the batch is kept in memory or on local disk between the passes.  A batch
-    below the gate goes to quarantine instead of being lost.
+    below the gate goes to quarantine instead of being lost.  Tables are split
+    by day, then batch: reports read days, a replay replaces its batch.
     """
 
     raw: str
@@ -114,10 +115,12 @@ class ReadingBatches:
             anomaly = outlier(
                 "temperature_c", F.lit(stats["mean"]), F.lit(stats["std"]).cast("double"), ANOMALY_LIMIT
             )
-            flagged = rows.withColumn("is_anomaly", anomaly)
-            replace_slice(flagged, self.raw, ["batch_id"], ["event_time"], one_slice=True)
-            state = window_state(rows, scale=self.scale).withColumn("batch_id", F.lit(batch_id))
-            replace_slice(state, self.windows, ["batch_id"], one_slice=True)
+            flagged = rows.withColumns({"is_anomaly": anomaly, "event_date": F.to_date("event_time")})
+            replace_slice(flagged, self.raw, ["event_date", "batch_id"], ["sensor_id", "event_time"])
+            state = window_state(rows, scale=self.scale).withColumns(
+                {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id)}
+            )
+            replace_slice(state, self.windows, ["window_date", "batch_id"])
 
 
 @dataclass(frozen=True)
