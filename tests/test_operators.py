@@ -14,7 +14,8 @@ from tidemill.operators.series import with_prior_period
 from tidemill.plans import indicators, loads, prices, readings
 from tidemill.plans.repositories import repository_features
 from tidemill.sinks.tables import (
-    Target, conform, counted, duplicate_keys, publish_layers, replace_slice, upper_names, write_files,
+    Target, conform, counted, duplicate_keys, publish_layers, replace_slice, retained,
+    upper_names, write_files,
 )
 from tidemill.sources.logs import Log, bounded_options, stream_options
 from tidemill.sources.tables import among, increment, key_history, oldest
@@ -217,6 +218,32 @@ def test_lag_is_previous_row_and_calendar_lag_is_not(spark, rows):
     assert rows(prior, "year", "before") == [(2000, None), (2002, None), (2003, 150.0), (2004, 0.0)]
 
 
+@pytest.mark.parametrize(("share", "ready"), [(60.0, True), (59.99, False), (None, False)])
+def test_digital_ready_bound(spark, share, ready):
+    long = spark.createDataFrame(
+        [("A", "n", "internet_users_pct", 2000, share), ("A", "n", "gdp_current_usd", 2000, 1.0)],
+        "country_code STRING, country_name STRING, indicator_name STRING, year INT, value DOUBLE",
+    )
+    assert indicators.panel(long, dt.date(2005, 1, 1), "2005-01-01").first()["is_digital_ready"] is ready
+
+
+def test_two_events_of_one_time_have_one_survivor(spark, rows):
+    when = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame(
+        [("x", when, 2.0, "b"), ("x", when, 2.0, "a"), ("x", when, 1.0, "c")],
+        "coin_id STRING, event_time TIMESTAMP_NTZ, current_price_usd DOUBLE, symbol STRING",
+    )
+    assert rows(prices.latest_view(events), "coin_id", "symbol") == [("x", "b")]
+
+
+def test_rows_past_their_time_to_live_are_dropped(spark, rows):
+    now = dt.datetime(2024, 1, 31)
+    events = spark.createDataFrame(
+        [(1, now - dt.timedelta(days=30)), (2, now - dt.timedelta(days=30, seconds=1))], "id INT, t TIMESTAMP_NTZ"
+    )
+    assert rows(retained(events, "t", now), "id") == [(1,)]
+
+
 def test_pivot_takes_the_latest_copy_and_drops_null(spark):
     long = spark.createDataFrame(
         [("A", "n", "gdp_current_usd", 2000, 1.0, "1"), ("A", "n", "gdp_current_usd", 2000, 2.0, "2"),

@@ -41,7 +41,8 @@ def _features_sql(rate: str) -> str:
     return f"""
     SELECT repo_id, repo_name, lower(trim(language)) AS language, stars, forks, watchers,
            coalesce(license, 'UNLICENSED') AS license, TRY_CAST(created_at AS TIMESTAMP) AS created_at,
-           CAST(coalesce(date_diff('day', TRY_CAST(created_at AS DATE), DATE '2024-01-31'), -1) AS INT) AS repo_age_days,
+           CAST(coalesce(date_diff('day', TRY_CAST(created_at AS DATE), DATE '2024-01-31'), -1) AS INT)
+               AS repo_age_days,
            {rounded('CAST(stars AS DOUBLE) * CAST(0.5 AS DOUBLE) + CAST(forks AS DOUBLE) * CAST(0.3 AS DOUBLE)'
                     ' + CAST(watchers AS DOUBLE) * CAST(0.2 AS DOUBLE)', 2)} AS activity_score,
            {rate} AS stars_per_day, DATE '2024-01-31' AS batch_date

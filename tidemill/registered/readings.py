@@ -237,6 +237,7 @@ def _text(flag):
 
 _TWO_DAYS = f"event_time >= {NOW} - INTERVAL 48 HOUR"
 
+# The cap is the operator here: the oldest rows up to a number per run.
 _add(
     "unsynced_increment_oldest_first",
     lambda spark, sf: increment(

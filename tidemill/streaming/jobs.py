@@ -113,7 +113,7 @@ class ReadingBatches:
                 replace_slice(rows, self.quarantine, ["batch_id"], one_slice=True)
                 return
             anomaly = outlier(
-                "temperature_c", F.lit(stats["mean"]), F.lit(stats["std"]).cast("double"), ANOMALY_LIMIT
+                "temperature_c", F.lit(stats["mean"]).cast("double"), F.lit(stats["std"]).cast("double"), ANOMALY_LIMIT
             )
             flagged = rows.withColumns({"is_anomaly": anomaly, "event_date": F.to_date("event_time")})
             replace_slice(flagged, self.raw, ["event_date", "batch_id"], ["sensor_id", "event_time"])
