@@ -144,12 +144,17 @@ def test_sentiment_edges(spark):
     assert out[4]["sentiment_label"] == "negative"
 
 
+def lexicon_table(spark, words):
+    rows = [(word, valence, polarity) for word, (valence, polarity) in words.items()]
+    return spark.createDataFrame(rows, "word STRING, valence DOUBLE, polarity DOUBLE")
+
+
 def test_both_lexicon_forms_agree(spark, sf):
     from tidemill.registered.base import LEXICON as words
     from tidemill.registered.base import POSTS
 
     df = POSTS.df(spark, sf).select("post_id", "title", "body")
-    table = spark.createDataFrame([(w, v, p) for w, (v, p) in words.items()], "word STRING, valence DOUBLE, polarity DOUBLE")
+    table = lexicon_table(spark, words)
     inline = text.with_sentiment(df, words).drop("title", "body")
     joined = text.with_sentiment_table(df, table, "post_id").drop("title", "body")
     assert inline.exceptAll(joined).isEmpty() and joined.exceptAll(inline).isEmpty()
@@ -160,7 +165,7 @@ def test_salted_lexicon_join_agrees(spark, sf, monkeypatch):
     from tidemill.registered.base import POSTS
 
     df = POSTS.df(spark, sf).select("post_id", "title", "body")
-    table = spark.createDataFrame([(w, v, p) for w, (v, p) in words.items()], "word STRING, valence DOUBLE, polarity DOUBLE")
+    table = lexicon_table(spark, words)
     monkeypatch.setattr(text, "BROADCAST_WORDS", 3)
     joined = text.with_sentiment_table(df, table, "post_id", salts=4)
     assert text.with_sentiment(df, words).exceptAll(joined).isEmpty()

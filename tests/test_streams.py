@@ -47,7 +47,8 @@ def test_windows_equal_batch_and_late_rows_are_dropped(spark, rows, tmp_path):
 
 
 def test_readings_without_sensor_or_json_are_rejected(spark):
-    log = spark.createDataFrame([(json.dumps(reading(1)),), (json.dumps(reading(1, sensor=None)),), ("{oops",)], "value STRING")
+    sent = [json.dumps(reading(1)), json.dumps(reading(1, sensor=None)), "{oops"]
+    log = spark.createDataFrame([(text,) for text in sent], "value STRING")
     assert decode_readings(log).count() == 1
 
 
@@ -127,7 +128,8 @@ def test_bodies_run_adaptively_behind_a_stateful_stream(spark, rows, tmp_path):
 
     def watched(batch, batch_id):
         with held(batch) as kept:
-            seen.append("AdaptiveSparkPlan" in kept.groupBy("coin_id").count()._jdf.queryExecution().executedPlan().toString())
+            plan = kept.groupBy("coin_id").count()._jdf.queryExecution().executedPlan().toString()
+            seen.append("AdaptiveSparkPlan" in plan)
         body(batch, batch_id)
 
     run(stream_dedup(stream, ["coin_id", "last_updated"], "event_time", "1 hour"), str(tmp_path / "cp"), body=watched)
@@ -146,7 +148,10 @@ def test_stream_dedup_over_batches(spark, tmp_path, spread):
     assert sorted(r["sensor_id"] for r in spark.read.parquet(out).collect()) == ["hot", "s1", "s2", "s3", "s4", "s5"]
 
 
-POST = "post_id STRING, subreddit STRING, title STRING, body STRING, score INT, flair STRING, created_utc TIMESTAMP, ingested_at TIMESTAMP"
+POST = """
+    post_id STRING, subreddit STRING, title STRING, body STRING, score INT, flair STRING,
+    created_utc TIMESTAMP, ingested_at TIMESTAMP
+"""
 LEXICON = {"good": (3.0, 0.7), "bad": (-2.5, -0.7)}
 
 
@@ -162,7 +167,8 @@ def test_post_upserts_by_field(spark, rows, tmp_path):
         body(update, 1)
     assert rows(spark.read.parquet(body.posts), "post_id", "title", "flair", "score") == [
         ("1", "bad", "x", 6), ("2", "bad", None, 1)]
-    assert rows(spark.read.parquet(body.sentiment), "post_id", "sentiment_label") == [("1", "neutral"), ("2", "negative")]
+    labels = rows(spark.read.parquet(body.sentiment), "post_id", "sentiment_label")
+    assert labels == [("1", "neutral"), ("2", "negative")]
 
 
 def test_late_price_does_not_replace_a_newer_one(spark, rows, tmp_path):
@@ -170,7 +176,10 @@ def test_late_price_does_not_replace_a_newer_one(spark, rows, tmp_path):
 
     body = PriceBatches(str(tmp_path / "series"), str(tmp_path / "latest"))
     for batch_id, (hours, price) in enumerate(((5, 10.0), (3, 7.0), (6, 11.0), (6, 11.0))):
-        base = spark.createDataFrame([("x", START + dt.timedelta(hours=hours), price)], "coin_id STRING, event_time TIMESTAMP, current_price_usd DOUBLE")
+        base = spark.createDataFrame(
+            [("x", START + dt.timedelta(hours=hours), price)],
+            "coin_id STRING, event_time TIMESTAMP, current_price_usd DOUBLE",
+        )
         extra = {c: F.lit(None).cast("string") for c in LATEST_FIELDS if c not in base.columns}
         body(base.withColumns(extra), batch_id)
     assert rows(spark.read.parquet(body.latest), "coin_id", "current_price_usd") == [("x", 11.0)]
@@ -197,7 +206,8 @@ def test_window_post_and_price_jobs(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "w/final_windows")).count() == 1
     created = START.isoformat() + "Z"
     send(tmp_path / "p", "1.txt", [{"post_id": "1", "title": "good", "created_utc": created}, {"title": "no id"}])
-    jobs.watch_posts(spark, Log(str(tmp_path / "p"), "text"), str(tmp_path / "posts"), LEXICON, every=None).awaitTermination()
+    sent = Log(str(tmp_path / "p"), "text")
+    jobs.watch_posts(spark, sent, str(tmp_path / "posts"), LEXICON, every=None).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "posts/sentiment")).first()["sentiment_label"] == "positive"
     send(tmp_path / "q", "1.txt", [{"coin_id": "x", "price_change_24h_pct": -10.0, "last_updated": created}])
     jobs.watch_prices(spark, Log(str(tmp_path / "q"), "text"), str(tmp_path / "prices"), every=None).awaitTermination()
@@ -227,7 +237,8 @@ def test_daily_refresh_equals_the_whole_table(spark, sf, tmp_path):
 
 def test_batch_jobs(spark, tmp_path):
     day, lake = dt.date(2024, 1, 31), str(tmp_path / "lake")
-    send(tmp_path / "repos", "1.txt", [{"repo_id": 1, "stars": 3, "forks": 1, "watchers": 1, "created_at": "2024-01-01"}])
+    repo = {"repo_id": 1, "stars": 3, "forks": 1, "watchers": 1, "created_at": "2024-01-01"}
+    send(tmp_path / "repos", "1.txt", [repo])
     send(tmp_path / "days", "1.txt", [{"city": "c", "date": "2024-01-30", "temp_max_c": 3.0, "temp_min_c": 1.0}])
     send(tmp_path / "ind", "1.txt", [
         {"country_code": "a", "country_name": "x", "indicator_name": "gdp_current_usd", "year": y, "value": v}
@@ -241,6 +252,7 @@ def test_batch_jobs(spark, tmp_path):
     mart = jobs.build_economy_mart(spark, lake, day).first()
     assert (mart["country_code"], mart["gdp_billion_usd"], mart["gdp_yoy_change_pct"]) == ("A", 2.0, 100.0)
     send(tmp_path / "ohlc", "1.txt", [
-        {"coin_id": "x", "candle_date": f"2024-01-0{i}", "open": 1.0, "high": 2.0, "low": 1.0, "close": float(i)} for i in range(3)])
+        {"coin_id": "x", "candle_date": f"2024-01-0{i}", "open": 1.0, "high": 2.0, "low": 1.0, "close": float(i)}
+        for i in range(3)])
     target = Target.folder(str(tmp_path / "candles"))
     assert jobs.load_candles(spark, Log(str(tmp_path / "ohlc"), "text"), target, day) == 2
