@@ -185,9 +185,16 @@ _add(
 
 
 
-def _vowel_share(texts):
-    """A vectorised scorer as a caller would bring it: share of vowels minus one half."""
-    return texts.str.count("[aeiou]") / texts.str.len() - 0.5
+def _scorer():
+    """A vectorised scorer as a caller would bring it: share of vowels minus one half.
+
+    A nested function travels to the workers by value, so they need no package.
+    """
+
+    def vowel_share(texts):
+        return texts.str.count("[aeiou]") / texts.str.len() - 0.5
+
+    return vowel_share
 
 
 _VOWELS = (
@@ -195,7 +202,7 @@ _VOWELS = (
 )
 _add(
     "post_sentiment_from_external_scorer",
-    lambda spark, sf: text_fn.with_external_sentiment(POSTS.df(spark, sf), _vowel_share).select(
+    lambda spark, sf: text_fn.with_external_sentiment(POSTS.df(spark, sf), _scorer()).select(
         "post_id", "sentiment_score", "sentiment_label"
     ),
     f"""
