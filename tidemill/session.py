@@ -23,6 +23,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
