@@ -3,7 +3,7 @@
 import pathlib
 import re
 
-from __spark_entry__ import queries
+from tidemill.registered import QUERIES
 
 TEXT = (pathlib.Path(__file__).parent.parent / "README.md").read_text()
 
@@ -11,7 +11,7 @@ TEXT = (pathlib.Path(__file__).parent.parent / "README.md").read_text()
 def test_inventory_matches_the_registered_queries():
     rows = [line.split("|") for line in TEXT.split("## Inventory")[1].split("## Choices")[0].splitlines()]
     named = {name for row in rows if len(row) > 3 for name in re.findall(r"`(\w+)`", row[3])}
-    assert named == set(queries())
+    assert named == set(QUERIES)
 
 
 def test_every_inventory_id_is_listed():
