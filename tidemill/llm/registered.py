@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact, sharding
+from tidemill.llm import exact, records, sharding, tokens
+from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +25,23 @@ def sharding_query(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded(_documents(spark, sf))
 
 
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact histogram of encoded lengths, each length as a context limit."""
+    lengths = tokens.encoded_lengths(
+        _documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return tokens.limits(tokens.length_histogram(lengths))
+
+
+def binary_records(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark, "records")
+    index = records.write_records(_documents(spark, sf), folder, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return records.record_digests(index, folder)
+
+
 QUERIES: dict[str, Query] = {
+    "op6_token_counts": token_counts,
+    "op7_binary_records": binary_records,
     "op8_exact_dedup": exact_dedup,
     "op9_sharding": sharding_query,
 }
