@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import exact, records, sharding, tokens
+from tidemill.llm import exact, langid, quality, records, secrets, sharding, tokens
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,31 @@ def sharding_query(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded(_documents(spark, sf))
 
 
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Learns from three of four parts of the documents, predicts all."""
+    docs = _documents(spark, sf)
+    prototypes = langid.learn(docs.where(langid.part_of(F.col("doc_id"), 4) != 2))
+    found = langid.predict(docs, prototypes)
+    return found.select("doc_id", (langid.part_of(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Learns from two of three parts of the labels, scores all documents."""
+    docs, labels = _documents(spark, sf), _labels(spark, sf)
+    model = quality.learn(docs, labels.where(langid.part_of(F.col("doc_id"), 3) != 1))
+    found = quality.score(docs, model, keep=[docs["doc_id"]])
+    held_out = langid.part_of(F.col("row.doc_id"), 3) == 1
+    return found.select("row.doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.span_digests(secrets.scan(_documents(spark, sf)))
+
+
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The exact histogram of encoded lengths, each length as a context limit."""
     lengths = tokens.encoded_lengths(
@@ -40,6 +65,9 @@ def binary_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": language_id,
+    "op2_quality_classifier": quality_classifier,
+    "op4_secret_scans": secret_scan,
     "op6_token_counts": token_counts,
     "op7_binary_records": binary_records,
     "op8_exact_dedup": exact_dedup,
