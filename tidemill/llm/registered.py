@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import exact, langid, quality, records, secrets, sharding, tokens
+from tidemill.llm import bpe, exact, langid, quality, records, secrets, sharding, tokens
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("row.doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.decoded(bpe.encoded(_documents(spark, sf), path), path))
+
+
 def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.span_digests(secrets.scan(_documents(spark, sf)))
 
@@ -67,6 +72,7 @@ def binary_records(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id,
     "op2_quality_classifier": quality_classifier,
+    "op3_bpe_round_trip": bpe_round_trip,
     "op4_secret_scans": secret_scan,
     "op6_token_counts": token_counts,
     "op7_binary_records": binary_records,
