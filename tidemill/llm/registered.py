@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, exact, langid, quality, records, secrets, sharding, tokens
+from tidemill.llm import bpe, exact, jaccard, langid, quality, records, secrets, sharding, tokens
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.span_digests(secrets.scan(_documents(spark, sf)))
 
 
+def jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.similar_groups(_documents(spark, sf), n=3, percent=90)
+
+
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The exact histogram of encoded lengths, each length as a context limit."""
     lengths = tokens.encoded_lengths(
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": quality_classifier,
     "op3_bpe_round_trip": bpe_round_trip,
     "op4_secret_scans": secret_scan,
+    "op5_jaccard_join": jaccard_join,
     "op6_token_counts": token_counts,
     "op7_binary_records": binary_records,
     "op8_exact_dedup": exact_dedup,
