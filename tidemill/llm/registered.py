@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, exact, jaccard, langid, quality, records, secrets, sharding, tokens
+from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, quality, records, secrets, sharding, tokens
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def binary_records(spark: SparkSession, sf: str) -> DataFrame:
     return records.record_digests(index, folder)
 
 
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id,
     "op2_quality_classifier": quality_classifier,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op7_binary_records": binary_records,
     "op8_exact_dedup": exact_dedup,
     "op9_sharding": sharding_query,
+    "op10_decontamination": decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
