@@ -233,3 +233,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[Column]
 
     kind = StructType([given.schema["row"], StructField("score", DoubleType()), StructField("predicted", IntegerType())])
     return given.mapInArrow(judge, kind)
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows that are predicted 1, with all their columns."""
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(model.bits)
+        for batch in batches:
+            margins = model.margins(*features.of(batch.column(at).to_pylist()))
+            yield batch.filter(pa.array(margins >= 0))
+
+    return docs.mapInArrow(keep, docs.schema)
