@@ -1,20 +1,51 @@
-"""From raw documents to token counts in stages; each reads what the one before it wrote."""
+"""From raw documents to token counts in stages; each reads what the one before it wrote.
+
+A stage takes (spark, docs, sf_dir).  All but the last return rows of ``docs`` with all
+their columns; the last returns one row per document that is left.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact
+from tidemill.llm import bpe, decontaminate, exact, jaccard, quality
 from tidemill.session import new_folder
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, taught by all labels, accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.accepted(docs, quality.learn(docs, labels))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays."""
+    """Of texts that are equal but for white space one row stays."""
     return exact.without_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8 the least id stays."""
+    return jaccard.without_similar(docs, n=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what is left."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.decoded(bpe.encoded(docs, path), path))
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("bpe_round_trip", bpe_round_trip),
 ]
 
 # The first and the last stage are no SQL; tests hold run() against a brute-force version.
