@@ -160,23 +160,48 @@ def test_both_lexicon_forms_agree(spark, sf):
     assert inline.exceptAll(joined).isEmpty() and joined.exceptAll(inline).isEmpty()
 
 
-def test_salted_lexicon_join_agrees(spark, sf, monkeypatch):
+def test_salted_lexicon_join_agrees(spark, sf):
     from tidemill.registered.base import LEXICON as words
     from tidemill.registered.base import POSTS
 
     df = POSTS.df(spark, sf).select("post_id", "title", "body")
     table = lexicon_table(spark, words)
-    monkeypatch.setattr(text, "BROADCAST_WORDS", 3)
     joined = text.with_sentiment_table(df, table, "post_id", salts=4)
     assert text.with_sentiment(df, words).exceptAll(joined).isEmpty()
 
 
+def test_empty_and_large_lexicons(spark):
+    df = spark.createDataFrame([("1", "good", "w7 w19999 x")], "post_id STRING, title STRING, body STRING")
+    assert text.with_sentiment(df, {}).first()["sentiment_label"] == "neutral"
+    large = {f"w{i}": (1.0, 0.5) for i in range(30_000)}
+    assert text.with_sentiment(df, large).first()["polarity_score"] == 0.5
+
+
+@pytest.mark.parametrize(
+    ("values", "total", "mean"),
+    [
+        ([0.004, 0.004], 0.008, 0.004), ([0.285, 0.285, 0.28499], 0.85499, 0.85499 / 3), ([1e13, 1e13, 0.00001], 2e13 + 0.00001, None),
+        ([9e11] * 300, 2.7e14, 9e11), ([1e300, 1.0], 1e300, 5e299), ([], None, None), ([None], None, None), ([7.25] * 9, 65.25, 7.25),
+    ],
+)
+def test_sums_and_means_are_exact(spark, values, total, mean):
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(3)
+    got = df.agg(numeric.total("x").alias("t"), numeric.mean("x").alias("m")).first()
+    assert got["t"] == total and (mean is None or got["m"] == mean)
+
+
+def test_nan_stays_nan(spark):
+    df = spark.createDataFrame([(float("nan"),), (2.0,)], "x DOUBLE")
+    got = df.agg(numeric.total("x").alias("t"), numeric.mean("x").alias("m")).first()
+    assert got["t"] != got["t"] and got["m"] != got["m"]
+
+
 def test_sum_does_not_depend_on_order(spark):
     values = [0.1, 0.2, 0.3, 1e9, 0.07] * 50
     both = []
     for order in (values, values[::-1]):
         df = spark.createDataFrame([(v,) for v in order], "x DOUBLE").repartition(5)
-        both.append(tuple(df.agg(numeric.total("x", 2), numeric.mean("x", 2)).first()))
+        both.append(tuple(df.agg(numeric.total("x"), numeric.mean("x")).first()))
     assert both[0] == both[1]
 
 

@@ -10,7 +10,7 @@ from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.merge import insert_absent, last_written, mark, merge_into, upsert
 from tidemill.operators.ranking import global_rank
 from tidemill.operators.rollups import metric_rows, union_all
-from tidemill.operators.series import with_prior_period
+from tidemill.operators.series import prior_period
 from tidemill.plans import indicators, loads, prices, readings
 from tidemill.plans.repositories import repository_features
 from tidemill.sinks.tables import (
@@ -121,10 +121,36 @@ def test_merge_after_an_empty_first_batch(spark, rows, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "k", "v") == [(1, "a")]
 
 
+def test_a_key_stays_in_its_slice(spark, rows, tmp_path):
+    path, kind = str(tmp_path / "t"), "k STRING, v INT, d DATE"
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    merge_into(spark, path, spark.createDataFrame([("a", 1, days[0]), ("b", 1, None)], kind), ["k"], ["v"], slice_by="d")
+    later = [("a", 2, None), ("b", 2, days[1]), ("c", 2, days[1]), (None, 2, days[1])]
+    merge_into(spark, path, spark.createDataFrame(later, kind), ["k"], ["v"], slice_by="d")
+    assert rows(spark.read.parquet(path), "k", "v", "d") == [("a", 2, days[0]), ("b", 2, None), ("c", 2, days[1])]
+
+
+def test_cap_keeps_rows_without_a_time(spark, rows):
+    df = spark.createDataFrame([(1, None), (2, dt.datetime(2024, 1, 1, 5)), (3, dt.datetime(2024, 1, 1, 2))], "k INT, t TIMESTAMP_NTZ")
+    assert [r.k for r in increment(df, "t", "k", cap=2).collect()] == [1, 3]
+    assert [r.k for r in increment(df, "t", "k", cap=1).collect()] == [1]
+    assert [r.k for r in increment(df, "t", "k", cap=9).collect()] == [1, 3, 2]
+
+
+def test_contract_rejects_and_strict_mode(spark, rows):
+    df = spark.createDataFrame([("1", "x"), ("y", None), (None, "2")], "a STRING, b STRING")
+    out = conform(df, "a INT, b INT, c INT", rejects=True)
+    assert rows(out) == [(1, None, None, ["b"]), (None, 2, None, []), (None, None, None, ["a"])]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(df, "a INT", strict=True).collect()
+
+
 def test_insert_absent_and_mark(spark, rows):
     base = spark.createDataFrame([(1, None), (2, False), (3, True)], "k INT, synced BOOLEAN")
     new = spark.createDataFrame([(2, True), (7, None)], "k INT, synced BOOLEAN")
     assert rows(insert_absent(base, new, ["k"])) == [(7, None)]
+    many = spark.createDataFrame([(8, 3), (8, 2), (None, 4), (1, 5)], "k INT, n INT")
+    assert rows(insert_absent(base, many, ["k"], ["n"])) == [(8, 2)]
     done = spark.createDataFrame([(1,), (1,)], "k INT")
     assert rows(mark(base, done, ["k"])) == [(1, True), (2, False), (3, True)]
 
@@ -160,7 +186,7 @@ def test_states_merge_to_one_pass(spark, rows, data):
         {"city": F.lit("c"), "humidity_pct": F.col("temperature_c") / 2, "precipitation_mm": F.lit(0.1)}
     )
     states = union_all(*[readings.window_state(df.where(f"b = {b}")) for b in range(3)])
-    assert rows(readings.windows_of_states(states)) == rows(readings.five_minute_windows(df, scale=2))
+    assert rows(readings.windows_of_states(states)) == rows(readings.five_minute_windows(df))
 
 
 def test_reading_on_a_window_boundary(spark):
@@ -200,7 +226,7 @@ def test_constant_series(spark):
     ([20] * 8 + [10] * 8, []),
 ])
 def test_golden_cross_days(spark, closes, signals):
-    out = prices.technical_indicators(candles(spark, closes), day(60), scale=2)
+    out = prices.technical_indicators(candles(spark, closes), day(60))
     crosses = out.where("golden_cross").orderBy("candle_date").collect()
     assert [r["candle_date"] for r in crosses] == [day(i) for i in signals]
 
@@ -209,7 +235,7 @@ def test_golden_cross_days(spark, closes, signals):
 @given(st.lists(st.integers(1, 10000), min_size=1, max_size=45))
 def test_moving_average_by_brute_force(spark, cents):
     closes = [c / 100 for c in cents]
-    out = prices.technical_indicators(candles(spark, closes), day(60), scale=2).orderBy("candle_date").collect()
+    out = prices.technical_indicators(candles(spark, closes), day(60)).orderBy("candle_date").collect()
     for i, row in enumerate(out):
         for name, n in (("ma_7d", 7), ("ma_30d", 30)):
             part = cents[max(0, i - n + 1): i + 1]
@@ -225,7 +251,7 @@ def test_lag_is_previous_row_and_calendar_lag_is_not(spark, rows):
     assert [r["gdp_yoy_growth_calc"] for r in out] == [None, 50.0, -100.0, None]
     assert {r["income_group"] for r in out} == {"Low income"} and not any(r["is_digital_ready"] for r in out)
     wide = indicators.widen(long).select("country_code", "year", "gdp_current_usd")
-    prior = with_prior_period(wide, "country_code", "year", "gdp_current_usd", "before")
+    prior = wide.withColumn("before", prior_period("gdp_current_usd", "country_code", "year"))
     assert rows(prior, "year", "before") == [(2000, None), (2002, None), (2003, 150.0), (2004, 0.0)]
 
 
@@ -273,7 +299,7 @@ def test_pivot_takes_the_latest_copy_and_drops_null(spark):
        st.booleans())
 def test_global_rank_by_brute_force(spark, data, split):
     df = spark.createDataFrame([(i, v, w) for i, (v, w) in enumerate(data)], "i INT, v INT, w INT")
-    out = global_rank(df, "v", dense="d", rank="r", weight="w", one_task_rows=0 if split else 10**6)
+    out = global_rank(df, "v", dense="d", rank="r", weight="w")
     key = lambda v: float("-inf") if v is None else v
     for row in out.collect():
         above = [(v, w) for v, w in data if key(v) > key(row["v"])]
@@ -285,7 +311,7 @@ def test_split_rank_at_size(spark):
     """Many distinct values and one value with a third of the rows."""
     value = F.when(F.col("id") % 3 == 0, 777).otherwise(F.col("id") * 7919 % 50021)
     df = spark.range(60000).select("id", value.alias("v"))
-    got = global_rank(df, "v", dense="d", rank="r", one_task_rows=100)
+    got = global_rank(df, "v", dense="d", rank="r")
     want = spark.sql(
         "SELECT id, v, dense_rank() OVER (ORDER BY v DESC) d, rank() OVER (ORDER BY v DESC) r FROM {df}", df=df
     )

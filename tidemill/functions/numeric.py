@@ -28,24 +28,32 @@ def change_pct(new: Column | str, old: Column | str, digits: int | None = None)
     return out if digits is None else F.round(out, digits)
 
 
-def total(c: Column | str, scale: int | None = None) -> Column:
-    """Sum; with ``scale`` the values are summed as integers of 10^-scale.
+def exact(c: Column | str) -> tuple[Column, Column]:
+    """A value as a decimal of 12 digits behind the point, and as a double where it is none.
 
-    A sum of doubles depends on the order in which partitions arrive, so a
-    retried task may change the last digits.  Integer sums do not, and stay in
-    generated code.
+    A sum of doubles depends on the order in which partitions arrive, so a retried task may
+    change the last digits.  Decimals add up exactly in any order; NaN, infinities and
+    values from 10^16 on remain doubles.
     """
     c = _col(c)
-    if scale is None:
-        return F.sum(c)
-    unit = F.lit(float(10**scale))
-    return F.sum(F.floor(c * unit + F.lit(0.5))).cast("double") / unit
+    fits = c.try_cast("decimal(28,12)")
+    return fits, F.when(fits.isNull(), c.cast("double"))
 
 
-def mean(c: Column | str, scale: int | None = None) -> Column:
-    """Average; with ``scale`` it is the order-free sum over the non-NULL count."""
-    c = _col(c)
-    return F.avg(c) if scale is None else F.try_divide(total(c, scale), F.count(c))
+def of_parts(fits: Column, rest: Column) -> Column:
+    """The double that sums of both parts make; NULL when both are."""
+    fits = fits.cast("double")
+    return F.coalesce(fits + rest, fits, rest)
+
+
+def total(c: Column | str) -> Column:
+    """Order-free sum as a double."""
+    return of_parts(*[F.sum(part) for part in exact(c)])
+
+
+def mean(c: Column | str) -> Column:
+    """The order-free sum over the count of values that are not NULL."""
+    return F.try_divide(total(c), F.count(_col(c)))
 
 
 def share_pct(condition: Column, digits: int | None = None) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill import schemas
+from tidemill.functions.text import excerpt
 
 REJECT = "_corrupt_record"
 
@@ -103,13 +104,14 @@ def indicator_rows(log: DataFrame) -> DataFrame:
     )
 
 
-def repository_rows(log: DataFrame, description_chars: int = 500) -> DataFrame:
-    """Repository API items with nested defaults, joined topics, short description."""
+def repository_rows(log: DataFrame, description_chars: int | None = None) -> DataFrame:
+    """Repository API items with nested defaults and joined topics; the description whole, or cut."""
     raw = decode(log, schemas.REPOSITORY_PAYLOAD)
+    description = F.coalesce("description", F.lit(""))
     return raw.select(
         F.col("id").alias("repo_id"),
         F.col("full_name").alias("repo_name"),
-        F.substring(F.coalesce("description", F.lit("")), 1, description_chars).alias("description"),
+        (description if description_chars is None else excerpt(description, description_chars)).alias("description"),
         F.col("stargazers_count").alias("stars"),
         F.col("forks_count").alias("forks"),
         F.col("watchers_count").alias("watchers"),

@@ -20,11 +20,6 @@ _UNREADABLE = r"[^\p{L}\p{N}_\s\p{Z}.,!?-]"
 _BLANKS = r"[\s\p{Z}]+"
 _NOT_A_TOKEN = r"[^\p{L}\p{N}']+"
 
-# Lexicons above this many words are joined instead of inlined in the plan.
-INLINE_WORDS = 20_000
-# Joined lexicons up to this many words are broadcast (a few MB).
-BROADCAST_WORDS = 500_000
-
 
 def clean(text: Column | str) -> Column:
     """Readable text: no placeholders, URLs or symbols, single blanks."""
@@ -70,11 +65,10 @@ def _by_weight(lexicon: Mapping[str, float]) -> dict[int, list[str]]:
 
 def _weight_of(token: Column, lexicon: Mapping[str, float]) -> Column:
     """Thousandths of a known token: one hashed set lookup per distinct weight."""
-    (weight, words), *rest = _by_weight(lexicon).items()
-    out = F.when(token.isin(words), F.lit(weight))
-    for weight, words in rest:
+    out = F
+    for weight, words in _by_weight(lexicon).items():
         out = out.when(token.isin(words), F.lit(weight))
-    return out.otherwise(F.lit(0)).cast("bigint")
+    return (F.lit(0) if out is F else out.otherwise(F.lit(0))).cast("bigint")
 
 
 def with_sentiment(
@@ -89,8 +83,6 @@ def with_sentiment(
     All scores come from one pass over the words, and are unfolded by a
     generator: a later filter on score or label does not score the text again.
     """
-    if len(lexicon) > INLINE_WORDS:
-        raise ValueError("use with_sentiment_table for a lexicon of this size")
     words = F.split(F.lower(joined_text(title, body)), _NOT_A_TOKEN)
     known = F.filter(words, lambda t: t.isin(sorted(lexicon)))
     valence = {w: v for w, (v, _) in lexicon.items()}
@@ -114,10 +106,9 @@ def with_sentiment_table(
 ) -> DataFrame:
     """The same scores from a lexicon table (word, valence, polarity).
 
-    ``key`` must be unique.  A lexicon of checked size is broadcast, so tokens
-    are matched and summed where they are and only sums are exchanged.  A larger
-    one is joined on (word, salt) after tokens are counted per row: a frequent
-    word is then spread over ``salts`` tasks.
+    ``key`` must be unique.  Tokens are counted per row, then joined on (word, salt), so
+    a frequent word is spread over ``salts`` tasks.  There is no hint: whether the lexicon
+    is small enough to be sent whole, the optimizer decides by its bytes.
     """
     words = df.select(key, F.explode(tokens(joined_text(title, body))).alias("word"))
     units = lexicon.select(
@@ -125,13 +116,10 @@ def with_sentiment_table(
         F.round(F.col("valence") * 1000).cast("bigint").alias("v"),
         F.round(F.col("polarity") * 1000).cast("bigint").alias("p"),
     )
-    if lexicon.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        matched = words.join(F.broadcast(units), "word").withColumn("n", F.lit(1))
-    else:
-        salted = units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-        spread = counts.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-        matched = spread.join(salted, ["word", "salt"])
+    salted = units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    spread = counts.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    matched = spread.join(salted, ["word", "salt"])
     sums = matched.groupBy(key).agg(
         F.sum(F.col("n") * F.col("v")).alias("valence_units"),
         F.sum(F.col("n") * F.col("p")).alias("polarity_units"),

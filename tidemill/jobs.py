@@ -15,7 +15,7 @@ spark-submit:
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from tidemill.operators import quality
 from tidemill.operators.dedup import latest_per_key
 from tidemill.plans import indicators, posts, prices, readings, repositories, weather
 from tidemill.plans.loads import log_run
-from tidemill.sinks.tables import Target, counted, overwrite, replace_slice
+from tidemill.sinks.tables import Target, counted, drop_slices, expire, overwrite, replace_slice
 from tidemill.sources.logs import Log, open_stream, read_log
 from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, start, windowed_readings
 
@@ -91,7 +91,7 @@ def final_windows(spark: SparkSession, folder: str, day: dt.date | None = None)
     states = spark.read.parquet(f"{folder}/windows")
     if day is not None:
         states = states.where(F.col("window_date") == F.lit(day))
-    return readings.windows_of_states(states, scale=ReadingBatches.scale)
+    return readings.windows_of_states(states)
 
 
 def settle_windows(spark: SparkSession, folder: str, day: dt.date) -> int:
@@ -122,30 +122,45 @@ def refresh_forum_day(stored: DataFrame, path: str, day: dt.date) -> int:
     )["rows"]
 
 
-def _ingest(df: DataFrame, folder: str, table: str, day: dt.date) -> int:
-    """Replace the day's slice and log the run; returns the rows written."""
-    df = df.withColumn("batch_date", F.lit(day))
-    path = f"{folder}/{table}"
-    rows = counted(lambda seen: replace_slice(df, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
-    log_run(df.sparkSession, f"{folder}/audit", table, day, rows, rows, rows,
-            dt.datetime.combine(day, dt.time()))
-    return rows
+def _ingest(
+    raw: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str, table: str, day: dt.date
+) -> int:
+    """Replace the day's slice and log the run; returns the rows stored.
+
+    The three counts of the audit are measured apart: records read, rows written, and rows
+    that the stored slice holds afterwards.
+    """
+    spark, path = raw.sparkSession, f"{folder}/{table}"
+    extracted = raw.count()
+    rows = build(raw).withColumn("batch_date", F.lit(day))
+    staged = counted(lambda seen: replace_slice(rows, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
+    if not staged:
+        drop_slices(spark, path, "batch_date", lambda value: value == day.isoformat())
+    stored = spark.read.schema(rows.schema).parquet(path) if staged else rows.limit(0)
+    loaded = stored.where(F.col("batch_date") == F.lit(day)).count()
+    log_run(spark, f"{folder}/audit", table, day, extracted, staged, loaded, dt.datetime.combine(day, dt.time()))
+    return loaded
 
 
 def ingest_repositories(spark: SparkSession, log: Log, folder: str, day: dt.date) -> int:
     raw = decode(read_log(spark, log), schemas.REPOSITORY)
-    return _ingest(repositories.repository_features(raw, day), folder, "repositories", day)
+    return _ingest(raw, lambda x: repositories.repository_features(x, day), folder, "repositories", day)
 
 
 def ingest_weather(spark: SparkSession, log: Log, folder: str, day: dt.date) -> int:
     raw = decode(read_log(spark, log), schemas.DAILY_WEATHER)
-    return _ingest(weather.weather_features(raw, day), folder, "daily_weather", day)
+    return _ingest(raw, lambda x: weather.weather_features(x, day), folder, "daily_weather", day)
 
 
 def build_panel(spark: SparkSession, log: Log, folder: str, day: dt.date) -> int:
     """Long indicator log to the day's slice of the staging panel."""
     raw = decode(read_log(spark, log), schemas.COUNTRY_INDICATOR)
-    return _ingest(indicators.panel(raw, day, day.isoformat()), folder, "panel", day)
+    return _ingest(raw, lambda x: indicators.panel(x, day, day.isoformat()), folder, "panel", day)
+
+
+def expire_prices(spark: SparkSession, folder: str, day: dt.date, days: int = 30) -> list[str]:
+    """Removes the days of the stored and the settled series that have outlived their time."""
+    return [x for part in ("series", "settled") for x in expire(spark, f"{folder}/{part}", "event_date", day, days)]
 
 
 def build_economy_mart(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:

@@ -13,8 +13,10 @@ def orderable(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` tuple.
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], oldest: bool = False
+) -> DataFrame:
+    """One row per key: the one with the greatest ``order`` tuple, or with the least.
 
     Catalyst turns ``row_number() = 1`` into a group limit on both sides of the
     exchange: every task first reduces its rows to one per key, so a key with a
@@ -24,8 +26,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     """
     named = [c for c in order if isinstance(c, str)]
     order = [*order, *[c for c in orderable(df) if c not in keys and c not in named]]
-    newest_first = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    order = [c.asc_nulls_last() if oldest else c.desc_nulls_last() for c in order] or [F.lit(1)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("place_in_key", place).where(F.col("place_in_key") == 1).drop("place_in_key")
 
 

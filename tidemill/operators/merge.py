@@ -18,9 +18,6 @@ from tidemill.sinks.tables import replace_slice
 
 BUCKET = "key_bucket"
 
-# Up to this many touched slices are listed in the scan's filter.
-LISTED_SLICES = 10_000
-
 
 def last_written(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, field by field: the last value that is not NULL.
@@ -85,10 +82,17 @@ def upsert(
     return joined.select(*[F.col(c) if c in keys else field(c).alias(c) for c in names])
 
 
-def insert_absent(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The update rows whose key is new; append them to ``base``."""
+def insert_absent(
+    base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()
+) -> DataFrame:
+    """One row per new key; append them to ``base``.
+
+    Of several rows of a new key the first in ``order`` is taken, as an insert that
+    leaves known keys alone would.  Rows with a NULL in the key are left out.
+    """
     known = base.select(*keys).distinct()
-    return updates.join(known, list(keys), "left_anti")
+    first = latest_per_key(updates.where(_has_key(keys)), keys, order, oldest=True)
+    return first.join(known, list(keys), "left_anti")
 
 
 def mark(base: DataFrame, done: DataFrame, keys: Sequence[str], flag: str = "synced") -> DataFrame:
@@ -117,36 +121,39 @@ def merge_into(
 ) -> None:
     """Upsert into a keyed Parquet folder; only touched slices are rewritten.
 
-    ``slice_by`` names a folder column that every update carries and that a key
-    never changes (such as the creation date): a batch then rewrites the few
-    slices it touches.  Without it the table is split by a hash of the key,
-    which suits small serving tables.  Every write carries the columns of the
-    table (``conform`` adds missing ones).  Writing the same updates again gives
-    the same table, so a replayed micro-batch does no harm.
+    ``slice_by`` names a folder column (such as the creation date).  A key lives in the
+    slice in which it was stored first: an update that names another slice, or none, goes to
+    that one, so a table never holds a key twice.  Finding it reads the table's key columns
+    only; then the few slices that the batch touches are rewritten.  Without ``slice_by``
+    the table is split by a hash of the key, which suits small serving tables.  Every write
+    carries the columns of the table (``conform`` adds missing ones).  Writing the same
+    updates again gives the same table, so a replayed micro-batch does no harm.
     """
-    if slice_by is None:
+    bucketed = slice_by is None
+    if bucketed:
         updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
+    updates = updates.where(_has_key(keys))
     stored = _stored(spark, path)
     if stored is not None:
         # Folder values are read back with a guessed type.
         stored = stored.withColumn(slice_by, F.col(slice_by).cast(updates.schema[slice_by].dataType))
-        stored = _touched(stored, updates, slice_by)
+        if not bucketed:
+            updates = _at_home(stored, updates, keys, slice_by)
+        slices = updates.select(slice_by).distinct()
+        stored = stored.join(slices, stored[slice_by].eqNullSafe(slices[slice_by]), "left_semi")
     else:
         stored = updates.limit(0)
     merged = upsert(stored, updates, keys, order, null_overwrites, newest_wins)
     replace_slice(merged, path, [slice_by], keys)
 
 
-def _touched(stored: DataFrame, updates: DataFrame, slice_by: str) -> DataFrame:
-    """The stored slices that the updates write to."""
-    slices = updates.select(slice_by).distinct()
-    few = [row[0] for row in slices.limit(LISTED_SLICES + 1).collect()]
-    if len(few) > LISTED_SLICES:
-        return stored.join(slices, stored[slice_by].eqNullSafe(slices[slice_by]), "left_semi")
-    condition = F.col(slice_by).isin([v for v in few if v is not None])
-    if None in few:
-        condition = condition | F.col(slice_by).isNull()
-    return stored.where(condition)
+def _at_home(stored: DataFrame, updates: DataFrame, keys: Sequence[str], slice_by: str) -> DataFrame:
+    """The updates with the slice in which their key is stored; new keys keep their own."""
+    touched = updates.select(*keys).distinct()
+    homes = stored.join(touched, list(keys), "left_semi").select(*keys, F.struct(slice_by).alias("home"))
+    found = updates.join(homes, list(keys), "left")
+    own = F.when(F.col("home").isNull(), F.col(slice_by)).otherwise(F.col(f"home.{slice_by}"))
+    return found.withColumn(slice_by, own).select(*updates.columns)
 
 
 def _has_key(keys: Sequence[str]) -> Column:

@@ -52,7 +52,7 @@ def label_quality(posts: DataFrame, as_of) -> DataFrame:
     measured = posts.where(on_day("ingested_at", as_of)).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(label.isNull()).alias("null_labels"),
-        F.round(mean("sentiment_score", 4), 4).alias("avg_score"),
+        F.round(mean("sentiment_score"), 4).alias("avg_score"),
         F.count_if(label == "positive").alias("positive_count"),
         F.count_if(label == "negative").alias("negative_count"),
         F.count_if(label == "neutral").alias("neutral_count"),

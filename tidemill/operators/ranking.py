@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemill.session import cut_lineage
 
-# Up to this many rows a single sorted task is faster than the split plan.
-ONE_TASK_ROWS = 1_000_000
 SPLITS = 512
 
 
@@ -18,49 +16,40 @@ def global_rank(
     dense: str | None = None,
     rank: str | None = None,
     weight: str | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add DENSE_RANK and/or RANK over ``by`` descending, NULL last.
 
     ``weight`` counts a row as that many rows in RANK: ranking per-key rows
     weighted by their row count gives the rank of the underlying rows.
 
-    The input is computed once (checkpoint).  If it is small, a plain window
-    ranks it.  Otherwise distinct values with their weights are cut into value
-    ranges at quantiles; totals per range (at most SPLITS + 2 rows) give each
-    range its offset, and a window inside the range does the rest.  The cuts
-    only balance the work; the ranks are exact whatever they are.
+    Only the distinct values with their weights are kept (checkpoint) and cut into value
+    ranges at quantiles; totals per range (at most SPLITS + 2 rows) give each range its
+    offset, a window inside the range does the rest, and the rows take their value's rank.
+    The cuts only balance the work; the ranks are exact whatever they are.
     """
-    ranked = cut_lineage(df)
     w = F.col(weight) if weight else F.lit(1)
-    values = ranked.groupBy(by).agg(F.sum(w).cast("bigint").alias("rows_here"))
+    values = cut_lineage(df.groupBy(by).agg(F.sum(w).cast("bigint").alias("rows_here")))
     largest_first = F.col(by).desc_nulls_last()
-
-    if ranked.count() <= one_task_rows:
-        values = _running(values.withColumn("part", F.lit(0)), largest_first)
-    else:
-        cuts = values.where(F.col(by).isNotNull()).agg(
-            F.percentile_approx(F.col(by).cast("double"), [i / SPLITS for i in range(1, SPLITS)], 10000).alias("cuts")
-        )
-        bounds = F.lit(cuts.first()["cuts"] or [float("inf")])
-        part = F.size(F.filter(bounds, lambda cut: cut > F.col(by).cast("double")))
-        part = F.when(F.col(by).isNull(), F.lit(SPLITS + 1)).otherwise(part)
-        values = _running(values.withColumn("part", part), largest_first)
-        sums = values.groupBy("part").agg(
-            F.count(F.lit(1)).alias("values_in"), F.sum("rows_here").alias("rows_in")
-        )
-        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sums.select(
-            "part",
-            F.coalesce(F.sum("values_in").over(earlier), F.lit(0)).alias("values_off"),
-            F.coalesce(F.sum("rows_in").over(earlier), F.lit(0)).alias("rows_off"),
-        )
-        values = values.join(F.broadcast(offsets), "part").select(
-            by,
-            (F.col("value_no") + F.col("values_off")).alias("value_no"),
-            (F.col("rows_before") + F.col("rows_off")).alias("rows_before"),
-        )
-    out = ranked.alias("r").join(values.alias("v"), F.col(f"r.{by}").eqNullSafe(F.col(f"v.{by}")))
+    cuts = values.where(F.col(by).isNotNull()).agg(
+        F.percentile_approx(F.col(by).cast("double"), [i / SPLITS for i in range(1, SPLITS)], 10000).alias("cuts")
+    )
+    bounds = F.lit(cuts.first()["cuts"] or [float("inf")])
+    part = F.size(F.filter(bounds, lambda cut: cut > F.col(by).cast("double")))
+    part = F.when(F.col(by).isNull(), F.lit(SPLITS + 1)).otherwise(part)
+    values = _running(values.withColumn("part", part), largest_first)
+    sums = values.groupBy("part").agg(F.count(F.lit(1)).alias("values_in"), F.sum("rows_here").alias("rows_in"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "part",
+        F.coalesce(F.sum("values_in").over(earlier), F.lit(0)).alias("values_off"),
+        F.coalesce(F.sum("rows_in").over(earlier), F.lit(0)).alias("rows_off"),
+    )
+    values = values.join(F.broadcast(offsets), "part").select(
+        by,
+        (F.col("value_no") + F.col("values_off")).alias("value_no"),
+        (F.col("rows_before") + F.col("rows_off")).alias("rows_before"),
+    )
+    out = df.alias("r").join(values.alias("v"), F.col(f"r.{by}").eqNullSafe(F.col(f"v.{by}")))
     extra = []
     if rank:
         extra.append((F.col("v.rows_before") + 1).cast("bigint").alias(rank))

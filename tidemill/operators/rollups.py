@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.numeric import exact, of_parts
+
 
 def rollup(df: DataFrame, keys: Sequence[Column | str], **measures: Column) -> DataFrame:
     """``groupBy(keys).agg(measures)`` with the measures named by keyword."""
@@ -16,20 +18,19 @@ def rollup(df: DataFrame, keys: Sequence[Column | str], **measures: Column) -> D
 def partial_state(
     df: DataFrame,
     keys: Sequence[Column | str],
-    scale: int,
     means: Sequence[str] = (),
     totals: Sequence[str] = (),
     extremes: Sequence[str] = (),
 ) -> DataFrame:
-    """Mergeable state per key: row count and, per column, count, sum, min, max.
+    """Mergeable state per key: row count and, per column, count, sums, min, max.
 
-    Sums are integers of 10^-scale, so merging the states of any batches in any
-    order gives exactly the result of one pass.
+    Sums are decimals (and doubles for what is no such decimal), so merging the states of
+    any batches in any order gives exactly the result of one pass.
     """
-    unit = F.lit(float(10**scale))
     state = [F.count(F.lit(1)).alias("n_rows")]
     state += [F.count(c).alias(f"n_{c}") for c in means]
-    state += [F.sum(F.floor(F.col(c) * unit + F.lit(0.5))).alias(f"sum_{c}") for c in dict.fromkeys([*means, *totals])]
+    for c in dict.fromkeys([*means, *totals]):
+        state += [F.sum(part).alias(f"{name}_{c}") for name, part in zip(("sum", "rest"), exact(c))]
     state += [agg(c).alias(f"{name}_{c}") for c in extremes for name, agg in (("lo", F.min), ("hi", F.max))]
     return df.groupBy(*keys).agg(*state)
 
@@ -37,17 +38,17 @@ def partial_state(
 def merge_state(state: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One state per key from the states of any number of batches."""
     merge = {"lo": F.min, "hi": F.max}
-    columns = [c for c in state.columns if c.split("_")[0] in ("n", "sum", "lo", "hi") and c not in keys]
+    columns = [c for c in state.columns if c.split("_")[0] in ("n", "sum", "rest", "lo", "hi") and c not in keys]
     return state.groupBy(*keys).agg(*[merge.get(c.split("_")[0], F.sum)(c).alias(c) for c in columns])
 
 
-def state_mean(column: str, scale: int) -> Column:
+def state_mean(column: str) -> Column:
     """The average of a column from its merged state."""
-    return F.try_divide(state_total(column, scale), F.col(f"n_{column}"))
+    return F.try_divide(state_total(column), F.col(f"n_{column}"))
 
 
-def state_total(column: str, scale: int) -> Column:
-    return F.col(f"sum_{column}").cast("double") / F.lit(float(10**scale))
+def state_total(column: str) -> Column:
+    return of_parts(F.col(f"sum_{column}"), F.col(f"rest_{column}"))
 
 
 def metric_rows(one_row: DataFrame, metrics: dict[str, str], names: tuple[str, str] = ("metric", "value")) -> DataFrame:

@@ -13,9 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import change_pct, flag
+from tidemill.functions.numeric import change_pct, exact, flag, of_parts
 from tidemill.operators.dedup import latest_per_key
-from tidemill.sinks.tables import renamed
 
 
 def per_period(df: DataFrame, key: str, period: str, order: Sequence[str | Column]) -> DataFrame:
@@ -31,18 +30,14 @@ def return_pct(value: str, key: str, period: str, digits: int | None = None) ->
     return change_pct(F.col(value), previous(value, key, period), digits)
 
 
-def moving_average(value: str, key: str, period: str, rows: int, scale: int | None = None) -> Column:
+def moving_average(value: str, key: str, period: str, rows: int) -> Column:
     """Mean of the last ``rows`` rows, the current one included; short at the start.
 
-    With ``scale`` the window adds integers of 10^-scale, which a sliding sum
-    can do without rounding drift.
+    The window adds decimals, which a sliding sum can do without rounding drift.
     """
     w = Window.partitionBy(key).orderBy(period).rowsBetween(-(rows - 1), 0)
-    if scale is None:
-        return F.avg(value).over(w)
-    unit = F.lit(float(10**scale))
-    units = F.sum(F.floor(F.col(value) * unit + F.lit(0.5))).over(w)
-    return F.try_divide(units.cast("double") / unit, F.count(value).over(w))
+    parts = [F.sum(part).over(w) for part in exact(value)]
+    return F.try_divide(of_parts(*parts), F.count(value).over(w))
 
 
 def crosses_above(fast: str, slow: str, key: str, period: str) -> Column:
@@ -51,10 +46,14 @@ def crosses_above(fast: str, slow: str, key: str, period: str) -> Column:
     return flag(now & (previous(fast, key, period) <= previous(slow, key, period)))
 
 
-def with_prior_period(df: DataFrame, key: str, period: str, value: str, name: str) -> DataFrame:
-    """The value of exactly the previous period (NULL across a gap), by left join."""
-    prior = renamed(df.select(key, period, value), {value: name}).withColumn(period, F.col(period) + 1)
-    return df.join(prior, [key, period], "left")
+def prior_period(value: str, key: str, period: str) -> Column:
+    """The value of exactly the previous period, NULL across a gap.
+
+    The series holds each period once, so the row before is the only candidate: one
+    window instead of a join of the series with itself.
+    """
+    is_prior = previous(period, key, period) == F.col(period) - 1
+    return F.when(is_prior, previous(value, key, period))
 
 
 def first_and_last(df: DataFrame, key: str, period: str, value: str, first: str, last: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tidemill.functions.numeric import band, change_pct, correlation, flag, mean
 from tidemill.functions.time import clock
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.ranking import global_rank, top
-from tidemill.operators.series import return_pct
+from tidemill.operators.series import prior_period, return_pct
 from tidemill.schemas import INDICATORS
 from tidemill.sources.tables import among
 
@@ -95,14 +95,13 @@ def staging(raw: DataFrame, as_of) -> DataFrame:
 def economy_mart(stg: DataFrame, as_of, all_years: bool = False) -> DataFrame:
     """Rounded indicators, change against the prior year, composite score.
 
-    By default the most recent complete year; each row is joined to exactly
-    the year before it, so the same plan also serves every year.
+    By default the most recent complete year.  The panel holds a country's year once,
+    so the year before is the row before, if that is the year: one pass, no join.
     """
     year = clock_year(as_of)
-    current = stg if all_years else stg.where(F.col("year") == year - 1)
-    prior = stg if all_years else stg.where(F.col("year") == year - 2)
-    prior = prior.select("country_code", (F.col("year") + 1).alias("year"), F.col("gdp_usd").alias("gdp_before"))
-    return current.join(prior, ["country_code", "year"], "left").select(
+    rows = stg if all_years else stg.where(F.col("year").isin(year - 2, year - 1))
+    rows = rows.withColumn("gdp_before", prior_period("gdp_usd", "country_code", "year"))
+    return (rows if all_years else rows.where(F.col("year") == year - 1)).select(
         "country_code",
         "country_name",
         "year",
@@ -155,7 +154,7 @@ def gdp_trend(stg: DataFrame, countries: Sequence[str] | DataFrame, first_year:
     ).orderBy("country_name", "year")
 
 
-def phillips(stg: DataFrame, first_year: int = 2000, min_years: int = 10, scale: int = 6) -> DataFrame:
+def phillips(stg: DataFrame, first_year: int = 2000, min_years: int = 10) -> DataFrame:
     """Inflation against unemployment per country, with enough plausible years."""
     plausible = stg.where(
         (F.col("year") >= first_year)
@@ -165,8 +164,8 @@ def phillips(stg: DataFrame, first_year: int = 2000, min_years: int = 10, scale:
     return (
         plausible.groupBy("country_name", "income_group")
         .agg(
-            F.round(mean("inflation_pct", scale), 2).alias("avg_inflation"),
-            F.round(mean("unemployment_pct", scale), 2).alias("avg_unemployment"),
+            F.round(mean("inflation_pct"), 2).alias("avg_inflation"),
+            F.round(mean("unemployment_pct"), 2).alias("avg_unemployment"),
             F.round(correlation("inflation_pct", "unemployment_pct"), 3).alias("phillips_correlation"),
             F.count(F.lit(1)).alias("years_of_data"),
         )

@@ -13,7 +13,7 @@ from tidemill import schemas
 from tidemill.functions.numeric import number_or
 from tidemill.operators.merge import mark, merge_into
 from tidemill.operators.quality import has_rows
-from tidemill.sinks.tables import conform, counted, replace_slice
+from tidemill.sinks.tables import conform, counted, drop_slices, replace_slice
 from tidemill.sources.tables import increment, slice_of
 
 
@@ -57,9 +57,15 @@ def high_water_mark(exported: DataFrame, time_col: str, key: str) -> tuple | Non
 
 
 def load_slice(spark: SparkSession, staged: DataFrame, path: str, batch_date, ddl: str) -> int:
-    """Replace one batch_date slice of the warehouse folder; returns its row count."""
+    """Replace one batch_date slice of the warehouse folder; returns its row count.
+
+    A day without rows removes the slice that an earlier load left.
+    """
     rows = conform(slice_of(staged, "batch_date", batch_date), ddl)
-    return counted(lambda seen: replace_slice(rows, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
+    written = counted(lambda seen: replace_slice(rows, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
+    if not written:
+        drop_slices(spark, path, "batch_date", lambda day: day == str(batch_date))
+    return written
 
 
 def log_run(

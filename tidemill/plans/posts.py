@@ -47,7 +47,7 @@ def hourly_trend(posts: DataFrame, as_of, hours: int = 48) -> DataFrame:
         posts.where(since("created_utc", as_of, f"{hours} HOUR")),
         [hour_of("created_utc").alias("hour_bucket"), "subreddit"],
         post_count=F.count(F.lit(1)),
-        avg_sentiment=F.round(mean("sentiment_score", 4), 4),
+        avg_sentiment=F.round(mean("sentiment_score"), 4),
         **_label_counts(),
         positive_pct=share_pct(_label_is("positive"), 1),
     ).orderBy(F.col("hour_bucket").desc(), "subreddit")
@@ -77,8 +77,8 @@ def by_forum(posts: DataFrame, as_of, days: int = 7) -> DataFrame:
         posts.where(since("created_utc", as_of, f"{days} DAY")),
         ["subreddit"],
         total_posts=F.count(F.lit(1)),
-        avg_sentiment=F.round(mean("sentiment_score", 4), 4),
-        avg_upvote_pct=F.round(mean("upvote_ratio", 4) * 100, 1),
+        avg_sentiment=F.round(mean("sentiment_score"), 4),
+        avg_upvote_pct=F.round(mean("upvote_ratio") * 100, 1),
         **_label_counts(),
         positive_pct=share_pct(_label_is("positive"), 1),
         negative_pct=share_pct(_label_is("negative"), 1),
@@ -91,10 +91,10 @@ def forum_summary(posts: DataFrame) -> DataFrame:
         posts,
         ["subreddit"],
         total_posts=F.count(F.lit(1)),
-        avg_sentiment=mean("sentiment_score", 4),
+        avg_sentiment=mean("sentiment_score"),
         **_label_counts("_count"),
-        avg_score=mean("score", 0),
-        avg_comments=mean("num_comments", 0),
+        avg_score=mean("score"),
+        avg_comments=mean("num_comments"),
     )
     return counts.withColumn("positive_pct", percent("positive_count", "total_posts")).orderBy(
         F.col("avg_sentiment").desc_nulls_last(), "subreddit"
@@ -124,9 +124,9 @@ def rolling_sentiment(posts: DataFrame, as_of, days: int = 30, rows: int = 7) ->
     daily = rollup(
         posts.where(since("created_utc", as_of, f"{days} DAY")),
         [F.to_date("created_utc").alias("post_date"), "subreddit"],
-        daily_mean=mean("sentiment_score", 4),
+        daily_mean=mean("sentiment_score"),
     )
-    rolling = moving_average("daily_mean", "subreddit", "post_date", rows, scale=9)
+    rolling = moving_average("daily_mean", "subreddit", "post_date", rows)
     return daily.withColumn("rolling", rolling).select(
         "post_date", "subreddit",
         F.round("daily_mean", 4).alias("daily_avg"), F.round("rolling", 4).alias("rolling_7d_avg"),
@@ -139,8 +139,8 @@ def daily_aggregates(posts: DataFrame, as_of, days: int = 30) -> DataFrame:
         posts.where(since_day("created_utc", as_of, days)),
         [F.to_date("created_utc").alias("post_date"), "subreddit"],
         total_posts=F.count(F.lit(1)),
-        avg_sentiment=F.round(mean("sentiment_score", 4), 4),
-        avg_reddit_score=F.round(mean("score", 0), 2),
+        avg_sentiment=F.round(mean("sentiment_score"), 4),
+        avg_reddit_score=F.round(mean("score"), 2),
         **_label_counts("_count"),
         positive_pct=share_pct(_label_is("positive"), 2),
     )
@@ -152,6 +152,6 @@ def hourly_documents(posts: DataFrame, as_of, hours: int = 24) -> DataFrame:
     key = F.struct(iso_hour("ingested_at").alias("hour"), F.col("subreddit").alias("subreddit"))
     grouped = rollup(
         recent.withColumn("_id", key), ["_id"],
-        post_count=F.count(F.lit(1)), avg_sentiment=mean("sentiment_score", 4),
+        post_count=F.count(F.lit(1)), avg_sentiment=mean("sentiment_score"),
     )
     return flatten_key(grouped, "_id").orderBy("hour", "subreddit")

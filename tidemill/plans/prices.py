@@ -52,7 +52,7 @@ def candle_days(log: DataFrame) -> DataFrame:
     return days.where(F.col("close") > 0)
 
 
-def technical_indicators(candles: DataFrame, as_of, scale: int | None = None) -> DataFrame:
+def technical_indicators(candles: DataFrame, as_of) -> DataFrame:
     """Return, 7- and 30-row averages, high/low ratio and golden cross per day.
 
     Candles are one row per key and day, so a key's series is bounded by the
@@ -63,8 +63,8 @@ def technical_indicators(candles: DataFrame, as_of, scale: int | None = None) ->
         candles.withColumns(
             {
                 "daily_return_pct": return_pct("close", key, day, 4),
-                "ma_7d": F.round(moving_average("close", key, day, 7, scale), 6),
-                "ma_30d": F.round(moving_average("close", key, day, 30, scale), 6),
+                "ma_7d": F.round(moving_average("close", key, day, 7), 6),
+                "ma_30d": F.round(moving_average("close", key, day, 30), 6),
                 "high_low_ratio": F.round(ratio("high", "low"), 4),
             }
         )
@@ -101,7 +101,7 @@ def volatility(history: DataFrame, as_of, days: int = 90, min_days: int = 60) ->
         .groupBy("coin_id")
         .agg(
             F.count(F.lit(1)).alias("trading_days"),
-            F.round(mean(daily, 4), 3).alias("avg_daily_return"),
+            F.round(mean(daily), 3).alias("avg_daily_return"),
             F.round(F.stddev_samp(daily), 3).alias("daily_volatility"),
             F.round(F.max(daily), 2).alias("max_single_day_gain"),
             F.round(F.min(daily), 2).alias("max_single_day_loss"),
@@ -173,8 +173,9 @@ def extreme_movers(events: DataFrame) -> DataFrame:
     return view.select("coin_id", "symbol", "current_price_usd", "price_change_24h_pct")
 
 
-def price_history(events: DataFrame, coin_id: str, as_of, hours: int = 24, limit: int | None = 100) -> DataFrame:
-    rows = key_history(events, "coin_id", coin_id, "event_time", before(as_of, f"{hours} HOUR"), limit)
+def price_history(events: DataFrame, coin_id: str, as_of, hours: int = 24, limit: int | None = None) -> DataFrame:
+    shown = ["current_price_usd", "volume_24h_usd", "price_change_24h_pct"]
+    rows = key_history(events, "coin_id", coin_id, "event_time", before(as_of, f"{hours} HOUR"), limit, shown)
     return rows.select("event_time", "current_price_usd", "volume_24h_usd", "price_change_24h_pct")
 
 

@@ -23,28 +23,28 @@ def decode_readings(log: DataFrame) -> DataFrame:
     return decode(log, schemas.SENSOR_READING).where(F.col("sensor_id").isNotNull())
 
 
-def flag_anomalies(readings: DataFrame, column: str = "temperature_c", scale: int | None = None) -> DataFrame:
+def flag_anomalies(readings: DataFrame, column: str = "temperature_c") -> DataFrame:
     """``is_anomaly`` against the mean and deviation of all given rows.
 
     The statistics are one scalar subquery: a single aggregate pass whose one
     row is filled into the projection.
     """
     stats = readings.agg(
-        F.struct(mean(column, scale).alias("mean"), F.stddev_samp(column).alias("std")).alias("s")
+        F.struct(mean(column).alias("mean"), F.stddev_samp(column).alias("std")).alias("s")
     ).scalar()
     return readings.withColumn("is_anomaly", outlier(column, stats["mean"], stats["std"], ANOMALY_LIMIT))
 
 
 def five_minute_windows(
-    readings: DataFrame, keys: Sequence[str] = ("city",), width: str = "5 minutes", scale: int | None = None
+    readings: DataFrame, keys: Sequence[str] = ("city",), width: str = "5 minutes"
 ) -> DataFrame:
     """Tumbling windows; on a stream it is a stateful aggregate (set a watermark)."""
     measures = {
-        "avg_temp_c": mean("temperature_c", scale),
+        "avg_temp_c": mean("temperature_c"),
         "min_temp_c": F.min("temperature_c"),
         "max_temp_c": F.max("temperature_c"),
-        "avg_humidity_pct": mean("humidity_pct", scale),
-        "total_precip_mm": total("precipitation_mm", scale),
+        "avg_humidity_pct": mean("humidity_pct"),
+        "total_precip_mm": total("precipitation_mm"),
         "reading_count": F.count(F.lit(1)),
     }
     rows = rollup(readings, [F.window("event_time", width).alias("w"), *keys], **measures)
@@ -54,46 +54,46 @@ def five_minute_windows(
 
 
 def window_state(
-    readings: DataFrame, keys: Sequence[str] = ("city",), width: str = "5 minutes", scale: int = 2
+    readings: DataFrame, keys: Sequence[str] = ("city",), width: str = "5 minutes"
 ) -> DataFrame:
     """What one batch adds to its tumbling windows, in mergeable form."""
     state = partial_state(
-        readings, [F.window("event_time", width).alias("w"), *keys], scale,
+        readings, [F.window("event_time", width).alias("w"), *keys],
         means=["temperature_c", "humidity_pct"], totals=["precipitation_mm"], extremes=["temperature_c"],
     )
     return state.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
 
 
-def windows_of_states(states: DataFrame, keys: Sequence[str] = ("city",), scale: int = 2) -> DataFrame:
+def windows_of_states(states: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     """The windows of ``five_minute_windows`` from the states of all batches."""
     merged = merge_state(states, ["window_start", "window_end", *keys])
     return merged.select(
         "window_start", "window_end", *keys,
-        state_mean("temperature_c", scale).alias("avg_temp_c"),
+        state_mean("temperature_c").alias("avg_temp_c"),
         F.col("lo_temperature_c").alias("min_temp_c"),
         F.col("hi_temperature_c").alias("max_temp_c"),
-        state_mean("humidity_pct", scale).alias("avg_humidity_pct"),
-        state_total("precipitation_mm", scale).alias("total_precip_mm"),
+        state_mean("humidity_pct").alias("avg_humidity_pct"),
+        state_total("precipitation_mm").alias("total_precip_mm"),
         F.col("n_rows").alias("reading_count"),
     )
 
 
-def hourly_trend(readings: DataFrame, as_of, hours: int = 48, scale: int | None = None) -> DataFrame:
+def hourly_trend(readings: DataFrame, as_of, hours: int = 48) -> DataFrame:
     """Temperature, humidity and precipitation per city and hour."""
     recent = readings.where(since("event_time", as_of, f"{hours} HOUR"))
     return rollup(
         recent,
         ["city", hour_of("event_time").alias("hour_bucket")],
-        avg_temp_c=F.round(mean("temperature_c", scale), 2),
+        avg_temp_c=F.round(mean("temperature_c"), 2),
         min_temp_c=F.round(F.min("temperature_c"), 2),
         max_temp_c=F.round(F.max("temperature_c"), 2),
-        avg_humidity=F.round(mean("humidity_pct", scale), 1),
-        total_precip_mm=F.round(total("precipitation_mm", scale), 2),
+        avg_humidity=F.round(mean("humidity_pct"), 1),
+        total_precip_mm=F.round(total("precipitation_mm"), 2),
         readings=F.count(F.lit(1)),
     ).orderBy("city", F.col("hour_bucket").desc())
 
 
-def anomaly_vs_baseline(readings: DataFrame, as_of, days: int = 7, scale: int | None = None) -> DataFrame:
+def anomaly_vs_baseline(readings: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Each sensor's latest reading against its baseline of the last days.
 
     The baseline leaves out the last hour and is kept per city and sensor, so a
@@ -104,7 +104,7 @@ def anomaly_vs_baseline(readings: DataFrame, as_of, days: int = 7, scale: int |
     baseline = rollup(
         readings.where(span),
         [F.col("city").alias("baseline_city"), "sensor_id"],
-        baseline_temp=mean("temperature_c", scale),
+        baseline_temp=mean("temperature_c"),
         stddev=F.stddev_samp("temperature_c"),
     )
     latest = latest_per_key(
@@ -129,17 +129,17 @@ def anomaly_vs_baseline(readings: DataFrame, as_of, days: int = 7, scale: int |
     )
 
 
-def hourly_aggregates(readings: DataFrame, as_of, days: int = 7, scale: int | None = None) -> DataFrame:
+def hourly_aggregates(readings: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Hourly dashboard table per city and sensor."""
     recent = readings.where(since("event_time", as_of, f"{days} DAY"))
     return rollup(
         recent,
         [hour_of("event_time").alias("hour_bucket"), "city", "sensor_id"],
-        avg_temp_c=F.round(mean("temperature_c", scale), 2),
+        avg_temp_c=F.round(mean("temperature_c"), 2),
         max_temp_c=F.round(F.max("temperature_c"), 2),
         min_temp_c=F.round(F.min("temperature_c"), 2),
-        avg_humidity_pct=F.round(mean("humidity_pct", scale), 2),
-        avg_wind_speed_kmh=F.round(mean("wind_speed_kmh", scale), 2),
-        total_precipitation_mm=F.round(total("precipitation_mm", scale), 2),
+        avg_humidity_pct=F.round(mean("humidity_pct"), 2),
+        avg_wind_speed_kmh=F.round(mean("wind_speed_kmh"), 2),
+        total_precipitation_mm=F.round(total("precipitation_mm"), 2),
         event_count=F.count(F.lit(1)),
     )

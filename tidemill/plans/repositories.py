@@ -45,9 +45,9 @@ def top_by_language(features: DataFrame, batch_date) -> DataFrame:
         features.where(F.col("batch_date") == F.lit(batch_date).cast("date")),
         ["language"],
         repo_count=F.count(F.lit(1)),
-        avg_stars=F.round(mean("stars", 0), 0),
-        avg_stars_per_day=F.round(mean("stars_per_day", 4), 2),
-        avg_activity_score=F.round(mean("activity_score", 2), 2),
+        avg_stars=F.round(mean("stars"), 0),
+        avg_stars_per_day=F.round(mean("stars_per_day"), 2),
+        avg_activity_score=F.round(mean("activity_score"), 2),
         max_stars=F.max("stars"),
         unlicensed_count=F.count_if(F.col("license") == "UNLICENSED"),
     ).orderBy(F.col("avg_activity_score").desc_nulls_first(), "language")
@@ -58,5 +58,5 @@ def ingested_over_time(features: DataFrame) -> DataFrame:
         features,
         ["batch_date", "language"],
         repos_ingested=F.count(F.lit(1)),
-        avg_stars=F.round(mean("stars", 0), 0),
+        avg_stars=F.round(mean("stars"), 0),
     ).orderBy(F.col("batch_date").desc(), F.col("repos_ingested").desc(), "language")

@@ -55,13 +55,17 @@ def rounded(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
-def total(c: str, scale: int) -> str:
-    unit = f"CAST({10**scale} AS DOUBLE)"
-    return f"(CAST(sum(CAST(floor({c} * {unit} + 0.5) AS BIGINT)) AS DOUBLE) / {unit})"
+def exact(c: str) -> str:
+    """A double as the decimal that its shortest text names."""
+    return f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,12))"
 
 
-def mean(c: str, scale: int) -> str:
-    return f"({total(c, scale)} / nullif(count({c}), 0))"
+def total(c: str) -> str:
+    return f"CAST(sum({exact(c)}) AS DOUBLE)"
+
+
+def mean(c: str) -> str:
+    return f"({total(c)} / nullif(count({c}), 0))"
 
 
 def pct(condition: str, digits: int | None = None) -> str:

@@ -18,7 +18,8 @@ from tidemill.registered.base import (
 )
 from tidemill.session import new_folder
 from tidemill.sinks.tables import (
-    Target, append, conform, counted, load_staged, overwrite, replace_slice, retained, upper_names, write_files,
+    REJECTED, Target, append, conform, counted, expire, load_staged, overwrite, replace_slice, retained, upper_names,
+    write_files,
 )
 from tidemill.sources.tables import scan_external, slice_of
 
@@ -78,9 +79,9 @@ _add(
     "top_repositories_by_language",
     lambda spark, sf: repos_plan.top_by_language(_repos(spark, sf), dt.date(2024, 1, 31)),
     f"""
-    SELECT language, count(*) AS repo_count, {rounded(mean('stars', 0), 0)} AS avg_stars,
-           {rounded(mean('stars_per_day', 4), 2)} AS avg_stars_per_day,
-           {rounded(mean('activity_score', 2), 2)} AS avg_activity_score, max(stars) AS max_stars,
+    SELECT language, count(*) AS repo_count, {rounded(mean('stars'), 0)} AS avg_stars,
+           {rounded(mean('stars_per_day'), 2)} AS avg_stars_per_day,
+           {rounded(mean('activity_score'), 2)} AS avg_activity_score, max(stars) AS max_stars,
            count(*) FILTER (WHERE license = 'UNLICENSED') AS unlicensed_count
     FROM ({_features_sql(_FLOOR)}) WHERE batch_date = DATE '2024-01-31' GROUP BY language
     """,
@@ -92,7 +93,7 @@ _add(
     ),
     f"""
     SELECT CAST(batch_date AS DATE) AS batch_date, language, count(*) AS repos_ingested,
-           {rounded(mean('stars', 0), 0)} AS avg_stars
+           {rounded(mean('stars'), 0)} AS avg_stars
     FROM ({REPOS.sql}) GROUP BY ALL
     """,
 )
@@ -117,24 +118,24 @@ def _weather(spark, sf):
 _add("weather_features", _weather, _WEATHER_SQL)
 _add(
     "weather_summary",
-    lambda spark, sf: weather_plan.summary(_weather(spark, sf), AS_OF, scale=6),
+    lambda spark, sf: weather_plan.summary(_weather(spark, sf), AS_OF),
     f"""
-    SELECT city, count(*) AS days_recorded, {rounded(mean('temp_mean_c', 6), 2)} AS avg_temp_c,
+    SELECT city, count(*) AS days_recorded, {rounded(mean('temp_mean_c'), 2)} AS avg_temp_c,
            {rounded('max(temp_max_c)', 2)} AS highest_temp_c, {rounded('min(temp_min_c)', 2)} AS lowest_temp_c,
-           {rounded(total('precipitation_mm', 6), 1)} AS total_rain_mm,
+           {rounded(total('precipitation_mm'), 1)} AS total_rain_mm,
            count(*) FILTER (WHERE is_rainy) AS rainy_days,
-           {rounded(mean('wind_speed_max_kmh', 6), 1)} AS avg_max_wind_kmh,
-           {rounded(mean('solar_radiation_sum', 6), 1)} AS avg_solar_mj_m2
+           {rounded(mean('wind_speed_max_kmh'), 1)} AS avg_max_wind_kmh,
+           {rounded(mean('solar_radiation_sum'), 1)} AS avg_solar_mj_m2
     FROM ({_WEATHER_SQL}) WHERE date >= DATE '2024-01-31' - 30 GROUP BY city
     """,
 )
 _add(
     "weather_weekly_trend",
-    lambda spark, sf: weather_plan.weekly_trend(_weather(spark, sf), scale=6),
+    lambda spark, sf: weather_plan.weekly_trend(_weather(spark, sf)),
     f"""
     SELECT city, CAST(date_trunc('week', date) AS DATE) AS week_start,
-           {rounded(mean('temp_mean_c', 6), 2)} AS avg_temp_c, {rounded('max(temp_max_c)', 2)} AS max_temp_c,
-           {rounded(total('precipitation_mm', 6), 2)} AS weekly_rain_mm,
+           {rounded(mean('temp_mean_c'), 2)} AS avg_temp_c, {rounded('max(temp_max_c)', 2)} AS max_temp_c,
+           {rounded(total('precipitation_mm'), 2)} AS weekly_rain_mm,
            count(*) FILTER (WHERE is_rainy) AS rainy_days_in_week
     FROM ({_WEATHER_SQL}) GROUP BY ALL
     """,
@@ -246,7 +247,7 @@ _add(
     lambda spark, sf: records.repository_rows(_repository_payloads(spark, sf)),
     """
     SELECT p_partkey AS repo_id, p_name AS repo_name,
-           CASE WHEN p_partkey % 3 = 0 THEN substr(repeat(p_name, 100), 1, 500) ELSE '' END AS description,
+           CASE WHEN p_partkey % 3 = 0 THEN repeat(p_name, 100) ELSE '' END AS description,
            p_size AS stars, 3 AS forks, 2 AS watchers,
            CASE WHEN p_partkey % 5 <> 0 THEN p_type ELSE 'NONE' END AS license,
            CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, ' ', ',') ELSE '' END AS topics,
@@ -265,12 +266,19 @@ _add(
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
     """,
 )
-_add(
-    "any_line_per_order",
-    lambda spark, sf: any_per_key(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"), ["l_orderkey"])
-    .select("l_orderkey"),
-    "SELECT DISTINCT l_orderkey FROM lineitem",
-)
+
+
+def _any_lines(spark, sf):
+    """The survivor of each order, whichever it is, is one of the order's lines."""
+    lines = table(spark, sf, "lineitem")
+    one = any_per_key(lines, ["l_orderkey"])
+    own = lines.groupBy("l_orderkey").agg(F.collect_set("l_linenumber").alias("numbers"))
+    return one.join(own, "l_orderkey").select(
+        "l_orderkey", F.array_contains("numbers", F.col("l_linenumber")).alias("is_own_line")
+    )
+
+
+_add("any_line_per_order", _any_lines, "SELECT DISTINCT l_orderkey, TRUE AS is_own_line FROM lineitem")
 
 _STAGED_DDL = "repo_id BIGINT, language STRING, stars INT, batch_date DATE"
 
@@ -353,16 +361,16 @@ def _connector_writes(spark, sf):
     """Overwrite, then append, through the connector writer, and read back the same way."""
     target = Target.folder(new_folder(spark, "connector"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    overwrite(lines, target)
+    overwrite(lines.where("l_linenumber > 2"), target)
     overwrite(lines.where("l_linenumber <= 2"), target)
-    append(lines.where("l_linenumber > 5"), target)
+    append(lines.where("l_linenumber > 2"), target)
     return scan_external(spark, target.format, target.options)
 
 
 _add(
     "connector_overwrite_and_append",
     _connector_writes,
-    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber <= 2 OR l_linenumber > 5",
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 )
 
 
@@ -403,6 +411,61 @@ _add(
     FROM orders
     """,
 )
+
+
+def _rejects(spark, sf):
+    """What the contract above cannot hold, by column."""
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("small")
+    )
+    rows = conform(orders, "order_id BIGINT, price DECIMAL(8,2), small SMALLINT", rejects=True)
+    return rows.select("order_id", F.array_join(REJECTED, ",").alias("rejected"))
+
+
+_add(
+    "contract_rejects",
+    _rejects,
+    """
+    SELECT o_orderkey AS order_id, concat_ws(',', CASE WHEN o_totalprice >= 999999.995 THEN 'price' END,
+           CASE WHEN o_orderkey > 32767 THEN 'small' END) AS rejected
+    FROM orders
+    """,
+)
+
+
+def _slice_emptied(spark, sf):
+    """Two days loaded; the second load of one of them has no rows."""
+    target = new_folder(spark, "emptied")
+    repos = REPOS.df(spark, sf).withColumn("batch_date", F.col("batch_date").cast("date"))
+    days = [dt.date(2024, 1, 30), dt.date(2024, 1, 31)]
+    counts = [loads.load_slice(spark, repos, target, day, _STAGED_DDL) for day in days]
+    counts.append(loads.load_slice(spark, repos.where("batch_date > DATE '2024-01-30'"), target, days[0], _STAGED_DDL))
+    return spark.read.parquet(target).select("repo_id", "stars", "batch_date", F.lit(counts[-1]).cast("int").alias("last"))
+
+
+_add(
+    "warehouse_slice_emptied",
+    _slice_emptied,
+    f"""
+    SELECT repo_id, stars, CAST(batch_date AS DATE) AS batch_date, CAST(0 AS INT) AS last
+    FROM ({REPOS.sql}) WHERE batch_date = '2024-01-31'
+    """,
+)
+
+
+def _expired(spark, sf):
+    """The series after the expiry job: whole day folders are gone."""
+    path = new_folder(spark, "expired")
+    replace_slice(table(spark, sf, "events").select("event_id", "ts", F.to_date("ts").alias("day")), path, ["day"], ["ts"])
+    expire(spark, path, "day", dt.date(2024, 1, 31), 7)
+    return spark.read.parquet(path).select("event_id", "ts")
+
+
+_add(
+    "series_after_expiry",
+    _expired,
+    "SELECT event_id, ts FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-24'",
+)
 _add(
     "numbers_from_text",
     lambda spark, sf: loads.coerce_numbers(

@@ -8,7 +8,7 @@ from tidemill import schemas
 from tidemill.functions.records import encode
 from tidemill.operators import quality
 from tidemill.operators.ranking import global_rank
-from tidemill.operators.series import with_prior_period
+from tidemill.operators.series import prior_period
 from tidemill.plans import indicators as plan
 from tidemill.registered.base import (
     PANEL_AS_OF, PANEL_TRUTH, Registered, change, mean, rounded, table,
@@ -161,8 +161,8 @@ _add(
     "inflation_unemployment_correlation",
     lambda spark, sf: plan.phillips(_staging(spark, sf), first_year=1995, min_years=2),
     f"""
-    SELECT country_name, income_group, {rounded(mean('x', 6), 2)} AS avg_inflation,
-           {rounded(mean('y', 6), 2)} AS avg_unemployment, {rounded(_CORR, 3)} AS phillips_correlation,
+    SELECT country_name, income_group, {rounded(mean('x'), 2)} AS avg_inflation,
+           {rounded(mean('y'), 2)} AS avg_unemployment, {rounded(_CORR, 3)} AS phillips_correlation,
            count(*) AS years_of_data
     FROM (SELECT *, inflation_pct AS x, unemployment_pct AS y FROM ({_STAGING_SQL}))
     WHERE year >= 1995 AND x BETWEEN -5 AND 50 AND y BETWEEN 0 AND 30
@@ -184,8 +184,8 @@ _add(
 )
 _add(
     "gdp_of_calendar_prior_year",
-    lambda spark, sf: with_prior_period(
-        _staging(spark, sf).select("country_code", "year", "gdp_usd"), "country_code", "year", "gdp_usd", "gdp_before"
+    lambda spark, sf: _staging(spark, sf).select(
+        "country_code", "year", "gdp_usd", prior_period("gdp_usd", "country_code", "year").alias("gdp_before")
     ),
     f"""
     SELECT s.country_code, s.year, s.gdp_usd, p.gdp_usd AS gdp_before
@@ -213,7 +213,7 @@ _add(
     "customers_ranked_by_balance",
     lambda spark, sf: global_rank(
         table(spark, sf, "customer").select("c_custkey", F.floor(F.col("c_acctbal") / 10).alias("tens")),
-        "tens", dense="dense_no", rank="rank_no", one_task_rows=0,
+        "tens", dense="dense_no", rank="rank_no",
     ),
     """
     SELECT c_custkey, CAST(floor(c_acctbal / 10) AS BIGINT) AS tens,

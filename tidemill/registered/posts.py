@@ -8,7 +8,7 @@ from tidemill.functions import text as text_fn
 from tidemill.operators import merge, quality
 from tidemill.plans import posts as plan
 from tidemill.registered.base import (
-    AS_OF, LEXICON, POSTS, SCORED, Registered, View, mean, pct, rounded, table,
+    AS_OF, LEXICON, POSTS, SCORED, Registered, View, exact, mean, pct, rounded, table,
 )
 from tidemill.session import new_folder
 from tidemill.sinks.tables import write_files
@@ -57,7 +57,7 @@ _add(
     lambda spark, sf: plan.hourly_trend(_scored(spark, sf), AS_OF),
     f"""
     SELECT date_trunc('hour', created_utc) AS hour_bucket, subreddit, count(*) AS post_count,
-           {rounded(mean('sentiment_score', 4), 4)} AS avg_sentiment, {_labels()},
+           {rounded(mean('sentiment_score'), 4)} AS avg_sentiment, {_labels()},
            {pct("sentiment_label = 'positive'", 1)} AS positive_pct
     FROM {BASE} WHERE created_utc >= {NOW} - INTERVAL 48 HOUR GROUP BY ALL
     """,
@@ -85,8 +85,8 @@ _add(
     "sentiment_by_forum",
     lambda spark, sf: plan.by_forum(_scored(spark, sf), AS_OF),
     f"""
-    SELECT subreddit, count(*) AS total_posts, {rounded(mean('sentiment_score', 4), 4)} AS avg_sentiment,
-           {rounded(mean('upvote_ratio', 4) + ' * 100', 1)} AS avg_upvote_pct, {_labels()},
+    SELECT subreddit, count(*) AS total_posts, {rounded(mean('sentiment_score'), 4)} AS avg_sentiment,
+           {rounded(mean('upvote_ratio') + ' * 100', 1)} AS avg_upvote_pct, {_labels()},
            {pct("sentiment_label = 'positive'", 1)} AS positive_pct,
            {pct("sentiment_label = 'negative'", 1)} AS negative_pct
     FROM {BASE} WHERE created_utc >= {NOW} - INTERVAL 7 DAY GROUP BY subreddit
@@ -96,8 +96,8 @@ _add(
     "forum_summary",
     lambda spark, sf: plan.forum_summary(_scored(spark, sf)),
     f"""
-    SELECT subreddit, count(*) AS total_posts, {mean('sentiment_score', 4)} AS avg_sentiment, {_labels('_count')},
-           {mean('score', 0)} AS avg_score, {mean('num_comments', 0)} AS avg_comments,
+    SELECT subreddit, count(*) AS total_posts, {mean('sentiment_score')} AS avg_sentiment, {_labels('_count')},
+           {mean('score')} AS avg_score, {mean('num_comments')} AS avg_comments,
            {pct("sentiment_label = 'positive'")} AS positive_pct
     FROM {BASE} GROUP BY subreddit
     """,
@@ -114,17 +114,15 @@ _add(
     """,
 )
 
-_UNIT = "CAST(1000000000 AS DOUBLE)"
 _add(
     "rolling_sentiment_7d",
     lambda spark, sf: plan.rolling_sentiment(_scored(spark, sf), AS_OF),
     f"""
     WITH d AS (
-        SELECT CAST(created_utc AS DATE) AS post_date, subreddit, {mean('sentiment_score', 4)} AS m
+        SELECT CAST(created_utc AS DATE) AS post_date, subreddit, {mean('sentiment_score')} AS m
         FROM {BASE} WHERE created_utc >= {NOW} - INTERVAL 30 DAY GROUP BY ALL)
     SELECT post_date, subreddit, {rounded('m', 4)} AS daily_avg,
-           {rounded(f'CAST(sum(CAST(floor(m * {_UNIT} + 0.5) AS BIGINT)) OVER w AS DOUBLE) / {_UNIT} / count(m) OVER w',
-                    4)} AS rolling_7d_avg
+           {rounded(f"CAST(sum({exact('m')}) OVER w AS DOUBLE) / count(m) OVER w", 4)} AS rolling_7d_avg
     FROM d
     WINDOW w AS (PARTITION BY subreddit ORDER BY post_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
     """,
@@ -143,8 +141,8 @@ _add(
     _daily_table,
     f"""
     SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS total_posts,
-           {rounded(mean('sentiment_score', 4), 4)} AS avg_sentiment,
-           {rounded(mean('score', 0), 2)} AS avg_reddit_score, {_labels('_count')},
+           {rounded(mean('sentiment_score'), 4)} AS avg_sentiment,
+           {rounded(mean('score'), 2)} AS avg_reddit_score, {_labels('_count')},
            {pct("sentiment_label = 'positive'", 2)} AS positive_pct
     FROM {BASE} WHERE created_utc >= {NOW} - INTERVAL 30 DAY GROUP BY ALL
     """,
@@ -154,7 +152,7 @@ _add(
     lambda spark, sf: plan.hourly_documents(_scored(spark, sf), AS_OF),
     f"""
     SELECT strftime(ingested_at, '%Y-%m-%dT%H:00:00Z') AS hour, subreddit, count(*) AS post_count,
-           {mean('sentiment_score', 4)} AS avg_sentiment
+           {mean('sentiment_score')} AS avg_sentiment
     FROM {BASE} WHERE ingested_at >= {NOW} - INTERVAL 24 HOUR GROUP BY ALL
     """,
 )
@@ -165,7 +163,7 @@ _add(
     SELECT *, CASE WHEN null_labels / nullif(total, 0) > 0.05 THEN 'unlabelled' ELSE 'ok' END AS verdict
     FROM (
         SELECT count(*) AS total, count(*) FILTER (WHERE sentiment_label IS NULL) AS null_labels,
-               {rounded(mean('sentiment_score', 4), 4)} AS avg_score, {_labels('_count')}
+               {rounded(mean('sentiment_score'), 4)} AS avg_score, {_labels('_count')}
         FROM {BASE} WHERE ingested_at >= {DAY} AND ingested_at < {DAY} + INTERVAL 1 DAY)
     """,
 )
@@ -322,8 +320,42 @@ _add(
     _merged_folder,
     _upsert_sql(LABEL_UPDATES.sql, _STORED_SQL, "coalesce(u.flair, b.flair)"),
 )
+
+
+def _inserted(spark, sf):
+    """Every post comes three times, the later ones changed, and some without a key."""
+    posts = _stored(spark, sf).withColumn("attempt", F.explode(F.array(*map(F.lit, (1, 2, 3)))))
+    posts = posts.withColumns({
+        "score": F.when(F.col("attempt") == 1, F.col("score")).otherwise(F.lit(-1)),
+        "post_id": F.when((F.col("attempt") != 3) | (F.col("num_comments") % 2 == 0), F.col("post_id")),
+    })
+    return merge.insert_absent(LABEL_UPDATES.df(spark, sf), posts, ["post_id"], ["attempt"]).drop("attempt")
+
+
 _add(
     "posts_inserted_if_absent",
-    lambda spark, sf: merge.insert_absent(LABEL_UPDATES.df(spark, sf), _stored(spark, sf), ["post_id"]),
+    _inserted,
     f"{_STORED_SQL} WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
+
+
+def _moved_days(spark, sf):
+    """Posts stored by day; updates of all of them name another day, or none."""
+    path = new_folder(spark, "moved-days")
+    posts = _stored(spark, sf).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("num_comments") % 9))
+    merge.merge_into(spark, path, posts.withColumn("version", F.lit(1)), ["post_id"], ["version"], slice_by="day")
+    moved = F.when(F.col("score") % 2 == 0, F.date_add("day", 1))
+    updates = posts.withColumns({"version": F.lit(2), "score": F.col("score") + 1000, "day": moved})
+    merge.merge_into(spark, path, updates, ["post_id"], ["version"], slice_by="day")
+    return spark.read.parquet(path)
+
+
+_add(
+    "posts_upserted_moved_day",
+    _moved_days,
+    f"""
+    SELECT post_id, subreddit, CAST(score + 1000 AS INT) AS score, flair, num_comments, CAST(2 AS INT) AS version,
+           CAST(DATE '2024-01-01' + CAST(num_comments % 9 AS INT) AS DATE) AS day
+    FROM ({_STORED_SQL})
+    """,
+)

@@ -8,7 +8,7 @@ from tidemill.functions.records import encode
 from tidemill.operators import quality
 from tidemill.plans import prices as plan
 from tidemill.registered.base import (
-    AS_OF, CANDLES, PRICES, Registered, change, mean, pct, ratio, rounded,
+    AS_OF, CANDLES, PRICES, Registered, change, exact, mean, pct, ratio, rounded,
 )
 from tidemill.session import new_folder
 from tidemill.sources.logs import Log, read_log
@@ -23,7 +23,7 @@ def _add(name, run, sql=None):
 
 
 def _history(spark, sf):
-    return plan.technical_indicators(CANDLES.df(spark, sf), AS_OF, scale=2).withColumn(
+    return plan.technical_indicators(CANDLES.df(spark, sf), AS_OF).withColumn(
         "is_bullish", F.col("close") >= F.col("open")
     )
 
@@ -31,7 +31,7 @@ def _history(spark, sf):
 def _ma(rows: int) -> str:
     w = f"(PARTITION BY coin_id ORDER BY candle_date ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
     return rounded(
-        f"CAST(sum(CAST(floor(close * 100 + 0.5) AS BIGINT)) OVER {w} AS DOUBLE) / 100 / count(close) OVER {w}", 6
+        f"CAST(sum({exact('close')}) OVER {w} AS DOUBLE) / count(close) OVER {w}", 6
     )
 
 
@@ -95,7 +95,7 @@ _add(
     "volatility_analysis",
     lambda spark, sf: plan.volatility(_history(spark, sf), AS_OF, min_days=20),
     f"""
-    SELECT coin_id, count(*) AS trading_days, {rounded(mean('daily_return_pct', 4), 3)} AS avg_daily_return,
+    SELECT coin_id, count(*) AS trading_days, {rounded(mean('daily_return_pct'), 3)} AS avg_daily_return,
            {rounded(_SD, 3)} AS daily_volatility, {rounded('max(daily_return_pct)', 2)} AS max_single_day_gain,
            {rounded('min(daily_return_pct)', 2)} AS max_single_day_loss,
            {rounded(_SD + ' * sqrt(365)', 2)} AS annualized_volatility,
@@ -193,17 +193,17 @@ _add(
     lambda spark, sf: plan.price_history(_events(spark, sf), "coin17", AS_OF, hours=24 * 14),
     f"""
     SELECT event_time, current_price_usd, volume_24h_usd, price_change_24h_pct FROM ({EVENTS_SQL})
-    WHERE coin_id = 'coin17' AND event_time >= {NOW} - INTERVAL 14 DAY ORDER BY event_time DESC LIMIT 100
+    WHERE coin_id = 'coin17' AND event_time >= {NOW} - INTERVAL 14 DAY
     """,
 )
 
 
 def _merged_layers(spark, sf):
-    """Candles of the first four weeks merged with the events of the last days."""
-    candles = CANDLES.df(spark, sf).where("candle_date < DATE '2024-01-29'")
-    events = _events(spark, sf).withColumn("coin_id", F.when(F.col("name") != "view", F.col("name")).otherwise(
-        F.lit("speed only")))
-    return plan.serving_view(candles, events.where("event_time >= TIMESTAMP_NTZ '2024-01-27 12:00:00'"))
+    """All candles merged with all events; the events of some names lie in the past by a month."""
+    late = F.when(F.col("name").isin("click", "purchase"), F.col("event_time") - F.expr("INTERVAL 30 DAY"))
+    events = _events(spark, sf).withColumn("event_time", F.coalesce(late, "event_time"))
+    events = events.withColumn("coin_id", F.when(F.col("name") != "view", F.col("name")).otherwise(F.lit("speed only")))
+    return plan.serving_view(CANDLES.df(spark, sf), events)
 
 
 _add(
@@ -212,11 +212,15 @@ _add(
     f"""
     WITH b AS (
         SELECT coin_id, max(candle_date)::TIMESTAMP AS t, arg_max(close, candle_date) AS v
-        FROM ({CANDLES.sql}) WHERE candle_date < DATE '2024-01-29' GROUP BY coin_id),
+        FROM ({CANDLES.sql}) GROUP BY coin_id),
+    e AS (
+        SELECT name, current_price_usd, CASE WHEN name IN ('click', 'purchase') THEN event_time - INTERVAL 30 DAY
+               ELSE event_time END AS event_time
+        FROM ({PRICES.sql})),
     s AS (
         SELECT CASE WHEN name <> 'view' THEN name ELSE 'speed only' END AS coin_id, max(event_time) AS t,
-               arg_max(current_price_usd, event_time) AS v
-        FROM ({PRICES.sql}) WHERE event_time >= TIMESTAMP '2024-01-27 12:00:00' GROUP BY ALL)
+               arg_max(current_price_usd, struct_pack(event_time, current_price_usd)) AS v
+        FROM e GROUP BY ALL)
     SELECT coalesce(b.coin_id, s.coin_id) AS coin_id,
            CASE WHEN s.t IS NOT NULL AND (b.t IS NULL OR s.t >= b.t) THEN s.v ELSE b.v END AS price,
            CASE WHEN s.t IS NOT NULL AND (b.t IS NULL OR s.t >= b.t) THEN s.t ELSE b.t END AS price_time,

@@ -28,23 +28,23 @@ def _add(name, run, sql=None):
 
 _add(
     "hourly_temperature_trend",
-    lambda spark, sf: plan.hourly_trend(READINGS.df(spark, sf), AS_OF, scale=2),
+    lambda spark, sf: plan.hourly_trend(READINGS.df(spark, sf), AS_OF),
     f"""
     SELECT city, date_trunc('hour', event_time) AS hour_bucket,
-           {rounded(mean('temperature_c', 2), 2)} AS avg_temp_c,
+           {rounded(mean('temperature_c'), 2)} AS avg_temp_c,
            {rounded('min(temperature_c)', 2)} AS min_temp_c, {rounded('max(temperature_c)', 2)} AS max_temp_c,
-           {rounded(mean('humidity_pct', 2), 1)} AS avg_humidity,
-           {rounded(total('precipitation_mm', 2), 2)} AS total_precip_mm, count(*) AS readings
+           {rounded(mean('humidity_pct'), 1)} AS avg_humidity,
+           {rounded(total('precipitation_mm'), 2)} AS total_precip_mm, count(*) AS readings
     FROM {BASE} WHERE event_time >= {NOW} - INTERVAL 48 HOUR GROUP BY ALL
     """,
 )
 
 _add(
     "temperature_anomaly_vs_baseline",
-    lambda spark, sf: plan.anomaly_vs_baseline(READINGS.df(spark, sf), AS_OF, scale=2),
+    lambda spark, sf: plan.anomaly_vs_baseline(READINGS.df(spark, sf), AS_OF),
     f"""
     WITH b AS (
-        SELECT city AS baseline_city, sensor_id, {mean('temperature_c', 2)} AS m, stddev_samp(temperature_c) AS sd
+        SELECT city AS baseline_city, sensor_id, {mean('temperature_c')} AS m, stddev_samp(temperature_c) AS sd
         FROM {BASE} WHERE event_time BETWEEN {NOW} - INTERVAL 7 DAY AND {NOW} - INTERVAL 1 HOUR GROUP BY ALL),
     l AS (
         SELECT sensor_id, city, temperature_c AS t FROM {BASE}
@@ -73,18 +73,18 @@ _add(
 
 _HOURLY_TABLE = f"""
     SELECT date_trunc('hour', event_time) AS hour_bucket, city, sensor_id,
-           {rounded(mean('temperature_c', 2), 2)} AS avg_temp_c,
+           {rounded(mean('temperature_c'), 2)} AS avg_temp_c,
            {rounded('max(temperature_c)', 2)} AS max_temp_c, {rounded('min(temperature_c)', 2)} AS min_temp_c,
-           {rounded(mean('humidity_pct', 2), 2)} AS avg_humidity_pct,
-           {rounded(mean('wind_speed_kmh', 2), 2)} AS avg_wind_speed_kmh,
-           {rounded(total('precipitation_mm', 2), 2)} AS total_precipitation_mm, count(*) AS event_count
+           {rounded(mean('humidity_pct'), 2)} AS avg_humidity_pct,
+           {rounded(mean('wind_speed_kmh'), 2)} AS avg_wind_speed_kmh,
+           {rounded(total('precipitation_mm'), 2)} AS total_precipitation_mm, count(*) AS event_count
     FROM {BASE} WHERE event_time >= {NOW} - INTERVAL 7 DAY GROUP BY ALL
 """
 
 
 def _hourly_table(spark, sf):
     """Written as a date-partitioned Parquet table and read back."""
-    table = plan.hourly_aggregates(READINGS.df(spark, sf), AS_OF, scale=2)
+    table = plan.hourly_aggregates(READINGS.df(spark, sf), AS_OF)
     path = new_folder(spark, "sensor-hourly")
     write_files(table.withColumn("event_date", F.to_date("hour_bucket")), path, ["event_date"], ["city", "hour_bucket"])
     return spark.read.parquet(path).drop("event_date")
@@ -92,7 +92,7 @@ def _hourly_table(spark, sf):
 
 def _published_table(spark, sf):
     """Created or replaced as a catalog table partitioned by date."""
-    table = plan.hourly_aggregates(READINGS.df(spark, sf), AS_OF, scale=2)
+    table = plan.hourly_aggregates(READINGS.df(spark, sf), AS_OF)
     folder = new_folder(spark, "sensor_hourly")
     name = folder.rsplit("/", 1)[1].replace("-", "_")
     published = publish_table(table.withColumn("event_date", F.to_date("hour_bucket")), name, ["event_date"], folder)
@@ -104,11 +104,11 @@ _add("sensor_hourly_catalog_table", _published_table, _HOURLY_TABLE)
 
 _add(
     "reading_anomaly_flags",
-    lambda spark, sf: plan.flag_anomalies(READINGS.df(spark, sf), scale=2).select(
+    lambda spark, sf: plan.flag_anomalies(READINGS.df(spark, sf)).select(
         "event_id", "temperature_c", "is_anomaly"
     ),
     f"""
-    WITH s AS (SELECT {mean('temperature_c', 2)} AS m, stddev_samp(temperature_c) AS sd FROM {BASE})
+    WITH s AS (SELECT {mean('temperature_c')} AS m, stddev_samp(temperature_c) AS sd FROM {BASE})
     SELECT event_id, temperature_c,
            coalesce(abs(temperature_c - (SELECT m FROM s))
                     > 2 * coalesce(nullif((SELECT sd FROM s), 0), 1), FALSE) AS is_anomaly
@@ -121,21 +121,21 @@ def _windows_sql(keys: str) -> str:
     return f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
            time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, {keys},
-           {mean('temperature_c', 2)} AS avg_temp_c, min(temperature_c) AS min_temp_c,
-           max(temperature_c) AS max_temp_c, {mean('humidity_pct', 2)} AS avg_humidity_pct,
-           {total('precipitation_mm', 2)} AS total_precip_mm, count(*) AS reading_count
+           {mean('temperature_c')} AS avg_temp_c, min(temperature_c) AS min_temp_c,
+           max(temperature_c) AS max_temp_c, {mean('humidity_pct')} AS avg_humidity_pct,
+           {total('precipitation_mm')} AS total_precip_mm, count(*) AS reading_count
     FROM {BASE} GROUP BY ALL
     """
 
 
 _add(
     "five_minute_windows_by_city",
-    lambda spark, sf: plan.five_minute_windows(READINGS.df(spark, sf), ["city"], scale=2),
+    lambda spark, sf: plan.five_minute_windows(READINGS.df(spark, sf), ["city"]),
     _windows_sql("city"),
 )
 _add(
     "five_minute_windows_by_sensor",
-    lambda spark, sf: plan.five_minute_windows(READINGS.df(spark, sf), ["sensor_id", "city"], scale=2),
+    lambda spark, sf: plan.five_minute_windows(READINGS.df(spark, sf), ["sensor_id", "city"]),
     _windows_sql("sensor_id, city"),
 )
 
@@ -199,14 +199,14 @@ _add(
 _add(
     "reading_log_rejects",
     lambda spark, sf: decode_with_rejects(_log(spark, sf), schemas.SENSOR_READING)
-    .groupBy(F.col(REJECT).isNotNull().alias("rejected"))
-    .agg(F.count(F.lit(1)).alias("records"), F.max(REJECT).alias("sample")),
+    .groupBy(F.col(REJECT).alias("rejected"))
+    .agg(F.count(F.lit(1)).alias("records")),
     f"""
-    SELECT event_id % 100 = 7 AS rejected, count(*) AS records,
-           max(CASE WHEN event_id % 100 = 7 THEN
+    SELECT CASE WHEN event_id % 100 = 7 THEN
                substr(CASE WHEN event_id % 71 = 5 THEN '{{"city":"' || city || '","latitude":' || latitude || ','
-                      ELSE '{{"sensor_id":"' || sensor_id || '","city":"' || city || '","lat' END, 1, 25) END) AS sample
-    FROM {BASE} GROUP BY ALL
+                      ELSE '{{"sensor_id":"' || sensor_id || '","city":"' || city || '","lat' END, 1, 25)
+           END AS rejected, count(*) AS records
+    FROM {BASE} GROUP BY 1
     """,
 )
 

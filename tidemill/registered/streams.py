@@ -55,7 +55,7 @@ def _windows(spark, sf):
     encode(closing).write.mode("append").text(path)
     stream = readings_plan.decode_readings(open_stream(spark, Log(path, "text")))
     out = new_folder(spark, "windows")
-    run(windowed_readings(stream, scale=2), new_folder(spark, "checkpoint"), path=out)
+    run(windowed_readings(stream), new_folder(spark, "checkpoint"), path=out)
     return _zone_free(spark.read.parquet(out))
 
 
@@ -66,9 +66,9 @@ def _windows_sql(where: str) -> str:
     return f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
            time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, city,
-           {mean('temperature_c', 2)} AS avg_temp_c, min(temperature_c) AS min_temp_c,
-           max(temperature_c) AS max_temp_c, {mean('humidity_pct', 2)} AS avg_humidity_pct,
-           {total('precipitation_mm', 2)} AS total_precip_mm, count(*) AS reading_count
+           {mean('temperature_c')} AS avg_temp_c, min(temperature_c) AS min_temp_c,
+           max(temperature_c) AS max_temp_c, {mean('humidity_pct')} AS avg_humidity_pct,
+           {total('precipitation_mm')} AS total_precip_mm, count(*) AS reading_count
     FROM {BASE} WHERE {where} GROUP BY ALL
     """
 
@@ -107,7 +107,7 @@ _add(
     _gated_rows,
     f"""
     WITH s AS (
-        SELECT {mean('temperature_c', 2)} AS m, stddev_samp(temperature_c) AS sd FROM {BASE} WHERE {_GOOD})
+        SELECT {mean('temperature_c')} AS m, stddev_samp(temperature_c) AS sd FROM {BASE} WHERE {_GOOD})
     SELECT sensor_id, city, event_time, temperature_c,
            CAST(CASE WHEN {_GOOD} THEN coalesce(
                abs(temperature_c - (SELECT m FROM s)) > 2 * (SELECT sd FROM s), FALSE) END AS VARCHAR) AS is_anomaly,

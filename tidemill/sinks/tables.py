@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -101,19 +102,53 @@ def publish_table(df: DataFrame, name: str, partition_by: Sequence[str], path: s
     return df.sparkSession.table(name)
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
+REJECTED = "rejected_columns"
+
+
+def conform(df: DataFrame, ddl: str, strict: bool = False, rejects: bool = False) -> DataFrame:
     """Exactly the contract's columns, in order, cast to its types.
 
-    Columns the frame lacks become NULL; values that do not fit become NULL.
+    Columns the frame lacks become NULL.  A value that does not fit becomes NULL, and with
+    ``rejects`` its column is named in ``rejected_columns``; with ``strict`` it ends the job.
     """
     fields = T.StructType.fromDDL(ddl).fields
     have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in fields
-        ]
-    )
+
+    def cast(f: T.StructField) -> Column:
+        value = F.col(f.name) if f.name in have else F.lit(None)
+        return value.cast(f.dataType) if strict or f.name not in have else value.try_cast(f.dataType)
+
+    misfits = [
+        F.when(F.col(f.name).isNotNull() & cast(f).isNull(), F.lit(f.name)) for f in fields if f.name in have
+    ]
+    extra = [F.array_compact(F.array(*misfits)).cast("array<string>").alias(REJECTED)] if rejects else []
+    return df.select(*[cast(f).alias(f.name) for f in fields], *extra)
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> dict[str, object]:
+    """The slice folders of a stored table: value as text -> path."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{column}=*")) or []
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return {unescape(x.getPath().getName().split("=", 1)[1]): x.getPath() for x in found}
+
+
+def drop_slices(spark: SparkSession, path: str, column: str, gone: Callable[[str], bool]) -> list[str]:
+    """Removes the folders of slices whose value (as text) is ``gone``; returns the values."""
+    out = []
+    for value, folder in sorted(_folders(spark, path, column).items()):
+        if gone(value):
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            out.append(value)
+    return out
+
+
+def expire(spark: SparkSession, path: str, column: str, today: dt.date, days: int = 30) -> list[str]:
+    """Removes day folders older than ``days`` before ``today``; whole folders, no rewrite."""
+    first = (today - dt.timedelta(days=days)).isoformat()
+    return drop_slices(spark, path, column, lambda day: day < first)
 
 
 def load_staged(spark: SparkSession, staged: str, path: str, ddl: str, slice_by: Sequence[str]) -> None:

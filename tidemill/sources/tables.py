@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.numeric import not_true
@@ -47,8 +47,11 @@ def increment(
 
     ``synced`` keeps rows whose flag is False or missing.  ``not_before`` is
     an age limit.  ``after`` is a high-water mark (time, key): rows strictly
-    behind it in (time, key) order; it needs no flag and skips nothing.
-    ``cap`` takes the oldest rows only; without it the increment is whole.
+    behind it in (time, key) order.  It needs no flag, and skips nothing if
+    ``time_col`` is the time at which a row was stored; with an event time, rows
+    that arrive late lie before the mark and need the flag.
+    ``cap`` takes the oldest rows only (those without a time first); without it the
+    increment is whole.
     """
     if synced is not None:
         df = df.where(not_true(synced))
@@ -67,21 +70,14 @@ def oldest(df: DataFrame, time_col: str, key: str, cap: int) -> DataFrame:
     A plain sort-and-limit would keep ``cap`` candidates of every partition and
     merge them in one task.  The hour in which the cap is reached is found from
     hourly counts first (one row per hour), so only rows up to it are sorted.
+    Rows without a time come first.
     """
-    hour = F.date_trunc("hour", time_col)
-    hours = df.where(F.col(time_col).isNotNull()).groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    # One entry per hour of the increment; the running count stops at the cap.
-    reached = F.aggregate(
-        "hours",
-        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("timestamp").alias("hour")),
-        lambda acc, h: F.when(acc["n"] >= F.lit(cap), acc).otherwise(
-            F.struct((acc["n"] + h["n"]).alias("n"), h["hour"].alias("hour"))
-        ),
-    )
-    listed = hours.groupBy().agg(F.array_sort(F.collect_list(F.struct("hour", "n"))).alias("hours"))
-    last_hour = listed.select(reached["hour"]).scalar()
-    near = df.where(F.col(time_col) < last_hour + F.expr("INTERVAL 1 HOUR"))
-    return near.orderBy(time_col, key).limit(cap)
+    hours = df.groupBy(F.date_trunc("hour", time_col).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy(F.col("hour").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    last_hour = hours.where(F.col("before") < cap).agg(F.max("hour").alias("hour")).scalar()
+    near = df.where(F.col(time_col).isNull() | (F.col(time_col) < last_hour + F.expr("INTERVAL 1 HOUR")))
+    return near.orderBy(F.col(time_col).asc_nulls_first(), key).limit(cap)
 
 
 def find(
@@ -105,9 +101,9 @@ def among(df: DataFrame, column: str, keys: Sequence | DataFrame) -> DataFrame:
 
 
 def key_history(
-    df: DataFrame, key_col: str, key, time_col: str, start: Column, limit: int | None = None
+    df: DataFrame, key_col: str, key, time_col: str, start: Column, limit: int | None = None, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """One key's rows from ``start`` on, newest first."""
+    """One key's rows from ``start`` on, newest first; ``ties`` order rows of the same time."""
     rows = df.where((F.col(key_col) == F.lit(key)) & (F.col(time_col) >= start))
-    rows = rows.orderBy(F.col(time_col).desc())
+    rows = rows.orderBy(F.col(time_col).desc(), *[F.col(c).desc_nulls_last() for c in ties])
     return rows if limit is None else rows.limit(limit)

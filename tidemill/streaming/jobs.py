@@ -32,11 +32,10 @@ def windowed_readings(
     delay: str = "2 minutes",
     width: str = "5 minutes",
     keys: Sequence[str] = ("city",),
-    scale: int | None = None,
 ) -> DataFrame:
     """Stateful tumbling windows.  Partial aggregation precedes the exchange to
     the state store, and rows later than ``delay`` are dropped."""
-    return five_minute_windows(readings.withWatermark("event_time", delay), keys, width, scale)
+    return five_minute_windows(readings.withWatermark("event_time", delay), keys, width)
 
 
 def start(
@@ -97,14 +96,13 @@ class ReadingBatches:
     windows: str
     quarantine: str
     min_completeness: float = MIN_COMPLETENESS
-    scale: int = 2
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with held(batch.withColumn("batch_id", F.lit(batch_id))) as rows:
             stats = rows.agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.count("temperature_c").alias("measured"),
-                mean("temperature_c", self.scale).alias("mean"),
+                mean("temperature_c").alias("mean"),
                 F.stddev_samp("temperature_c").alias("std"),
             ).first()
             if stats["rows"] == 0:
@@ -117,7 +115,7 @@ class ReadingBatches:
             )
             flagged = rows.withColumns({"is_anomaly": anomaly, "event_date": F.to_date("event_time")})
             replace_slice(flagged, self.raw, ["event_date", "batch_id"], ["sensor_id", "event_time"])
-            state = window_state(rows, scale=self.scale).withColumns(
+            state = window_state(rows).withColumns(
                 {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id)}
             )
             replace_slice(state, self.windows, ["window_date", "batch_id"])
