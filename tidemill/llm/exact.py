@@ -107,14 +107,17 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", di
 
 def without_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = exact_duplicates(docs, id, text).where("kept").select(F.col(id).alias("kept_id"), "text_sha256")
+    # A struct is never null, so null ids join too, and the window below needs no other exchange.
+    kept = exact_duplicates(docs, id, text).where("kept").select(
+        F.struct(F.col(id).alias("k")).alias("at"), F.col("text_sha256").alias("sha")
+    )
     own = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[id].alias("key"),
+        F.struct(docs[id].alias("k")).alias("at"),
         F.sha2(normalised(docs[text]), 256).alias("sha"),
         F.char_length(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("n_code"),
     )
-    own = own.join(kept, own["key"].eqNullSafe(kept["kept_id"]) & (own["sha"] == kept["text_sha256"]), "left_semi")
+    own = own.join(kept, ["at", "sha"], "left_semi")
     # An id that repeats with equal texts: the longest row, then any of equal ones.
-    order = Window.partitionBy("key", "sha").orderBy(F.desc("n_code"), F.xxhash64("row"))
+    order = Window.partitionBy("at", "sha").orderBy(F.desc("n_code"), F.xxhash64("row"))
     return own.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
