@@ -11,7 +11,7 @@ A hit names a candidate (document, item); it is verified by counting the item's
 in the document exactly.  Sketches of a checked size go to the tasks whole, so documents are read once and do
 not move; a larger benchmark meets the documents' hashes in a shuffled join.
 
-* Words are runs of letters and digits (and of all signs beyond ASCII), A-Z lower-cased.
+* Words are runs of what is neither white space nor ASCII or general punctuation, lower-cased.
   With fewer than five words the whole sequence is one shingle, on both sides.
 * Null or wordless items match nothing; null or wordless documents contain nothing.
 * Repeated items and repeated documents are rows of their own.
@@ -20,6 +20,7 @@ not move; a larger benchmark meets the documents' hashes in a shuffled join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +33,17 @@ from tidemill.llm.shingles import Words, shingle_set, text_words
 
 WORDS = 5
 PERCENT = 80
+# Punctuation and blanks beyond ASCII: Latin-1, general and CJK signs.
+SIGNS = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f]")
 SENT_BYTES = 8 << 20  # of sketches and item sets, up to which tasks get them whole
 PART = 500            # documents hashed at once
 
 
+def folded(text: str | None) -> str:
+    text = (text or "").lower()
+    return text if text.isascii() else SIGNS.sub(" ", text)
+
+
 def sketch_size(n: int, percent: int) -> int:
     """Least hashes of which one must be contained, if ``percent`` of ``n`` are."""
     return n * (100 - percent) // 100 + 1 if n else 0
@@ -53,7 +61,7 @@ def item_sketches(items: DataFrame, id: str, text: str, words: int = WORDS, perc
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Words("punctuation")
         for batch in batches:
-            for at, own in enumerate(text_words(hasher, batch.column(2).to_pylist())):
+            for at, own in enumerate(text_words(hasher, map(folded, batch.column(2).to_pylist()))):
                 values = shingle_set(own, words)
                 n, size_class = len(values), len(values).bit_length()
                 least = sketch_size((1 << size_class) - 1, percent)
@@ -118,7 +126,7 @@ def _parts(batch: pa.RecordBatch, hasher: Words, words: int) -> Iterator[tuple[i
     """Shingle sets of the last column, PART documents at a time."""
     for begin in range(0, len(batch), PART):
         texts = batch.column(batch.num_columns - 1).slice(begin, PART).to_pylist()
-        yield begin, [shingle_set(x, words) for x in text_words(hasher, texts)]
+        yield begin, [shingle_set(x, words) for x in text_words(hasher, map(folded, texts))]
 
 
 def _sent(rows: DataFrame, index: Index, words: int) -> DataFrame:

@@ -7,6 +7,8 @@ different machines agree.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 # Base of the rolling word hash; odd, so powers can be inverted modulo 2^64.
@@ -95,7 +97,7 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
-def text_words(hasher: Words, texts: list) -> list[np.ndarray]:
+def text_words(hasher: Words, texts: Iterable[str | None]) -> list[np.ndarray]:
     """Word hashes of each text; null is empty.  Texts are hashed a slice of them at a time."""
     out: list[np.ndarray] = []
     part: list[bytes] = []
