@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill import schemas
 from tidemill.functions.records import encode
@@ -27,27 +28,38 @@ def _add(name, run, sql=None):
     QUERIES[name] = Registered(run, sql)
 
 
-def _long_log(spark, sf):
-    """The panel as a log of long JSON records, each sent twice; the first copy is wrong."""
+def _sent(spark, sf):
+    """The panel as long records, each sent twice; the first copy is wrong."""
     pairs = ", ".join(f"'{c}', `{c}`" for c in INDICATORS)
     long = PANEL_TRUTH.df(spark, sf).select(
         "country_code", "country_name", "year",
         F.expr(f"stack({len(INDICATORS)}, {pairs}) AS (indicator_name, value)"),
     )
-    copies = long.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).select(
+    return long.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).select(
         "country_code", "country_name", "indicator_name", "year",
         F.when(F.col("copy") == 1, F.col("value") / 2).otherwise(F.col("value")).alias("value"),
         F.lit("2001-12-31").alias("batch_date"),
         F.concat(F.lit("2001-12-31T0"), "copy", F.lit(":00:00")).alias("ingested_at"),
         F.lit("api").alias("source"),
     )
+
+
+def _panel_of_log(spark, sf):
+    """The panel from a log of JSON records."""
     path = new_folder(spark, "indicator-log")
-    encode(copies).write.text(path)
-    return decode(read_log(spark, Log(path, "text")), schemas.COUNTRY_INDICATOR)
+    encode(_sent(spark, sf)).write.text(path)
+    return plan.panel(
+        decode(read_log(spark, Log(path, "text")), schemas.COUNTRY_INDICATOR), PANEL_AS_OF, "2001-12-31"
+    )
 
 
 def _panel(spark, sf):
-    return plan.panel(_long_log(spark, sf), PANEL_AS_OF, "2001-12-31")
+    """The panel from the records as they are."""
+    fields = T.StructType.fromDDL(schemas.COUNTRY_INDICATOR).fields
+    sent = _sent(spark, sf)
+    value = {c: F.col(c) for c in sent.columns}
+    records = sent.select(*[value.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+    return plan.panel(records, PANEL_AS_OF, "2001-12-31")
 
 
 def _staging(spark, sf):
@@ -103,7 +115,7 @@ def _mart(spark, sf, all_years=False):
     return plan.economy_mart(_staging(spark, sf), PANEL_AS_OF, all_years)
 
 
-_add("indicator_panel", _panel, _PANEL_SQL)
+_add("indicator_panel", _panel_of_log, _PANEL_SQL)
 _add("indicator_staging", _staging, _STAGING_SQL)
 _add("economy_mart", _mart, _MART)
 _add("economy_mart_all_years", lambda spark, sf: _mart(spark, sf, all_years=True), _MART_ALL)

@@ -195,7 +195,7 @@ def _deduplicated(spark, sf):
     log = price_log(spark, sf, files=4)
     limited = Log(log.name, "text", intake=2)
     stream = stream_dedup(
-        _price_stream(spark, sf, limited), ["coin_id", "last_updated"], "event_time", "60 days"
+        _price_stream(spark, sf, limited), ["coin_id", "last_updated"], "event_time", "60 days", spread=8
     )
     out = new_folder(spark, "deduplicated")
     run(stream, new_folder(spark, "checkpoint"), path=out)
