@@ -90,6 +90,19 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": decontamination,
 }
 
+# Words of a text as a list, and the n-grams of such a list (fewer words make one of all).
+_PLAIN_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+_FOLDED_WORDS = r"""regexp_extract_all(lower(coalesce(text, '')),
+    '[0-9a-z\x{80}-\x{9f}\x{c0}-\x{1fff}\x{2070}-\x{2fff}\x{3040}-\x{10ffff}]+')"""
+
+
+def _grams(n: int) -> str:
+    several = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(n))
+    return f"""unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - {n - 2}), lambda i: {several}) END)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": r"""
     WITH t AS (
@@ -103,4 +116,28 @@ ORACLE_SQL: dict[str, str] = {
         FROM t)
     SELECT doc_id, keep_id, group_size, kept, sha256(body) AS text_sha256 FROM g
     """,
+    "op5_jaccard_join": f"""
+    WITH RECURSIVE words AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, {_grams(3)} AS g FROM words),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+        FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+    ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (
+        SELECT doc_id, doc_id AS root FROM documents
+        UNION SELECT reach.doc_id, ends.b FROM reach JOIN ends ON ends.a = reach.root)
+    SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id
+    FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+    "op10_decontamination": f"""
+    WITH d AS (SELECT DISTINCT doc_id, {_grams(5)} AS g FROM (SELECT doc_id, {_FOLDED_WORDS} AS w FROM documents)),
+    i AS (SELECT DISTINCT item_id, {_grams(5)} AS g FROM (SELECT item_id, {_FOLDED_WORDS} AS w FROM benchmark)),
+    n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+    SELECT doc_id, item_id, CAST(any_value(n) AS INT) AS n_shingles, count(*) AS common, count(*) / any_value(n) AS containment
+    FROM i JOIN d USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id
+    HAVING 100 * count(*) >= 80 * any_value(n)
+    """,
 }
