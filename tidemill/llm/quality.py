@@ -160,7 +160,8 @@ def learn(
     uniform = F.pmod(F.xxhash64("body", F.lit(20)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     chance = F.when(F.col("label") > 0, sample / max(1, held.get(1, 0))).otherwise(sample / max(1, held.get(0, 0)))
     rows = docs.select(docs[id].alias("key"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("body"))
-    rows = rows.join(said, rows["key"] == said["label_id"]).select("body", "label")
+    # Labels grow with the documents: merged at every size, never sent whole.
+    rows = rows.join(said.hint("merge"), rows["key"] == said["label_id"]).select("body", "label")
     rows = rows.withColumn("drawn", uniform < chance).withColumn("tie", F.xxhash64("body", F.lit(21)))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
