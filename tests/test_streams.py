@@ -165,10 +165,17 @@ def test_post_upserts_by_field(spark, rows, tmp_path):
     update = spark.createDataFrame([post("1", 1, "bad", score=5), post("1", 2, None, score=6)], POST)
     for _ in range(2):
         body(update, 1)
-    assert rows(spark.read.parquet(body.posts), "post_id", "title", "flair", "score") == [
-        ("1", "bad", "x", 6), ("2", "bad", None, 1)]
-    labels = rows(spark.read.parquet(body.sentiment), "post_id", "sentiment_label")
-    assert labels == [("1", "neutral"), ("2", "negative")]
+    for _ in range(2):
+        assert rows(body.current_posts(spark), "post_id", "title", "flair", "score") == [
+            ("1", "bad", "x", 6), ("2", "bad", None, 1)]
+        labels = rows(body.current_sentiment(spark), "post_id", "sentiment_label")
+        assert labels == [("1", "neutral"), ("2", "negative")]
+        body.settle(spark)
+        assert spark.read.parquet(body.posts).count() == 2
+    moved = spark.createDataFrame([post("1", 3, "good")], POST).withColumn("created_utc", F.lit(None).cast("timestamp"))
+    body(moved, 2)
+    body.settle(spark)
+    assert rows(body.current_posts(spark), "post_id", "title", "created_utc")[0] == ("1", "good", START)
 
 
 def test_late_price_does_not_replace_a_newer_one(spark, rows, tmp_path):
@@ -182,7 +189,10 @@ def test_late_price_does_not_replace_a_newer_one(spark, rows, tmp_path):
         )
         extra = {c: F.lit(None).cast("string") for c in LATEST_FIELDS if c not in base.columns}
         body(base.withColumns(extra), batch_id)
-    assert rows(spark.read.parquet(body.latest), "coin_id", "current_price_usd") == [("x", 11.0)]
+    for _ in range(2):
+        assert rows(body.current_prices(spark), "coin_id", "current_price_usd") == [("x", 11.0)]
+        body.settle(spark)
+    assert spark.read.parquet(body.latest).count() == 1
     assert spark.read.parquet(body.series).count() == 4
 
 

@@ -68,6 +68,11 @@ def watch_prices(spark: SparkSession, log: Log, folder: str, every: str | None =
     return start(stream, f"{folder}/checkpoint", body=sinks, every=every)
 
 
+def settle_upserts(spark: SparkSession, folder: str, sinks: PostBatches | PriceBatches) -> None:
+    """Folds the stored batches of an upserted view; run it now and then between batches."""
+    sinks.settle(spark)
+
+
 def settle_prices(spark: SparkSession, folder: str, day: dt.date) -> int:
     """One day of the series without redelivered events, in few files sorted by key.
 

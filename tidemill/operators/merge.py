@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.dedup import latest_per_key, orderable
-from tidemill.sinks.tables import replace_slice
+from tidemill.session import cut_lineage
+from tidemill.sinks.tables import drop_slices, replace_slice
 
 BUCKET = "key_bucket"
 
@@ -31,7 +32,7 @@ def last_written(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Col
         return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order, *tie))).alias(name)
 
     fields = [c for c in rows.columns if c not in keys]
-    keyed = rows.where(_has_key(keys))
+    keyed = rows.where(has_key(keys))
     if not fields:
         return keyed.select(*keys).distinct()
     return keyed.groupBy(*keys).agg(*[last(c) for c in fields]).select(*rows.columns)
@@ -56,12 +57,12 @@ def upsert(
     decides between them too, so a late update does not undo a newer row.
     """
     fields = [c for c in updates.columns if c not in keys]
-    fresh = updates.where(_has_key(keys))
+    fresh = updates.where(has_key(keys))
     if order:
         reduce = latest_per_key if null_overwrites else last_written
         fresh = reduce(fresh, keys, order)
     fresh = fresh.withColumn("is_update", F.lit(True)).alias("u")
-    joined = base.where(_has_key(keys)).alias("b").join(fresh, list(keys), "full_outer")
+    joined = base.where(has_key(keys)).alias("b").join(fresh, list(keys), "full_outer")
 
     first = F.col("is_update")  # whether the update's value goes before the stored one
     if newest_wins:
@@ -91,7 +92,7 @@ def insert_absent(
     leaves known keys alone would.  Rows with a NULL in the key are left out.
     """
     known = base.select(*keys).distinct()
-    first = latest_per_key(updates.where(_has_key(keys)), keys, order, oldest=True)
+    first = latest_per_key(updates.where(has_key(keys)), keys, order, oldest=True)
     return first.join(known, list(keys), "left_anti")
 
 
@@ -132,8 +133,8 @@ def merge_into(
     bucketed = slice_by is None
     if bucketed:
         updates, slice_by = with_bucket(updates, keys, buckets), BUCKET
-    updates = updates.where(_has_key(keys))
-    stored = _stored(spark, path)
+    updates = updates.where(has_key(keys))
+    stored = stored_rows(spark, path)
     if stored is not None:
         # Folder values are read back with a guessed type.
         stored = stored.withColumn(slice_by, F.col(slice_by).cast(updates.schema[slice_by].dataType))
@@ -156,14 +157,55 @@ def _at_home(stored: DataFrame, updates: DataFrame, keys: Sequence[str], slice_b
     return found.withColumn(slice_by, own).select(*updates.columns)
 
 
-def _has_key(keys: Sequence[str]) -> Column:
+# -- tables as deltas -------------------------------------------------------------
+
+BATCH = "batch_id"
+
+
+def add_delta(rows: DataFrame, path: str, batch_id: int, slice_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """One batch's updates as slices of their own: the cost is that of the batch, not of the
+    table, and a replayed batch replaces its own slices."""
+    rows = rows.withColumn(BATCH, F.lit(batch_id))
+    replace_slice(rows, path, [*slice_by, BATCH], sort_by, one_slice=not slice_by)
+
+
+def current(deltas: DataFrame, keys: Sequence[str], order: Sequence[str | Column], by_field: bool) -> DataFrame:
+    """One row per key: the greatest ``order``, or by field the last value that is not NULL."""
+    return last_written(deltas, keys, order) if by_field else latest_per_key(deltas.where(has_key(keys)), keys, order)
+
+
+def settle(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    by_field: bool,
+    slice_by: Sequence[str] = (),
+) -> int:
+    """Folds all stored batches into the last one; ``current`` gives the same before and after.
+
+    Run it now and then, while no batch is being written.  The folded rows are written
+    first, the earlier batches removed then: a run that breaks off between leaves both, and
+    the view is still the same.  Returns the number of batches folded.
+    """
+    deltas = spark.read.parquet(path)
+    batches = sorted(row[0] for row in deltas.select(BATCH).distinct().toLocalIterator())
+    if len(batches) < 2:
+        return 0
+    folded = cut_lineage(current(deltas, keys, order, by_field)).withColumn(BATCH, F.lit(batches[-1]))
+    replace_slice(folded, path, [*slice_by, BATCH], keys, one_slice=not slice_by)
+    drop_slices(spark, path, BATCH, lambda batch: int(batch) < batches[-1], outer=slice_by)
+    return len(batches) - 1
+
+
+def has_key(keys: Sequence[str]) -> Column:
     condition = F.col(keys[0]).isNotNull()
     for key in keys[1:]:
         condition = condition & F.col(key).isNotNull()
     return condition
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a Parquet folder, or None while nothing is stored in it."""
     try:
         return spark.read.parquet(path)

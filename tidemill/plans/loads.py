@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemill import schemas
 from tidemill.functions.numeric import number_or
-from tidemill.operators.merge import mark, merge_into
+from tidemill.operators.merge import has_key, mark, merge_into, stored_rows
 from tidemill.operators.quality import has_rows
 from tidemill.sinks.tables import conform, counted, drop_slices, replace_slice
 from tidemill.sources.tables import increment, slice_of
@@ -50,6 +50,29 @@ def export_increment(
     return mark(stored, exported, keys, synced)
 
 
+def sync(spark: SparkSession, stored: DataFrame, folder: str, run_id: str, keys: Sequence[str], sort_by: Sequence[str] = ()) -> int:
+    """Exports every row that no other run has exported, and stores which ones; returns their number.
+
+    The marks are a narrow table of their own, a slice per run: ``stored`` is not rewritten,
+    rows that arrive late are found by their absence, and a repeated run replaces its slices.
+    Rows without a key cannot be marked and are left out.
+    """
+    export, marks = f"{folder}/export", f"{folder}/marks"
+    rows = stored.where(has_key(keys))
+    known = stored_rows(spark, marks)
+    if known is not None:
+        rows = rows.join(known.where(F.col("run_id") != run_id).select(*keys).distinct(), list(keys), "left_anti")
+    rows = rows.withColumn("run_id", F.lit(run_id))
+    written = counted(lambda seen: replace_slice(rows, export, ["run_id"], sort_by, one_slice=True, seen=seen))["rows"]
+    if written:
+        exported = spark.read.parquet(export).where(F.col("run_id") == run_id)
+        replace_slice(exported.select(*keys, "run_id"), marks, ["run_id"], one_slice=True)
+    else:
+        for path in (export, marks):
+            drop_slices(spark, path, "run_id", lambda run: run == run_id)
+    return written
+
+
 def high_water_mark(exported: DataFrame, time_col: str, key: str) -> tuple | None:
     """The (time, key) up to which rows are exported, for ``increment(after=...)``."""
     row = exported.agg(F.max(F.struct(time_col, key)).alias("m")).first()["m"]

@@ -10,7 +10,7 @@ from tidemill.functions.time import before
 from tidemill.operators import quality
 from tidemill.operators.merge import mark
 from tidemill.plans import readings as plan
-from tidemill.plans.loads import export_increment
+from tidemill.plans.loads import export_increment, sync
 from tidemill.registered.base import AS_OF, READINGS, Registered, mean, pct, ratio, rounded, total
 from tidemill.session import new_folder
 from tidemill.sinks.tables import conform, duplicate_keys, publish_table, write_files
@@ -295,6 +295,25 @@ _add(
     """,
 )
 
+
+
+def _synced_runs(spark, sf):
+    """A run before some rows have arrived, two runs after; the last finds nothing."""
+    folder, rows = new_folder(spark, "sync"), READINGS.df(spark, sf).select("event_id", "event_time")
+    early = rows.where("event_id % 3 <> 0")
+    for run_id, seen in (("run-1", early), ("run-2", rows), ("run-2", rows), ("run-3", rows)):
+        sync(spark, seen, folder, run_id, ["event_id"], ["event_time"])
+    return spark.read.parquet(f"{folder}/export")
+
+
+_add(
+    "synced_with_stored_marks",
+    _synced_runs,
+    f"""
+    SELECT event_id, event_time, CASE WHEN event_id % 3 <> 0 THEN 'run-1' ELSE 'run-2' END AS run_id FROM {BASE}
+    """,
+)
+
 _add(
     "rows_marked_synced",
     lambda spark, sf: mark(

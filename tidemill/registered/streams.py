@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.records import encode
 from tidemill.operators.dedup import latest_per_key, stream_dedup
-from tidemill.operators.merge import BUCKET
+from tidemill.operators.merge import BATCH
 from tidemill.plans import posts as posts_plan
 from tidemill.plans import prices as prices_plan
 from tidemill.plans import readings as readings_plan
@@ -126,7 +126,7 @@ _add(
 # -- scored and upserted posts ------------------------------------------------------------------
 
 
-def _posts(spark, sf):
+def _posts(spark, sf, settled=False):
     """All posts, then a second delivery of the labelled ones: new votes, some fields missing."""
     path, checkpoint = new_folder(spark, "post-log"), new_folder(spark, "checkpoint")
     sinks = PostBatches(LEXICON, new_folder(spark, "posts"), new_folder(spark, "sentiment"))
@@ -143,21 +143,22 @@ def _posts(spark, sf):
         encode(delivery.withColumns(times).drop("doc_id")).write.mode("append").text(path)
         stream = posts_plan.decode_posts(open_stream(spark, Log(path, "text")))
         run(stream.withWatermark("created_utc", "5 minutes"), checkpoint, body=sinks)
-    stored = spark.read.parquet(sinks.posts).select("post_id", "flair", "num_comments", "upvote_ratio", "ingested_at")
-    return _zone_free(spark.read.parquet(sinks.sentiment).drop(CREATED_DAY, "ingested_at").join(stored, "post_id"))
+    if settled:
+        sinks.settle(spark)
+    stored = sinks.current_posts(spark).select("post_id", "flair", "num_comments", "upvote_ratio", "ingested_at")
+    documents = sinks.current_sentiment(spark).drop(CREATED_DAY, BATCH, "ingested_at")
+    return _zone_free(documents.join(stored, "post_id"))
 
 
-_add(
-    "posts_scored_and_upserted_stream",
-    _posts,
-    f"""
+_POSTS_SQL = f"""
     SELECT post_id, subreddit, compound_score, polarity_score, sentiment_score, sentiment_label,
            CASE WHEN toxic IS NOT NULL THEN score + 1000 ELSE score END AS score, created_utc,
            CASE WHEN toxic = 1 THEN 'toxic' ELSE flair END AS flair, num_comments, upvote_ratio,
            CASE WHEN toxic IS NOT NULL THEN ingested_at + INTERVAL 1 HOUR ELSE ingested_at END AS ingested_at
     FROM ({SCORED}) LEFT JOIN labels USING (doc_id)
-    """,
-)
+    """
+_add("posts_scored_and_upserted_stream", _posts, _POSTS_SQL)
+_add("posts_settled_after_stream", lambda spark, sf: _posts(spark, sf, settled=True), _POSTS_SQL)
 
 # -- price events -------------------------------------------------------------------------------
 
@@ -185,7 +186,7 @@ _add(
 )
 _add(
     "latest_price_view_stream",
-    lambda spark, sf: _zone_free(spark.read.parquet(_price_series(spark, sf).latest).drop(BUCKET)),
+    lambda spark, sf: _zone_free(_price_series(spark, sf).current_prices(spark)),
     LATEST_SQL,
 )
 

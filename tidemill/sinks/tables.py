@@ -125,20 +125,26 @@ def conform(df: DataFrame, ddl: str, strict: bool = False, rejects: bool = False
     return df.select(*[cast(f).alias(f.name) for f in fields], *extra)
 
 
-def _folders(spark: SparkSession, path: str, column: str) -> dict[str, object]:
-    """The slice folders of a stored table: value as text -> path."""
+def _folders(spark: SparkSession, path: str, column: str, outer: Sequence[str] = ()) -> list[tuple[str, object]]:
+    """The slice folders of a stored table, with the slice's value as text."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{column}=*")) or []
+    pattern = "/".join(f"{c}=*" for c in [*outer, column])
+    found = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or []
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    return {unescape(x.getPath().getName().split("=", 1)[1]): x.getPath() for x in found}
+    return sorted(((unescape(x.getPath().getName().split("=", 1)[1]), x.getPath()) for x in found), key=lambda x: x[0])
 
 
-def drop_slices(spark: SparkSession, path: str, column: str, gone: Callable[[str], bool]) -> list[str]:
-    """Removes the folders of slices whose value (as text) is ``gone``; returns the values."""
+def drop_slices(
+    spark: SparkSession, path: str, column: str, gone: Callable[[str], bool], outer: Sequence[str] = ()
+) -> list[str]:
+    """Removes the folders of slices whose value (as text) is ``gone``; returns the values.
+
+    ``outer`` names the folder columns above ``column``.
+    """
     out = []
-    for value, folder in sorted(_folders(spark, path, column).items()):
+    for value, folder in _folders(spark, path, column, outer):
         if gone(value):
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
             out.append(value)

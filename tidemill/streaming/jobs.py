@@ -10,12 +10,12 @@ from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.numeric import mean, outlier
-from tidemill.operators.merge import merge_into
+from tidemill.operators.merge import BATCH, add_delta, current, settle
 from tidemill.plans.posts import SENTIMENT_FIELDS, score_posts
 from tidemill.plans.prices import LATEST_FIELDS
 from tidemill.plans.readings import ANOMALY_LIMIT, five_minute_windows, window_state
@@ -25,6 +25,8 @@ from tidemill.sinks.tables import replace_slice
 MIN_COMPLETENESS = 0.95
 
 CREATED_DAY = "created_date"
+POST_ORDER = [BATCH, "ingested_at", "score", "sentiment_score"]
+PRICE_ORDER = ["event_time", "current_price_usd"]
 
 
 def windowed_readings(
@@ -125,8 +127,8 @@ class ReadingBatches:
 class PostBatches:
     """Scores posts and upserts the raw and the sentiment documents by post id.
 
-    Both tables are split by creation day, which a post never changes, so a
-    batch rewrites only the days its posts were created on.
+    A batch writes its own rows only, split by creation day; ``current_posts`` and
+    ``current_sentiment`` read one row per post, and ``settle`` folds the batches.
     """
 
     lexicon: Mapping[str, tuple[float, float]]
@@ -143,19 +145,32 @@ class PostBatches:
                 return
             documents = rows.select(*SENTIMENT_FIELDS, "ingested_at", CREATED_DAY)
             for path, updates in ((self.posts, rows), (self.sentiment, documents)):
-                merge_into(
-                    rows.sparkSession, path, updates, ["post_id"], ["ingested_at", "score", "sentiment_score"],
-                    slice_by=CREATED_DAY, null_overwrites=self.null_overwrites,
-                )
+                add_delta(updates, path, batch_id, [CREATED_DAY], ["post_id"])
+
+    def _current(self, spark: SparkSession, path: str) -> DataFrame:
+        return current(spark.read.parquet(path), ["post_id"], POST_ORDER, not self.null_overwrites)
+
+    def current_posts(self, spark: SparkSession) -> DataFrame:
+        return self._current(spark, self.posts)
+
+    def current_sentiment(self, spark: SparkSession) -> DataFrame:
+        return self._current(spark, self.sentiment)
+
+    def settle(self, spark: SparkSession) -> None:
+        for path in (self.posts, self.sentiment):
+            settle(spark, path, ["post_id"], POST_ORDER, not self.null_overwrites, [CREATED_DAY])
 
 
 @dataclass(frozen=True)
 class PriceBatches:
-    """Appends price events to the time series and keeps the latest view."""
+    """Appends price events to the time series and keeps the latest price of each key.
+
+    A batch adds its own latest rows; ``current_prices`` reads one row per key, and
+    ``settle`` folds the batches.
+    """
 
     series: str
     latest: str
-    buckets: int = 16
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with held(batch.withColumn("batch_id", F.lit(batch_id))) as rows:
@@ -163,7 +178,10 @@ class PriceBatches:
                 return
             dated = rows.withColumn("event_date", F.col("event_time").cast("date"))
             replace_slice(dated, self.series, ["event_date", "batch_id"], ["coin_id", "event_time"])
-            merge_into(
-                rows.sparkSession, self.latest, rows.select(*LATEST_FIELDS), ["coin_id"],
-                ["event_time", "current_price_usd"], buckets=self.buckets, null_overwrites=True, newest_wins=True,
-            )
+            add_delta(current(rows.select(*LATEST_FIELDS), ["coin_id"], PRICE_ORDER, False), self.latest, batch_id)
+
+    def current_prices(self, spark: SparkSession) -> DataFrame:
+        return current(spark.read.parquet(self.latest).drop(BATCH), ["coin_id"], PRICE_ORDER, False)
+
+    def settle(self, spark: SparkSession) -> None:
+        settle(spark, self.latest, ["coin_id"], PRICE_ORDER, False)
