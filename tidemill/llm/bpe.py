@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from tidemill.llm.shingles import mix
 
 BLOCK = 256         # symbols settled at once in a long word
-KEPT = 4_000_000    # characters of pieces whose ids a task remembers
+KEPT = 3_000_000    # characters of pieces whose ids a task remembers
 LONGEST = 200       # characters of a piece that is worth remembering
 PIECES = 200_000    # pieces encoded at once
 WINDOW = 1 << 16    # characters of a text cut into pieces at once
@@ -417,10 +417,8 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
         for batch in batches:
             for part in _parts(batch, batch.schema.get_field_index(ids)):
                 lists = part.column(ids)
-                at, values = lists.offsets.to_numpy(), lists.values.to_numpy().tolist()
-                base = at[0]
-                values = values[base : at[-1]]
-                texts = [decoder.decode(values[a:b]) for a, b in zip((at[:-1] - base).tolist(), (at[1:] - base).tolist())]
+                at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+                texts = [decoder.decode(values[a:b].tolist()) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
     kind = StructType([x for x in rows.schema] + [StructField(out, StringType())])
