@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, quality, records, secrets, sharding, tokens
+from tidemill.llm.components import written
 from tidemill.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +65,8 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     lengths = tokens.encoded_lengths(
         _documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    return tokens.limits(tokens.length_histogram(lengths))
+    # Stored, so that texts are encoded once for both sums over it.
+    return tokens.limits(written(tokens.length_histogram(lengths), "lengths"))
 
 
 def binary_records(spark: SparkSession, sf: str) -> DataFrame:

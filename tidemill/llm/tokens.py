@@ -60,7 +60,7 @@ def limits(histogram: DataFrame) -> DataFrame:
     tokens_within: up to the limit; truncated_tokens: the sum of min(length, limit);
     share_within: part of the documents that fit, so the length is that quantile.
     For a limit between two lengths, take the row of the lower one and add
-    docs_over * (limit - length) to truncated_tokens.
+    docs_over * (limit - length) to truncated_tokens.  Give a stored histogram: it is read twice.
     """
     # Suffix sums in two steps, so no task holds the whole histogram: inside buckets of
     # lengths, and over the buckets, of which there are the longest length / BUCKET.
