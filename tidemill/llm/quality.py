@@ -31,6 +31,7 @@ from tidemill.session import new_folder
 SAMPLE = 10_000   # rows of each class that the model is fitted to, in expectation
 BITS = 17         # 2^BITS features
 BLOCK = 48        # documents whose indicators are set at once
+PART = 480        # documents whose features are held at once
 COST = 1.0        # weight of the hinge loss
 EPOCHS = 12
 SMOOTHING = 1.0
@@ -166,7 +167,7 @@ def learn(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, counts, total = Features(bits), np.zeros((2, 1 << bits), np.int64), np.zeros(2, np.int64)
-        for batch in batches:
+        for batch in _parts(batches):
             numbers, starts = features.of(batch.column(0).to_pylist())
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             owner = np.repeat(marks, np.diff(starts))
@@ -212,6 +213,13 @@ def learn(
     return Model(ratios, np.frombuffer(row["w"], np.float64), row["c"], bits)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, PART of them at a time."""
+    for batch in batches:
+        for begin in range(0, len(batch), PART):
+            yield batch.slice(begin, PART)
+
+
 def _gathered(at, zero, one, own, tie) -> pa.RecordBatch:
     arrays = [pa.array(at, pa.int32()), pa.array(zero, pa.int64()), pa.array(one, pa.int64()), pa.array(own, pa.binary()), tie]
     return pa.RecordBatch.from_arrays(arrays, names=["at", "zero", "one", "own", "tie"])
@@ -224,7 +232,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[Column]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.bits)
-        for batch in batches:
+        for batch in _parts(batches):
             margins = model.margins(*features.of(batch.column(1).to_pylist()))
             scores = 1 / (1 + np.exp(-np.clip(model.steepness * margins, -50, 50)))
             yield pa.RecordBatch.from_arrays(
@@ -242,7 +250,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.bits)
-        for batch in batches:
+        for batch in _parts(batches):
             margins = model.margins(*features.of(batch.column(at).to_pylist()))
             yield batch.filter(pa.array(margins >= 0))
 
