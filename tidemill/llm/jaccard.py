@@ -10,8 +10,9 @@ class has the number of fragments that its greatest difference asks for.  Segmen
 n-gram or none are common to many texts; each class has some more fragments than needed,
 so a document may leave out that many of them, and one with more gives all.
 
-Counts: for a candidate pair the overlap is counted in each fragment apart, and the partial
-counts are summed per pair.
+Counts: a pair's overlap in a fragment is no more than the smaller segment; pairs for which
+the sum of these bounds is too small go first.  For the others the overlap is counted in each
+fragment apart, and the partial counts are summed per pair.
 
 What is needed are components, not all pairs.  Equal sets are one node.  In each group of
 nodes that share a segment, all are first compared with the group's least node; then, where
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.components import components, written
@@ -43,7 +44,8 @@ from tidemill.llm.shingles import Words, mix, shingle_set, text_words
 RATIO = 1.5      # between the sizes of neighbouring classes
 LARGEST = 1 << 40
 FRAGMENTS = 8    # in which overlaps of pairs are counted
-SMALL = 16       # members of a group whose pairs are listed
+THIN = 4         # n-grams in the finer segments whose sizes bound a pair's overlap, about
+SMALL = 64       # members of a group whose pairs are listed
 BLOCK = 512      # members of a larger group that are compared at once
 COLUMNS = 4096   # n-grams of a block that are counted at once
 
@@ -111,24 +113,34 @@ def _sets(texts: list, hasher: Words, n: int) -> Iterator[np.ndarray]:
 
 
 def _members(docs: DataFrame, id: str, text: str, n: int, separators: str) -> DataFrame:
-    """(key, tie, node, n): tie is a hash of the text; no node without words."""
+    """(key, tie, node, n, sizes): tie is a hash of the text; no node without words.
+
+    ``sizes`` counts the n-grams in each of 2^j fragments, THIN to 2 * THIN on average.
+    """
     body = docs[text].cast("string")
     given = docs.select(docs[id].alias("key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("tie"), body.alias("body"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Words(separators)
         for batch in batches:
-            sizes, nodes = [], []
-            for values in _sets(batch.column(2).to_pylist(), hasher, n):
-                sizes.append(len(values))
-                nodes.append(_node(values) if len(values) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["key", "tie", "node", "n"],
-            )
+            for begin in range(0, len(batch), 500):
+                part = batch.slice(begin, 500)
+                counts, nodes, sizes = [], [], []
+                for values in _sets(part.column(2).to_pylist(), hasher, n):
+                    counts.append(len(values))
+                    nodes.append(_node(values) if len(values) else None)
+                    fine = 1 << max(4, (len(values) // THIN).bit_length() - 1)
+                    sizes.append(np.diff(cut(values, fine)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
+                        pa.array(sizes, pa.list_(pa.int32())),
+                    ],
+                    names=["key", "tie", "node", "n", "sizes"],
+                )
 
     kind = given.schema["key"].dataType.simpleString()
-    return given.mapInArrow(name, f"key {kind}, tie long, node long, n long")
+    return given.mapInArrow(name, f"key {kind}, tie long, node long, n long, sizes array<int>")
 
 
 def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: str) -> DataFrame:
@@ -178,6 +190,8 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
             for begin in range(0, len(batch), 500):
                 nodes, parts, grams = [], [], []
                 for values in _sets(batch.column(0).slice(begin, 500).to_pylist(), hasher, n):
+                    if not len(values):
+                        continue
                     cuts = cut(values, FRAGMENTS)
                     node = _node(values)
                     for f in range(FRAGMENTS):
@@ -190,9 +204,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
                     names=["node", "fragment", "grams"],
                 )
 
-    out = rows.select("body").mapInArrow(give, "node long, fragment int, grams array<long>")
-    # Rows that repeat give their set again.
-    return out.dropDuplicates(["node", "fragment"])
+    return rows.select("body").mapInArrow(give, "node long, fragment int, grams array<long>")
 
 
 def overlaps(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -201,12 +213,30 @@ def overlaps(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     two = contents.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
     partial = F.size(F.array_intersect("x", "y")).cast("long")
     met = pairs.join(one, "a").join(two, ["b", "fragment"])
-    return met.groupBy(*pairs.columns).agg(F.sum(partial).alias("common"))
+    # A document that repeats gives its segments again, with the same count.
+    each = met.groupBy(*pairs.columns, "fragment").agg(F.max(partial).alias("part"))
+    return each.groupBy(*pairs.columns).agg(F.sum("part").alias("common"))
 
 
-def _linked(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs (a, b, na, nb) that are similar enough."""
+def _near(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, na, nb) whose sizes, whole and by fragment, allow the similarity."""
     near = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).distinct()
+    one = vectors.select(F.col("node").alias("a"), F.col("sizes").alias("x"))
+    two = vectors.select(F.col("node").alias("b"), F.col("sizes").alias("y"))
+
+    def halved(v: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.size(v) / 2 - 1).cast("int")), lambda i: F.get(v, 2 * i) + F.get(v, 2 * i + 1))
+
+    # Sizes of sets that may be similar differ by less than two, so fragments do by a halving.
+    x = F.when(F.size("x") > F.size("y"), halved("x")).otherwise(F.col("x"))
+    y = F.when(F.size("y") > F.size("x"), halved("y")).otherwise(F.col("y"))
+    most = F.aggregate(F.zip_with(x, y, lambda m, n: F.least(m, n)), F.lit(0), lambda s, n: s + n)
+    near = near.join(one, "a").join(two, "b")
+    return near.where(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b", "na", "nb")
+
+
+def _linked(near: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs that are similar enough."""
     counted = overlaps(near, contents)
     return counted.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
 
@@ -233,7 +263,7 @@ def _block_links(rows: DataFrame, contents: DataFrame, percent: int) -> DataFram
     counts = large.groupBy("segment").agg((F.max("block") + 1).alias("blocks"))
     each = large.join(counts, "segment").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-    sets = contents.groupBy("node").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("fragment", "grams"))), lambda x: x["grams"])).alias("grams"))
+    sets = contents.groupBy("node").agg(F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("fragment", "grams"))), lambda x: x["grams"])).alias("grams"))
     each = each.join(sets, "node").select("segment", "one", "two", "block", "node", "least", "grams")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -290,26 +320,47 @@ def _with_least(rows: DataFrame, found: DataFrame) -> DataFrame:
 def similar_components(
     docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, separators: str = "space"
 ) -> DataFrame:
-    """One row per document: key, tie, n (set size), component (least node of it; null without words)."""
+    """One row per document: key, tie, n (set size), component (least node of it; null without words).
+
+    ``percent`` is over 50.
+    """
+    if not 50 < percent <= 100:
+        raise ValueError("the similarity has to be over 50 percent")
     members = written(_members(docs, id, text, n, separators), "sets")
     shared = written(_shared(_signatures(docs, text, n, percent, separators)), "shared-segments")
-    # One document for each set that shares a segment.
-    nodes = shared.select("node").distinct()
-    wanted = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull(), "key", "tie")).alias("r"))
-    contents = written(_contents(docs, wanted.select("r.key", "r.tie"), id, text, n, separators), "segments")
+    nodes = shared.select("node", "n").distinct()
+    vectors = members.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "sizes")
+    vectors = written(vectors, "segment-sizes")
+
+    def contents_of(wanted: DataFrame, hint: str | None) -> DataFrame:
+        """Segments of one document for each wanted node."""
+        rows = members.join(wanted, "node", "left_semi").groupBy("node")
+        rows = written(rows.agg(F.min(F.struct(F.col("key").isNull(), "key", "tie")).alias("r")).select("r.key", "r.tie"), "wanted")
+        rows = rows.hint(hint) if hint else rows
+        return written(_contents(docs, rows, id, text, n, separators), "segments")
 
     # First every member with the centre of its group.
-    size = nodes.join(members.select("node", "n").distinct(), "node").select(F.col("node").alias("centre"), F.col("n").alias("na"))
+    size = nodes.select(F.col("node").alias("centre"), F.col("n").alias("na"))
     pairs = shared.where("node <> centre").select("centre", "node", "n").distinct().join(size, "centre")
     pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b"), "na", F.col("n").alias("nb"))
-    found = written(components(_linked(pairs, contents, percent)), "components")
+    near = written(_near(pairs, vectors, percent), "near-pairs")
+    # The nodes grow with the documents: merged at every size.
+    known = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    contents = contents_of(known, "merge")
+    found = written(components(_linked(near, contents, percent)), "components")
 
     # Then the components that still meet in a group.
     rows = _with_least(shared.drop("centre"), found)
     apart = rows.groupBy("segment").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi")
     rows = written(rows.join(apart.select("segment"), "segment", "left_semi"), "groups-apart")
-    listed = _linked(_listed_pairs(rows), contents, percent)
-    more = written(listed.unionByName(_block_links(rows, contents, percent)), "more-links")
+    listed = _near(_listed_pairs(rows), vectors, percent)
+    tested = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    listed = written(listed.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    late = listed.select(F.col("a").alias("node")).unionByName(listed.select(F.col("b").alias("node")))
+    late = late.unionByName(rows.where(F.col("members") > SMALL).select("node")).distinct()
+    contents = contents.unionByName(contents_of(late.join(known, "node", "left_anti"), None))
+    links = _linked(listed, contents, percent).unionByName(_block_links(rows, contents, percent))
+    more = written(links, "more-links")
     if not more.isEmpty():
         roots = found.select(F.col("node").alias("a"), F.col("least").alias("b"))
         found = written(components(more.unionByName(roots)), "components")
@@ -333,13 +384,14 @@ def without_similar(docs: DataFrame, id: str = "doc_id", text: str = "text", **h
     first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("r")).select("r.key", "r.tie")
     wordless = rows.where("component IS NULL").select("key", "tie").distinct()
     kept = first.select("key", "tie", F.lit(1).alias("copies")).unionByName(wordless.select("key", "tie", F.lit(None).alias("copies")))
-    kept = kept.select(F.col("key").alias("kept_key"), F.col("tie").alias("kept_tie"), "copies")
+    # A struct is never null, so null ids join too, and the window below needs no other exchange.
+    kept = kept.select(F.struct(F.col("key").alias("k")).alias("at"), "tie", "copies")
     own = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[id].alias("key"),
+        F.struct(docs[id].alias("k")).alias("at"),
         F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("tie"),
     )
-    own = own.join(kept, own["key"].eqNullSafe(kept["kept_key"]) & (own["tie"] == kept["kept_tie"]))
+    own = own.join(kept, ["at", "tie"])
     # A row that repeats in full stays once, unless it has no words and is linked with nothing.
-    nth = F.row_number().over(Window.partitionBy("key", "tie").orderBy(F.xxhash64("row")))
+    nth = F.row_number().over(Window.partitionBy("at", "tie").orderBy(F.xxhash64("row")))
     return own.withColumn("nth", nth).where("copies IS NULL OR nth <= copies").select("row.*")
