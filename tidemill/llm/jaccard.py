@@ -45,7 +45,7 @@ RATIO = 1.5      # between the sizes of neighbouring classes
 LARGEST = 1 << 40
 FRAGMENTS = 8    # in which overlaps of pairs are counted
 THIN = 4         # n-grams in the finer segments whose sizes bound a pair's overlap, about
-SMALL = 64       # members of a group whose pairs are listed
+SMALL = 16       # members of a group whose pairs are listed
 BLOCK = 512      # members of a larger group that are compared at once
 COLUMNS = 4096   # n-grams of a block that are counted at once
 
@@ -251,11 +251,12 @@ def _listed_pairs(rows: DataFrame) -> DataFrame:
     return two.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
 
 
-def _block_links(rows: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components in larger groups, compared block against block.
+def _blocks(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+    """(segment, one, two, block, node, least): members of larger groups, block against block.
 
     A group of m members makes (m / BLOCK)^2 / 2 tasks of two blocks; a member is copied
-    m / BLOCK times, and no pair is a row.
+    m / BLOCK times, and no pair is a row.  Only members stay for whom the sizes by fragment
+    allow a link to another component; a common passage alone does not.
     """
     large = rows.where(F.col("members") > SMALL).select("segment", "node", "n", "least").distinct()
     nth = F.row_number().over(Window.partitionBy("segment").orderBy("node")) - 1
@@ -263,8 +264,42 @@ def _block_links(rows: DataFrame, contents: DataFrame, percent: int) -> DataFram
     counts = large.groupBy("segment").agg((F.max("block") + 1).alias("blocks"))
     each = large.join(counts, "segment").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
-    sets = contents.groupBy("node").agg(F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("fragment", "grams"))), lambda x: x["grams"])).alias("grams"))
-    each = each.join(sets, "node").select("segment", "one", "two", "block", "node", "least", "grams")
+    each = each.join(vectors, "node").select("segment", "one", "two", "block", "node", "n", "least", "sizes")
+
+    def prune(frame: pd.DataFrame) -> pd.DataFrame:
+        return _possible(frame, percent)
+
+    kind = "segment long, one int, two int, block int, node long, least long"
+    return each.groupBy("segment", "one", "two").applyInPandas(prune, kind)
+
+
+def _possible(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Members of two blocks (or of one with itself) that may have a link across components."""
+    frame = frame.reset_index(drop=True)
+    length = int(frame["sizes"].map(len).min())
+    # Finer vectors are added up; more n-grams in a fragment only widen the bound.
+    table = np.stack([np.asarray(x, np.int32).reshape(length, -1).sum(axis=1) for x in frame["sizes"]])
+    first = np.flatnonzero(frame["block"] == frame["one"].iloc[0])
+    second = np.flatnonzero(frame["block"] == frame["two"].iloc[0])
+    least, n = frame["least"].to_numpy(), frame["n"].to_numpy()
+    found = np.zeros(len(frame), bool)
+    step = max(1, (1 << 21) // (len(second) * length))
+    for begin in range(0, len(first), step):
+        some = first[begin : begin + step]
+        most = np.minimum(table[some][:, None, :], table[second][None, :, :]).sum(axis=2)
+        may = most * (100 + percent) >= (n[some][:, None] + n[second][None, :]) * percent
+        may &= least[some][:, None] != least[second][None, :]
+        found[some[may.any(axis=1)]] = True
+        found[second[may.any(axis=0)]] = True
+    return frame.loc[found, ["segment", "one", "two", "block", "node", "least"]]
+
+
+def _block_links(blocks: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among the members of ``blocks``."""
+    sets = contents.groupBy("node").agg(
+        F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("fragment", "grams"))), lambda x: x["grams"])).alias("grams")
+    )
+    each = blocks.join(sets, "node").select("segment", "one", "two", "block", "node", "least", "grams")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         return _compared(frame, percent)
@@ -357,9 +392,10 @@ def similar_components(
     tested = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     listed = written(listed.join(tested, ["a", "b"], "left_anti"), "near-pairs")
     late = listed.select(F.col("a").alias("node")).unionByName(listed.select(F.col("b").alias("node")))
-    late = late.unionByName(rows.where(F.col("members") > SMALL).select("node")).distinct()
+    blocks = written(_blocks(rows, vectors, percent), "blocks")
+    late = late.unionByName(blocks.select("node")).distinct()
     contents = contents.unionByName(contents_of(late.join(known, "node", "left_anti"), None))
-    links = _linked(listed, contents, percent).unionByName(_block_links(rows, contents, percent))
+    links = _linked(listed, contents, percent).unionByName(_block_links(blocks, contents, percent))
     more = written(links, "more-links")
     if not more.isEmpty():
         roots = found.select(F.col("node").alias("a"), F.col("least").alias("b"))
