@@ -96,6 +96,31 @@ def test_quality_of_hard_rows_and_missing_labels(spark):
     assert quality.score(docs.where("false"), model).count() == 0
 
 
+def test_quality_sample_is_exact_and_draws_copies_one_by_one(spark, monkeypatch):
+    """The fitted rows, counted by class and by length: a hot text is drawn by its share."""
+    def counted(numbers, starts, labels, ratios):
+        own = np.diff(starts)
+        hot = int((own[labels > 0] == own.max()).sum())
+        return np.zeros(len(ratios)), float(int((labels > 0).sum()) * 10**6 + int((labels == 0).sum()) * 10**3 + hot)
+
+    monkeypatch.setattr(quality, "dual_descent", counted)
+    hot = "a much repeated text of more words than any other one"
+    texts = [hot if i % 3 == 0 else f"good {i}" for i in range(600)] + ["bad"] * 300 + ["rare"] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = [(i, int(i < 600)) for i in range(900)]
+
+    def fitted(rows, sample):
+        found = quality.learn(docs, spark.createDataFrame(rows, "doc_id long, quality int").repartition(3), sample=sample)
+        return divmod(int(found.constant), 10**6)[0], *divmod(int(found.constant) % 10**6, 10**3)
+
+    one, zero, drawn = fitted(labels, 60)
+    assert (one, zero) == (60, 60) and 8 <= drawn <= 35
+    assert fitted(labels[:600] + [(900 + i, 0) for i in range(4)], 60)[1] == 4
+    # Repeated label rows count each, and are drawn each.
+    one, zero, drawn = fitted([(0, 1)] * 300 + [(i, 1) for i in range(1, 600) if i % 3] + labels[600:], 60)
+    assert (one, zero) == (60, 60) and 12 <= drawn <= 40
+
+
 NAMES = "password|passwd|secret|token|api_key|apikey"
 CASED = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in x) for x in NAMES.split("|"))
 PLAIN = [

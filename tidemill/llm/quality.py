@@ -6,8 +6,9 @@ word like the one before it has a mark).  Every indicator is scaled by the log r
 its frequencies in the two classes, counted over all labelled rows; the vectors have
 length one.  A linear hinge-loss model is fitted to them by dual coordinate descent.
 
-The descent runs on a sample of SAMPLE rows of each class in expectation (a parameter),
-drawn by a hash of the text, in one task; everything else covers all rows.
+The descent runs on SAMPLE rows of each class (a parameter; all rows of a smaller class),
+in one task: those with the least hashes of text, id and number of the label row, so that
+copies of a text are drawn one by one.  Everything else covers all rows.
 
 * Null text counts as empty and gets the model's constant as its score.
 * Label rows without a quality, or without their document, teach nothing; repeated label
@@ -17,6 +18,7 @@ drawn by a hash of the text, in one task; everything else covers all rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +30,8 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from tidemill.llm.shingles import Words, mix
 from tidemill.session import new_folder
 
-SAMPLE = 10_000   # rows of each class that the model is fitted to, in expectation
+SAMPLE = 10_000   # rows of each class that the model is fitted to, at most
+DRAW = 16         # bits of the draws that are counted to find the SAMPLE least
 BITS = 17         # 2^BITS features
 BLOCK = 48        # documents whose indicators are set at once
 PART = 480        # documents whose features are held at once
@@ -157,16 +160,19 @@ def learn(
     said = labels.where(labels[label].isNotNull() & labels[id].isNotNull()).select(
         labels[id].alias("label_id"), (labels[label] > 0).cast("int").alias("label")
     )
-    held = {r["label"]: r["n"] for r in said.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    uniform = F.pmod(F.xxhash64("body", F.lit(20)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chance = F.when(F.col("label") > 0, sample / max(1, held.get(1, 0))).otherwise(sample / max(1, held.get(0, 0)))
-    rows = docs.select(docs[id].alias("key"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("body"))
+    # Repeated label rows are numbered, which gives each of them a draw of its own.
+    said = said.groupBy("label_id", "label").agg(F.count("*").alias("n"))
+    said = said.select("label_id", "label", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    rows = docs.select(docs[id].alias("key"), body.alias("body"), F.xxhash64(body, docs[id], F.lit(20)).alias("hash"))
     # Labels grow with the documents: merged at every size, never sent whole.
-    rows = rows.join(said.hint("merge"), rows["key"] == said["label_id"]).select("body", "label")
-    rows = rows.withColumn("drawn", uniform < chance).withColumn("tie", F.xxhash64("body", F.lit(21)))
+    rows = rows.join(said.hint("merge"), rows["key"] == said["label_id"])
+    rows = rows.select("body", "label", F.xxhash64("hash", "copy").alias("draw"))
+    rows = rows.withColumn("drawn", _range("draw") <= _last_ranges(rows, sample)).select("body", "label", "drawn", "draw")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, counts, total = Features(bits), np.zeros((2, 1 << bits), np.int64), np.zeros(2, np.int64)
+        same: Counter = Counter()
         for batch in _parts(batches):
             numbers, starts = features.of(batch.column(0).to_pylist())
             marks = batch.column(1).to_numpy(zero_copy_only=False)
@@ -174,8 +180,13 @@ def learn(
             for k in (0, 1):
                 counts[k] += np.bincount(numbers[owner == k], minlength=1 << bits)
                 total[k] += int((marks == k).sum())
-            drawn = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False))
-            if len(drawn):
+            drawn = []
+            for i in np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False)).tolist():
+                row = int(marks[i]), batch.column(3)[i].as_py()
+                same[row] += 1
+                if same[row] <= sample:  # rows with one draw are equal: more of them cannot be among the least
+                    drawn.append(i)
+            if drawn:
                 own = [numbers[starts[i] : starts[i + 1]].tobytes() for i in drawn]
                 yield _gathered(
                     [-2] * len(own), marks[drawn], [0] * len(own), own, batch.column(3).take(pa.array(drawn))
@@ -200,7 +211,15 @@ def learn(
     ratios[at[feature]] = np.log(rate(one, sizes[1]) / rate(zero, sizes[0]))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), schema=pa.schema([("label", pa.int64()), ("own", pa.binary())]))
+        kept, left = [], [sample, sample]
+        for batch in batches:
+            marks = batch.column(0).to_numpy(zero_copy_only=False)
+            at = np.sort(np.concatenate([np.flatnonzero(marks == k)[: left[k]] for k in (0, 1)]))
+            left = [left[k] - int((marks[at] == k).sum()) for k in (0, 1)]
+            kept.append(batch.take(pa.array(at)))
+            if not any(left):
+                break
+        rows = pa.Table.from_batches(kept, schema=pa.schema([("label", pa.int64()), ("own", pa.binary())]))
         own = [np.frombuffer(x, np.int32) for x in rows["own"].to_pylist()]
         starts = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
         numbers = np.concatenate(own) if own else np.zeros(0, np.int32)
@@ -213,6 +232,26 @@ def learn(
     return Model(ratios, np.frombuffer(row["w"], np.float64), row["c"], bits)
 
 
+def _range(draw: str) -> Column:
+    return F.shiftright(draw, 64 - DRAW)
+
+
+def _last_ranges(rows: DataFrame, sample: int) -> Column:
+    """By label, the range of draws in which the ``sample``-th least lies; the last one of a smaller class.
+
+    Draws are counted by ranges: at most 2^DRAW rows of each class reach the driver.
+    """
+    counts = rows.groupBy("label", _range("draw").alias("range")).agg(F.count("*").alias("n")).toArrow()
+    label, ranges, n = (counts.column(x).to_numpy() for x in ("label", "range", "n"))
+    last = []
+    for k in (0, 1):
+        own = np.sort(ranges[label == k])
+        sums = np.cumsum(n[label == k][np.argsort(ranges[label == k])])
+        at = int(np.searchsorted(sums, sample))
+        last.append(int(own[at]) if at < len(own) else (1 << DRAW - 1) - 1)
+    return F.when(F.col("label") > 0, last[1]).otherwise(last[0])
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows, PART of them at a time."""
     for batch in batches:
