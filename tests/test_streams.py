@@ -196,6 +196,46 @@ def test_late_price_does_not_replace_a_newer_one(spark, rows, tmp_path):
     assert spark.read.parquet(body.series).count() == 4
 
 
+def test_last_batch_replayed_after_settle(spark, rows, tmp_path):
+    """A driver lost before the stream commits a batch replays it after a settle between."""
+    from tidemill.plans.prices import LATEST_FIELDS
+
+    body = PostBatches(LEXICON, str(tmp_path / "p"), str(tmp_path / "s"))
+    first = spark.createDataFrame([post(str(k), 0, "good", flair="x") for k in range(4)], POST)
+    last = spark.createDataFrame([post("1", 1, "bad", score=5), post("1", 2, None, score=6)], POST)
+    prices = PriceBatches(str(tmp_path / "series"), str(tmp_path / "latest"))
+
+    def priced(*rows):
+        base = spark.createDataFrame(
+            [(k, START + dt.timedelta(hours=hours), price) for k, hours, price in rows],
+            "coin_id STRING, event_time TIMESTAMP, current_price_usd DOUBLE",
+        )
+        return base.withColumns({c: F.lit(None).cast("string") for c in LATEST_FIELDS if c not in base.columns})
+
+    body(first, 0)
+    prices(priced(("x", 1, 1.0), ("y", 1, 2.0)), 0)
+    posts = [("0", "good", "x", 1), ("1", "bad", "x", 6), ("2", "good", "x", 1), ("3", "good", "x", 1)]
+    for replay in (False, True, True):
+        body(last, 1)
+        prices(priced(("x", 2, 3.0)), 1)
+        for settled in (False, True):
+            if settled:
+                body.settle(spark)
+                prices.settle(spark)
+            assert rows(body.current_posts(spark), "post_id", "title", "flair", "score") == posts, replay
+            assert rows(body.current_sentiment(spark), "post_id") == [("0",), ("1",), ("2",), ("3",)]
+            assert rows(prices.current_prices(spark), "coin_id", "current_price_usd") == [("x", 3.0), ("y", 2.0)]
+    # The batch whose writes were cut short: its replay counts, and so do later ones.
+    body(spark.createDataFrame([post("2", 3, "bad", score=7)], POST), 2)
+    body.settle(spark)
+    body(spark.createDataFrame([post("2", 3, "bad", score=7), post("2", 4, "good", score=8)], POST), 2)
+    body(spark.createDataFrame([post("3", 0, None, score=9)], POST), 3)
+    body.settle(spark)
+    posts[2:] = [("2", "good", "x", 8), ("3", "good", "x", 9)]
+    assert rows(body.current_posts(spark), "post_id", "title", "flair", "score") == posts
+    assert spark.read.parquet(body.posts).count() == 4
+
+
 def test_reading_job_runs_and_restarts(spark, tmp_path):
     log, folder = tmp_path / "log", str(tmp_path / "lake")
     for name, minutes in (("1.txt", range(10)), ("2.txt", range(10, 15))):

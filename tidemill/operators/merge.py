@@ -182,19 +182,22 @@ def settle(
     by_field: bool,
     slice_by: Sequence[str] = (),
 ) -> int:
-    """Folds all stored batches into the last one; ``current`` gives the same before and after.
+    """Folds all stored batches into slices of their own; ``current`` gives the same before and after.
 
-    Run it now and then, while no batch is being written.  The folded rows are written
-    first, the earlier batches removed then: a run that breaks off between leaves both, and
-    the view is still the same.  Returns the number of batches folded.
+    Run it now and then, while no batch is being written.  The folded rows get a new id below
+    all stored ones, so the last batch, which a restarted stream may replay, never overwrites
+    them, and what it has stands above them again.  They are written first, the batches
+    removed then, the earliest first: a run that breaks off between leaves both, and the view
+    is still the same.  Returns the number of batches folded.
     """
     deltas = spark.read.parquet(path)
     batches = sorted(row[0] for row in deltas.select(BATCH).distinct().toLocalIterator())
     if len(batches) < 2:
         return 0
-    folded = cut_lineage(current(deltas, keys, order, by_field)).withColumn(BATCH, F.lit(batches[-1]))
+    settled = min(0, batches[0]) - 1
+    folded = cut_lineage(current(deltas, keys, order, by_field)).withColumn(BATCH, F.lit(settled))
     replace_slice(folded, path, [*slice_by, BATCH], keys, one_slice=not slice_by)
-    drop_slices(spark, path, BATCH, lambda batch: int(batch) < batches[-1], outer=slice_by)
+    drop_slices(spark, path, BATCH, lambda batch: int(batch) != settled, outer=slice_by, order=int)
     return len(batches) - 1
 
 

@@ -137,14 +137,19 @@ def _folders(spark: SparkSession, path: str, column: str, outer: Sequence[str] =
 
 
 def drop_slices(
-    spark: SparkSession, path: str, column: str, gone: Callable[[str], bool], outer: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    column: str,
+    gone: Callable[[str], bool],
+    outer: Sequence[str] = (),
+    order: Callable[[str], int] = lambda _: 0,
 ) -> list[str]:
-    """Removes the folders of slices whose value (as text) is ``gone``; returns the values.
+    """Removes the folders of slices whose value (as text) is ``gone``, by ``order``; returns the values.
 
     ``outer`` names the folder columns above ``column``.
     """
     out = []
-    for value, folder in _folders(spark, path, column, outer):
+    for value, folder in sorted(_folders(spark, path, column, outer), key=lambda found: order(found[0])):
         if gone(value):
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
             out.append(value)
