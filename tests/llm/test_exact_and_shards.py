@@ -67,6 +67,21 @@ def test_shards_hold_near_equal_bytes_and_gapless_slots(spark):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
+def test_copies_without_ids_of_their_own_are_divided(spark):
+    """A third of all bytes in rows without an id, a quarter in one row repeated in full."""
+    rows = [(None, "copy " * 40, None, None, None)] * 400 + [(7, "again " * 40, None, None, None)] * 250
+    rows += [(1000 + i, f"text {i} " * (i % 30), None, i, "p") for i in range(600)]
+    found = sharding.sharded(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    sums, slots = defaultdict(int), defaultdict(list)
+    for r in found:
+        sums[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
+    largest = max(r.size for r in found)
+    assert set(sums) == set(range(8)) and max(sums.values()) - min(sums.values()) <= 8 * largest
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_a_small_group_of_equal_texts_stays_together(spark):
     rows = [(i, f"pair {i // 2} " * 9, None, None, None) for i in range(2000)]
     found = sharding.sharded(spark.createDataFrame(rows, SCHEMA)).collect()

@@ -2,7 +2,7 @@
 
 Records are ordered by the hash of their text, so equal texts lie together and form one
 unit; a unit of more bytes than a shard can take without harm is divided by the hash of
-its ids.  Splitters are quantiles of a sample of units drawn in proportion to size.
+its ids, and by stored row numbers where an id (or none) repeats in much of it.  Splitters are quantiles of a sample of units drawn in proportion to size.
 They cut the order into ranges, and a range that turns out overfull draws splitters of
 its own.  Prefix sums over the ranges and inside each range give every unit its exact
 place, and a unit goes to the shard that holds its middle byte.
@@ -21,6 +21,7 @@ from tidemill.session import new_folder
 
 SHARDS = 8
 UNIT_SHARE = 0.02     # of a shard: equal texts of more bytes (and more than any record) are divided
+REPEATED = 8          # an id with over 1 / REPEATED of that in equal rows is divided by row numbers
 PIECES = 64           # of a range, in one cut
 RANGE_ROWS = 1 << 20  # aimed at in a range; a smaller table is cut into PIECES ranges
 PER_SPLITTER = 32     # sampled units for each splitter
@@ -42,7 +43,7 @@ def _splitters(rows: DataFrame, full: DataFrame) -> DataFrame:
     sample has some PIECES * PER_SPLITTER keys for a part, whatever its records.
     """
     chance = F.col("size") * F.col("pieces") * F.lit(PER_SPLITTER) / F.col("bytes")
-    uniform = F.pmod(F.xxhash64("a", "b", "sub", "key", F.lit(20)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    uniform = F.pmod(F.xxhash64("a", "b", "sub", "key", "copy", F.lit(20)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     drawn = rows.join(F.broadcast(full), "part").where(uniform < chance)
     keys = F.sort_array(F.collect_list(F.struct(*UNIT)))
     picked = "array_distinct(transform(sequence(1, pieces - 1), i -> keys[int(i * size(keys) / pieces)]))"
@@ -88,6 +89,7 @@ def sharded(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int
         docs.select(
             docs[id].alias("key"), (F.octet_length(body) + 1).cast("long").alias("size"),
             F.crc32(body).alias("text_crc32"), F.xxhash64(body).alias("a"), F.xxhash64(body, F.lit(1)).alias("b"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-records",
     )
@@ -97,8 +99,17 @@ def sharded(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int
     # Fewer than shards / UNIT_SHARE groups can be over the cap, so they fit a broadcast.
     large = records.groupBy("a", "b").agg(F.sum("size").alias("held")).where(F.col("held") > cap)
     large = large.select("a", "b", F.ceil(2 * F.col("held") / cap).alias("fold"))
-    sub = F.coalesce(F.pmod(F.xxhash64("key"), F.col("fold")), F.lit(0))
-    rows = records.join(F.broadcast(large), ["a", "b"], "left").withColumn("sub", sub).drop("fold")
+    rows = records.join(F.broadcast(large), ["a", "b"], "left")
+    # Nor can there be more than REPEATED times as many of these.
+    same = rows.where("fold IS NOT NULL").groupBy("a", "b", "key").agg(F.sum("size").alias("held"), F.count("*").alias("n"))
+    same = same.where((F.col("n") > 1) & (F.col("held") * REPEATED > cap)).select(
+        F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("key").alias("key2"), F.lit(True).alias("repeats")
+    )
+    met = (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")) & F.col("key").eqNullSafe(F.col("key2"))
+    # Hashes pass over the null that all other rows have here.
+    rows = rows.join(F.broadcast(same), met, "left").withColumn("copy", F.when(F.col("repeats"), F.col("row")))
+    sub = F.coalesce(F.pmod(F.xxhash64("key", "copy"), F.col("fold")), F.lit(0))
+    rows = rows.withColumn("sub", sub).drop("fold", "row", "a2", "b2", "key2", "repeats")
 
     rows, ranges = _ranges(rows, total, n)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
