@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tidemill.llm import jaccard, registered, shingles
 from tidemill.llm.components import components
@@ -82,6 +83,23 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert sorted(_found(spark, rows, 3, 90)) == sorted(_groups(rows, 3, 90))
 
 
+def test_no_task_gets_a_common_segment_whole(spark):
+    """Groups are folded, joined and hashed: no window over a segment, and blocks of all members."""
+    nodes = [(1, node, 50) for node in range(3000)] * 2 + [(2, 7, 50), (2, 7, 50), (3, 8, 50), (3, 9, 50)]
+    shared = jaccard._shared(spark.createDataFrame(nodes, "segment long, node long, n long").repartition(7))
+    assert sorted(tuple(r) for r in shared.select("segment", "node", "n", "centre").collect()) == [
+        *[(1, node, 50, 0) for node in range(3000)], (3, 8, 50, 8), (3, 9, 50, 8)]
+    rows = shared.where("segment = 1").withColumns({"members": F.lit(3000).cast("long"), "least": F.col("node")})
+    vectors = rows.select("node", F.array(*[F.lit(4)] * 16).alias("sizes"))
+    blocks = jaccard._blocks(rows, vectors, 90)
+    for frame in (shared, blocks):
+        assert "Window" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    found = blocks.groupBy("one", "two").agg(F.countDistinct("node").alias("n")).collect()
+    # Every two of six blocks meet, and each with itself.
+    assert len(found) == 21 and all(r.n < 2 * 2 * jaccard.BLOCK for r in found)
+    assert sum(r.n for r in found if r.one == r.two) == 3000
+
+
 @given(st.integers(20, 400), st.integers(0, 60), st.randoms(use_true_random=False), st.sampled_from([80, 90, 95]))
 @settings(max_examples=300, deadline=None)
 def test_similar_sets_share_a_segment(size, edits, rng, percent):

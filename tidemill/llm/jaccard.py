@@ -46,7 +46,7 @@ LARGEST = 1 << 40
 FRAGMENTS = 8    # in which overlaps of pairs are counted
 THIN = 4         # n-grams in the finer segments whose sizes bound a pair's overlap, about
 SMALL = 16       # members of a group whose pairs are listed
-BLOCK = 512      # members of a larger group that are compared at once
+BLOCK = 512      # members of a larger group that are compared at once, on average
 COLUMNS = 4096   # n-grams of a block that are counted at once
 
 
@@ -170,12 +170,13 @@ def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: st
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """Rows of segments that two nodes or more share: with centre (the least node) and members."""
-    group = Window.partitionBy("segment")
-    rows = signatures.select("*", F.min("node").over(group).alias("centre"), F.max("node").over(group).alias("top"))
-    # Copies in other tasks give a set again; few rows are left here, and they lie together.
-    rows = rows.where("centre < top").drop("top").distinct()
-    return rows.withColumn("members", F.count("*").over(group))
+    """(segment, node, n, centre) of segments that two nodes or more share; the centre is the least node.
+
+    Ends are folded before they move and joined back, so no task gets a common segment whole.
+    """
+    ends = signatures.groupBy("segment").agg(F.min("node").alias("centre"), F.max("node").alias("top"))
+    # Copies in other tasks give a set again.
+    return signatures.join(ends.where("centre < top").drop("top"), "segment").distinct()
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, separators: str) -> DataFrame:
@@ -255,14 +256,13 @@ def _blocks(rows: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     """(segment, one, two, block, node, least): members of larger groups, block against block.
 
     A group of m members makes (m / BLOCK)^2 / 2 tasks of two blocks; a member is copied
-    m / BLOCK times, and no pair is a row.  Only members stay for whom the sizes by fragment
-    allow a link to another component; a common passage alone does not.
+    m / BLOCK times, and no pair is a row.  A hash of the node names its block, so no task
+    numbers a whole group.  Only members stay for whom the sizes by fragment allow a link to
+    another component; a common passage alone does not.
     """
-    large = rows.where(F.col("members") > SMALL).select("segment", "node", "n", "least").distinct()
-    nth = F.row_number().over(Window.partitionBy("segment").orderBy("node")) - 1
-    large = large.withColumn("block", F.floor(nth / BLOCK).cast("int"))
-    counts = large.groupBy("segment").agg((F.max("block") + 1).alias("blocks"))
-    each = large.join(counts, "segment").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    large = rows.where(F.col("members") > SMALL).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    large = large.withColumn("block", F.pmod(F.xxhash64("node", F.lit(30)), "blocks").cast("int"))
+    each = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     each = each.join(vectors, "node").select("segment", "one", "two", "block", "node", "n", "least", "sizes")
 
@@ -386,8 +386,8 @@ def similar_components(
 
     # Then the components that still meet in a group.
     rows = _with_least(shared.drop("centre"), found)
-    apart = rows.groupBy("segment").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi")
-    rows = written(rows.join(apart.select("segment"), "segment", "left_semi"), "groups-apart")
+    apart = rows.groupBy("segment").agg(F.min("least").alias("lo"), F.max("least").alias("hi"), F.count("*").alias("members"))
+    rows = written(rows.join(apart.where("lo < hi").select("segment", "members"), "segment"), "groups-apart")
     listed = _near(_listed_pairs(rows), vectors, percent)
     tested = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     listed = written(listed.join(tested, ["a", "b"], "left_anti"), "near-pairs")
