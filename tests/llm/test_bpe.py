@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,22 @@ def test_any_ids_decode(ids):
     assert OURS[BYTE][1].decode(ids) == LIBRARY[BYTE].decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_a_long_word_is_read_by_slices(path):
+    """The transducer's memory does not grow with the word; borders of slices do not show."""
+    encoder = OURS[path][0]
+    for text in ("é" * (bpe.SLICE - 1) + "漢字" * 3, "ab" * bpe.SLICE + "é"):
+        assert [encoder.ids[x] for x in encoder.tokens(text)] == _both(path, text)[0]
+    word = "ab" * 1_000_000
+    tracemalloc.start()
+    try:
+        for _ in zip(range(300), encoder.tokens(word)):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_stable_tokens_are_those_of_the_whole_word():
     rng = random.Random(3)
     for _ in range(300):

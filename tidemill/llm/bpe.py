@@ -36,6 +36,7 @@ BLOCK = 256         # symbols settled at once in a long word
 KEPT = 3_000_000    # characters of pieces whose ids a task remembers
 LONGEST = 200       # characters of a piece that is worth remembering
 PIECES = 200_000    # pieces encoded at once
+SLICE = 1 << 12     # characters of a long word read at once
 WINDOW = 1 << 16    # characters of a text cut into pieces at once
 BATCH = 2 << 20     # characters of text, or ids, in one batch of results
 # White space as the files' patterns mean it, inside brackets.
@@ -201,9 +202,18 @@ class Encoder:
 
     def tokens(self, word: str) -> Iterator[str]:
         """Tokens of one word of the splitting pattern, as the transducer emits them."""
-        symbols = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.suffix
-        return self.merges.stream(symbols, self._width)
+        return self.merges.stream(self._symbols(word), self._width)
+
+    def _symbols(self, word: str) -> Iterator[str]:
+        """The symbols of a word, which is read a slice of it at a time."""
+        before = None
+        for begin in range(0, len(word), SLICE):
+            for b in word[begin : begin + SLICE].encode("utf-8", "surrogatepass"):
+                if before is not None:
+                    yield before
+                before = self.letters[b]
+        if before is not None:
+            yield before + self.suffix
 
     def _words(self, piece: str) -> Iterator[str | int]:
         """Words of a piece, and the ids of added tokens."""
@@ -275,15 +285,15 @@ class Encoder:
         Words shorter than the lookahead close before anything could be emitted; they are
         merged together, step by step.  Longer ones go through the transducer.
         """
-        coded = [x.encode("utf-8", "surrogatepass") for x in words]
-        long = {i for i, x in enumerate(coded) if len(x) > LONGEST}
+        coded = [x.encode("utf-8", "surrogatepass") if len(x) <= LONGEST else None for x in words]
+        long = {i for i, x in enumerate(coded) if x is None or len(x) > LONGEST}
         short = [b"" if i in long else x for i, x in enumerate(coded)] if long else coded
         ids, counts = self.lockstep(short)
         if not long:
             return ids.tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
         parts = np.split(ids, np.cumsum(counts)[:-1])
         for i in long:
-            parts[i] = np.array([self.ids[x] for x in self.tokens(words[i])], np.int32)
+            parts[i] = np.fromiter((self.ids[x] for x in self.tokens(words[i])), np.int32)
         return b"".join(x.tobytes() for x in parts), [0, *np.cumsum([x.nbytes for x in parts]).tolist()]
 
     def lockstep(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
