@@ -21,5 +21,10 @@ def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
+def test_sample_scorer_stays_in_spark(spark, sf):
+    plan = queries()["post_sentiment_from_external_scorer"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "vowel_share" not in plan
+
+
 def test_every_query_has_a_twin():
     assert set(QUERIES) <= set(queries()) and set(QUERIES) <= set(oracle_sql())

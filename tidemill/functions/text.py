@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,12 +143,12 @@ def _scores(valence_units: Column, polarity_units: Column, known: Column) -> Col
 
 
 def with_external_sentiment(
-    df: DataFrame, scorer: Callable[[pd.Series], pd.Series], title: str = "title", body: str = "body"
+    df: DataFrame, scorer: Callable[[Column], Column], title: str = "title", body: str = "body"
 ) -> DataFrame:
-    """Scores from a caller's vectorised scorer (text series to score series),
-    shipped to the executors as Arrow batches.  Blank text is neutral."""
+    """Scores from a caller's scorer, text column to score column: column functions, or a
+    vectorised scorer as ``pandas_udf(scorer, "double")``.  Blank text is neutral."""
     text = joined_text(title, body)
-    raw = F.when(text == "", F.lit(0.0)).otherwise(F.pandas_udf(scorer, "double")(text))
+    raw = F.when(text == "", F.lit(0.0)).otherwise(scorer(text).cast("double"))
     scored = df.select("*", F.explode(F.array(raw)).alias("raw_score"))
     return scored.withColumns(
         {"sentiment_score": F.round("raw_score", 4), "sentiment_label": label(F.col("raw_score"))}
