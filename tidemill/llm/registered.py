@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, quality, records, secrets, sharding, tokens
+from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, pieces, quality, records, secrets, sharding, tokens
 from tidemill.llm.components import written
 from tidemill.session import new_folder
 
@@ -79,6 +79,11 @@ def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
+def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.decoded(pieces.encoded(_documents(spark, sf), path), path))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id,
     "op2_quality_classifier": quality_classifier,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": exact_dedup,
     "op9_sharding": sharding_query,
     "op10_decontamination": decontamination,
+    "op11_sentencepiece": sentencepiece,
 }
 
 # Words of a text as a list, and the n-grams of such a list (fewer words make one of all).
