@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, pieces, quality, records, secrets, sharding, tokens
+from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, pieces, quality, records, repair, secrets, sharding, tokens
 from tidemill.llm.components import written
 from tidemill.session import new_folder
 
@@ -84,6 +84,31 @@ def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.digests(pieces.decoded(pieces.encoded(_documents(spark, sf), path), path))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations with faults put in by a fixed rule; nulls count as one blank."""
+    place = F.concat_ws(":", *(F.coalesce(F.col(x).cast("string"), F.lit(" ")) for x in ("conv_id", "turn")))
+    kind, text = F.crc32(place) % 20, F.coalesce("text", F.lit(" "))
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), copies)).alias("copy"),
+    )
+
+
+def conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of all conversations; those without rows after the damage have zeros."""
+    given = spark.read.parquet(f"{sf}/conversations.parquet")
+    found = repair.reports(repair.mended_blocks(damaged(given)))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    none = [F.lit(0).cast("long").alias(x) for x in counts]
+    nothing = F.sha2(F.lit(""), 256)
+    ids = given.select("conv_id").distinct().select("conv_id", *none, F.lit("").alias("audit"), F.lit(None).cast("string").alias("repaired_sha256"))
+    return found.unionByName(ids).groupBy("conv_id").agg(
+        *(F.max(x).alias(x) for x in [*counts, "audit"]), F.coalesce(F.max("repaired_sha256"), nothing).alias("repaired_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id,
     "op2_quality_classifier": quality_classifier,
@@ -96,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": sharding_query,
     "op10_decontamination": decontamination,
     "op11_sentencepiece": sentencepiece,
+    "op12_conversation_repair": conversation_repair,
 }
 
 # Words of a text as a list, and the n-grams of such a list (fewer words make one of all).
