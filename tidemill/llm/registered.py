@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, pieces, quality, records, repair, secrets, sharding, tokens
+from tidemill.llm import bpe, decontaminate, exact, jaccard, langid, pieces, quality, records, repair, secrets, sharding, spelling, tokens
 from tidemill.llm.components import written
 from tidemill.session import new_folder
 
@@ -109,6 +110,16 @@ def conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def misspelt(id: str, word: str) -> str:
+    """The word without one code point, by a fixed rule for some words of some documents."""
+    h = zlib.crc32(f"{id}:{word}".encode())
+    return word if h % 97 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_documents(spark, sf), change=misspelt))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": language_id,
     "op2_quality_classifier": quality_classifier,
@@ -122,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": decontamination,
     "op11_sentencepiece": sentencepiece,
     "op12_conversation_repair": conversation_repair,
+    "op13_spelling_variants": spelling_variants,
 }
 
 # Words of a text as a list, and the n-grams of such a list (fewer words make one of all).
