@@ -223,11 +223,13 @@ class Encoder:
             if len(self.known) > KEPT:
                 self.known.clear()
             known, parts = self.known, self.cut.findall(text)
-            for chunk in set(parts).difference(known):
+            new = set(parts).difference(known)
+            for chunk in new:
                 known[chunk] = self._chunk(chunk.replace(" ", BLANK))
             out.append(b"".join(map(known.__getitem__, parts)))
-            for chunk in [x for x in set(parts) if len(x) > LONGEST]:
-                del known[chunk]
+            for chunk in new:
+                if len(chunk) > LONGEST:
+                    del known[chunk]
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -285,9 +287,9 @@ class Decoder:
 def encoded(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, ids array<int>."""
     given = docs.select(docs[id].alias("key"), docs[text].cast("string").alias("body"))
+    encoder = Encoder(path)  # tasks get a copy, which is as large as the vocabulary
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
         for batch in batches:
             for part in _parts(batch, 1):
                 rows = encoder.encode_many(x or "" for x in part.column(1).to_pylist())
