@@ -1,4 +1,4 @@
-"""Numeric column helpers: guarded division, order-free sums, bands, flags."""
+"""Numeric column helpers: guarded division, bands, flags."""
 
 from __future__ import annotations
 
@@ -28,34 +28,6 @@ def change_pct(new: Column | str, old: Column | str, digits: int | None = None)
     return out if digits is None else F.round(out, digits)
 
 
-def exact(c: Column | str) -> tuple[Column, Column]:
-    """A value as a decimal of 12 digits behind the point, and as a double where it is none.
-
-    A sum of doubles depends on the order in which partitions arrive, so a retried task may
-    change the last digits.  Decimals add up exactly in any order; NaN, infinities and
-    values from 10^16 on remain doubles.
-    """
-    c = _col(c)
-    fits = c.try_cast("decimal(28,12)")
-    return fits, F.when(fits.isNull(), c.cast("double"))
-
-
-def of_parts(fits: Column, rest: Column) -> Column:
-    """The double that sums of both parts make; NULL when both are."""
-    fits = fits.cast("double")
-    return F.coalesce(fits + rest, fits, rest)
-
-
-def total(c: Column | str) -> Column:
-    """Order-free sum as a double."""
-    return of_parts(*[F.sum(part) for part in exact(c)])
-
-
-def mean(c: Column | str) -> Column:
-    """The order-free sum over the count of values that are not NULL."""
-    return F.try_divide(total(c), F.count(_col(c)))
-
-
 def share_pct(condition: Column, digits: int | None = None) -> Column:
     """Percentage of the group's rows that satisfy a condition."""
     return percent(F.count_if(condition), F.count(F.lit(1)), digits)
@@ -117,16 +89,5 @@ def number_or(c: Column | str, default: float | int, kind: str = "double") -> Co
 # -- statistics -------------------------------------------------------------
 
 
-def correlation(x: Column | str, y: Column | str) -> Column:
-    """Pearson correlation of the complete pairs; NULL for a constant series.
-
-    ``corr`` itself raises on a constant series under ANSI mode.
-    """
-    x, y = _col(x), _col(y)
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
-
-
 def annualised(daily: Column, days: int = 365) -> Column:
     return daily * F.sqrt(F.lit(days))

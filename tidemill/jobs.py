@@ -118,6 +118,14 @@ def refresh_sensor_hours(stored: DataFrame, path: str, day: dt.date) -> int:
     )["rows"]
 
 
+def store_sensor_states(batch: DataFrame, path: str, batch_id: int) -> int:
+    """What a batch adds to the hours of its sensors, for ``readings.anomaly_vs_stored_baseline``."""
+    states = readings.sensor_hour_state(batch).withColumns({"event_date": F.to_date("hour"), "batch_id": F.lit(batch_id)})
+    return counted(
+        lambda seen: replace_slice(states, path, ["event_date", "batch_id"], ["sensor_id", "hour"], seen=seen)
+    )["rows"]
+
+
 def refresh_forum_day(stored: DataFrame, path: str, day: dt.date) -> int:
     """The day's slice of the forum dashboard table."""
     end = dt.datetime.combine(day + dt.timedelta(days=1), dt.time())

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import mean, share_pct
+from tidemill.functions.numeric import share_pct
+from tidemill.functions.sums import mean
 from tidemill.functions.time import clock, minutes_between, on_day, since
 from tidemill.operators.rollups import metric_rows, union_all
 

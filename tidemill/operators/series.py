@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import change_pct, exact, flag, of_parts
+from tidemill.functions.numeric import change_pct, flag
+from tidemill.functions.sums import mean_of_last
 from tidemill.operators.dedup import latest_per_key
 
 
@@ -31,13 +32,8 @@ def return_pct(value: str, key: str, period: str, digits: int | None = None) ->
 
 
 def moving_average(value: str, key: str, period: str, rows: int) -> Column:
-    """Mean of the last ``rows`` rows, the current one included; short at the start.
-
-    The window adds decimals, which a sliding sum can do without rounding drift.
-    """
-    w = Window.partitionBy(key).orderBy(period).rowsBetween(-(rows - 1), 0)
-    parts = [F.sum(part).over(w) for part in exact(value)]
-    return F.try_divide(of_parts(*parts), F.count(value).over(w))
+    """Mean of the last ``rows`` rows, the current one included; short at the start."""
+    return mean_of_last(value, rows, key, period)
 
 
 def crosses_above(fast: str, slow: str, key: str, period: str) -> Column:

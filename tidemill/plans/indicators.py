@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import band, change_pct, correlation, flag, mean, weighted
+from tidemill.functions.numeric import band, change_pct, flag, weighted
+from tidemill.functions.sums import correlations, mean
 from tidemill.functions.time import clock
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.ranking import global_rank, top
@@ -162,13 +163,13 @@ def phillips(stg: DataFrame, first_year: int = 2000, min_years: int = 10) -> Dat
         & F.col("unemployment_pct").between(0, 30)
     )
     return (
-        plausible.groupBy("country_name", "income_group")
-        .agg(
-            F.round(mean("inflation_pct"), 2).alias("avg_inflation"),
-            F.round(mean("unemployment_pct"), 2).alias("avg_unemployment"),
-            F.round(correlation("inflation_pct", "unemployment_pct"), 3).alias("phillips_correlation"),
-            F.count(F.lit(1)).alias("years_of_data"),
+        correlations(
+            plausible, ["country_name", "income_group"], "inflation_pct", "unemployment_pct", "phillips_correlation",
+            avg_inflation=F.round(mean("inflation_pct"), 2),
+            avg_unemployment=F.round(mean("unemployment_pct"), 2),
+            years_of_data=F.count(F.lit(1)),
         )
+        .withColumn("phillips_correlation", F.round("phillips_correlation", 3))
         .where(F.col("years_of_data") >= min_years)
         .orderBy(F.abs("phillips_correlation").desc_nulls_last(), "country_name", "income_group")
     )

@@ -13,7 +13,7 @@ from tidemill import schemas
 from tidemill.functions.numeric import number_or
 from tidemill.operators.merge import has_key, mark, merge_into, stored_rows
 from tidemill.operators.quality import has_rows
-from tidemill.sinks.tables import conform, counted, drop_slices, replace_slice
+from tidemill.sinks.tables import Slice, conform, counted, drop_slices, read_slices, replace_slice, slices_of
 from tidemill.sources.tables import increment, slice_of
 
 
@@ -53,11 +53,14 @@ def export_increment(
 def sync(spark: SparkSession, stored: DataFrame, folder: str, run_id: str, keys: Sequence[str], sort_by: Sequence[str] = ()) -> int:
     """Exports every row that no other run has exported, and stores which ones; returns their number.
 
-    The marks are a narrow table of their own, a slice per run: ``stored`` is not rewritten,
-    rows that arrive late are found by their absence, and a repeated run replaces its slices.
-    Rows without a key cannot be marked and are left out.
+    For tables that are not split by day and batch (see ``sync_slices``).  The marks are a narrow
+    table of their own, a slice per run: ``stored`` is not rewritten, rows that arrive late are
+    found by their absence, and a repeated run replaces its slices.  Rows without a key cannot be
+    marked; they are kept apart under ``rejects``, replaced by every run, which ``rejected`` counts.
     """
     export, marks = f"{folder}/export", f"{folder}/marks"
+    keyless = stored.where(~has_key(keys)).withColumn("run_id", F.lit(run_id))
+    keyless.write.mode("overwrite").parquet(f"{folder}/rejects")
     rows = stored.where(has_key(keys))
     known = stored_rows(spark, marks)
     if known is not None:
@@ -73,6 +76,65 @@ def sync(spark: SparkSession, stored: DataFrame, folder: str, run_id: str, keys:
     return written
 
 
+def pending_slices(
+    spark: SparkSession, source: str, folder: str, by: dict[str, str], oldest: str | None = None
+) -> list[Slice]:
+    """The slices of a table that no run has exported as they are now.
+
+    Marks say, per source day, which of its slices were exported and when those had changed
+    last.  Rows that arrive late lie in a new slice of an old day; a slice written again has
+    changed since.  With ``oldest`` earlier days are not looked at, neither they nor their
+    marks; days are compared as text, and rows without a day are always looked at.
+    """
+    days = (lambda day: True) if oldest is None else (lambda day: day is None or day >= oldest)
+    found = slices_of(spark, source, list(by), days)
+    marks = slices_of(spark, f"{folder}/marks", ["day"], days)
+    if not found or not marks:
+        return found
+    known = read_slices(spark, f"{folder}/marks", marks, {}).groupBy("slice").agg(F.max("changed").alias("changed"))
+    done = {r["slice"]: r["changed"] for r in known.collect()}  # one short row per slice looked at
+    return [x for x in found if done.get(_slice_key(x)) != x.changed]
+
+
+def _slice_key(x: Slice) -> str:
+    return "/".join("" if v is None else f"={v}" for v in x.values)
+
+
+def sync_slices(
+    spark: SparkSession,
+    source: str,
+    folder: str,
+    run_id: str,
+    by: dict[str, str],
+    sort_by: Sequence[str] = (),
+    oldest: str | None = None,
+) -> dict[str, int]:
+    """Exports the slices that are new or have changed; returns the numbers of rows and slices.
+
+    ``by`` are the columns that split the source, a day first, with their types.  A run lists
+    folders and reads new slices only, so it costs what has arrived, however much is stored.
+    The export is split alike: a slice exported again, after a lost run or a change, replaces
+    itself.  Marks are written last and are a slice per source day and run.
+    """
+    pending = pending_slices(spark, source, folder, by, oldest)
+    if not pending:
+        return {"rows": 0, "slices": 0}
+    rows = read_slices(spark, source, pending, by).withColumn("run_id", F.lit(run_id))
+    export = f"{folder}/export"
+    written = counted(lambda seen: replace_slice(rows, export, list(by), sort_by, seen=seen))["rows"]
+    marks = spark.createDataFrame(
+        [(_slice_key(x), x.changed, x.values[0], run_id) for x in pending],
+        "slice STRING, changed LONG, day STRING, run_id STRING",
+    )
+    replace_slice(marks, f"{folder}/marks", ["day", "run_id"])
+    return {"rows": written, "slices": len(pending)}
+
+
+def rejected(spark: SparkSession, folder: str) -> int:
+    """The rows without a key that the last ``sync`` met."""
+    return spark.read.parquet(f"{folder}/rejects").count()
+
+
 def high_water_mark(exported: DataFrame, time_col: str, key: str) -> tuple | None:
     """The (time, key) up to which rows are exported, for ``increment(after=...)``."""
     row = exported.agg(F.max(F.struct(time_col, key)).alias("m")).first()["m"]
@@ -87,7 +149,9 @@ def load_slice(spark: SparkSession, staged: DataFrame, path: str, batch_date, dd
     rows = conform(slice_of(staged, "batch_date", batch_date), ddl)
     written = counted(lambda seen: replace_slice(rows, path, ["batch_date"], one_slice=True, seen=seen))["rows"]
     if not written:
-        drop_slices(spark, path, "batch_date", lambda day: day == str(batch_date))
+        # The day as the folder's name prints it, whatever kind of date was given.
+        day = spark.range(1).select(F.lit(batch_date).cast("date").cast("string")).first()[0]
+        drop_slices(spark, path, "batch_date", lambda found: found == day)
     return written
 
 

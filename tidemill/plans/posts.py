@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill import schemas
-from tidemill.functions.numeric import mean, percent, share_pct
+from tidemill.functions.numeric import percent, share_pct
 from tidemill.functions.records import decode, flatten_key
+from tidemill.functions.sums import mean
 from tidemill.functions.text import with_sentiment
 from tidemill.functions.time import hour_of, iso_hour, on_day, since, since_day
 from tidemill.operators.ranking import top

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill import schemas
-from tidemill.functions.numeric import annualised, band, change_pct, correlation, flag, mean, ratio, share_pct
+from tidemill.functions.numeric import annualised, band, change_pct, flag, ratio, share_pct
 from tidemill.functions.records import decode
+from tidemill.functions.sums import correlations, mean, stddev, with_products
 from tidemill.functions.time import before, clock, from_date, parse_date, parse_time
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.ranking import global_rank, top
@@ -97,15 +98,15 @@ def volatility(history: DataFrame, as_of, days: int = 90, min_days: int = 60) ->
     """Spread of daily returns per key with enough trading days."""
     daily = "daily_return_pct"
     return (
-        history.where(from_date("candle_date", as_of, days))
+        with_products(history.where(from_date("candle_date", as_of, days)), (daily, daily))
         .groupBy("coin_id")
         .agg(
             F.count(F.lit(1)).alias("trading_days"),
             F.round(mean(daily), 3).alias("avg_daily_return"),
-            F.round(F.stddev_samp(daily), 3).alias("daily_volatility"),
+            F.round(stddev(daily), 3).alias("daily_volatility"),
             F.round(F.max(daily), 2).alias("max_single_day_gain"),
             F.round(F.min(daily), 2).alias("max_single_day_loss"),
-            F.round(annualised(F.stddev_samp(daily)), 2).alias("annualized_volatility"),
+            F.round(annualised(stddev(daily)), 2).alias("annualized_volatility"),
             F.count_if("is_bullish").alias("bullish_days"),
             share_pct(F.col("is_bullish"), 1).alias("bull_day_pct"),
         )
@@ -137,13 +138,12 @@ def correlation_to(history: DataFrame, reference: str, as_of, days: int = 90, mi
         F.max("daily_return_pct").alias("reference_return")
     )
     others = window.where(F.col("coin_id") != reference).select("coin_id", "candle_date", "daily_return_pct")
+    paired = others.join(F.broadcast(anchor), "candle_date")
     return (
-        others.join(F.broadcast(anchor), "candle_date")
-        .groupBy("coin_id")
-        .agg(
-            F.round(correlation("reference_return", "daily_return_pct"), 3).alias("btc_correlation"),
-            F.count(F.lit(1)).alias("data_points"),
+        correlations(
+            paired, ["coin_id"], "reference_return", "daily_return_pct", "btc_correlation", data_points=F.count(F.lit(1))
         )
+        .withColumn("btc_correlation", F.round("btc_correlation", 3))
         .where(F.col("data_points") >= min_points)
         .orderBy(F.col("btc_correlation").desc_nulls_last(), "coin_id")
     )

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill import schemas
-from tidemill.functions.numeric import mean, outlier, ratio, total
+from tidemill.functions.numeric import outlier, ratio
 from tidemill.functions.records import decode
+from tidemill.functions.sums import mean, stddev, total, with_products
 from tidemill.functions.time import before, hour_of, since
 from tidemill.operators.dedup import latest_per_key
-from tidemill.operators.rollups import merge_state, partial_state, rollup, state_mean, state_total
+from tidemill.operators.rollups import merge_state, partial_state, rollup, state_mean, state_stddev, state_total, union_all
 
 # Fixed value: how many standard deviations make an anomaly.
 ANOMALY_LIMIT = 2.0
@@ -29,8 +30,8 @@ def flag_anomalies(readings: DataFrame, column: str = "temperature_c") -> DataFr
     The statistics are one scalar subquery: a single aggregate pass whose one
     row is filled into the projection.
     """
-    stats = readings.agg(
-        F.struct(mean(column).alias("mean"), F.stddev_samp(column).alias("std")).alias("s")
+    stats = with_products(readings, (column, column)).agg(
+        F.struct(mean(column).alias("mean"), stddev(column).alias("std")).alias("s")
     ).scalar()
     return readings.withColumn("is_anomaly", outlier(column, stats["mean"], stats["std"], ANOMALY_LIMIT))
 
@@ -102,14 +103,54 @@ def anomaly_vs_baseline(readings: DataFrame, as_of, days: int = 7) -> DataFrame:
     """
     span = F.col("event_time").between(before(as_of, f"{days} DAY"), before(as_of, "1 HOUR"))
     baseline = rollup(
-        readings.where(span),
+        with_products(readings.where(span), ("temperature_c", "temperature_c")),
         [F.col("city").alias("baseline_city"), "sensor_id"],
         baseline_temp=mean("temperature_c"),
-        stddev=F.stddev_samp("temperature_c"),
+        stddev=stddev("temperature_c"),
     )
     latest = latest_per_key(
         readings.select("sensor_id", "city", "temperature_c", "event_time"), ["sensor_id"], ["event_time", "city"]
     )
+    return _against_baseline(latest, baseline)
+
+
+def sensor_hour_state(readings: DataFrame) -> DataFrame:
+    """What readings add to the hours of their sensors: moments of the temperature and the newest reading.
+
+    Rows without a time belong to the hour NULL; they count for the newest reading only if a
+    sensor has no others.
+    """
+    return partial_state(
+        readings, [hour_of("event_time").alias("hour"), "city", "sensor_id"],
+        means=["temperature_c"], spreads=["temperature_c"],
+        newest={"reading": ["event_time", "city", "temperature_c"]},
+    )
+
+
+def anomaly_vs_stored_baseline(states: DataFrame, readings: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """The rows of ``anomaly_vs_baseline``, of stored hours instead of all readings.
+
+    ``states`` holds the ``sensor_hour_state`` of all readings, of any batches.  Raw rows are
+    read for the hours that the baseline's ends cut only; the scan gets both bounds of each.
+    """
+    begin, end = before(as_of, f"{days} DAY"), before(as_of, "1 HOUR")
+    hour, hours = F.col("hour"), F.expr("INTERVAL 1 HOUR")
+    whole = (hour >= begin) & (hour + hours <= end)
+    if "event_date" in states.columns:  # stored by day: only the baseline's days are read
+        whole &= F.col("event_date").between(begin.cast("date"), end.cast("date"))
+    time, (first, last) = F.col("event_time"), (F.date_trunc("hour", x).cast("timestamp_ntz") for x in (begin, end))
+    cut = (time < first + hours) & (first < begin) | (time >= last)
+    cut = sensor_hour_state(readings.where(time.between(begin, end) & cut))
+    merged = merge_state(union_all(states.where(whole), cut), ["city", "sensor_id"])
+    baseline = merged.select(
+        F.col("city").alias("baseline_city"), "sensor_id",
+        state_mean("temperature_c").alias("baseline_temp"), state_stddev("temperature_c").alias("stddev"),
+    )
+    newest = states.groupBy("sensor_id").agg(F.max("hi_reading").alias("newest"))
+    return _against_baseline(newest.select("sensor_id", "newest.city", "newest.temperature_c"), baseline)
+
+
+def _against_baseline(latest: DataFrame, baseline: DataFrame) -> DataFrame:
     delta = F.col("temperature_c") - F.col("baseline_temp")
     z = ratio(delta, "stddev")
     return (

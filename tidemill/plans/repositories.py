@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import mean, ratio, weighted
+from tidemill.functions.numeric import ratio, weighted
+from tidemill.functions.sums import mean
 from tidemill.functions.time import age_days, clock, parse_time
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.rollups import rollup

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.numeric import flag, mean, total
+from tidemill.functions.numeric import flag
+from tidemill.functions.sums import mean, total
 from tidemill.functions.time import clock, from_date, parse_date, week_of
 from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.rollups import rollup

@@ -55,17 +55,18 @@ def rounded(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
-def exact(c: str) -> str:
-    """A double as the decimal that its shortest text names."""
-    return f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,12))"
+def total(c: str, over: str = "") -> str:
+    """The sum of doubles, rounded once: the engine's own sums change digits with the order of rows.
 
-
-def total(c: str) -> str:
-    return f"CAST(sum({exact(c)}) AS DOUBLE)"
+    Doubles of the tables are whole multiples of 2^-66, which add up as HUGEINT; both parts of
+    the sum are doubles, and adding them is the only rounding.
+    """
+    whole = f"sum(CAST(CAST({c} AS DOUBLE) * {2.0**66!r} AS HUGEINT)){over}"
+    return f"(CAST({whole} // {1 << 50} AS DOUBLE) * {2.0**-16!r} + CAST({whole} % {1 << 50} AS DOUBLE) * {2.0**-66!r})"
 
 
-def mean(c: str) -> str:
-    return f"({total(c)} / nullif(count({c}), 0))"
+def mean(c: str, over: str = "") -> str:
+    return f"({total(c, over)} / nullif(count({c}){over}, 0))"
 
 
 def pct(condition: str, digits: int | None = None) -> str:

@@ -8,7 +8,7 @@ from tidemill.functions import text as text_fn
 from tidemill.operators import merge, quality
 from tidemill.plans import posts as plan
 from tidemill.registered.base import (
-    AS_OF, LEXICON, POSTS, SCORED, Registered, View, exact, mean, pct, rounded, table,
+    AS_OF, LEXICON, POSTS, SCORED, Registered, View, mean, pct, rounded, table,
 )
 from tidemill.session import new_folder
 from tidemill.sinks.tables import write_files
@@ -122,7 +122,7 @@ _add(
         SELECT CAST(created_utc AS DATE) AS post_date, subreddit, {mean('sentiment_score')} AS m
         FROM {BASE} WHERE created_utc >= {NOW} - INTERVAL 30 DAY GROUP BY ALL)
     SELECT post_date, subreddit, {rounded('m', 4)} AS daily_avg,
-           {rounded(f"CAST(sum({exact('m')}) OVER w AS DOUBLE) / count(m) OVER w", 4)} AS rolling_7d_avg
+           {rounded(mean('m', ' OVER w'), 4)} AS rolling_7d_avg
     FROM d
     WINDOW w AS (PARTITION BY subreddit ORDER BY post_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
     """,

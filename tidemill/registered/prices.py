@@ -8,7 +8,7 @@ from tidemill.functions.records import encode
 from tidemill.operators import quality
 from tidemill.plans import prices as plan
 from tidemill.registered.base import (
-    AS_OF, CANDLES, PRICES, Registered, change, exact, mean, pct, ratio, rounded,
+    AS_OF, CANDLES, PRICES, Registered, change, mean, pct, ratio, rounded,
 )
 from tidemill.session import new_folder
 from tidemill.sources.logs import Log, read_log
@@ -30,9 +30,7 @@ def _history(spark, sf):
 
 def _ma(rows: int) -> str:
     w = f"(PARTITION BY coin_id ORDER BY candle_date ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    return rounded(
-        f"CAST(sum({exact('close')}) OVER {w} AS DOUBLE) / count(close) OVER {w}", 6
-    )
+    return rounded(mean("close", f" OVER {w}"), 6)
 
 
 _PREV = "lag({}) OVER (PARTITION BY coin_id ORDER BY candle_date)"

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from tidemill import schemas
 from tidemill.functions.records import REJECT, decode_with_rejects, encode, nested_or
 from tidemill.functions.time import before
+from tidemill.jobs import store_sensor_states
 from tidemill.operators import quality
 from tidemill.operators.merge import mark
 from tidemill.plans import readings as plan
-from tidemill.plans.loads import export_increment, sync
+from tidemill.plans.loads import export_increment, sync, sync_slices
 from tidemill.registered.base import AS_OF, READINGS, Registered, mean, pct, ratio, rounded, total
 from tidemill.session import new_folder
-from tidemill.sinks.tables import conform, duplicate_keys, publish_table, write_files
+from tidemill.sinks.tables import conform, duplicate_keys, publish_table, replace_slice, write_files
 from tidemill.sources.logs import Log, read_log
 from tidemill.sources.tables import find, increment
 
@@ -39,13 +40,12 @@ _add(
     """,
 )
 
-_add(
-    "temperature_anomaly_vs_baseline",
-    lambda spark, sf: plan.anomaly_vs_baseline(READINGS.df(spark, sf), AS_OF),
-    f"""
+def _baseline_sql(as_of: str) -> str:
+    now = f"TIMESTAMP '{as_of}'"
+    return f"""
     WITH b AS (
         SELECT city AS baseline_city, sensor_id, {mean('temperature_c')} AS m, stddev_samp(temperature_c) AS sd
-        FROM {BASE} WHERE event_time BETWEEN {NOW} - INTERVAL 7 DAY AND {NOW} - INTERVAL 1 HOUR GROUP BY ALL),
+        FROM {BASE} WHERE event_time BETWEEN {now} - INTERVAL 7 DAY AND {now} - INTERVAL 1 HOUR GROUP BY ALL),
     l AS (
         SELECT sensor_id, city, temperature_c AS t FROM {BASE}
         QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY event_time DESC, city DESC) = 1)
@@ -54,9 +54,32 @@ _add(
            {rounded('l.t - b.m', 2)} AS delta_temp, {rounded(ratio('l.t - b.m', 'b.sd'), 2)} AS z_score,
            CASE WHEN abs({ratio('l.t - b.m', 'b.sd')}) > 2 THEN 'ANOMALY' ELSE 'NORMAL' END AS status
     FROM l JOIN b ON l.sensor_id = b.sensor_id
-    """,
+    """
+
+
+_add(
+    "temperature_anomaly_vs_baseline",
+    lambda spark, sf: plan.anomaly_vs_baseline(READINGS.df(spark, sf), AS_OF),
+    _baseline_sql(AS_OF),
 )
 
+
+def _stored_baseline(as_of):
+    """Each batch stores what it adds to its hours, split by day; the baseline is merged from them."""
+
+    def run(spark, sf):
+        rows, path = READINGS.df(spark, sf), new_folder(spark, "sensor-states")
+        for batch in range(4):
+            store_sensor_states(rows.where(F.col("batch_id") == batch), path, batch)
+        return plan.anomaly_vs_stored_baseline(spark.read.parquet(path), rows, as_of)
+
+    return run
+
+
+# The second clock cuts hours at both ends of the baseline.
+for _name, _as_of in (("temperature_anomaly_of_stored_hours", AS_OF), ("temperature_anomaly_between_hours", "2024-01-29 12:20:30")):
+    _add(_name, _stored_baseline(_as_of), _baseline_sql(_as_of))
+
 _add(
     "sensor_uptime_report",
     lambda spark, sf: quality.uptime_report(READINGS.df(spark, sf), AS_OF),
@@ -314,6 +337,28 @@ _add(
     """,
 )
 
+SLICES = {"event_date": "date", "batch_id": "int"}
+
+
+def _synced_slices(spark, sf):
+    """A table split by day and batch; later batches bring late rows of all days, the last run finds nothing."""
+    rows = READINGS.df(spark, sf).select("event_id", "event_time", "batch_id", F.to_date("event_time").alias("event_date"))
+    source, folder = new_folder(spark, "stored"), new_folder(spark, "slices")
+    for run_id, batches in (("run-1", (0, 1)), ("run-2", (2, 3)), ("run-3", ())):
+        if batches:
+            replace_slice(rows.where(F.col("batch_id").isin(*batches)), source, list(SLICES))
+        sync_slices(spark, source, folder, run_id, SLICES, ["event_time"])
+    return spark.read.parquet(f"{folder}/export").select("event_id", "event_time", "batch_id", "run_id")
+
+
+_add(
+    "synced_by_slices",
+    _synced_slices,
+    f"""
+    SELECT event_id, event_time, batch_id, CASE WHEN batch_id < 2 THEN 'run-1' ELSE 'run-2' END AS run_id FROM {BASE}
+    """,
+)
+
 _add(
     "rows_marked_synced",
     lambda spark, sf: mark(

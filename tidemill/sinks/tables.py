@@ -136,6 +136,52 @@ def _folders(spark: SparkSession, path: str, column: str, outer: Sequence[str] =
     return sorted(((unescape(x.getPath().getName().split("=", 1)[1]), x.getPath()) for x in found), key=lambda x: x[0])
 
 
+@dataclass(frozen=True)
+class Slice:
+    """A slice folder of a stored table: its values as text (None: no value), place and time of change."""
+
+    values: tuple[str | None, ...]
+    path: str
+    changed: int
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed by the folder format
+
+
+def slices_of(
+    spark: SparkSession, path: str, columns: Sequence[str], wanted: Callable[[str | None], bool] = lambda _: True
+) -> list[Slice]:
+    """The slices of a table split by ``columns``; only those whose first value is ``wanted`` are listed.
+
+    One listing per folder above the last column, and no file is opened.  ``changed`` is what the
+    file system says of the folder; stores that keep no such time always say 0.
+    """
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = [Slice((), path, 0)]
+    for depth, column in enumerate(columns):
+        inner = []
+        for outer in found:
+            root = jvm.org.apache.hadoop.fs.Path(outer.path)
+            for status in files.listStatus(root) if files.exists(root) else []:
+                name = status.getPath().getName()
+                if not status.isDirectory() or not name.startswith(f"{column}="):
+                    continue
+                text = name.split("=", 1)[1]
+                value = None if text == NO_VALUE else unescape(text)
+                if depth or wanted(value):
+                    inner.append(Slice((*outer.values, value), status.getPath().toString(), status.getModificationTime()))
+        found = inner
+    return sorted(found, key=lambda x: [(v is not None, v or "") for v in x.values])
+
+
+def read_slices(spark: SparkSession, path: str, slices: Sequence[Slice], types: dict[str, str]) -> DataFrame:
+    """The rows of some slices: nothing else is listed or opened.  ``types`` are those of the slice columns."""
+    rows = spark.read.option("basePath", path).parquet(*[x.path for x in slices])
+    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in types.items()})
+
+
 def drop_slices(
     spark: SparkSession,
     path: str,
@@ -151,7 +197,9 @@ def drop_slices(
     out = []
     for value, folder in sorted(_folders(spark, path, column, outer), key=lambda found: order(found[0])):
         if gone(value):
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if not files.delete(folder, True) and files.exists(folder):
+                raise OSError(f"{folder.toString()} could not be removed")
             out.append(value)
     return out
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.functions.numeric import mean, outlier
+from tidemill.functions.numeric import outlier
+from tidemill.functions.sums import mean, stddev, with_products
 from tidemill.operators.merge import BATCH, add_delta, current, settle
 from tidemill.plans.posts import SENTIMENT_FIELDS, score_posts
 from tidemill.plans.prices import LATEST_FIELDS
@@ -101,11 +102,11 @@ class ReadingBatches:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with held(batch.withColumn("batch_id", F.lit(batch_id))) as rows:
-            stats = rows.agg(
+            stats = with_products(rows, ("temperature_c", "temperature_c")).agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.count("temperature_c").alias("measured"),
                 mean("temperature_c").alias("mean"),
-                F.stddev_samp("temperature_c").alias("std"),
+                stddev("temperature_c").alias("std"),
             ).first()
             if stats["rows"] == 0:
                 return
