@@ -30,7 +30,9 @@ from tidemill.plans import indicators, posts, prices, readings, repositories, we
 from tidemill.plans.loads import log_run
 from tidemill.sinks.tables import Target, counted, drop_slices, expire, overwrite, replace_slice
 from tidemill.sources.logs import Log, open_stream, read_log
-from tidemill.streaming.jobs import PostBatches, PriceBatches, ReadingBatches, start, windowed_readings
+from tidemill.streaming.jobs import (
+    AccountedWindows, LiveWindows, PostBatches, PriceBatches, ReadingBatches, start, windowed_readings,
+)
 
 # -- streams ------------------------------------------------------------------
 
@@ -48,6 +50,18 @@ def watch_windows(spark: SparkSession, log: Log, folder: str, every: str | None
     return start(stream, f"{folder}/checkpoint", path=f"{folder}/final_windows", every=every)
 
 
+def watch_live_windows(spark: SparkSession, log: Log, folder: str, every: str | None = "60 seconds") -> StreamingQuery:
+    """Five-minute windows as they change; reports do not wait for the watermark."""
+    stream = windowed_readings(readings.decode_readings(open_stream(spark, log)))
+    return start(stream, f"{folder}/checkpoint", body=LiveWindows(f"{folder}/live_windows"), every=every, mode="update")
+
+
+def watch_accounted_windows(spark: SparkSession, log: Log, folder: str, every: str | None = "60 seconds") -> StreamingQuery:
+    """Five-minute windows of the rows in time; rows that come too late are kept and counted."""
+    sinks = AccountedWindows(f"{folder}/states", f"{folder}/late", f"{folder}/marks")
+    return start(readings.decode_readings(open_stream(spark, log)), f"{folder}/checkpoint", body=sinks, every=every)
+
+
 def watch_posts(
     spark: SparkSession,
     log: Log,

@@ -19,7 +19,10 @@ from tidemill.registered.base import LEXICON, POSTS, READINGS, SCORED, Registere
 from tidemill.registered.prices import _PRICE_FIELDS, EVENTS_SQL, LATEST_SQL, price_log
 from tidemill.session import new_folder
 from tidemill.sources.logs import Log, open_stream
-from tidemill.streaming.jobs import CREATED_DAY, PostBatches, PriceBatches, ReadingBatches, run, windowed_readings
+from tidemill.streaming.jobs import (
+    CREATED_DAY, AccountedWindows, LiveWindows, PostBatches, PriceBatches, ReadingBatches, caught_up, run, serve,
+    windowed_readings,
+)
 
 QUERIES: dict[str, Registered] = {}
 
@@ -75,6 +78,106 @@ def _windows_sql(where: str) -> str:
 
 _add("windowed_readings_stream", _windows, _windows_sql("TRUE"))
 
+# -- late rows, open windows, timed runs -------------------------------------------------------
+
+# Three deliveries; most rows of the last come long after the watermark has passed them.
+_DELIVERIES = ("batch_id = 0 AND event_time < TIMESTAMP '2024-01-12 00:00:00'", "batch_id = 1", "batch_id IN (2, 3)")
+
+
+def _accounted(spark, sf):
+    rows, path = READINGS.df(spark, sf), new_folder(spark, "late-log")
+    sinks = AccountedWindows(*(new_folder(spark, name) for name in ("states", "late", "marks")))
+    checkpoint = new_folder(spark, "checkpoint")
+    for delivery in _DELIVERIES:
+        _sent(rows.where(delivery)).write.mode("append").text(path)
+        stream = readings_plan.decode_readings(open_stream(spark, Log(path, "text")))
+        run(stream, checkpoint, body=sinks)
+    return sinks
+
+
+_LATE_SQL = f"""
+    SELECT *, coalesce(time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE <= watermark, FALSE) AS is_late
+    FROM (
+        SELECT *, CASE nth WHEN 2 THEN (SELECT max(event_time) FROM {BASE} WHERE {_DELIVERIES[0]})
+                  WHEN 3 THEN (SELECT max(event_time) FROM {BASE} WHERE ({_DELIVERIES[0]}) OR {_DELIVERIES[1]})
+                  END - INTERVAL 2 MINUTE AS watermark
+        FROM (
+            SELECT *, CASE WHEN {_DELIVERIES[0]} THEN 1 WHEN {_DELIVERIES[1]} THEN 2 WHEN {_DELIVERIES[2]} THEN 3 END AS nth
+            FROM {BASE})
+        WHERE nth IS NOT NULL)
+"""
+
+_add(
+    "late_readings_kept",
+    lambda spark, sf: _zone_free(
+        _accounted(spark, sf).late_rows(spark).select("sensor_id", "city", "event_time", "temperature_c", "watermark")
+    ),
+    f"SELECT sensor_id, city, event_time, temperature_c, watermark FROM ({_LATE_SQL}) WHERE is_late",
+)
+_add(
+    "windows_of_rows_in_time",
+    lambda spark, sf: _zone_free(_accounted(spark, sf).windows(spark)),
+    _windows_sql("NOT is_late").replace(BASE, f"({_LATE_SQL}) r"),
+)
+
+
+def _row_counts(spark, sf):
+    """What the marks say of the rows sent, in windows and late, beside what the tables hold."""
+    sinks = _accounted(spark, sf)
+    counts = sinks.counts(spark)
+    held = sinks.windows(spark).agg(F.sum("reading_count").alias("in_windows"))
+    kept = sinks.late_rows(spark).agg(F.count(F.lit(1)).alias("in_late_table"))
+    return held.crossJoin(kept).withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
+
+
+_add(
+    "late_readings_accounted",
+    _row_counts,
+    f"""
+    SELECT count(*) AS sent, count(*) FILTER (WHERE NOT is_late) AS in_time, count(*) FILTER (WHERE is_late) AS late,
+           CAST(0 AS BIGINT) AS untimed, count(*) FILTER (WHERE NOT is_late) AS in_windows,
+           count(*) FILTER (WHERE is_late) AS in_late_table
+    FROM ({_LATE_SQL})
+    """,
+)
+
+
+def _live_windows(spark, sf):
+    """Update mode: four deliveries in order of time; no window waits for the watermark."""
+    rows, path = READINGS.df(spark, sf), new_folder(spark, "live-log")
+    sinks, checkpoint = LiveWindows(new_folder(spark, "live-windows")), new_folder(spark, "checkpoint")
+    ends = [f"TIMESTAMP '2024-01-{day:02} 07:13:00'" for day in (1, 9, 16, 23)] + ["TIMESTAMP '2025-01-01 00:00:00'"]
+    for begin, end in zip(["TIMESTAMP '2023-01-01 00:00:00'", *ends], ends):
+        _sent(rows.where(f"event_time >= {begin} AND event_time < {end}")).write.mode("append").text(path)
+        stream = readings_plan.decode_readings(open_stream(spark, Log(path, "text")))
+        run(windowed_readings(stream), checkpoint, body=sinks, mode="update")
+    return _zone_free(sinks.windows(spark))
+
+
+_add("live_windows_stream", _live_windows, _windows_sql("TRUE"))
+
+
+def _timed(spark, sf):
+    """A query on a timer, stopped between two batches, then resumed from its checkpoint."""
+    rows, path = READINGS.df(spark, sf), new_folder(spark, "timed-log")
+    folders = {name: new_folder(spark, name) for name in ("raw", "windows", "quarantine")}
+    checkpoint = new_folder(spark, "checkpoint")
+    for delivery in ("batch_id < 2", "batch_id >= 2"):
+        part = rows.where(delivery)
+        _sent(part).write.mode("append").text(path)
+        stream = readings_plan.decode_readings(open_stream(spark, Log(path, "text")))
+        body = ReadingBatches(**folders, min_completeness=0.0)
+        serve(stream, checkpoint, "1 second", caught_up(part.count()), body=body)
+    stored = spark.read.parquet(folders["raw"])
+    return _zone_free(stored.select("sensor_id", "city", "event_time", "temperature_c", "humidity_pct"))
+
+
+_add(
+    "timed_readings_resumed",
+    _timed,
+    f"SELECT sensor_id, city, event_time, temperature_c, humidity_pct FROM {BASE}",
+)
+
 # -- gated micro-batches ---------------------------------------------------------------------
 
 _GOOD = "batch_id <> 3"

@@ -6,6 +6,7 @@ is replayed after a failure replaces its own earlier output.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -16,11 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.numeric import outlier
 from tidemill.functions.sums import mean, stddev, with_products
+from tidemill.operators.dedup import latest_per_key
 from tidemill.operators.merge import BATCH, add_delta, current, settle
 from tidemill.plans.posts import SENTIMENT_FIELDS, score_posts
 from tidemill.plans.prices import LATEST_FIELDS
-from tidemill.plans.readings import ANOMALY_LIMIT, five_minute_windows, window_state
-from tidemill.sinks.tables import replace_slice
+from tidemill.plans.readings import ANOMALY_LIMIT, five_minute_windows, window_state, windows_of_states
+from tidemill.sinks.tables import drop_slices, read_slices, replace_slice, slices_of
 
 # Fixed value: share of readings with a temperature that a batch needs.
 MIN_COMPLETENESS = 0.95
@@ -66,6 +68,46 @@ def run(stream: DataFrame, checkpoint: str, **sink) -> None:
     start(stream, checkpoint, **sink).awaitTermination()
 
 
+def stop_orderly(query: StreamingQuery, patience: float = 600.0) -> None:
+    """Stops a query between two batches instead of in the middle of one.
+
+    A batch that has begun is finished and committed first, within ``patience`` seconds; a
+    query that resumes from the checkpoint then goes on with the next one.
+    """
+    until = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
+    query.stop()
+
+
+def serve(
+    stream: DataFrame, checkpoint: str, every: str, enough: Callable[[StreamingQuery], bool], look: float = 0.2, **sink
+) -> StreamingQuery:
+    """Runs a query by its timer until ``enough`` (asked every ``look`` seconds), then stops it orderly.
+
+    A failed batch raises here.  The query is returned for its progress.
+    """
+    query = start(stream, checkpoint, every=every, **sink)
+    try:
+        while not query.awaitTermination(look) and not enough(query):
+            pass
+    finally:
+        stop_orderly(query)
+    return query
+
+
+def caught_up(rows: int, seconds: float = 120.0) -> Callable[[StreamingQuery], bool]:
+    """True once a query's batches have read so many rows; an error after ``seconds``."""
+    until = time.monotonic() + seconds
+
+    def enough(query: StreamingQuery) -> bool:
+        if time.monotonic() > until:
+            raise TimeoutError(f"{rows} rows were not read within {seconds} seconds")
+        return sum({x["batchId"]: x["numInputRows"] for x in query.recentProgress}.values()) >= rows
+
+    return enough
+
+
 @contextmanager
 def held(batch: DataFrame):
     """The batch kept for several passes, with adaptive execution for its writes.
@@ -124,6 +166,95 @@ class ReadingBatches:
             replace_slice(state, self.windows, ["window_date", "batch_id"])
 
 
+WINDOW_KEYS = ["window_start", "window_end", "city"]
+
+
+@dataclass(frozen=True)
+class LiveWindows:
+    """Keeps the windows that an update-mode query sends after every batch.
+
+    A batch writes the windows it has changed, split by day; ``windows`` reads the newest
+    state of each, also of those that the watermark has not closed.
+    """
+
+    path: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with held(batch.withColumn("window_date", F.to_date("window_start"))) as rows:
+            if not rows.isEmpty():
+                add_delta(rows, self.path, batch_id, ["window_date"])
+
+    def windows(self, spark: SparkSession) -> DataFrame:
+        return latest_per_key(spark.read.parquet(self.path), WINDOW_KEYS, [BATCH]).drop(BATCH, "window_date")
+
+
+@dataclass(frozen=True)
+class AccountedWindows:
+    """Window states of the rows in time; rows that come too late are kept apart and counted.
+
+    The rule is that of a watermark: a batch's watermark lies ``delay`` behind the greatest
+    event time of the batches before it, and a row is late if its window has ended by then.
+    A stateful aggregate drops such rows and tells a number of partial groups at most; here
+    every row sent is in a window, in the late table, or, without a time, in the late table
+    without a watermark.  A batch's mark holds the running maximum and running counts, so only
+    the newest mark before a batch is read, and a replayed batch decides as it did before.
+    """
+
+    states: str
+    late: str
+    marks: str
+    delay: str = "2 minutes"
+    width: str = "5 minutes"
+    kept_marks: int = 100
+
+    def _mark_before(self, spark: SparkSession, batch_id: int | None) -> dict:
+        found = [x for x in slices_of(spark, self.marks, [BATCH]) if batch_id is None or int(x.values[0]) < batch_id]
+        if not found:
+            return {"newest": None, "sent": 0, "in_time": 0, "late": 0, "untimed": 0}
+        newest = max(found, key=lambda x: int(x.values[0]))
+        return read_slices(spark, self.marks, [newest], {}).first().asDict()
+
+    def counts(self, spark: SparkSession) -> dict[str, int]:
+        """Rows sent so far, and where they went."""
+        mark = self._mark_before(spark, None)
+        return {k: mark[k] for k in ("sent", "in_time", "late", "untimed")}
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = self._mark_before(spark, batch_id)
+        newest = F.lit(mark["newest"]).cast(batch.schema["event_time"].dataType)
+        watermark = newest - F.expr(f"INTERVAL {self.delay}")
+        timed = F.col("event_time").isNotNull()
+        with held(batch.withColumn(BATCH, F.lit(batch_id))) as rows:
+            # ``window`` keeps rows with a time only.  Without a mark before it a batch has no watermark.
+            told = rows.where(timed).withColumns({"watermark": watermark, "window": F.window("event_time", self.width)})
+            is_late = F.coalesce(F.col("window.end") <= F.col("watermark"), F.lit(False))
+            late, in_time = (told.where(x).drop("window") for x in (is_late, ~is_late))
+            apart = late.unionByName(rows.where(~timed), allowMissingColumns=True)
+            state = window_state(in_time, width=self.width)
+            state = state.withColumns({"window_date": F.to_date("window_start"), BATCH: F.lit(batch_id)})
+            replace_slice(state, self.states, ["window_date", BATCH])
+            replace_slice(apart, self.late, [BATCH], one_slice=True)
+            seen = rows.agg(
+                F.max("event_time").cast("string").alias("newest"), F.count("event_time").alias("timed"),
+                F.count(F.lit(1)).alias("sent"),
+            ).first()
+            n_late = late.count()
+            found = {"sent": seen["sent"], "in_time": seen["timed"] - n_late, "late": n_late}
+            found["untimed"] = seen["sent"] - seen["timed"]
+            times = [x for x in (mark["newest"], seen["newest"]) if x is not None]
+            row = (max(times, default=None), *(mark[k] + n for k, n in found.items()), batch_id)
+            marks = spark.createDataFrame([row], f"newest STRING, {', '.join(f'{k} LONG' for k in found)}, {BATCH} INT")
+            replace_slice(marks, self.marks, [BATCH], one_slice=True)
+        drop_slices(spark, self.marks, BATCH, lambda x: int(x) < batch_id - self.kept_marks)
+
+    def windows(self, spark: SparkSession) -> DataFrame:
+        return windows_of_states(spark.read.parquet(self.states))
+
+    def late_rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.late)
+
+
 @dataclass(frozen=True)
 class PostBatches:
     """Scores posts and upserts the raw and the sentiment documents by post id.
