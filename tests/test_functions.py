@@ -163,6 +163,22 @@ def test_salted_lexicon_join_agrees(spark, sf):
     assert text.with_sentiment(df, words).exceptAll(joined).isEmpty()
 
 
+def test_weights_keep_their_digits(spark):
+    df = spark.createDataFrame([(1, "one", "one two"), (2, "", "tiny " * 50), (3, "", "none")], "post_id INT, title STRING, body STRING")
+    words = {"one": (0.13636363636, 0.5), "two": (-0.0004, 0.13636363636), "tiny": (-0.0004, 1e-9)}
+    words |= {f"w{i}": (0.1234567890123456, i / 7) for i in range(10_000)}
+    table = lexicon_table(spark, words)
+    for lexicon in ({k: words[k] for k in ("one", "two", "tiny")}, words):
+        out = {r["post_id"]: r for r in text.with_sentiment(df, lexicon).collect()}
+        s = 2 * 0.13636363636 - 0.0004
+        assert out[1]["compound_score"] == round(s / (s * s + 15) ** 0.5, 4)
+        assert out[1]["polarity_score"] == round(1.13636363636 / 3, 4)
+        assert out[2]["compound_score"] == round(-0.02 / (0.0004 + 15) ** 0.5, 4) and out[2]["polarity_score"] == 0.0
+        assert out[3]["compound_score"] == 0.0
+    joined = text.with_sentiment_table(df, table, "post_id")
+    assert text.with_sentiment(df, words).exceptAll(joined).isEmpty()
+
+
 def test_empty_and_large_lexicons(spark):
     df = spark.createDataFrame([("1", "good", "w7 w19999 x")], "post_id STRING, title STRING, body STRING")
     assert text.with_sentiment(df, {}).first()["sentiment_label"] == "neutral"

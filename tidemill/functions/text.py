@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,20 +57,37 @@ def compound(valence: Column) -> Column:
     return valence / F.sqrt(valence * valence + F.lit(COMPOUND_ALPHA))
 
 
-def _by_weight(lexicon: Mapping[str, float]) -> dict[int, list[str]]:
-    """Words grouped by weight in thousandths."""
-    groups: dict[int, list[str]] = {}
-    for word, weight in sorted(lexicon.items()):
-        groups.setdefault(round(weight * 1000), []).append(word)
-    return groups
+DIGITS = 16  # behind the point of a weight; a double near 1 has no more
 
 
-def _weight_of(token: Column, lexicon: Mapping[str, float]) -> Column:
-    """Thousandths of a known token: one hashed set lookup per distinct weight."""
-    out = F
-    for weight, words in _by_weight(lexicon).items():
-        out = out.when(token.isin(words), F.lit(weight))
-    return (F.lit(0) if out is F else out.otherwise(F.lit(0))).cast("bigint")
+def _weight(value: float) -> Decimal:
+    """The decimal that a weight's shortest text names."""
+    return round(Decimal(repr(float(value))), DIGITS).normalize()
+
+
+def _hash_of(token: Column, buckets: int) -> Column:
+    return F.pmod(F.crc32(token), F.lit(buckets)).cast("int")
+
+
+def _weights(lexicon: Mapping[str, tuple[float, float]]) -> tuple[Column, int, str, int]:
+    """The lexicon as a constant array of small maps, found by a word's hash; the number of maps;
+    the type of the weights; and the digits by which they are shifted to be whole.
+
+    A map alone is searched from its first entry on.
+    """
+    weights = {w: (_weight(v), _weight(p)) for w, (v, p) in lexicon.items()}
+    every = [x for pair in weights.values() for x in pair]
+    digits = max([0, *(-x.as_tuple().exponent for x in every)])
+    # As whole numbers where the longest text cannot exceed them.
+    small = max((abs(x) for x in every), default=0) * 10**digits < 1 << 31
+    kind = "bigint" if small else f"decimal(38,{digits})"
+    buckets = 1 << max(4, len(weights).bit_length())
+    maps: list[dict] = [{} for _ in range(buckets)]
+    for word, pair in weights.items():
+        v, p = (int(x.scaleb(digits)) if small else format(x, "f") for x in pair)
+        maps[zlib.crc32(word.encode()) % buckets][word] = {"v": v, "p": p}
+    table = F.from_json(F.lit(json.dumps(maps)), f"array<map<string,struct<v:{kind},p:{kind}>>>")
+    return table, buckets, kind, digits if small else 0
 
 
 def with_sentiment(
@@ -75,27 +95,25 @@ def with_sentiment(
 ) -> DataFrame:
     """Add the two scores, their mean and a label, from title and body together.
 
-    ``lexicon`` maps a word to (valence, polarity).  Row-local: no shuffle, and
-    usable on a stream.  Known words are picked out of the token array first,
-    so the per-weight lookups touch matches only.  Sums are whole thousandths.
+    ``lexicon`` maps a word to (valence, polarity).  Row-local: no shuffle, and usable on a
+    stream.  Known words are picked out of the token array by a hashed set; each is looked up
+    once.  Weights are added as the decimals they are written as.
 
     All scores come from one pass over the words, and are unfolded by a
     generator: a later filter on score or label does not score the text again.
     """
+    table, buckets, kind, digits = _weights(lexicon)
     words = F.split(F.lower(joined_text(title, body)), _NOT_A_TOKEN)
-    known = F.filter(words, lambda t: t.isin(sorted(lexicon)))
-    valence = {w: v for w, (v, _) in lexicon.items()}
-    polarity = {w: p for w, (_, p) in lexicon.items()}
-    zero = F.lit(0).cast("bigint")
+    found = F.filter(F.transform(words, lambda t: table[_hash_of(t, buckets)][t]), lambda w: w.isNotNull())
+    zero = F.lit(0).cast(kind)
     scores = F.aggregate(
-        known,
-        F.struct(zero.alias("v"), zero.alias("p"), zero.alias("n")),
-        lambda sums, t: F.struct(
-            (sums["v"] + _weight_of(t, valence)).alias("v"),
-            (sums["p"] + _weight_of(t, polarity)).alias("p"),
+        found,
+        F.struct(zero.alias("v"), zero.alias("p"), F.lit(0).alias("n")),
+        lambda sums, w: F.struct(
+            (sums["v"] + w["v"]).cast(kind).alias("v"), (sums["p"] + w["p"]).cast(kind).alias("p"),
             (sums["n"] + F.lit(1)).alias("n"),
         ),
-        lambda sums: _scores(sums["v"], sums["p"], sums["n"]),
+        lambda sums: _scores(*(sums[x].cast("double") / F.lit(10.0**digits) for x in ("v", "p")), sums["n"]),
     )
     return df.select("*", F.inline(F.array(scores)))
 
@@ -110,29 +128,27 @@ def with_sentiment_table(
     is small enough to be sent whole, the optimizer decides by its bytes.
     """
     words = df.select(key, F.explode(tokens(joined_text(title, body))).alias("word"))
-    units = lexicon.select(
-        "word",
-        F.round(F.col("valence") * 1000).cast("bigint").alias("v"),
-        F.round(F.col("polarity") * 1000).cast("bigint").alias("p"),
-    )
+    # As decimals; times a count of ten digits they still fit.
+    weight = f"decimal(27,{DIGITS})"
+    units = lexicon.select("word", F.col("valence").cast(weight).alias("v"), F.col("polarity").cast(weight).alias("p"))
     salted = units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     spread = counts.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
     matched = spread.join(salted, ["word", "salt"])
     sums = matched.groupBy(key).agg(
-        F.sum(F.col("n") * F.col("v")).alias("valence_units"),
-        F.sum(F.col("n") * F.col("p")).alias("polarity_units"),
+        F.sum(F.col("n").cast("decimal(10,0)") * F.col("v")).cast("double").alias("valence_sum"),
+        F.sum(F.col("n").cast("decimal(10,0)") * F.col("p")).cast("double").alias("polarity_sum"),
         F.sum("n").alias("known_count"),
     )
-    scored = df.join(sums, key, "left").fillna(0, ["valence_units", "polarity_units", "known_count"])
-    scores = _scores(F.col("valence_units"), F.col("polarity_units"), F.col("known_count"))
+    scored = df.join(sums, key, "left").fillna(0, ["valence_sum", "polarity_sum", "known_count"])
+    scores = _scores(F.col("valence_sum"), F.col("polarity_sum"), F.col("known_count"))
     return scored.select(*df.columns, F.inline(F.array(scores)))
 
 
-def _scores(valence_units: Column, polarity_units: Column, known: Column) -> Column:
-    """Struct of the four sentiment fields from sums in thousandths."""
-    first = compound(valence_units / F.lit(1000.0))
-    second = F.coalesce(F.try_divide(polarity_units / F.lit(1000.0), known.cast("double")), F.lit(0.0))
+def _scores(valence: Column, polarity: Column, known: Column) -> Column:
+    """Struct of the four sentiment fields from the sums of the known words' weights."""
+    first = compound(valence)
+    second = F.coalesce(F.try_divide(polarity, known.cast("double")), F.lit(0.0))
     both = (first + second) / F.lit(2.0)
     return F.struct(
         F.round(first, 4).alias("compound_score"),

@@ -187,7 +187,11 @@ def build_panel(spark: SparkSession, log: Log, folder: str, day: dt.date) -> int
 
 def expire_prices(spark: SparkSession, folder: str, day: dt.date, days: int = 30) -> list[str]:
     """Removes the days of the stored and the settled series that have outlived their time."""
-    return [x for part in ("series", "settled") for x in expire(spark, f"{folder}/{part}", "event_date", day, days)]
+    out = []
+    for part in ("series", "settled"):
+        # Prices without a time of their own live from the time at which they were enriched.
+        out += expire(spark, f"{folder}/{part}", "event_date", day, days, written="processed_at")
+    return out
 
 
 def build_economy_mart(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:

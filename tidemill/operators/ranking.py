@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import cut_lineage
+STEPS = 64  # ranges of a doubling of the distance from the least, the greatest, or zero
 
-SPLITS = 512
+
+def _range_of(value: Column, least: Column, greatest: Column) -> list[Column]:
+    """The range in which a value lies; ranges are in the order of their values.
+
+    Three measures that never fall when the value rises, each with so many steps for every
+    doubling: they are fine near the least value, near zero and near the greatest.
+    """
+
+    def steps(x: Column) -> Column:
+        # 1075 doublings lie between the smallest double and 1.
+        return F.coalesce(F.signum(x) * F.floor((F.log2(F.abs(x)) + F.lit(1075.0)) * F.lit(float(STEPS))), F.lit(0.0))
+
+    return [steps(value - least), steps(value), -steps(greatest - value)]
 
 
 def global_rank(
@@ -22,29 +34,35 @@ def global_rank(
     ``weight`` counts a row as that many rows in RANK: ranking per-key rows
     weighted by their row count gives the rank of the underlying rows.
 
-    Only the distinct values with their weights are kept (checkpoint) and cut into value
-    ranges at quantiles; totals per range (at most SPLITS + 2 rows) give each range its
-    offset, a window inside the range does the rest, and the rows take their value's rank.
-    The cuts only balance the work; the ranks are exact whatever they are.
+    Only the distinct values with their weights are ranked.  They are cut into ranges by a
+    fixed rule between the least and the greatest, so nothing has to run while the plan is
+    built and a task that runs again cuts alike; totals per range (at most some hundred
+    thousand rows, whatever the table's size) give each range its offset, a window inside the
+    range does the rest, and the rows take their value's rank.
     """
     w = F.col(weight) if weight else F.lit(1)
-    values = cut_lineage(df.groupBy(by).agg(F.sum(w).cast("bigint").alias("rows_here")))
+    values = df.groupBy(by).agg(F.sum(w).cast("bigint").alias("rows_here"))
     largest_first = F.col(by).desc_nulls_last()
-    cuts = values.where(F.col(by).isNotNull()).agg(
-        F.percentile_approx(F.col(by).cast("double"), [i / SPLITS for i in range(1, SPLITS)], 10000).alias("cuts")
-    )
-    bounds = F.lit(cuts.first()["cuts"] or [float("inf")])
-    part = F.size(F.filter(bounds, lambda cut: cut > F.col(by).cast("double")))
-    part = F.when(F.col(by).isNull(), F.lit(SPLITS + 1)).otherwise(part)
-    values = _running(values.withColumn("part", part), largest_first)
-    sums = values.groupBy("part").agg(F.count(F.lit(1)).alias("values_in"), F.sum("rows_here").alias("rows_in"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    value = F.col(by).cast("double")
+    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
+    ends = values.agg(F.struct(F.min(finite).alias("least"), F.max(finite).alias("greatest"))).scalar()
+    place = ["is_given", "is_nan", "from_least", "from_zero", "from_greatest"]
+    ranges = [value.isNotNull(), F.coalesce(F.isnan(value), F.lit(False)), *_range_of(value, ends["least"], ends["greatest"])]
+    values = values.withColumns(dict(zip(place, ranges)))
+    inside = Window.partitionBy(*place).orderBy(largest_first)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumns({
+        "value_no": F.row_number().over(inside).cast("bigint"),
+        "rows_before": F.coalesce(F.sum("rows_here").over(before), F.lit(0)).cast("bigint"),
+    })
+    sums = values.groupBy(*place).agg(F.count(F.lit(1)).alias("values_in"), F.sum("rows_here").alias("rows_in"))
+    higher = Window.orderBy(*[F.col(c).desc() for c in place]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        "part",
-        F.coalesce(F.sum("values_in").over(earlier), F.lit(0)).alias("values_off"),
-        F.coalesce(F.sum("rows_in").over(earlier), F.lit(0)).alias("rows_off"),
+        *place,
+        F.coalesce(F.sum("values_in").over(higher), F.lit(0)).alias("values_off"),
+        F.coalesce(F.sum("rows_in").over(higher), F.lit(0)).alias("rows_off"),
     )
-    values = values.join(F.broadcast(offsets), "part").select(
+    values = values.join(offsets, place).select(
         by,
         (F.col("value_no") + F.col("values_off")).alias("value_no"),
         (F.col("rows_before") + F.col("rows_off")).alias("rows_before"),
@@ -58,14 +76,6 @@ def global_rank(
     return out.select("r.*", *extra)
 
 
-def _running(values: DataFrame, order) -> DataFrame:
-    inside = Window.partitionBy("part").orderBy(order)
-    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    return values.withColumn("value_no", F.row_number().over(inside).cast("bigint")).withColumn(
-        "rows_before", F.coalesce(F.sum("rows_here").over(earlier), F.lit(0)).cast("bigint")
-    )
-
-
 def top(df: DataFrame, k: int, *order) -> DataFrame:
     """The first ``k`` rows in an order that ends with a unique key."""
     return df.orderBy(*order).limit(k)

@@ -180,13 +180,13 @@ POSTS = View(
 
 # Word -> (valence, polarity): frequent words of the documents, so that scores vary.
 LEXICON = {
-    "the": (1.2, 0.3), "and": (-0.8, -0.2), "that": (0.5, 0.1), "for": (-1.5, -0.4), "with": (2.0, 0.6),
-    "is": (-0.9, -0.35), "le": (0.4, 0.05), "la": (-0.7, -0.15), "les": (1.1, 0.2), "des": (-1.3, -0.5),
+    "the": (1.2, 0.3), "and": (-0.8, -0.2), "that": (0.5, 0.13636363636), "for": (-1.5, -0.4), "with": (2.0, 0.6),
+    "is": (-0.90004, -0.35), "le": (0.4, 0.05), "la": (-0.7, -0.15), "les": (1.1, 0.2), "des": (-1.3, -0.5),
     "der": (0.6, 0.25), "und": (-0.4, -0.3), "die": (-0.2, 0.15), "el": (0.3, -0.1), "de": (-0.6, 0.1),
 }
 
 _LEXICON_ROWS = ", ".join(
-    f"('{w}', {round(v * 1000)}, {round(p * 1000)})" for w, (v, p) in LEXICON.items()
+    f"('{w}', CAST('{v}' AS DECIMAL(18,11)), CAST('{p}' AS DECIMAL(18,11)))" for w, (v, p) in LEXICON.items()
 )
 
 
@@ -202,8 +202,8 @@ def scored_sql(posts: str) -> str:
         SELECT post_id AS scored_id, s / sqrt(s * s + 15) AS first,
                coalesce(q / nullif(CAST(n AS DOUBLE), 0), 0) AS second
         FROM (
-            SELECT post_id, CAST(coalesce(sum(v), 0) AS DOUBLE) / 1000 AS s,
-                   CAST(coalesce(sum(q), 0) AS DOUBLE) / 1000 AS q, count(v) AS n
+            SELECT post_id, CAST(coalesce(sum(v), 0) AS DOUBLE) AS s,
+                   CAST(coalesce(sum(q), 0) AS DOUBLE) AS q, count(v) AS n
             FROM (
                 SELECT post_id, unnest(string_split_regex(
                     lower(concat(title, ' ', body)), '[^\\p{{L}}\\p{{N}}'']+')) AS word

@@ -10,6 +10,7 @@ from tidemill.functions import records
 from tidemill.functions import time as time_fn
 from tidemill.operators import quality
 from tidemill.operators.dedup import any_per_key, latest_per_key
+from tidemill.operators.rollups import union_all
 from tidemill.plans import loads
 from tidemill.plans import repositories as repos_plan
 from tidemill.plans import weather as weather_plan
@@ -21,6 +22,8 @@ from tidemill.sinks.tables import (
     REJECTED, Target, append, conform, counted, expire, load_staged, overwrite, replace_slice, retained, upper_names,
     write_files,
 )
+from tidemill.sinks.expiry import alive, expire_rows, store_expiring, with_expiry
+from tidemill.sinks.unique import KeyConflict, load_unique
 from tidemill.sources.tables import scan_external, slice_of
 
 QUERIES: dict[str, Registered] = {}
@@ -389,6 +392,62 @@ _add(
 )
 
 
+_DAYS_TO_LIVE = "3 + user_id % 20"
+
+
+def _row_expiry(spark, sf):
+    """Rows with a time to live of their own, some without a time: they live from when they were written."""
+    path, written = new_folder(spark, "expiring"), "2024-01-20 06:30:00"
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.expr("if(event_id % 40 = 0, NULL, ts)").alias("ts"))
+    store_expiring(with_expiry(rows, "ts", F.expr(_DAYS_TO_LIVE), written), path)
+    expire_rows(spark, path, dt.date(2024, 1, 31))
+    return alive(spark.read.parquet(path), AS_OF).select("event_id", "ts")
+
+
+_add(
+    "series_with_row_expiry",
+    _row_expiry,
+    f"""
+    SELECT event_id, CASE WHEN event_id % 40 <> 0 THEN ts END AS ts FROM events
+    WHERE CASE WHEN event_id % 40 = 0 THEN TIMESTAMP '2024-01-20 06:30:00' ELSE ts END
+          + INTERVAL 1 DAY * CAST({_DAYS_TO_LIVE} AS INT) > {NOW}
+    """,
+)
+
+
+def _unique_loads(spark, sf):
+    """Two loads that share keys, under each rule; the refused one leaves the table as it was."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    first = orders.where("o_orderkey % 3 <> 0")
+    second = orders.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(-1.0))
+    out = []
+    for rule in ("fail", "ignore", "replace"):
+        path = new_folder(spark, f"unique-{rule}")
+        load_unique(spark, path, first, ["o_orderkey"], "first", rule)
+        try:
+            for _ in range(2):  # a load that is run again changes nothing
+                load_unique(spark, path, second, ["o_orderkey"], "second", rule)
+        except KeyConflict:
+            pass
+        out.append(spark.read.parquet(path).withColumn("rule", F.lit(rule)))
+    return union_all(*out)
+
+
+_add(
+    "orders_loaded_uniquely",
+    _unique_loads,
+    """
+    WITH f AS (SELECT o_orderkey, o_totalprice, 'first' AS load_id FROM orders WHERE o_orderkey % 3 <> 0),
+    s AS (SELECT o_orderkey, CAST(-1 AS DOUBLE) AS o_totalprice, 'second' AS load_id FROM orders WHERE o_orderkey % 2 = 0)
+    SELECT *, 'fail' AS rule FROM f
+    UNION ALL SELECT *, 'ignore' FROM f
+    UNION ALL SELECT *, 'ignore' FROM s WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT *, 'replace' FROM s
+    UNION ALL SELECT *, 'replace' FROM f WHERE o_orderkey % 2 <> 0
+    """,
+)
+
+
 def _stored_decimals(spark, sf):
     """Rows under the stored contract with exact numeric types."""
     path = new_folder(spark, "stored")

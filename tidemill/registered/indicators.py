@@ -16,7 +16,7 @@ from tidemill.registered.base import (
 )
 from tidemill.schemas import INDICATORS
 from tidemill.session import new_folder
-from tidemill.sinks.tables import publish_layers
+from tidemill.sinks.models import Model, publish_models
 from tidemill.sources.logs import Log, read_log
 from tidemill.functions.records import decode
 
@@ -122,19 +122,17 @@ _add("economy_mart_all_years", lambda spark, sf: _mart(spark, sf, all_years=True
 
 
 def _layered(spark, sf):
-    """Staging as a view and the mart as a table that reads the view by name."""
+    """Report, mart and staging in no order: the report reads the mart by SQL, the mart the staging view."""
     folder = new_folder(spark, "layers")
     suffix = folder.rsplit("-", 1)[1]
-    stg, mart = f"stg_indicators_{suffix}", f"mart_economy_{suffix}"
-    publish_layers(
-        spark,
-        [
-            (stg, lambda s: _staging(s, sf), "view"),
-            (mart, lambda s: plan.economy_mart(s.table(stg), PANEL_AS_OF), "table"),
-        ],
-        folder,
-    )
-    return spark.table(mart)
+    stg, mart, report = f"stg_indicators_{suffix}", f"mart_economy_{suffix}", f"report_{suffix}"
+    models = [
+        Model(report, f"SELECT * FROM {mart}"),
+        Model(mart, lambda s: plan.economy_mart(s.table(stg), PANEL_AS_OF), "table", reads=[stg]),
+        Model(stg, lambda s: _staging(s, sf)),
+    ]
+    publish_models(spark, models, folder)
+    return spark.table(report)
 
 
 _add("economy_mart_layered", _layered, _MART)

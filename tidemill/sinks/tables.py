@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.time import before
+from tidemill.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -204,10 +205,28 @@ def drop_slices(
     return out
 
 
-def expire(spark: SparkSession, path: str, column: str, today: dt.date, days: int = 30) -> list[str]:
-    """Removes day folders older than ``days`` before ``today``; whole folders, no rewrite."""
-    first = (today - dt.timedelta(days=days)).isoformat()
-    return drop_slices(spark, path, column, lambda day: day < first)
+def expire(
+    spark: SparkSession, path: str, column: str, today: dt.date, days: int = 30, written: str | None = None
+) -> list[str]:
+    """Removes day folders older than ``days`` before ``today``; whole folders, no rewrite.
+
+    Rows without a day lie in a folder of their own, which is kept; with ``written``, the column
+    that says when a row was stored, it is reduced to the rows written since (or without that).
+    """
+    first = today - dt.timedelta(days=days)
+    gone = drop_slices(spark, path, column, lambda day: day != NO_VALUE and day < first.isoformat())
+    undated = slices_of(spark, path, [column], lambda day: day is None) if written else []
+    if undated:
+        rows = read_slices(spark, path, undated, {column: "date"})
+        stale = F.col(written) < F.lit(first)
+        if not rows.where(stale).isEmpty():
+            kept = cut_lineage(rows.where(~F.coalesce(stale, F.lit(False))))
+            if kept.isEmpty():
+                drop_slices(spark, path, column, lambda day: day == NO_VALUE)
+            else:
+                replace_slice(kept, path, [column], one_slice=True)
+            gone.append(NO_VALUE)
+    return gone
 
 
 def load_staged(spark: SparkSession, staged: str, path: str, ddl: str, slice_by: Sequence[str]) -> None:
