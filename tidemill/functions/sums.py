@@ -139,12 +139,38 @@ def merged(name: str, bins: Bins) -> Column:
     return F.expr(_state([f"{_name(name)}.{part}" for part in [*bins.names, REST]], bins))
 
 
+def _short(parts: Sequence[str], shape: Bins) -> tuple[str, list[str]]:
+    """Whether a sum is short (few rows of usual size), and the doubles that then make it, from the highest.
+
+    Neighbouring bins of a short sum are one double, so that nothing has to be carried.
+    """
+    *bins, rest = parts
+    usual = [2, 3, 4, 5] if shape == SUMS else [2, 3, 4, 5, 6, 7]
+    limit = (1 << 30) - 1
+    tests = [f"{rest} = 0D"] + [
+        f"{b} BETWEEN -{limit}L AND {limit}L" if k in usual else f"{b} = 0L" for k, b in enumerate(bins)
+    ]
+    doubles = [
+        f"(CAST({bins[k + 1]} * {1 << BITS}L + {bins[k]} AS DOUBLE) * {_power(shape.low + BITS * k)})" for k in usual[::2]
+    ]
+    return " AND ".join(tests), doubles[::-1]
+
+
 def _folded(parts: Sequence[str], shape: Bins) -> str:
     """Summed bins and remainder as a struct of two doubles, high and low, whose sum they are.
 
-    NULL if nothing was added.  Bins are brought to their nearest digit, from the lowest up:
-    the first digit then outweighs the others.
+    NULL if nothing was added.
     """
+    short, (a, b, *more) = _short(parts, shape)
+    # The error of a sum of two doubles is a double.
+    error = f"({a} - (({a} + {b}) - (({a} + {b}) - {a}))) + ({b} - (({a} + {b}) - {a}))"
+    low = " + ".join([error, *more])
+    return f"if({short}, named_struct('hi', {a} + {b}, 'lo', {low}), {_carried(parts, shape)})"
+
+
+def _carried(parts: Sequence[str], shape: Bins) -> str:
+    """As ``_folded``, of any sum.  Bins are brought to their nearest digit, from the lowest up: the
+    first digit then outweighs the others."""
     *bins, rest = parts
     whole = "(b + s.carry)"
     carry = f"shiftright({whole} + {1 << (BITS - 1)}L, {BITS})"
@@ -160,20 +186,25 @@ def _folded(parts: Sequence[str], shape: Bins) -> str:
 
 
 def _folded_state(state: str, shape: Bins) -> str:
-    return _folded([f"{state}.{x}" for x in [*shape.names, REST]], shape)
+    return _folded(_parts_of(state, shape), shape)
+
+
+def _number(parts: Sequence[str]) -> str:
+    short, (a, b) = _short(parts, SUMS)
+    return f"if({short}, {a} + {b}, transform(array({_carried(parts, SUMS)}), p -> p.hi + p.lo)[0])"
 
 
-def _number(pair: str) -> str:
-    return f"transform(array({pair}), p -> p.hi + p.lo)[0]"
+def _parts_of(state: str, shape: Bins) -> list[str]:
+    return [f"{state}.{x}" for x in [*shape.names, REST]]
 
 
 def total_of(state: str) -> Column:
     """The sum that a column of states holds."""
-    return F.expr(_number(_folded_state(_name(state), SUMS)))
+    return F.expr(_number(_parts_of(_name(state), SUMS)))
 
 
 def _total(c: str, over: str = "") -> str:
-    return _number(_folded([f"sum({part}){over}" for part in value_parts(c)], SUMS))
+    return _number([f"sum({part}){over}" for part in value_parts(c)])
 
 
 def total(c: str) -> Column:
@@ -195,9 +226,10 @@ def mean_of_last(c: str, rows: int, key: str, order: str) -> Column:
 def _deviations(n: str, x: str, y: str, xy: str) -> str:
     """n times the sum of products of deviations: n * sum(xy) - sum(x) * sum(y), of pairs of doubles."""
     first, first_error = _rounded_product("v.n", "v.xy.hi")
-    second, second_error = _rounded_product("v.x.hi", "v.y.hi")
-    small = f"({first_error} + v.n * v.xy.lo) - ({second_error} + v.x.hi * v.y.lo + v.x.lo * v.y.hi)"
-    given = f"named_struct('n', CAST({n} AS DOUBLE), 'x', {x}, 'y', {y}, 'xy', {xy})"
+    other, given = ("v.x", "") if x == y else ("v.y", f", 'y', {y}")
+    second, second_error = _rounded_product("v.x.hi", f"{other}.hi")
+    small = f"({first_error} + v.n * v.xy.lo) - ({second_error} + v.x.hi * {other}.lo + v.x.lo * {other}.hi)"
+    given = f"named_struct('n', CAST({n} AS DOUBLE), 'x', {x}{given}, 'xy', {xy})"
     return f"transform(array({given}), v -> ({first} - {second}) + ({small}))[0]"
 
 
