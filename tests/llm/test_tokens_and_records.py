@@ -1,5 +1,6 @@
 """Length histograms and binary records against plain counts and exact round trips."""
 
+import re
 import zlib
 
 import numpy as np
@@ -27,6 +28,36 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
     assert WORDS.of(texts) == want
 
 
+ENCODING = tokens.rank_encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@given(st.text(alphabet="  \n\t\x0b\x1c\x85\xa0\u3000ab'.1", max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_runs_of_white_space_are_counted_apart(text):
+    before, tokens.LONG_RUN = tokens.LONG_RUN, re.compile(f"[{tokens.WHITE}]{{2,}}")
+    try:
+        assert tokens.encoded_length(ENCODING, text) == len(ENCODING.encode_ordinary(text))
+    finally:
+        tokens.LONG_RUN = before
+
+
+def test_texts_of_any_length():
+    n = 5_000_000
+    assert tokens.encoded_length(ENCODING, " " * n) == n
+    assert tokens.encoded_length(ENCODING, "a" * n) == len(ENCODING.encode_ordinary("a" * n))
+    lines = tokens.encoded_length(ENCODING, "\n" * n)
+    assert lines == n // 2
+    assert tokens.encoded_length(ENCODING, "x" + "\n" * n + "y") == 2 + tokens.encoded_length(ENCODING, "\n" * (n - 1)) + 1
+    assert tokens.encoded_length(ENCODING, " " * n + "word") == n - 1 + 1
+
+
+def test_very_long_texts_in_spark(spark):
+    docs = spark.createDataFrame([(1, " " * 2_000_000), (2, "\n" * 1_000_000 + "x"), (3, None)], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = tokens.encoded_lengths(docs, path, public_tokenizers.PATTERN, id="doc_id").collect()
+    assert {r[0]: r[1] for r in found} == {1: 2_000_000, 2: 500_002, 3: 0}
+
+
 def test_checksum_of_the_standard_example():
     data = np.frombuffer(b"123456789" + b"\0" * 32 + b"ab", np.uint8)
     found = records.Crc32c()(data, np.array([0, 9, 41]), np.array([9, 41, 43]))

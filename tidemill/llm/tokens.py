@@ -4,7 +4,7 @@ Lengths are counted with the rank files (byte-level BPE).  One pass maps every t
 its length; what is kept is one row per distinct length, from which suffix sums answer
 totals, quantiles and truncated totals for every context limit.
 
-* Null text counts as empty: length 0.  Repeated rows count each.
+* Null text counts as empty: length 0.  Repeated rows count each.  Texts may be of any length.
 * Strings that look like special tokens are ordinary text.
 * An empty table gives no rows; extra columns are ignored.
 """
@@ -12,6 +12,7 @@ totals, quantiles and truncated totals for every context limit.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,6 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 BUCKET = 4096  # lengths in one bucket of the histogram
+# White space as the patterns mean it, and how those end that split runs of it before a word.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+TAIL = r"|\s+(?!\S)|\s+"
+RUN = 10_000   # characters of a run that is counted apart
+LONG_RUN = re.compile(f"[{WHITE}]{{{RUN},}}")
 
 
 def rank_encoding(path: str, pattern: str):
@@ -30,6 +36,22 @@ def rank_encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoded_length(encoding, text: str) -> int:
+    """The length of a whole text.  Long runs of white space are counted apart, as the pattern
+    searches them again from every place that it tries, until its stack ends.
+
+    Of a run before other text the pattern takes all but the last character as one piece;
+    at the end of a text, all.
+    """
+    total = begin = 0
+    for run in LONG_RUN.finditer(text) if encoding._pat_str.endswith(TAIL) else ():
+        end = run.end() - (run.end() < len(text))
+        total += len(encoding.encode_ordinary(text[begin : run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start() : end]))
+        begin = end
+    return total + len(encoding.encode_ordinary(text[begin:]))
+
+
 def encoded_lengths(docs: DataFrame, path: str, pattern: str, text: str = "text", id: str | None = None) -> DataFrame:
     """Encoded length of every whole text: (id if asked for, n_tokens long)."""
     columns = [docs[id].alias("key")] if id else []
@@ -38,7 +60,7 @@ def encoded_lengths(docs: DataFrame, path: str, pattern: str, text: str = "text"
         encoding = rank_encoding(path, pattern)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            counts = [len(encoding.encode_ordinary(x.as_py() or "")) for x in texts]
+            counts = [encoded_length(encoding, x.as_py() or "") for x in texts]
             arrays = [*batch.columns[:-1], pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*(["key"] if id else []), "n_tokens"])
 
