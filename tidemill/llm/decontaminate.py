@@ -12,7 +12,8 @@ in the document exactly.  Sketches of a checked size go to the tasks whole, so d
 not move; a larger benchmark meets the documents' hashes in a shuffled join.
 
 * Words are runs of what is neither white space nor ASCII or general punctuation, lower-cased.
-  With fewer than five words the whole sequence is one shingle, on both sides.
+  An item of fewer than five words is one shingle of its own width; documents are probed with
+  every width that the benchmark holds, so it is found inside documents of any length.
 * Null or wordless items match nothing; null or wordless documents contain nothing.
 * Repeated items and repeated documents are rows of their own.
 * Extra columns are ignored; empty tables give no rows.
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.llm.components import written
-from tidemill.llm.shingles import Words, shingle_set, text_words
+from tidemill.llm.shingles import Words, ngram_hashes, shingle_set, text_words
 
 WORDS = 5
 PERCENT = 80
@@ -50,9 +51,9 @@ def sketch_size(n: int, percent: int) -> int:
 
 
 def item_sketches(items: DataFrame, id: str, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(key, item, n, size_class, shingle, in_sketch): a row for each shingle of each distinct item.
+    """(key, item, n, size_class, width, shingle, in_sketch): a row for each shingle of each distinct item.
 
-    ``item`` names an id with its text.  The class is the power of two above the size; all
+    ``width`` is the number of words in its shingles.  ``item`` names an id with its text.  The class is the power of two above the size; all
     sketches of a class have the size that its largest item needs.
     """
     given = items.select(items[id].alias("key"), items[text].cast("string").alias("body")).where("body IS NOT NULL").distinct()
@@ -69,14 +70,15 @@ def item_sketches(items: DataFrame, id: str, text: str, words: int = WORDS, perc
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(this), batch.column(1).take(this), pa.array([n] * n, pa.int32()),
-                        pa.array([size_class] * n, pa.int32()), pa.array(values.view(np.int64)), pa.array(np.arange(n) < least),
+                        pa.array([size_class] * n, pa.int32()), pa.array([min(words, len(own))] * n, pa.int32()),
+                        pa.array(values.view(np.int64)), pa.array(np.arange(n) < least),
                     ],
-                    names=["key", "item", "n", "size_class", "shingle", "in_sketch"],
+                    names=["key", "item", "n", "size_class", "width", "shingle", "in_sketch"],
                 )
 
     kind = given.schema["key"].dataType.simpleString()
     return given.mapInArrow(
-        sketch, f"key {kind}, item long, n int, size_class int, shingle long, in_sketch boolean"
+        sketch, f"key {kind}, item long, n int, size_class int, width int, shingle long, in_sketch boolean"
     )
 
 
@@ -122,20 +124,27 @@ class Index:
 HIT = [StructField("item", LongType()), StructField("common", LongType())]
 
 
-def _parts(batch: pa.RecordBatch, hasher: Words, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _shingles(own: np.ndarray, widths: list[int]) -> np.ndarray:
+    """A text's distinct shingles of all widths; hashes tell widths apart."""
+    if len(widths) == 1:
+        return shingle_set(own, widths[0])
+    return np.unique(np.concatenate([ngram_hashes(own, n) for n in widths]))
+
+
+def _parts(batch: pa.RecordBatch, hasher: Words, widths: list[int]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Shingle sets of the last column, PART documents at a time."""
     for begin in range(0, len(batch), PART):
         texts = batch.column(batch.num_columns - 1).slice(begin, PART).to_pylist()
-        yield begin, [shingle_set(x, words) for x in text_words(hasher, map(folded, texts))]
+        yield begin, [_shingles(x, widths) for x in text_words(hasher, map(folded, texts))]
 
 
-def _sent(rows: DataFrame, index: Index, words: int) -> DataFrame:
+def _sent(rows: DataFrame, index: Index, widths: list[int]) -> DataFrame:
     """(key, tie, item, common) of the documents (key, tie, body): tasks hold the index."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Words("punctuation")
         for batch in batches:
-            for begin, values in _parts(batch, hasher, words):
+            for begin, values in _parts(batch, hasher, widths):
                 found = list(index.hits(values))
                 at = pa.array([begin + d for d, *_ in found], pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -149,7 +158,7 @@ def _sent(rows: DataFrame, index: Index, words: int) -> DataFrame:
     return rows.mapInArrow(search, StructType([*rows.schema.fields[:2], *HIT]))
 
 
-def _joined(rows: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+def _joined(rows: DataFrame, sketches: DataFrame, widths: list[int], percent: int) -> DataFrame:
     """The same for a benchmark of any size: hashes meet in joins."""
     # Hashes are unsigned: their order is that of signed numbers with the first bit turned.
     turned = F.col("shingle").bitwiseXOR(F.lit(-(1 << 63)))
@@ -159,7 +168,7 @@ def _joined(rows: DataFrame, sketches: DataFrame, words: int, percent: int) -> D
     def shingles(batches: Iterator[pa.RecordBatch], least: bool) -> Iterator[pa.RecordBatch]:
         hasher = Words("punctuation")
         for batch in batches:
-            for begin, values in _parts(batch, hasher, words):
+            for begin, values in _parts(batch, hasher, widths):
                 own = [x[x <= greatest] if least else x for x in values]
                 at = pa.array(np.repeat(np.arange(begin, begin + len(own)), [len(x) for x in own]), pa.int32())
                 flat = np.concatenate(own).view(np.int64)
@@ -188,13 +197,16 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def _hits(
     docs: DataFrame, items: DataFrame, id: str, text: str, item_id: str, item_text: str, words: int, percent: int, sent_bytes: int
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, bool]:
+    """(key, tie, item, common) of all containments, the items' sketches, and whether joins found them."""
     sketches = written(item_sketches(items, item_id, item_text, words, percent), "item-sketches")
     rows = _rows(docs, id, text)
-    if 32 * sketches.count() > sent_bytes:
-        return _joined(rows, sketches, words, percent), sketches
+    counts = {r["width"]: r["count"] for r in sketches.groupBy("width").count().collect()}
+    widths = sorted({words, *counts})
+    if 32 * sum(counts.values()) > sent_bytes:
+        return _joined(rows, sketches, widths, percent), sketches, True
     table = sketches.select("item", "size_class", "shingle", "in_sketch").toArrow()
-    return _sent(rows, Index(table, percent), words), sketches
+    return _sent(rows, Index(table, percent), widths), sketches, False
 
 
 def contaminated(
@@ -202,11 +214,11 @@ def contaminated(
     item_text: str = "text", words: int = WORDS, percent: int = PERCENT, sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """Pairs: id, item id, n_shingles (of the item), common, containment; one for each row and item."""
-    found, sketches = _hits(docs, items, id, text, item_id, item_text, words, percent, sent_bytes)
+    found, sketches, by_joins = _hits(docs, items, id, text, item_id, item_text, words, percent, sent_bytes)
     own = sketches.select("item", F.col("key").alias("item_key"), "n").distinct()
     # An item row that repeats is an item of its own.
     copies = items.groupBy(F.xxhash64(items[item_id], items[item_text].cast("string")).alias("item")).agg(F.count("*").alias("copies"))
-    if 32 * sketches.count() > sent_bytes:
+    if by_joins:
         # Joins have found each (id, text) once; rows that repeat count again.
         repeats = _rows(docs, id, text).groupBy("key", "tie").agg(F.count("*").alias("times"))
         same = found["key"].eqNullSafe(repeats["key"]) & (found["tie"] == repeats["tie"])
@@ -226,7 +238,7 @@ def without_contaminated(
     item_text: str = "text", words: int = WORDS, percent: int = PERCENT, sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    found, _ = _hits(docs, items, id, text, item_id, item_text, words, percent, sent_bytes)
+    found, _, _ = _hits(docs, items, id, text, item_id, item_text, words, percent, sent_bytes)
     names = written(found.select(F.col("key").alias("k"), F.col("tie").alias("t")).distinct(), "contaminated")
     own = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id].alias("key"),

@@ -149,6 +149,10 @@ def _grams(n: int) -> str:
         ELSE list_transform(range(1, len(w) - {n - 2}), lambda i: {several}) END)"""
 
 
+def _grams_of_width(k: str) -> str:
+    return f"unnest(list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k} - 1], ' ')))"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": r"""
     WITH t AS (
@@ -179,8 +183,12 @@ ORACLE_SQL: dict[str, str] = {
     FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
     """,
     "op10_decontamination": f"""
-    WITH d AS (SELECT DISTINCT doc_id, {_grams(5)} AS g FROM (SELECT doc_id, {_FOLDED_WORDS} AS w FROM documents)),
-    i AS (SELECT DISTINCT item_id, {_grams(5)} AS g FROM (SELECT item_id, {_FOLDED_WORDS} AS w FROM benchmark)),
+    WITH dw AS (SELECT doc_id, {_FOLDED_WORDS} AS w FROM documents),
+    iw AS (SELECT item_id, {_FOLDED_WORDS} AS w FROM benchmark),
+    -- An item of fewer than five words is one n-gram of its own width: documents are cut in all widths there are.
+    k AS (SELECT DISTINCT least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+    d AS (SELECT DISTINCT doc_id, {_grams_of_width("least(k, len(w))")} AS g FROM dw, k WHERE len(w) > 0),
+    i AS (SELECT DISTINCT item_id, {_grams(5)} AS g FROM iw),
     n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
     SELECT doc_id, item_id, CAST(any_value(n) AS INT) AS n_shingles, count(*) AS common, count(*) / any_value(n) AS containment
     FROM i JOIN d USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id
