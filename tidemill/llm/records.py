@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import os
 import posixpath
+import re
 import uuid
 import zlib
 from array import array
@@ -47,6 +48,9 @@ INDEX = [
 ]
 
 
+# A word of a piece, with its newline, and punctuation behind it; most pieces are such.
+USUAL = re.compile(r"((\n?)([A-Za-z]+))([.,;:!?]*)").fullmatch
+BLANK = chr(256 + 32)  # the letter of a blank's byte
 # Punctuation that may end a piece, and the first letter past those every library agrees on.
 TAIL = ".,;:!?"
 LATIN_END = "\u0250"
@@ -223,11 +227,26 @@ class WordIds:
             self.tails[run] = self._word(run)
         return self.tails[run]
 
+    def _ascii_word(self, core: str) -> bytes:
+        """As ``_word``, for letters whose bytes stand for themselves; a blank is its letter already."""
+        return array(self.code, [x.id for x in self.model.tokenize(core)]).tobytes()
+
     def _learn(self, pieces: list[str]) -> None:
         """Ids of " piece", or of "piece" where it starts with its newline."""
         self.kept += sum(map(len, pieces))
-        plain = []
+        plain, known, tails = [], self.known, self.tails
         for piece in pieces:
+            usual = USUAL(piece)
+            if usual:
+                # A word that was seen with another ending is not encoded again.
+                word, newline, core, tail = usual.groups()
+                ids = known.get(word)
+                if ids is None:
+                    ids = self.line + self._ascii_word(core) if newline else self._ascii_word(BLANK + core)
+                    known[word] = ids
+                if tail:
+                    known[piece] = ids + (tails[tail] if tail in tails else self._tail(tail))
+                continue
             body = piece.removeprefix("\n")
             core = body.rstrip(TAIL)
             if not body or body[0].isspace():
