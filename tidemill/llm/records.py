@@ -42,6 +42,7 @@ BLOCK = 256              # bytes of a checksum lane
 KEPT = 6_000_000         # characters of pieces whose ids a task remembers
 ASKED = 20_000           # pieces asked for at once
 CHUNK = 2 << 20          # bytes of text encoded, or of frames read, at once
+FILE_BYTES = 64 << 20    # bytes of text in one data file
 
 INDEX = [
     "key", "file string", "part int", "nth long", "start long", "offset long", "length long", "n_tokens long", "width int",
@@ -244,6 +245,7 @@ class WordIds:
                 if ids is None:
                     ids = self.line + self._ascii_word(core) if newline else self._ascii_word(BLANK + core)
                     known[word] = ids
+                    self.kept += len(word) if tail else 0
                 if tail:
                     known[piece] = ids + (tails[tail] if tail in tails else self._tail(tail))
                 continue
@@ -302,7 +304,9 @@ def write_records(
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(docs[id].alias("key"), F.xxhash64(body).alias("tie"), body.alias("body"))
     order = [F.col("key").asc_nulls_last(), F.col("tie")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "body")
+    # Files of a size, so that a task's tables and known pieces serve much text.
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    rows = rows.repartitionByRange(size // FILE_BYTES + 1, *order).sortWithinPartitions(*order).select("key", "body")
     kind = rows.schema["key"].dataType.simpleString()
     data_folder = posixpath.join(folder, "data")
 
