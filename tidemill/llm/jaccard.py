@@ -1,21 +1,21 @@
 """Jaccard join of word n-gram sets by vertical partitioning.
 
-The global order of n-grams (by their hash) is cut into fragments, so a document's set
-falls into segments that can be handled apart.
+The global order of n-grams is cut into fragments, so a document's set falls into segments
+that can be handled apart.  Rare n-grams come first in the order: those that a first pass
+found common follow by their counts, all others go by their hash.
 
-Candidates: two sets that are similar enough differ in few n-grams, and each differing
-n-gram spoils one fragment.  With more fragments than differences some segments must be
-equal, so documents meet where they share a whole segment.  Sizes are classed, and every
-class has the number of fragments that its greatest difference asks for.  Segments of one
-n-gram or none are common to many texts; each class has some more fragments than needed,
-so a document may leave out that many of them, and one with more gives all.
+Candidates: of two sets that are similar enough the least n-gram that both have lies among
+the first few of each, as many as a similar set may lack and one more.  Only these look for
+partners, each in its place of the order.  This holds for every order that is the same for
+all, so counts need not be complete: they only keep common passages from bringing texts
+together that differ elsewhere.
 
 Counts: a pair's overlap in a fragment is no more than the smaller segment; pairs for which
 the sum of these bounds is too small go first.  For the others the overlap is counted in each
 fragment apart, and the partial counts are summed per pair.
 
 What is needed are components, not all pairs.  Equal sets are one node.  In each group of
-nodes that share a segment, all are first compared with the group's least node; then, where
+nodes that meet at an n-gram, all are first compared with the group's least node; then, where
 a group still holds several components, all pairs across them are compared: one by one in
 small groups, in blocks in large ones, which give no pairs but links that join components.
 So no link is lost, and no group makes more rows than it has members.
@@ -29,7 +29,6 @@ So no link is lost, and no group makes more rows than it has members.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +40,9 @@ from pyspark.sql.window import Window
 from tidemill.llm.components import components, written
 from tidemill.llm.shingles import Words, mix, shingle_set, text_words
 
-RATIO = 1.5      # between the sizes of neighbouring classes
-LARGEST = 1 << 40
+COMMON = 4       # documents of an n-gram that is common
+ORDERED = 1 << 18  # common n-grams that are ordered by their counts, at most
+HELD = 1 << 21   # n-grams that a task counts at once
 FRAGMENTS = 8    # in which overlaps of pairs are counted
 THIN = 4         # n-grams in the finer segments whose sizes bound a pair's overlap, about
 SMALL = 16       # members of a group whose pairs are listed
@@ -50,49 +50,26 @@ BLOCK = 512      # members of a larger group that are compared at once, on avera
 COLUMNS = 4096   # n-grams of a block that are counted at once
 
 
-class Classes:
-    """Size classes for a similarity of ``percent`` and more, with their fragments and spare ones."""
-
-    def __init__(self, percent: int) -> None:
-        self.percent = percent
-        bounds = [1]
-        while bounds[-1] < LARGEST:
-            bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * RATIO)))
-        self.bounds = np.array(bounds)
-        self.fragments, self.spare = [], []
-        for low, high in zip(bounds, bounds[1:]):
-            # A member s meets t from s to s * 100 / percent.
-            least = (high - 1) + (high - 1) * 100 // percent
-            differ = least * (100 - percent) // (100 + percent)
-            need = differ + 1
-            thin = math.sqrt(low * high) / need
-            few = need * math.exp(-thin) * (1 + thin)
-            spare = math.ceil(few + 2 * math.sqrt(few)) if differ else 0
-            self.fragments.append(need + spare if differ else 0)
-            self.spare.append(spare)
-
-    def of(self, size: int) -> range:
-        """Classes in which a set of ``size`` looks for partners: its own and those of smaller ones."""
-        least = -(-size * self.percent // 100)
-        low, high = np.searchsorted(self.bounds, [least, size], side="right") - 1
-        return range(low, high + 1)
-
-    def segments(self, values: np.ndarray) -> np.ndarray:
-        """Hashes of the segments that a sorted set gives, in all its classes."""
-        out = []
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(mix(values), out=sums[1:])
-        for k in self.of(len(values)):
-            count = self.fragments[k]
-            if not count:
-                continue  # only equal sets are similar
-            cuts = cut(values, count)
-            sizes = np.diff(cuts)
-            salt = np.arange(count, dtype=np.uint64) + np.uint64(k << 42)
-            hashes = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(salt))
-            thin = sizes < 2
-            out.append(hashes if thin.sum() > self.spare[k] else hashes[~thin])
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+class Order:
+    """The order of n-grams: all but ``common`` (ascending) by their value, then ``common`` by ``counts``."""
+
+    def __init__(self, common: np.ndarray, counts: np.ndarray) -> None:
+        self.common, self.counts = common, counts
+
+    def probes(self, values: np.ndarray, percent: int) -> np.ndarray:
+        """Members of a sorted set of which a different set, similar by ``percent``, has one among its own."""
+        size = len(values)
+        if size * 100 < (size + 1) * percent:
+            return values[:0]  # only an equal set is similar
+        count = size - -(-size * percent // 100) + 1
+        at = np.searchsorted(self.common, values)
+        known = np.zeros(size, bool)
+        inside = at < len(self.common)
+        known[inside] = self.common[at[inside]] == values[inside]
+        rare = values[~known][:count]
+        late = values[known]
+        late = late[np.lexsort((late, self.counts[at[known]]))[: count - len(rare)]]
+        return np.concatenate([rare, late])
 
 
 def cut(values: np.ndarray, count: int) -> np.ndarray:
@@ -143,36 +120,90 @@ def _members(docs: DataFrame, id: str, text: str, n: int, separators: str) -> Da
     return given.mapInArrow(name, f"key {kind}, tie long, node long, n long, sizes array<int>")
 
 
-def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: str) -> DataFrame:
-    """(segment, node, n), a row for each segment that a set gives; a task gives each set once."""
+def _distinct_sets(batches: Iterator[pa.RecordBatch], separators: str, n: int) -> Iterator[list]:
+    """(node, set) of the texts in a task, some hundreds at a time; a set that repeats is given once."""
+    hasher, seen = Words(separators), set()
+    for batch in batches:
+        for begin in range(0, len(batch), 500):
+            part = []
+            for values in _sets(batch.column(0).slice(begin, 500).to_pylist(), hasher, n):
+                node = _node(values) if len(values) else None
+                if node is None or node in seen:
+                    continue
+                if len(seen) < 1 << 20:
+                    seen.add(node)
+                part.append((node, values))
+            yield part
+
+
+def _repeated(docs: DataFrame, text: str, n: int, separators: str) -> DataFrame:
+    """(gram, copies) of the n-grams that a task meets in several sets."""
+    given = docs.select(docs[text].cast("string").alias("body"))
+
+    def told(held: list) -> pa.RecordBatch:
+        grams, copies = np.unique(np.concatenate(held), return_counts=True)
+        often = copies > 1
+        arrays = [pa.array(grams[often].view(np.int64)), pa.array(copies[often])]
+        return pa.RecordBatch.from_arrays(arrays, names=["gram", "copies"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in _distinct_sets(batches, separators, n):
+            for _, values in part:
+                held.append(values)
+                size += len(values)
+                if size >= HELD:
+                    yield told(held)
+                    held, size = [], 0
+        if held:
+            yield told(held)
+
+    return given.mapInArrow(count, "gram long, copies long")
+
+
+def common_order(docs: DataFrame, text: str, n: int, separators: str) -> Order:
+    """The order of the table's n-grams; at most ORDERED of them, the most common, go by their counts.
+
+    The counts are written first, so all passes see the same order.
+    """
+    counts = _repeated(docs, text, n, separators).groupBy("gram").agg(F.sum("copies").alias("copies"))
+    counts = written(counts.where(F.col("copies") >= COMMON), "common-grams")
+    digits = F.length(F.bin("copies"))
+    least, total = 64, 0
+    for r in sorted(counts.groupBy(digits.alias("digits")).count().collect(), reverse=True):
+        total += r["count"]
+        if total > ORDERED:
+            break
+        least = r["digits"]
+    rows = counts.where(digits >= least).toArrow()
+    grams, copies = (rows.column(c).to_numpy() for c in ("gram", "copies"))
+    grams = grams.astype(np.int64).view(np.uint64)
+    place = np.argsort(grams)
+    return Order(grams[place], copies[place].astype(np.int64))
+
+
+def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: str, order: Order) -> DataFrame:
+    """(segment, node, n), a row for each n-gram by which a set looks for partners; a task gives each set once."""
     given = docs.select(docs[text].cast("string").alias("body"))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, classes, seen = Words(separators), Classes(percent), set()
-        for batch in batches:
-            for begin in range(0, len(batch), 500):
-                hashes, nodes, sizes = [], [], []
-                for values in _sets(batch.column(0).slice(begin, 500).to_pylist(), hasher, n):
-                    node = _node(values) if len(values) else None
-                    if node is None or node in seen:
-                        continue
-                    if len(seen) < 1 << 20:
-                        seen.add(node)
-                    own = classes.segments(values)
-                    hashes.append(own.view(np.int64))
-                    nodes.append(np.full(len(own), node))
-                    sizes.append(np.full(len(own), len(values)))
-                if hashes:
-                    arrays = [pa.array(np.concatenate(x)) for x in (hashes, nodes, sizes)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["segment", "node", "n"])
+        for part in _distinct_sets(batches, separators, n):
+            if not part:
+                continue
+            probes = [order.probes(values, percent) for _, values in part]
+            counts = [len(x) for x in probes]
+            nodes = np.repeat(np.array([node for node, _ in part], np.int64), counts)
+            sizes = np.repeat(np.array([len(values) for _, values in part], np.int64), counts)
+            arrays = [pa.array(np.concatenate(probes).view(np.int64)), pa.array(nodes), pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["segment", "node", "n"])
 
     return given.mapInArrow(give, "segment long, node long, n long")
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """(segment, node, n, centre) of segments that two nodes or more share; the centre is the least node.
+    """(segment, node, n, centre) of n-grams where two nodes or more meet; the centre is the least node.
 
-    Ends are folded before they move and joined back, so no task gets a common segment whole.
+    Ends are folded before they move and joined back, so no task gets a common n-gram whole.
     """
     ends = signatures.groupBy("segment").agg(F.min("node").alias("centre"), F.max("node").alias("top"))
     # Copies in other tasks give a set again.
@@ -362,7 +393,8 @@ def similar_components(
     if not 50 < percent <= 100:
         raise ValueError("the similarity has to be over 50 percent")
     members = written(_members(docs, id, text, n, separators), "sets")
-    shared = written(_shared(_signatures(docs, text, n, percent, separators)), "shared-segments")
+    order = common_order(docs, text, n, separators)
+    shared = written(_shared(_signatures(docs, text, n, percent, separators, order)), "shared-segments")
     nodes = shared.select("node", "n").distinct()
     vectors = members.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "sizes")
     vectors = written(vectors, "segment-sizes")
