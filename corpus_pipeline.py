@@ -26,7 +26,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 the least id stays."""
-    return jaccard.without_similar(docs, n=5, percent=80)
+    return jaccard.without_similar(docs, n=5, percent=80, candidates="rare")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

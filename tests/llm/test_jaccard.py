@@ -58,15 +58,15 @@ def _varied(seed, count, length, edits):
 HARD = [(None, "no id here at all"), (None, "no id here at all"), (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "é É"), (8, "É É"), (9, "x " * 9000), (10, "x " * 9001), (4, "one")]
 
 
-def _found(spark, rows, n, percent):
+def _found(spark, rows, n, percent, **how):
     docs = spark.createDataFrame([(k, x, "n", 1) for k, x in rows], "doc_id long, text string, node string, n int").repartition(4)
-    return [tuple(r) for r in jaccard.similar_groups(docs, n=n, percent=percent).collect()]
+    return [tuple(r) for r in jaccard.similar_groups(docs, n=n, percent=percent, **how).collect()]
 
 
-@pytest.mark.parametrize("n, percent, seed", [(3, 90, 1), (5, 80, 2)])
-def test_same_components_as_all_pairs(spark, n, percent, seed):
+@pytest.mark.parametrize("n, percent, seed, candidates", [(3, 90, 1, "segments"), (5, 80, 2, "segments"), (5, 80, 3, "rare")])
+def test_same_components_as_all_pairs(spark, n, percent, seed, candidates):
     rows = HARD + [(100 + k, x) for k, x in _varied(seed, 420, 90, 5)]
-    assert sorted(map(str, _found(spark, rows, n, percent))) == sorted(map(str, _groups(rows, n, percent)))
+    assert sorted(map(str, _found(spark, rows, n, percent, candidates=candidates))) == sorted(map(str, _groups(rows, n, percent)))
 
 
 def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
@@ -100,6 +100,21 @@ def test_no_task_gets_a_common_segment_whole(spark):
     assert sum(r.n for r in found if r.one == r.two) == 3000
 
 
+@given(st.integers(20, 400), st.integers(0, 60), st.randoms(use_true_random=False), st.sampled_from([80, 90, 95]))
+@settings(max_examples=300, deadline=None)
+def test_similar_sets_share_a_segment(size, edits, rng, percent):
+    pool = shingles.mix(np.arange(1, 3000, dtype=np.uint64) * np.uint64(rng.randint(1, 1 << 40) * 2 + 1))
+    one = set(rng.sample(pool.tolist(), size))
+    two = set(one)
+    for _ in range(min(edits, size // 3)):
+        (two.discard if rng.random() < 0.5 else two.add)(rng.choice(pool.tolist()) if rng.random() < 0.5 else rng.choice(sorted(one)))
+    if not two or len(one & two) * 100 < percent * len(one | two) or one == two:
+        return
+    classes = jaccard.Classes(percent)
+    give = lambda x: set(classes.segments(np.array(sorted(x), np.uint64)).tolist())
+    assert give(one) & give(two)
+
+
 @given(st.integers(1, 400), st.integers(0, 60), st.randoms(use_true_random=False), st.sampled_from([80, 90, 95]))
 @settings(max_examples=300, deadline=None)
 def test_similar_sets_meet_at_a_probe(size, edits, rng, percent):
@@ -129,7 +144,7 @@ def test_common_ngrams_come_last_and_are_bounded(spark, monkeypatch):
     assert len(plain.common) == 0
     # Without counts texts meet at the passage; the result is the same.
     assert jaccard._shared(jaccard._signatures(docs, "text", 5, 80, "space", plain)).count() > 0
-    assert sorted(map(tuple, jaccard.similar_groups(docs, n=5, percent=80).collect())) == sorted(_groups(rows, 5, 80))
+    assert sorted(map(tuple, jaccard.similar_groups(docs, n=5, percent=80, candidates="rare").collect())) == sorted(_groups(rows, 5, 80))
 
 
 def test_components_of_long_chains(spark):

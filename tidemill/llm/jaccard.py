@@ -1,21 +1,29 @@
 """Jaccard join of word n-gram sets by vertical partitioning.
 
-The global order of n-grams is cut into fragments, so a document's set falls into segments
-that can be handled apart.  Rare n-grams come first in the order: those that a first pass
-found common follow by their counts, all others go by their hash.
-
-Candidates: of two sets that are similar enough the least n-gram that both have lies among
-the first few of each, as many as a similar set may lack and one more.  Only these look for
-partners, each in its place of the order.  This holds for every order that is the same for
-all, so counts need not be complete: they only keep common passages from bringing texts
-together that differ elsewhere.
+The global order of n-grams (by their hash) is cut into fragments, so a document's set
+falls into segments that can be handled apart.
+
+Candidates by ``segments``: two sets that are similar enough differ in few n-grams, and each differing
+n-gram spoils one fragment.  With more fragments than differences some segments must be
+equal, so documents meet where they share a whole segment.  Sizes are classed, and every
+class has the number of fragments that its greatest difference asks for.  Segments of one
+n-gram or none are common to many texts; each class has some more fragments than needed,
+so a document may leave out that many of them, and one with more gives all.
+
+Candidates by ``rare`` n-grams: those that a first pass found common come last, by their
+counts, all others go by their hash.  Of two sets that are similar enough the least n-gram
+that both have lies among the first few of each, as many as a similar set may lack and one
+more; only these look for partners.  This holds for every order that is the same for all, so
+the counts need not be complete.  At low similarities it takes less than half the rows of
+``segments``, which have few n-grams each then.  But no more than ORDERED n-grams go by counts:
+where more are common, groups of an n-gram are larger and more of their members are compared.
 
 Counts: a pair's overlap in a fragment is no more than the smaller segment; pairs for which
 the sum of these bounds is too small go first.  For the others the overlap is counted in each
 fragment apart, and the partial counts are summed per pair.
 
 What is needed are components, not all pairs.  Equal sets are one node.  In each group of
-nodes that meet at an n-gram, all are first compared with the group's least node; then, where
+nodes that meet (in a segment or at an n-gram), all are first compared with the group's least node; then, where
 a group still holds several components, all pairs across them are compared: one by one in
 small groups, in blocks in large ones, which give no pairs but links that join components.
 So no link is lost, and no group makes more rows than it has members.
@@ -29,6 +37,7 @@ So no link is lost, and no group makes more rows than it has members.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +49,8 @@ from pyspark.sql.window import Window
 from tidemill.llm.components import components, written
 from tidemill.llm.shingles import Words, mix, shingle_set, text_words
 
+RATIO = 1.5      # between the sizes of neighbouring classes
+LARGEST = 1 << 40
 COMMON = 4       # documents of an n-gram that is common
 ORDERED = 1 << 18  # common n-grams that are ordered by their counts, at most
 HELD = 1 << 21   # n-grams that a task counts at once
@@ -50,6 +61,51 @@ BLOCK = 512      # members of a larger group that are compared at once, on avera
 COLUMNS = 4096   # n-grams of a block that are counted at once
 
 
+class Classes:
+    """Size classes for a similarity of ``percent`` and more, with their fragments and spare ones."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent = percent
+        bounds = [1]
+        while bounds[-1] < LARGEST:
+            bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * RATIO)))
+        self.bounds = np.array(bounds)
+        self.fragments, self.spare = [], []
+        for low, high in zip(bounds, bounds[1:]):
+            # A member s meets t from s to s * 100 / percent.
+            least = (high - 1) + (high - 1) * 100 // percent
+            differ = least * (100 - percent) // (100 + percent)
+            need = differ + 1
+            thin = math.sqrt(low * high) / need
+            few = need * math.exp(-thin) * (1 + thin)
+            spare = math.ceil(few + 2 * math.sqrt(few)) if differ else 0
+            self.fragments.append(need + spare if differ else 0)
+            self.spare.append(spare)
+
+    def of(self, size: int) -> range:
+        """Classes in which a set of ``size`` looks for partners: its own and those of smaller ones."""
+        least = -(-size * self.percent // 100)
+        low, high = np.searchsorted(self.bounds, [least, size], side="right") - 1
+        return range(low, high + 1)
+
+    def segments(self, values: np.ndarray) -> np.ndarray:
+        """Hashes of the segments that a sorted set gives, in all its classes."""
+        out = []
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(mix(values), out=sums[1:])
+        for k in self.of(len(values)):
+            count = self.fragments[k]
+            if not count:
+                continue  # only equal sets are similar
+            cuts = cut(values, count)
+            sizes = np.diff(cuts)
+            salt = np.arange(count, dtype=np.uint64) + np.uint64(k << 42)
+            hashes = mix(sums[cuts[1:]] - sums[cuts[:-1]] + mix(salt))
+            thin = sizes < 2
+            out.append(hashes if thin.sum() > self.spare[k] else hashes[~thin])
+        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 class Order:
     """The order of n-grams: all but ``common`` (ascending) by their value, then ``common`` by ``counts``."""
 
@@ -182,15 +238,17 @@ def common_order(docs: DataFrame, text: str, n: int, separators: str) -> Order:
     return Order(grams[place], copies[place].astype(np.int64))
 
 
-def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: str, order: Order) -> DataFrame:
-    """(segment, node, n), a row for each n-gram by which a set looks for partners; a task gives each set once."""
+def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: str, order: Order | None = None) -> DataFrame:
+    """(segment, node, n), a row for each segment that a set gives, or with an order for each of
+    its n-grams that look for partners; a task gives each set once."""
     given = docs.select(docs[text].cast("string").alias("body"))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = None if order else Classes(percent)
         for part in _distinct_sets(batches, separators, n):
             if not part:
                 continue
-            probes = [order.probes(values, percent) for _, values in part]
+            probes = [order.probes(values, percent) if order else classes.segments(values) for _, values in part]
             counts = [len(x) for x in probes]
             nodes = np.repeat(np.array([node for node, _ in part], np.int64), counts)
             sizes = np.repeat(np.array([len(values) for _, values in part], np.int64), counts)
@@ -201,9 +259,9 @@ def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: st
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """(segment, node, n, centre) of n-grams where two nodes or more meet; the centre is the least node.
+    """(segment, node, n, centre) of segments where two nodes or more meet; the centre is the least node.
 
-    Ends are folded before they move and joined back, so no task gets a common n-gram whole.
+    Ends are folded before they move and joined back, so no task gets a common segment whole.
     """
     ends = signatures.groupBy("segment").agg(F.min("node").alias("centre"), F.max("node").alias("top"))
     # Copies in other tasks give a set again.
@@ -384,16 +442,19 @@ def _with_least(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def similar_components(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, separators: str = "space"
+    docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, separators: str = "space",
+    candidates: str = "segments",
 ) -> DataFrame:
     """One row per document: key, tie, n (set size), component (least node of it; null without words).
 
-    ``percent`` is over 50.
+    ``percent`` is over 50; ``candidates`` are found by ``segments`` or by ``rare`` n-grams.
     """
+    if candidates not in ("segments", "rare"):
+        raise ValueError("candidates are found by segments or by rare n-grams")
     if not 50 < percent <= 100:
         raise ValueError("the similarity has to be over 50 percent")
     members = written(_members(docs, id, text, n, separators), "sets")
-    order = common_order(docs, text, n, separators)
+    order = common_order(docs, text, n, separators) if candidates == "rare" else None
     shared = written(_shared(_signatures(docs, text, n, percent, separators, order)), "shared-segments")
     nodes = shared.select("node", "n").distinct()
     vectors = members.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]).select("node", "sizes")
