@@ -3,14 +3,17 @@
 import hashlib
 import random
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tidemill.llm import bpe, registered
+from tidemill.llm.memory import releasing
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 LIBRARY = {x: Tokenizer.from_file(x) for x in (WORD, BYTE)}
@@ -118,3 +121,29 @@ def test_hard_rows(spark):
     found = bpe.decoded(bpe.encoded(docs, BYTE), BYTE).collect()
     assert sorted((str(r.doc_id), r.decoded) for r in found) == sorted((str(k), x or "") for k, x, *_ in rows)
     assert bpe.digests(bpe.decoded(bpe.encoded(docs.where("false"), WORD), WORD)).count() == 0
+
+
+def test_remembered_pieces_take_little_memory():
+    """Pieces not seen for long are forgotten, ids stay the same, and those seen again stay."""
+    encoder = bpe.Encoder(WORD)
+    texts = [" ".join(f"w{i}x{j}" for j in range(12_000)) + " often" for i in range(40)]
+    tracemalloc.start()
+    try:
+        for text in texts:
+            found = encoder.encode(text)
+        assert tracemalloc.get_traced_memory()[1] < 52 << 20
+    finally:
+        tracemalloc.stop()
+    assert "often" in encoder.known and texts[0].split()[0] not in encoder.known | encoder.older
+    for text, ids in ((texts[0], encoder.encode(texts[0])), (texts[-1], found)):
+        assert np.frombuffer(ids, np.int32).tolist() == _both(WORD, text)[0]
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """After each batch that is done, and once more at the end, Arrow's free memory goes back."""
+    released = []
+    pool = SimpleNamespace(release_unused=lambda: released.append(None))
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    batches = [pa.RecordBatch.from_pydict({"key": [i]}) for i in range(3)]
+    assert list(releasing(lambda rows: rows)(iter(batches))) == batches
+    assert len(released) == 4

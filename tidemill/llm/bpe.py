@@ -30,15 +30,16 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from tidemill.llm.memory import releasing
 from tidemill.llm.shingles import mix
 
 BLOCK = 256         # symbols settled at once in a long word
-KEPT = 3_000_000    # characters of pieces whose ids a task remembers
+KEPT = 1_000_000    # characters of pieces remembered anew until those not seen meanwhile are forgotten
 LONGEST = 200       # characters of a piece that is worth remembering
 PIECES = 200_000    # pieces encoded at once
 SLICE = 1 << 12     # characters of a long word read at once
 WINDOW = 1 << 16    # characters of a text cut into pieces at once
-BATCH = 2 << 20     # characters of text, or ids, in one batch of results
+BATCH = 1 << 19     # characters of text, or ids, in one batch of results
 # White space as the files' patterns mean it, inside brackets.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 TAIL = ".,;:!?|"     # punctuation that often ends a piece
@@ -161,6 +162,7 @@ class Encoder:
         self.simple = self.by_space and "Lowercase" in self.steps and self.words.findall("ab" + TAIL) == ["ab", TAIL]
         self._tables()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.kept = 0
 
     @staticmethod
@@ -254,9 +256,14 @@ class Encoder:
 
     def _settle(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         if self.kept > KEPT:
-            self.known, self.kept = {}, 0
-        known = self.known
+            self.known, self.older, self.kept = {}, self.known, 0
+        known, older = self.known, self.older
         new = set().union(*(x for _, x in waiting)).difference(known)
+        again = new.intersection(older)
+        new -= again
+        for piece in again:
+            known[piece] = older.pop(piece)
+            self.kept += len(piece)
         at: dict[str, int] = {}
         plan = []
         for piece in new:
@@ -345,8 +352,8 @@ class Encoder:
         self.single = np.array([ids[letters[b]] for b in range(256)])
         self.final = np.array([ids[letters[b] + self.suffix] for b in range(256)])
         self.product = np.array([ids[a + b] for a, b in self.merges.ranks])
-        self.slots = np.full(1 << 20, -1, np.int64)
-        self.slot_rank = np.zeros(1 << 20, np.int64)
+        self.slots = np.full(1 << 18, -1, np.int64)
+        self.slot_rank = np.zeros(1 << 18, np.int32)
         pairs = np.array([ids[a] << 20 | ids[b] for a, b in self.merges.ranks], np.int64)
         left = np.arange(len(pairs))
         slot = self._slot(pairs)
@@ -416,7 +423,7 @@ def encoded(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text")
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(rows)], names=["key", "ids"])
 
     out = StructType([StructField("key", given.schema["key"].dataType), StructField("ids", ArrayType(IntegerType()))])
-    return given.mapInArrow(encode, out).withColumnRenamed("key", id)
+    return given.mapInArrow(releasing(encode), out).withColumnRenamed("key", id)
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -432,7 +439,7 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
     kind = StructType([x for x in rows.schema] + [StructField(out, StringType())])
-    return rows.mapInArrow(decode, kind)
+    return rows.mapInArrow(releasing(decode), kind)
 
 
 def _lists(rows: list[bytes]) -> pa.Array:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.llm.components import written
+from tidemill.llm.memory import releasing
 from tidemill.llm.shingles import Words, ngram_hashes, shingle_set, text_words
 
 WORDS = 5
@@ -78,7 +79,7 @@ def item_sketches(items: DataFrame, id: str, text: str, words: int = WORDS, perc
 
     kind = given.schema["key"].dataType.simpleString()
     return given.mapInArrow(
-        sketch, f"key {kind}, item long, n int, size_class int, width int, shingle long, in_sketch boolean"
+        releasing(sketch), f"key {kind}, item long, n int, size_class int, width int, shingle long, in_sketch boolean"
     )
 
 
@@ -155,7 +156,7 @@ def _sent(rows: DataFrame, index: Index, widths: list[int]) -> DataFrame:
                     names=["key", "tie", "item", "common"],
                 )
 
-    return rows.mapInArrow(search, StructType([*rows.schema.fields[:2], *HIT]))
+    return rows.mapInArrow(releasing(search), StructType([*rows.schema.fields[:2], *HIT]))
 
 
 def _joined(rows: DataFrame, sketches: DataFrame, widths: list[int], percent: int) -> DataFrame:
@@ -177,12 +178,12 @@ def _joined(rows: DataFrame, sketches: DataFrame, widths: list[int], percent: in
                 )
 
     kind = StructType([*rows.schema.fields[:2], StructField("shingle", LongType())])
-    probes = rows.mapInArrow(lambda x: shingles(x, True), kind)
+    probes = rows.mapInArrow(releasing(lambda x: shingles(x, True)), kind)
     met = sketches.where("in_sketch").select("shingle", "item")
     found = written(probes.join(met, "shingle").select("key", "tie", "item").distinct(), "candidates")
     names = found.select(F.col("key").alias("k"), F.col("tie").alias("t")).distinct()
     some = rows.join(names, rows["key"].eqNullSafe(names["k"]) & (rows["tie"] == names["t"]), "left_semi")
-    whole = some.dropDuplicates(["key", "tie"]).mapInArrow(lambda x: shingles(x, False), kind)
+    whole = some.dropDuplicates(["key", "tie"]).mapInArrow(releasing(lambda x: shingles(x, False)), kind)
     own = sketches.select("item", "shingle", "n")
     pairs = found.join(own, "item")
     same = pairs["key"].eqNullSafe(whole["key"]) & (pairs["tie"] == whole["tie"]) & (pairs["shingle"] == whole["shingle"])

@@ -47,6 +47,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tidemill.llm.components import components, written
+from tidemill.llm.memory import releasing
 from tidemill.llm.shingles import Words, mix, shingle_set, text_words
 
 RATIO = 1.5      # between the sizes of neighbouring classes
@@ -173,7 +174,7 @@ def _members(docs: DataFrame, id: str, text: str, n: int, separators: str) -> Da
                 )
 
     kind = given.schema["key"].dataType.simpleString()
-    return given.mapInArrow(name, f"key {kind}, tie long, node long, n long, sizes array<int>")
+    return given.mapInArrow(releasing(name), f"key {kind}, tie long, node long, n long, sizes array<int>")
 
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch], separators: str, n: int) -> Iterator[list]:
@@ -214,7 +215,7 @@ def _repeated(docs: DataFrame, text: str, n: int, separators: str) -> DataFrame:
         if held:
             yield told(held)
 
-    return given.mapInArrow(count, "gram long, copies long")
+    return given.mapInArrow(releasing(count), "gram long, copies long")
 
 
 def common_order(docs: DataFrame, text: str, n: int, separators: str) -> Order:
@@ -255,7 +256,7 @@ def _signatures(docs: DataFrame, text: str, n: int, percent: int, separators: st
             arrays = [pa.array(np.concatenate(probes).view(np.int64)), pa.array(nodes), pa.array(sizes)]
             yield pa.RecordBatch.from_arrays(arrays, names=["segment", "node", "n"])
 
-    return given.mapInArrow(give, "segment long, node long, n long")
+    return given.mapInArrow(releasing(give), "segment long, node long, n long")
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
@@ -294,7 +295,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
                     names=["node", "fragment", "grams"],
                 )
 
-    return rows.select("body").mapInArrow(give, "node long, fragment int, grams array<long>")
+    return rows.select("body").mapInArrow(releasing(give), "node long, fragment int, grams array<long>")
 
 
 def overlaps(pairs: DataFrame, contents: DataFrame) -> DataFrame:
