@@ -2,14 +2,16 @@
 
 import random
 import re
+import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.llm import jaccard, registered, shingles
-from tidemill.llm.components import components
+from tidemill.llm.components import components, written
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -173,3 +175,60 @@ def test_whole_table(spark, sf):
     assert sorted(map(tuple, found.collect())) == sorted(_groups(rows, 3, 90))
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similar_groups(empty).count() == 0
+
+
+def test_whole_sets_go_to_blocks_only_where_a_link_is_left(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    sent, links = [], jaccard._block_links
+
+    def counted(blocks, contents, percent):
+        sent.append(blocks.count())
+        return links(blocks, contents, percent)
+
+    monkeypatch.setattr(jaccard, "_block_links", counted)
+    rng, base = random.Random(11), [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        at = rng.randrange(120)
+        words[at : at + rng.randint(4, 24)] = [f"r{rng.randint(0, 9999)}" for _ in range(rng.randint(4, 24))]
+        rows.append((i, " ".join(words)))
+    want = sorted(_groups(rows, 5, 80))
+    for candidates in ("segments", "rare"):
+        assert sorted(_found(spark, rows, 5, 80, candidates=candidates)) == want
+    assert len({c for _, _, c in want}) > 5
+    assert sum(sent) < 400  # of copies in all groups
+
+
+@given(st.lists(st.tuples(st.integers(20, 700), st.integers(0, 40)), min_size=2, max_size=9), st.integers(0, 1 << 40), st.sampled_from([80, 90]))
+@settings(max_examples=200, deadline=None)
+def test_parities_keep_all_similar_pairs(shapes, seed, percent):
+    rng = random.Random(seed)
+    pool = shingles.mix(np.arange(1, 2000, dtype=np.uint64) + np.uint64(seed)).tolist()
+    base = rng.sample(pool, 700)
+    sets = [set(base[:size]) - set(rng.sample(base[:size], min(edits, size // 2))) | set(rng.sample(pool, edits)) for size, edits in shapes]
+    order = range(len(sets))
+    for one, two in ((0, 0), (0, 1)):
+        frame = pd.DataFrame({
+            "one": one, "two": two, "block": [one if one == two else k % 2 for k in order], "n": [len(x) for x in sets],
+            "least": [k // 2 for k in order], "bits": [jaccard.parity(np.array(sorted(x), np.uint64)) for x in sets],
+        })
+        found = [tuple(sorted(x)) for x in zip(*(x.tolist() for x in jaccard._across(frame, percent)))]
+        assert len(found) == len(set(found))
+        met = {(i, j) for i in order for j in order if i < j and i // 2 != j // 2 and (one == two or (j - i) % 2)}
+        assert set(found) <= met
+        assert {(i, j) for i, j in met if len(sets[i] & sets[j]) * 100 >= percent * len(sets[i] | sets[j])} <= set(found)
+        assert not {(i, j) for i, j in met if len(sets[i] & sets[j]) * 100 < (percent - 12) * len(sets[i] | sets[j])} & set(found)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: sum(f.getName().startswith("shuffle_") for f in (x.apply(i) for x in [disk.getAllFiles()] for i in range(x.size())))
+    before = held()
+    rows = spark.range(20000).selectExpr("id % 977 AS k", "id AS v")
+    table = written(rows.hint("merge").join(spark.range(977).selectExpr("id AS k"), "k").groupBy("v").count(), "freed")
+    assert table.count() == 20000
+    end = time.time() + 20
+    while held() > before + 2 and time.time() < end:  # the count above has a file of its own
+        time.sleep(0.2)
+    assert held() <= before + 2

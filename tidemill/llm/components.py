@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemill.session import new_folder
+from tidemill.session import new_folder, shuffles_freed
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:

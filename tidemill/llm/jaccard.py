@@ -28,6 +28,12 @@ a group still holds several components, all pairs across them are compared: one
 small groups, in blocks in large ones, which give no pairs but links that join components.
 So no link is lost, and no group makes more rows than it has members.
 
+Two sets that meet once mostly meet in many groups, so whole sets do not go to blocks at
+first: parity bits of their n-grams, an eighth of their bytes, tell most pairs apart.  Of the
+pairs that they leave, some that would join all components of a block are counted once for
+all groups.  Only members that still may have a link to another component then meet with all
+their n-grams.
+
 * A set is of distinct n-grams; fewer words make one n-gram of all.  Null, empty and
   wordless texts have none: size 0, linked with nothing.
 * Repeated rows are rows of their own with the same component.  Null ids count as greater
@@ -60,6 +66,7 @@ THIN = 4         # n-grams in the finer segments whose sizes bound a pair's over
 SMALL = 16       # members of a group whose pairs are listed
 BLOCK = 512      # members of a larger group that are compared at once, on average
 COLUMNS = 4096   # n-grams of a block that are counted at once
+PARITY = 8       # parity bits for each n-gram, at least
 
 
 class Classes:
@@ -135,6 +142,16 @@ def cut(values: np.ndarray, count: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(values, edges), [len(values)]])
 
 
+def parity(values: np.ndarray) -> bytes:
+    """Of each number of 2^j low bits whether an odd count of n-grams has it; PARITY to 2 * PARITY bits an n-gram.
+
+    Two sets differ in at least as many n-grams as parities.
+    """
+    bits = 1 << max(6, (PARITY * len(values) - 1).bit_length())
+    odd = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _node(values: np.ndarray) -> int:
     """The 64-bit name of a set (as a signed number)."""
     total = mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(values))
@@ -270,7 +287,10 @@ def _shared(signatures: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, separators: str) -> DataFrame:
-    """(node, fragment, grams): the segments of the sets of ``wanted`` (key, tie); other texts do not move on."""
+    """(node, fragment, grams, bits): the segments of the sets of ``wanted`` (key, tie); other texts do not move on.
+
+    The first segment of a set comes with the parity bits of all its n-grams.
+    """
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(docs[id].alias("key"), F.xxhash64(body).alias("tie"), body.alias("body"))
     rows = rows.join(wanted, rows["key"].eqNullSafe(wanted["key"]) & (rows["tie"] == wanted["tie"]), "left_semi")
@@ -279,7 +299,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
         hasher = Words(separators)
         for batch in batches:
             for begin in range(0, len(batch), 500):
-                nodes, parts, grams = [], [], []
+                nodes, parts, grams, bits = [], [], [], []
                 for values in _sets(batch.column(0).slice(begin, 500).to_pylist(), hasher, n):
                     if not len(values):
                         continue
@@ -287,15 +307,19 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
                     node = _node(values)
                     for f in range(FRAGMENTS):
                         if cuts[f] < cuts[f + 1]:
+                            bits.append(None if nodes and nodes[-1] == node else parity(values))
                             nodes.append(node)
                             parts.append(f)
                             grams.append(values[cuts[f] : cuts[f + 1]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
-                    names=["node", "fragment", "grams"],
+                    [
+                        pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64())),
+                        pa.array(bits, pa.binary()),
+                    ],
+                    names=["node", "fragment", "grams", "bits"],
                 )
 
-    return rows.select("body").mapInArrow(releasing(give), "node long, fragment int, grams array<long>")
+    return rows.select("body").mapInArrow(releasing(give), "node long, fragment int, grams array<long>, bits binary")
 
 
 def overlaps(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -384,9 +408,88 @@ def _possible(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     return frame.loc[found, ["segment", "one", "two", "block", "node", "least"]]
 
 
+def _across(frame: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows x and y of two blocks (or of one with itself) whose parities allow a link across components, likely ones first."""
+    n, least, block = (frame[c].to_numpy() for c in ("n", "least", "block"))
+    within = frame["one"].iloc[0] == frame["two"].iloc[0]
+    length = frame["bits"].map(len).to_numpy()
+    found = [np.zeros((3, 0), np.int64)]
+    for size in np.unique(length):
+        # Sizes of sets that may be similar differ by less than two, so their numbers of bits do by a halving.
+        some, more = np.flatnonzero(length == size), np.flatnonzero(length == 2 * size)
+        table = np.stack([np.frombuffer(frame["bits"].iloc[i], np.uint64) for i in some])
+        if len(more):
+            twice = np.stack([np.frombuffer(frame["bits"].iloc[i], np.uint64) for i in more])
+            table = np.concatenate([table, twice[:, : size // 8] ^ twice[:, size // 8 :]])
+        pool = np.concatenate([some, more])
+        step = max(1, (1 << 21) // table.size)
+        for begin in range(0, len(some), step):
+            x = some[begin : begin + step]
+            odd = np.bitwise_count(table[begin : begin + len(x), None] ^ table[None]).sum(axis=2, dtype=np.int64)
+            total = n[x][:, None] + n[pool][None, :]
+            may = odd * (100 + percent) <= total * (100 - percent)
+            may &= least[x][:, None] != least[pool][None, :]
+            may &= np.arange(begin, begin + len(x))[:, None] < np.arange(len(pool))[None, :]
+            if not within:
+                may &= block[x][:, None] != block[pool][None, :]
+            i, j = np.nonzero(may)
+            found.append(np.stack([x[i], pool[j], (odd[i, j] << 20) // total[i, j]]))
+    x, y, score = np.concatenate(found, axis=1)
+    order = np.argsort(score, kind="stable")
+    return x[order], y[order]
+
+
+def _joining(one: np.ndarray, two: np.ndarray) -> list[int]:
+    """Places of the links between components ``one`` and ``two`` that join what those before them did not."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    ends = np.stack([np.minimum(one, two), np.maximum(one, two)], axis=1)
+    out = []
+    for k in np.sort(np.unique(ends, axis=0, return_index=True)[1]):
+        x, y = find(int(one[k])), find(int(two[k]))
+        if x != y:
+            root[x] = y
+            out.append(int(k))
+    return out
+
+
+def _likely_pairs(blocks: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, na, nb) that would join the components of ``blocks``, as far as parities tell."""
+
+    def pick(frame: pd.DataFrame) -> pd.DataFrame:
+        node, n, least = (frame[c].to_numpy() for c in ("node", "n", "least"))
+        x, y = _across(frame, percent)
+        picked = _joining(least[x], least[y])
+        x, y = x[picked], y[picked]
+        x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
+        return pd.DataFrame({"a": node[x], "b": node[y], "na": n[x], "nb": n[y]})
+
+    each = blocks.join(parities, "node")
+    return each.groupBy("segment", "one", "two").applyInPandas(pick, "a long, b long, na long, nb long").distinct()
+
+
+def _still_possible(blocks: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Members of ``blocks`` that may have a link to another component."""
+
+    def prune(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = _across(frame, percent)
+        return frame.iloc[np.union1d(x, y)][["segment", "one", "two", "block", "node", "least"]]
+
+    kind = "segment long, one int, two int, block int, node long, least long"
+    return blocks.join(parities, "node").groupBy("segment", "one", "two").applyInPandas(prune, kind)
+
+
 def _block_links(blocks: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components among the members of ``blocks``."""
-    sets = contents.groupBy("node").agg(
+    rows = contents.join(blocks.select("node").distinct(), "node", "left_semi")
+    # A document that repeats gives its segments again.
+    sets = rows.groupBy("node").agg(
         F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("fragment", "grams"))), lambda x: x["grams"])).alias("grams")
     )
     each = blocks.join(sets, "node").select("segment", "one", "two", "block", "node", "least", "grams")
@@ -421,27 +524,25 @@ def _compared(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     union = sizes[first][:, None] + sizes[second][None, :] - common
     least = frame["least"].to_numpy()
     near = (common * 100 >= union * percent) & (least[first][:, None] != least[second][None, :])
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    links = []
-    for i, j in zip(*np.nonzero(near)):
-        x, y = find(int(least[first[i]])), find(int(least[second[j]]))
-        if x != y:
-            root[x] = y
-            links.append((int(least[first[i]]), int(least[second[j]])))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    i, j = np.nonzero(near)
+    one, two = least[first[i]], least[second[j]]
+    picked = _joining(one, two)
+    return pd.DataFrame({"a": one[picked], "b": two[picked]}, dtype="int64")
 
 
 def _with_least(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(found, "node", "left").withColumn("least", F.coalesce("least", "node"))
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, least) of the components ``found`` once ``links`` join them too."""
+    more = written(links, "more-links")
+    if more.isEmpty():
+        return found
+    roots = found.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return written(components(more.unionByName(roots)), "components")
+
+
 def similar_components(
     docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, separators: str = "space",
     candidates: str = "segments",
@@ -489,11 +590,15 @@ def similar_components(
     blocks = written(_blocks(rows, vectors, percent), "blocks")
     late = late.unionByName(blocks.select("node")).distinct()
     contents = contents.unionByName(contents_of(late.join(known, "node", "left_anti"), None))
-    links = _linked(listed, contents, percent).unionByName(_block_links(blocks, contents, percent))
-    more = written(links, "more-links")
-    if not more.isEmpty():
-        roots = found.select(F.col("node").alias("a"), F.col("least").alias("b"))
-        found = written(components(more.unionByName(roots)), "components")
+    parities = contents.where("bits IS NOT NULL").select("node", "bits").join(blocks.select("node").distinct(), "node", "left_semi")
+    # A document that repeats gives its bits again.
+    parities = written(parities.dropDuplicates(["node"]).join(nodes, "node"), "parities")
+    likely = _likely_pairs(blocks, parities, percent).join(tested, ["a", "b"], "left_anti")
+    listed = written(listed.unionByName(likely).distinct(), "pairs-apart")
+    found = _joined(found, _linked(listed, contents, percent))
+    # At last all that may still join components of a large group.
+    left = written(_still_possible(_with_least(blocks.drop("least"), found), parities, percent), "blocks-left")
+    found = _joined(found, _block_links(left, contents, percent))
     return _with_least(members, found).select("key", "tie", "n", F.col("least").alias("component"))
 
 

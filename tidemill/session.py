@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run inside remove their shuffle files when they end.
+
+    Otherwise these stay until the driver happens to collect its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are computed once and survive lost executors."""
     context = df.sparkSession.sparkContext
