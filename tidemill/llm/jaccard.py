@@ -459,32 +459,34 @@ def _joining(one: np.ndarray, two: np.ndarray) -> list[int]:
     return out
 
 
-def _likely_pairs(blocks: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b, na, nb) that would join the components of ``blocks``, as far as parities tell."""
+def _met(blocks: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Members (segment, one, two, block, node, least, n) of ``blocks`` whose parities allow a link to another component.
 
-    def pick(frame: pd.DataFrame) -> pd.DataFrame:
-        node, n, least = (frame[c].to_numpy() for c in ("node", "n", "least"))
-        x, y = _across(frame, percent)
-        picked = _joining(least[x], least[y])
-        x, y = x[picked], y[picked]
-        x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
-        return pd.DataFrame({"a": node[x], "b": node[y], "na": n[x], "nb": n[y]})
-
-    each = blocks.join(parities, "node")
-    return each.groupBy("segment", "one", "two").applyInPandas(pick, "a long, b long, na long, nb long").distinct()
-
-
-def _still_possible(blocks: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """Members of ``blocks`` that may have a link to another component."""
+    ``partners`` and their ``sizes`` are those of pairs that would join the components of two blocks.
+    """
 
     def prune(frame: pd.DataFrame) -> pd.DataFrame:
+        node, n, least = (frame[c].to_numpy() for c in ("node", "n", "least"))
         x, y = _across(frame, percent)
-        return frame.iloc[np.union1d(x, y)][["segment", "one", "two", "block", "node", "least"]]
-
-    kind = "segment long, one int, two int, block int, node long, least long"
+        kept = np.union1d(x, y)
+        partners: dict[int, list[int]] = {int(i): [] for i in kept}
+        for k in _joining(least[x], least[y]):
+            partners[int(x[k])].append(int(y[k]))
+        out = frame.iloc[kept][["segment", "one", "two", "block", "node", "least", "n"]]
+        lists = {"partners": [node[v].tolist() for v in partners.values()], "sizes": [n[v].tolist() for v in partners.values()]}
+        return out.assign(**{c: pd.Series(v, out.index, dtype=object) for c, v in lists.items()})
+
+    kind = "segment long, one int, two int, block int, node long, least long, n long, partners array<long>, sizes array<long>"
     return blocks.join(parities, "node").groupBy("segment", "one", "two").applyInPandas(prune, kind)
 
 
+def _partner_pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b, na, nb) of members and their partners."""
+    rows = met.select(F.struct("node", "n").alias("x"), F.explode(F.arrays_zip(F.col("partners").alias("node"), F.col("sizes").alias("n"))).alias("y"))
+    rows = rows.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return rows.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
+
+
 def _block_links(blocks: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components among the members of ``blocks``."""
     rows = contents.join(blocks.select("node").distinct(), "node", "left_semi")
@@ -593,11 +595,15 @@ def similar_components(
     parities = contents.where("bits IS NOT NULL").select("node", "bits").join(blocks.select("node").distinct(), "node", "left_semi")
     # A document that repeats gives its bits again.
     parities = written(parities.dropDuplicates(["node"]).join(nodes, "node"), "parities")
-    likely = _likely_pairs(blocks, parities, percent).join(tested, ["a", "b"], "left_anti")
+    met = written(_met(blocks, parities, percent), "blocks-met")
+    likely = _partner_pairs(met).join(tested, ["a", "b"], "left_anti")
     listed = written(listed.unionByName(likely).distinct(), "pairs-apart")
     found = _joined(found, _linked(listed, contents, percent))
-    # At last all that may still join components of a large group.
-    left = written(_still_possible(_with_least(blocks.drop("least"), found), parities, percent), "blocks-left")
+    # At last all that may still join components of a large group, where two blocks hold several yet.
+    blocks, pair = _with_least(met.select("segment", "one", "two", "block", "node"), found), ["segment", "one", "two"]
+    apart = blocks.groupBy(*pair).agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi")
+    left = _met(blocks.join(apart.select(*pair), pair, "left_semi"), parities, percent)
+    left = written(left.select(*pair, "block", "node", "least"), "blocks-left")
     found = _joined(found, _block_links(left, contents, percent))
     return _with_least(members, found).select("key", "tie", "n", F.col("least").alias("component"))
 
