@@ -127,7 +127,9 @@ def _row_counts(spark, sf):
     counts = sinks.counts(spark)
     held = sinks.windows(spark).agg(F.sum("reading_count").alias("in_windows"))
     kept = sinks.late_rows(spark).agg(F.count(F.lit(1)).alias("in_late_table"))
-    return held.crossJoin(kept).withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
+    # One row each; together they are summed up, so no product of rows is planned.
+    both = held.unionByName(kept, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("in_windows", "in_late_table")])
+    return both.withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
 
 
 _add(
