@@ -287,9 +287,9 @@ def _shared(signatures: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, separators: str) -> DataFrame:
-    """(node, fragment, grams, bits): the segments of the sets of ``wanted`` (key, tie); other texts do not move on.
+    """(node, fragment, grams, bits, n): the segments of the sets of ``wanted`` (key, tie); other texts do not move on.
 
-    The first segment of a set comes with the parity bits of all its n-grams.
+    The first segment of a set comes with the parity bits of all its n-grams and their number.
     """
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(docs[id].alias("key"), F.xxhash64(body).alias("tie"), body.alias("body"))
@@ -299,7 +299,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
         hasher = Words(separators)
         for batch in batches:
             for begin in range(0, len(batch), 500):
-                nodes, parts, grams, bits = [], [], [], []
+                nodes, parts, grams, bits, counts = [], [], [], [], []
                 for values in _sets(batch.column(0).slice(begin, 500).to_pylist(), hasher, n):
                     if not len(values):
                         continue
@@ -307,19 +307,21 @@ def _contents(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int, se
                     node = _node(values)
                     for f in range(FRAGMENTS):
                         if cuts[f] < cuts[f + 1]:
-                            bits.append(None if nodes and nodes[-1] == node else parity(values))
+                            known = bool(nodes) and nodes[-1] == node
+                            bits.append(None if known else parity(values))
+                            counts.append(None if known else len(values))
                             nodes.append(node)
                             parts.append(f)
                             grams.append(values[cuts[f] : cuts[f + 1]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(nodes, pa.int64()), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64())),
-                        pa.array(bits, pa.binary()),
+                        pa.array(bits, pa.binary()), pa.array(counts, pa.int64()),
                     ],
-                    names=["node", "fragment", "grams", "bits"],
+                    names=["node", "fragment", "grams", "bits", "n"],
                 )
 
-    return rows.select("body").mapInArrow(releasing(give), "node long, fragment int, grams array<long>, bits binary")
+    return rows.select("body").mapInArrow(releasing(give), "node long, fragment int, grams array<long>, bits binary, n long")
 
 
 def overlaps(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -592,9 +594,9 @@ def similar_components(
     blocks = written(_blocks(rows, vectors, percent), "blocks")
     late = late.unionByName(blocks.select("node")).distinct()
     contents = contents.unionByName(contents_of(late.join(known, "node", "left_anti"), None))
-    parities = contents.where("bits IS NOT NULL").select("node", "bits").join(blocks.select("node").distinct(), "node", "left_semi")
+    parities = contents.where("bits IS NOT NULL").select("node", "bits", "n").join(blocks.select("node").distinct(), "node", "left_semi")
     # A document that repeats gives its bits again.
-    parities = written(parities.dropDuplicates(["node"]).join(nodes, "node"), "parities")
+    parities = written(parities.dropDuplicates(["node"]), "parities")
     met = written(_met(blocks, parities, percent), "blocks-met")
     likely = _partner_pairs(met).join(tested, ["a", "b"], "left_anti")
     listed = written(listed.unionByName(likely).distinct(), "pairs-apart")
